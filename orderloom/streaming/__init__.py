@@ -1,0 +1,5 @@
+"""Batch only: the data model has no streaming source, sink or stateful operator.
+
+The expressions in ``orderloom.functions`` hold no state, so they also apply to
+a streaming DataFrame as they are.
+"""
