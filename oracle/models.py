@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from orderloom.plans import vocabulary as v
 from orderloom.sources.order_lines import COUNTRY, CURRENCY, REGION_OF_STATE
+from orderloom.sources.schemas import RAW_COLUMNS
 
 NULL_PART = "_dbt_utils_surrogate_key_null_"
 
@@ -32,7 +33,7 @@ def key(*parts: str) -> str:
 
 
 def total_order(columns: Sequence[str]) -> str:
-    return ", ".join(f"{c} ASC NULLS LAST" for c in columns)
+    return ", ".join(f'"{c}" ASC NULLS LAST' for c in columns)
 
 
 _STATUS_BY_CODE = " ".join(f"WHEN {i} THEN {quote(s.detail)}" for i, s in enumerate(v.STATUSES))
@@ -121,28 +122,27 @@ TYPED_COLUMNS = {
     "is_b2b": "lower(trim(\"B2B\")) = 'true'",
 }
 
-TYPED = 'SELECT try_cast("index" AS int) AS source_position, {} FROM raw'.format(
-    ", ".join(f"{expr} AS {name}" for name, expr in TYPED_COLUMNS.items())
-)
-
 KEPT = """
 SELECT * EXCLUDE (place) FROM (
     SELECT *, row_number() OVER (
-        PARTITION BY order_id, sku
-        ORDER BY if(amount IS NULL, 1, 0), source_position DESC NULLS LAST, {}
+        PARTITION BY trim("Order ID"), trim("SKU")
+        ORDER BY if(try_cast("Amount" AS decimal(10, 2)) IS NULL, 1, 0),
+            try_cast("index" AS int) DESC NULLS LAST, {}
     ) AS place
-    FROM typed
+    FROM raw
 )
 WHERE place = 1
-""".format(total_order([c for c in TYPED_COLUMNS if c not in ("order_id", "sku")]))
+""".format(total_order(RAW_COLUMNS))
+
+TYPED = "SELECT {} FROM kept".format(", ".join(f"{expr} AS {name}" for name, expr in TYPED_COLUMNS.items()))
 
 STG = """
 SELECT
-    * EXCLUDE (source_position),
+    *,
     status_detail = 'Cancelled' AS is_cancelled,
     cast(if(status_detail = 'Cancelled', 0, amount) AS decimal(10, 2)) AS revenue_amount,
     cast(coalesce(len(string_split(promotion_ids_raw, ',')), 0) AS int) AS promo_count
-FROM kept
+FROM typed
 """
 
 PRODUCTS = f"""
@@ -222,9 +222,9 @@ JOIN places
 # Name, definition, names it reads. In build order.
 MODELS = {
     "raw": (RAW, []),
-    "typed": (TYPED, ["raw"]),
-    "kept": (KEPT, ["typed"]),
-    "stg": (STG, ["kept"]),
+    "kept": (KEPT, ["raw"]),
+    "typed": (TYPED, ["kept"]),
+    "stg": (STG, ["typed"]),
     "regions": (REGIONS, []),
     "products": (PRODUCTS, ["stg"]),
     "places": (PLACES, ["stg", "regions"]),

@@ -140,7 +140,10 @@ def model_tables() -> dict[str, str]:
     fact = statement("SELECT * FROM fact", "fact")
     return {
         "dedup_latest_complete": statement(
-            "SELECT order_id, sku, source_position, status_detail, quantity, amount FROM kept", "kept"
+            'SELECT trim("Order ID") AS order_id, trim("SKU") AS sku, cast("index" AS int) AS source_position, '
+            '"Status" AS status_detail, try_cast("Qty" AS int) AS quantity, '
+            'try_cast("Amount" AS decimal(10, 2)) AS amount FROM kept',
+            "kept",
         ),
         "stg_orders": statement(f"SELECT {', '.join(STAGING.names)} FROM stg", "stg"),
         "dim_product": statement("SELECT * FROM products", "products"),

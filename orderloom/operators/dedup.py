@@ -11,14 +11,14 @@ from pyspark.sql.window import Window
 from orderloom.functions.text import column
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per key by ``order``; remaining ties go by the other columns.
+def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """First row per key by ``order``; remaining ties go by the columns, left to right.
 
     Written as ``row_number() = 1`` so that Spark puts a group limit before the
     shuffle: each map task sends at most one row per key, however hot the key.
     """
-    rest = [column(c).asc_nulls_last() for c in df.columns if c not in keys]
-    by_key = Window.partitionBy(*map(column, keys)).orderBy(*order, *rest)
+    ties = [column(c).asc_nulls_last() for c in df.columns]
+    by_key = Window.partitionBy(*keys).orderBy(*order, *ties)
     ranked = df.withColumn("_rank", F.row_number().over(by_key))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 

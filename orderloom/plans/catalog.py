@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from orderloom.functions import parse, text
 from orderloom.functions.keys import surrogate_key
 from orderloom.operators import checks
-from orderloom.operators.dedup import keep_first
 from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.benchmark import open_benchmark, scratch
 from orderloom.plans.vocabulary import UNKNOWN_PLACE
@@ -231,10 +230,15 @@ def surrogate_keys(w: Warehouse) -> DataFrame:
 @query
 def dedup_latest_complete(w: Warehouse) -> DataFrame:
     """The kept line of each (order, sku) and its position in the source."""
-    lines = staging.typed_lines(w.raw())
-    order = [F.col("amount").isNull(), F.col(staging.POSITION).desc_nulls_last()]
-    kept = keep_first(lines, staging.LINE_KEY, order)
-    return kept.select("order_id", "sku", staging.POSITION, "status_detail", "quantity", "amount")
+    kept = staging.best_lines(w.raw())
+    return kept.select(
+        text.clean("Order ID").alias("order_id"),
+        text.clean("SKU").alias("sku"),
+        parse.parse_int("index").alias("source_position"),
+        text.column("Status").alias("status_detail"),
+        parse.parse_int("Qty").alias("quantity"),
+        parse.parse_money("Amount").alias("amount"),
+    )
 
 
 def stg_orders(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.functions.keys import surrogate_key
 from orderloom.operators.dedup import collapse_max
 from orderloom.plans import vocabulary as v
+from orderloom.sources.constants import literal_rows
 from orderloom.sources.schemas import DIM_DATE, DIM_GEOGRAPHY, DIM_ORDER_STATUS, DIM_PRODUCT, REGIONS, conform
 
 PLACE = ["ship_country", "ship_city", "ship_state", "ship_postal_code"]
@@ -62,12 +64,12 @@ def calendar_covering(rows: DataFrame, date: str) -> DataFrame:
 
 
 def order_statuses(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(v.STATUSES, "status_detail string, status_group string, is_terminal boolean")
+    rows = literal_rows(spark, v.STATUSES, StructType(DIM_ORDER_STATUS.fields[1:]))
     return conform(rows.select(surrogate_key("status_detail").alias("status_key"), "*"), DIM_ORDER_STATUS)
 
 
 def state_regions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(v.STATE_REGIONS, REGIONS)
+    return literal_rows(spark, v.STATE_REGIONS, REGIONS)
 
 
 def places(staging: DataFrame, regions: DataFrame) -> DataFrame:

@@ -10,9 +10,6 @@ from orderloom.operators.dedup import keep_first
 from orderloom.plans.vocabulary import CANCELLED
 from orderloom.sources.schemas import MONEY, STAGING, conform
 
-LINE_KEY = ["order_id", "sku"]
-POSITION = "source_position"
-
 # Staging column, raw column, conversion. Raw columns not listed here are left out.
 CONVERSIONS = [
     ("order_id", "Order ID", text.clean),
@@ -41,16 +38,20 @@ CONVERSIONS = [
 ]
 
 
-def typed_lines(raw: DataFrame) -> DataFrame:
-    """Renamed, cleaned and typed columns, plus the row's position in the source."""
-    converted = [convert(source).alias(name) for name, source, convert in CONVERSIONS]
-    return raw.select(parse.parse_int("index").alias(POSITION), *converted)
+def best_lines(raw: DataFrame) -> DataFrame:
+    """One raw row per (order, sku): a row with an amount first, then the latest one.
 
+    Only the four values that decide are parsed before the shuffle, and the rows
+    travel as the raw text, which holds each value once.
+    """
+    key = [text.clean("Order ID"), text.clean("SKU")]
+    order = [parse.parse_money("Amount").isNull(), parse.parse_int("index").desc_nulls_last()]
+    return keep_first(raw, key, order)
 
-def best_lines(lines: DataFrame) -> DataFrame:
-    """One row per (order, sku): a row with an amount first, then the latest one."""
-    order = [F.col("amount").isNull(), F.col(POSITION).desc_nulls_last()]
-    return keep_first(lines, LINE_KEY, order).drop(POSITION)
+
+def typed_lines(raw: DataFrame) -> DataFrame:
+    """Renamed, cleaned and typed columns."""
+    return raw.select(*[convert(source).alias(name) for name, source, convert in CONVERSIONS])
 
 
 def revenue(cancelled: Column, amount: Column) -> Column:
@@ -70,4 +71,4 @@ def with_measures(lines: DataFrame) -> DataFrame:
 
 
 def staged_lines(raw: DataFrame) -> DataFrame:
-    return conform(with_measures(best_lines(typed_lines(raw))), STAGING)
+    return conform(with_measures(typed_lines(best_lines(raw))), STAGING)

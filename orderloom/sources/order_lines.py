@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.plans.vocabulary import CANCELLED, STATUSES
+from orderloom.sources.constants import literal_rows
 from orderloom.sources.schemas import RAW, REGIONS, conform
 
+SPREAD_BYTES = 64 * 1024 * 1024
+
 # Fixed values of the benchmark mapping.
 COUNTRY = "XX"
 CURRENCY = "XXX"
@@ -25,9 +28,21 @@ def benchmark_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread_if_small(rows: DataFrame, path: str) -> DataFrame:
+    """``rows``, made from a file with too few row groups for every core, spread over the cores.
+
+    Only a source below ``SPREAD_BYTES`` per core is shuffled for that; a larger
+    one arrives in enough splits.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    listed = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("bytes")).first()
+    return rows.repartition(cores) if (listed["bytes"] or 0) < cores * SPREAD_BYTES else rows
+
+
 def benchmark_regions(spark: SparkSession) -> DataFrame:
     rows = [(COUNTRY, state, region) for state, region in REGION_OF_STATE.items()]
-    return spark.createDataFrame(rows, REGIONS)
+    return literal_rows(spark, rows, REGIONS)
 
 
 def _status_code() -> Column:
@@ -59,25 +74,28 @@ def raw_order_lines(spark: SparkSession, folder: str) -> DataFrame:
         .join(load("nation", "n_nationkey", "n_name", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(load("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    orders = load("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    # Orders meet their customers first: the line items, several per order, then
+    # move for two joins and not for three.
+    orders = load("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority").join(
+        customers, F.col("o_custkey") == F.col("c_custkey")
+    )
     parts = load("part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    lines = (
-        load(
-            "lineitem",
-            "l_orderkey",
-            "l_partkey",
-            "l_suppkey",
-            "l_linenumber",
-            "l_quantity",
-            "l_extendedprice",
-            "l_returnflag",
-            "l_linestatus",
-        )
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("code", _status_code())
+    items = load(
+        "lineitem",
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_returnflag",
+        "l_linestatus",
+    )
+    joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        parts, F.col("l_partkey") == F.col("p_partkey")
     )
+    source = f"{folder.rstrip('/')}/lineitem.parquet"
+    lines = spread_if_small(joined, source).withColumn("code", _status_code())
 
     number = F.col("l_linenumber")
     cancelled = F.col("code") == 2
