@@ -233,35 +233,35 @@ def _exact_duplicates(rows: str) -> str:
 
 def _quality_counters(rows: str) -> str:
     address = " OR ".join(blank(c) for c in ("ship-city", "ship-state", "ship-postal-code", "ship-country"))
-    return f"""SELECT countif({blank("Amount")}) AS missing_amount,
-    countif(try_cast("Qty" AS int) = 0) AS qty_zero,
-    countif(try_cast("Qty" AS int) < 0) AS qty_negative,
-    countif(try_cast("Amount" AS double) < 0) AS amount_negative,
-    countif(NOT ({blank("Date")}) AND try_strptime("Date", '%m-%d-%y') IS NULL) AS invalid_dates,
-    countif({address}) AS missing_shipping_info FROM {rows}"""
+    return f"""SELECT count(*) FILTER ({blank("Amount")}) AS missing_amount,
+    count(*) FILTER (try_cast("Qty" AS int) = 0) AS qty_zero,
+    count(*) FILTER (try_cast("Qty" AS int) < 0) AS qty_negative,
+    count(*) FILTER (try_cast("Amount" AS double) < 0) AS amount_negative,
+    count(*) FILTER (NOT ({blank("Date")}) AND try_strptime("Date", '%m-%d-%y') IS NULL) AS invalid_dates,
+    count(*) FILTER ({address}) AS missing_shipping_info FROM {rows}"""
 
 
 def _sku_drift(rows: str) -> str:
     def distinct(c: str) -> str:
         return f"count(DISTINCT nullif(trim({ident(c)}), ''))"
 
-    return f"""SELECT countif(styles > 1) AS sku_style_drift, countif(categories > 1) AS sku_category_drift,
-    countif(sizes > 1) AS sku_size_drift FROM (
+    return f"""SELECT count(*) FILTER (styles > 1) AS sku_style_drift, count(*) FILTER (categories > 1) AS sku_category_drift,
+    count(*) FILTER (sizes > 1) AS sku_size_drift FROM (
         SELECT {distinct("Style")} AS styles, {distinct("Category")} AS categories, {distinct("Size")} AS sizes
         FROM {rows} WHERE NOT ({blank("SKU")}) GROUP BY "SKU")"""
 
 
 def _co_missing(rows: str) -> str:
-    return f"""SELECT countif(a AND c) AS both_null, countif(a AND NOT c) AS only_amount_null,
-    countif(c AND NOT a) AS only_currency_null
+    return f"""SELECT count(*) FILTER (a AND c) AS both_null, count(*) FILTER (a AND NOT c) AS only_amount_null,
+    count(*) FILTER (c AND NOT a) AS only_currency_null
     FROM (SELECT {blank("Amount")} AS a, {blank("currency")} AS c FROM {rows})"""
 
 
 def _missing_by_column(rows: str) -> str:
     def share(c: str) -> str:
         return (
-            f"SELECT {quote(c)} AS column_name, countif({blank(c)}) AS missing, "
-            f"round(100.0::double * countif({blank(c)}) / count(*), 2) AS pct_missing FROM {rows}"
+            f"SELECT {quote(c)} AS column_name, count(*) FILTER ({blank(c)}) AS missing, "
+            f"round(100.0::double * count(*) FILTER ({blank(c)}) / count(*), 2) AS pct_missing FROM {rows}"
         )
 
     return " UNION ALL ".join(map(share, RAW_COLUMNS))
@@ -311,7 +311,7 @@ def profiles() -> dict[str, str]:
     for name, build in on_both.items():
         found[f"{name}_dirty"] = statement(build("dirty"), "raw", extra={"dirty": DIRTY})
     bodies = {
-        "prof_order_fanout": """SELECT countif(n > 1) AS orders_with_multiple_rows, max(n) AS max_rows_per_order
+        "prof_order_fanout": """SELECT count(*) FILTER (n > 1) AS orders_with_multiple_rows, max(n) AS max_rows_per_order
             FROM (SELECT count(*) AS n FROM raw GROUP BY "Order ID")""",
         "prof_crosstab": """SELECT "Fulfilment", coalesce(nullif(trim("fulfilled-by"), ''), '<NULL>') AS fulfilled_by,
             count(*) AS row_count FROM raw GROUP BY ALL""",
@@ -322,17 +322,17 @@ def profiles() -> dict[str, str]:
             count(DISTINCT upper(trim("ship-city"))) AS city_normalized, count(DISTINCT "ship-state") AS state_raw,
             count(DISTINCT upper(trim("ship-state"))) AS state_normalized,
             count(DISTINCT "ship-country") AS distinct_countries FROM raw""",
-        "prof_anomaly_by_status": f"""SELECT countif({zero}) AS qty_zero_total,
-            countif({zero} AND {cancelled}) AS qty_zero_cancelled, countif({zero} AND {shipped}) AS qty_zero_shipped,
-            countif({no_amount}) AS amount_missing_total,
-            countif(({no_amount}) AND {cancelled}) AS amount_missing_cancelled,
-            countif(({no_amount}) AND {shipped}) AS amount_missing_shipped FROM raw""",
-        "prof_cancelled_with_amount": """SELECT countif("Status" = 'Cancelled' AND try_cast("Amount" AS double) > 0)
+        "prof_anomaly_by_status": f"""SELECT count(*) FILTER ({zero}) AS qty_zero_total,
+            count(*) FILTER ({zero} AND {cancelled}) AS qty_zero_cancelled, count(*) FILTER ({zero} AND {shipped}) AS qty_zero_shipped,
+            count(*) FILTER ({no_amount}) AS amount_missing_total,
+            count(*) FILTER (({no_amount}) AND {cancelled}) AS amount_missing_cancelled,
+            count(*) FILTER (({no_amount}) AND {shipped}) AS amount_missing_shipped FROM raw""",
+        "prof_cancelled_with_amount": """SELECT count(*) FILTER ("Status" = 'Cancelled' AND try_cast("Amount" AS double) > 0)
             AS cancelled_orders_with_amount_gt_zero FROM raw""",
-        "prof_promo_shape": f"""SELECT countif(NOT ({blank("promotion-ids")})) AS rows_with_promo,
+        "prof_promo_shape": f"""SELECT count(*) FILTER (NOT ({blank("promotion-ids")})) AS rows_with_promo,
             max(length("promotion-ids")) AS max_raw_length, max({items}) AS max_promo_count_per_row,
             avg({items}) FILTER (NOT ({blank("promotion-ids")})) AS avg_promo_count_when_present FROM raw""",
-        "prof_non_empty": f"""SELECT countif(NOT ({blank("Unnamed: 22")})) AS unnamed_22_non_empty FROM raw""",
+        "prof_non_empty": f"""SELECT count(*) FILTER (NOT ({blank("Unnamed: 22")})) AS unnamed_22_non_empty FROM raw""",
         "prof_value_distribution": distributions,
         "prof_distinct_counts": f"SELECT {cardinalities} FROM raw",
     }
@@ -367,7 +367,7 @@ def _nulls(table: str, column: str) -> str:
 def _repeats(name: str, table: str, columns: list[str]) -> str:
     listed = ", ".join(map(ident, columns))
     present = f"WHERE {ident(columns[0])} IS NOT NULL" if len(columns) == 1 else ""
-    return _found(name, "countif(n > 1)", f"(SELECT count(*) AS n FROM {TABLES[table]} {present} GROUP BY {listed})")
+    return _found(name, "count(*) FILTER (n > 1)", f"(SELECT count(*) AS n FROM {TABLES[table]} {present} GROUP BY {listed})")
 
 
 def _unexpected(table: str, column: str, values: list[object], where: str | None) -> str:
@@ -418,7 +418,7 @@ def check_tables() -> dict[str, str]:
     conflicts = f"stg WHERE {CONFLICT}"
     fact_rows = _found("row_count.fct_sales.stg_orders", _differ(FACT_ROWS, STG_ROWS), ONE_ROW)
     staging_rows = _found("row_count.stg_orders.raw", _differ(RAW_PAIRS, STG_ROWS), ONE_ROW)
-    cancelled = _found("cancelled_revenue.fct_sales", "countif(is_cancelled AND revenue_amount <> 0)", "fact")
+    cancelled = _found("cancelled_revenue.fct_sales", "count(*) FILTER (is_cancelled AND revenue_amount <> 0)", "fact")
     priced = "(SELECT count(amount) FROM stg)"
     raw_rows = "(SELECT count(*) FROM raw)"
     on_status = "stg JOIN statuses USING (status_detail)"
@@ -459,13 +459,13 @@ def check_tables() -> dict[str, str]:
             _found("row_count_delta.priced_lines.raw", f"{RAW_PAIRS} - {priced}", ONE_ROW),
         ),
         "chk_cancelled_revenue": union(
-            cancelled, _found("cancelled_revenue.gross", "countif(is_cancelled AND amount <> 0)", "fact")
+            cancelled, _found("cancelled_revenue.gross", "count(*) FILTER (is_cancelled AND amount <> 0)", "fact")
         ),
         "chk_is_terminal_contract": union(
-            _found("terminal_contract.stg_orders", f"countif({TERMINAL.format('is_terminal')})", on_status),
+            _found("terminal_contract.stg_orders", f"count(*) FILTER ({TERMINAL.format('is_terminal')})", on_status),
             _found(
                 "terminal_contract.broken",
-                f"countif({TERMINAL.format('(is_terminal OR status_group = ' + quote('Pending') + ')')})",
+                f"count(*) FILTER ({TERMINAL.format('(is_terminal OR status_group = ' + quote('Pending') + ')')})",
                 on_status,
             ),
         ),
@@ -486,7 +486,7 @@ def check_tables() -> dict[str, str]:
             fact_rows,
             staging_rows,
             cancelled,
-            _found("terminal_contract.dim_order_status", f"countif({TERMINAL.format('is_terminal')})", "statuses"),
+            _found("terminal_contract.dim_order_status", f"count(*) FILTER ({TERMINAL.format('is_terminal')})", "statuses"),
             _found("unknown_region.fct_sales", "count(*)", UNKNOWN, *quality.UNKNOWN_REGION_LIMITS),
             _found("status_conflict.stg_orders", "count(*)", conflicts, *quality.STATUS_CONFLICT_LIMITS),
         ),

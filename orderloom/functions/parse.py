@@ -3,7 +3,8 @@
 Spark's own casts differ from the wanted rules in both directions: casting
 '3.7' to int gives NULL where 4 is wanted, and '1d' is accepted as a double
 where NULL is wanted. So each parser first admits only plain decimal notation
-and then casts.
+and then casts. Left out, as NULL: hexadecimal, a dot after the exponent
+('1e2.'), two signs, and a signed NaN.
 """
 
 from __future__ import annotations

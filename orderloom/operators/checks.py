@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.text import column
-from orderloom.operators.counting import counters_long, repeated
+from orderloom.operators.counting import counters_long, repeated_tuples
 
 
 def null_rows(df: DataFrame, col: str) -> DataFrame:
@@ -24,12 +24,12 @@ def null_counts(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
 
 def repeated_values(df: DataFrame, col: str) -> DataFrame:
     """Non-null values that occur more than once."""
-    return repeated(df.where(column(col).isNotNull()), [col])
+    return repeated_tuples(df.where(column(col).isNotNull()), [col])
 
 
 def repeated_combinations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Column tuples that occur more than once; NULL counts as a value here."""
-    return repeated(df, columns)
+    return repeated_tuples(df, columns)
 
 
 def unexpected_values(

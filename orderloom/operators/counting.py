@@ -84,7 +84,7 @@ def distinct_counts(df: DataFrame, labels: Mapping[str, str | Column]) -> DataFr
     )
 
 
-def repeated(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
+def repeated_tuples(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
     """Key tuples that occur more than once, with their row count."""
     groups = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias(count))
     return groups.where(F.col(count) > 1)

@@ -11,16 +11,42 @@ from pyspark.sql.window import Window
 from orderloom.functions.text import column
 
 
-def keep_first(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+KEY_HASH = "key_hash"
+
+
+def repeated_key_hashes(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Hashes of the keys that occur more than once.
+
+    Two different keys may share a hash, so a few unique keys can be among them;
+    a repeated key is never missing. Eight bytes per row are counted, before the
+    shuffle and after it.
+    """
+    hashes = df.select(F.xxhash64(*keys).alias(KEY_HASH)).groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("rows"))
+    return hashes.where(F.col("rows") > 1).select(KEY_HASH)
+
+
+def with_repeated_key(df: DataFrame, keys: Sequence[Column], repeated: DataFrame, present: bool = True) -> DataFrame:
+    """Rows whose key hash is in ``repeated``, which must be small, or those whose is not."""
+    return df.join(F.broadcast(repeated), F.xxhash64(*keys) == F.col(KEY_HASH), "left_semi" if present else "left_anti")
+
+
+def keep_first(
+    df: DataFrame, keys: Sequence[Column], order: Sequence[Column], repeated: DataFrame | None = None
+) -> DataFrame:
     """First row per key by ``order``; remaining ties go by the columns, left to right.
 
     Written as ``row_number() = 1`` so that Spark puts a group limit before the
     shuffle: each map task sends at most one row per key, however hot the key.
+
+    With the small table ``repeated`` from :func:`repeated_key_hashes`, only rows
+    of repeated keys are sorted and shuffled. All others pass through in place.
     """
+    candidates = df if repeated is None else with_repeated_key(df, keys, repeated)
     ties = [column(c).asc_nulls_last() for c in df.columns]
     by_key = Window.partitionBy(*keys).orderBy(*order, *ties)
-    ranked = df.withColumn("_rank", F.row_number().over(by_key))
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
+    ranked = candidates.withColumn("_rank", F.row_number().over(by_key))
+    first = ranked.where(F.col("_rank") == 1).drop("_rank")
+    return first if repeated is None else with_repeated_key(df, keys, repeated, present=False).unionByName(first)
 
 
 def collapse_max(df: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:

@@ -230,7 +230,7 @@ def surrogate_keys(w: Warehouse) -> DataFrame:
 @query
 def dedup_latest_complete(w: Warehouse) -> DataFrame:
     """The kept line of each (order, sku) and its position in the source."""
-    kept = staging.best_lines(w.raw())
+    kept = staging.best_lines(w.raw(), w.repeated_lines())
     return kept.select(
         text.clean("Order ID").alias("order_id"),
         text.clean("SKU").alias("sku"),
@@ -323,7 +323,6 @@ _profile("prof_overview", profile.overview)
 _profile("prof_order_fanout", profile.order_fanout)
 _profile("prof_style_fanout", profile.style_fanout)
 _profile("prof_duplicate_pairs", profile.duplicate_pairs)
-_profile("prof_exact_duplicates", profile.exact_duplicates)
 _profile("prof_quality_counters", profile.quality_counters)
 _profile("prof_sku_drift", profile.sku_drift)
 _profile("prof_co_missing", profile.co_missing)
@@ -339,6 +338,11 @@ _profile("prof_value_distribution", profile.value_distribution)
 _profile("prof_distinct_counts", profile.category_cardinality)
 
 
+@query
+def prof_exact_duplicates(w: Warehouse) -> DataFrame:
+    return profile.exact_duplicates(w.raw(), w.repeated_lines())
+
+
 def _dirty(raw: DataFrame) -> DataFrame:
     """Raw lines with the faults the extract lacks, chosen by line number, plus pending lines twice."""
     number = F.floor(F.col("index").cast("bigint") / 1000000).cast("int")

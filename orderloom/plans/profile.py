@@ -19,7 +19,9 @@ from orderloom.functions.text import (
     list_length,
     or_default,
 )
-from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated, top_values
+from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated_tuples, top_values
+from orderloom.operators.dedup import with_repeated_key
+from orderloom.plans.staging import line_key
 from orderloom.plans.vocabulary import CANCELLED
 from orderloom.sources.schemas import RAW_COLUMNS
 
@@ -99,14 +101,19 @@ def _surplus() -> Column:
 
 def duplicate_pairs(raw: DataFrame) -> DataFrame:
     """(order, sku) pairs that occur again, and the rows beyond the first."""
-    return repeated(raw, ["Order ID", "SKU"]).agg(
+    return repeated_tuples(raw, ["Order ID", "SKU"]).agg(
         _rows().alias("duplicate_groups"), _surplus().alias("extra_rows_in_dupe_groups")
     )
 
 
-def exact_duplicates(raw: DataFrame) -> DataFrame:
-    """Rows that repeat another one in every column but the row index."""
-    return repeated(raw, BUSINESS_COLUMNS).agg(_surplus().alias("business_level_exact_duplicates"))
+def exact_duplicates(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Rows that repeat another one in every column but the row index.
+
+    Such rows share their (order, sku). With the small table ``repeated`` of
+    repeated pairs, only their rows are grouped at full width.
+    """
+    rows = raw if repeated is None else with_repeated_key(raw, line_key(), repeated)
+    return repeated_tuples(rows, BUSINESS_COLUMNS).agg(_surplus().alias("business_level_exact_duplicates"))
 
 
 def quality_counters(raw: DataFrame) -> DataFrame:

@@ -38,15 +38,18 @@ CONVERSIONS = [
 ]
 
 
-def best_lines(raw: DataFrame) -> DataFrame:
+def line_key() -> list[Column]:
+    return [text.clean("Order ID"), text.clean("SKU")]
+
+
+def best_lines(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One raw row per (order, sku): a row with an amount first, then the latest one.
 
     Only the four values that decide are parsed before the shuffle, and the rows
     travel as the raw text, which holds each value once.
     """
-    key = [text.clean("Order ID"), text.clean("SKU")]
     order = [parse.parse_money("Amount").isNull(), parse.parse_int("index").desc_nulls_last()]
-    return keep_first(raw, key, order)
+    return keep_first(raw, line_key(), order, repeated)
 
 
 def typed_lines(raw: DataFrame) -> DataFrame:
@@ -70,5 +73,6 @@ def with_measures(lines: DataFrame) -> DataFrame:
     )
 
 
-def staged_lines(raw: DataFrame) -> DataFrame:
-    return conform(with_measures(typed_lines(best_lines(raw))), STAGING)
+def staged_lines(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Staging; ``repeated`` as in :func:`orderloom.operators.dedup.keep_first`."""
+    return conform(with_measures(typed_lines(best_lines(raw, repeated))), STAGING)

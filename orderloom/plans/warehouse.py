@@ -11,10 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from orderloom.operators.checks import repeated_combinations
+from orderloom.operators.dedup import repeated_key_hashes
+from orderloom.operators.joins import BROADCAST_ROWS
 from orderloom.plans import dimensions, fact
-from orderloom.plans.staging import staged_lines
+from orderloom.plans.staging import line_key, staged_lines
 from orderloom.sources import schemas, tables
 
 SALE_MONTH = "sale_month"
@@ -31,11 +34,13 @@ class Warehouse:
         regions: Callable[[], DataFrame] | None = None,
         calendar: tuple[str, str] | None = None,
         fact_by_month: bool = False,
+        broadcast_rows: int = BROADCAST_ROWS,
     ) -> None:
         """``calendar`` is (first day, day after the last); by default whole years around the data.
 
         ``fact_by_month`` stores the fact in one folder per month, for reports
-        that read few months. It costs one more shuffle of the fact.
+        that read few months. It costs one more shuffle of the fact. A set of more
+        than ``broadcast_rows`` repeated lines is not broadcast.
         """
         self.spark = spark
         self.base = base.rstrip("/")
@@ -44,6 +49,7 @@ class Warehouse:
         self._region_rows = regions or (lambda: dimensions.state_regions(spark))
         self._calendar = calendar
         self._fact_by_month = fact_by_month
+        self._broadcast_rows = broadcast_rows
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
@@ -52,7 +58,7 @@ class Warehouse:
         self,
         layer: str,
         name: str,
-        schema: schemas.StructType,
+        schema: StructType,
         build: Callable[[], DataFrame],
         partition_by: str | None = None,
     ) -> DataFrame:
@@ -74,8 +80,18 @@ class Warehouse:
             raise ValueError("the region lookup lists a (country, state) twice, which would multiply places")
         return rows
 
+    def repeated_lines(self) -> DataFrame | None:
+        """Key hashes of the repeated (order, sku) pairs, or None if too many to broadcast."""
+        name = "repeated_lines"
+        hashes = self._stored(
+            "staging", name, schemas.KEY_HASHES, lambda: repeated_key_hashes(self.raw(), line_key())
+        )
+        return hashes if self.rows_written[name] <= self._broadcast_rows else None
+
     def staging(self) -> DataFrame:
-        return self._stored("staging", "stg_orders", schemas.STAGING, lambda: staged_lines(self.raw()))
+        return self._stored(
+            "staging", "stg_orders", schemas.STAGING, lambda: staged_lines(self.raw(), self.repeated_lines())
+        )
 
     def products(self) -> DataFrame:
         return self._stored(
@@ -115,7 +131,7 @@ class Warehouse:
 
     def fact(self) -> DataFrame:
         month = SALE_MONTH if self._fact_by_month else None
-        schema = schemas.FACT if month is None else schemas.StructType(schemas.FACT.fields).add(month, "int")
+        schema = schemas.FACT if month is None else StructType([*schemas.FACT.fields, StructField(month, IntegerType())])
         stored = self._stored("marts", "fct_sales", schema, self._fact_rows, month)
         return stored.select(*schemas.FACT.names)
 

@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     DateType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -53,6 +54,8 @@ TEXT, INT, DATE, FLAG = StringType(), IntegerType(), DateType(), BooleanType()
 
 RAW = StructType([StructField(name, TEXT) for name in RAW_COLUMNS])
 
+KEY_HASHES = _struct(key_hash=LongType())
+
 REGIONS = _struct(country=TEXT, state=TEXT, region=TEXT)
 
 STAGING = _struct(
