@@ -128,7 +128,7 @@ def scalars() -> dict[str, str]:
         "derived_measures": statement(
             "SELECT order_id, sku, status_detail, amount, is_cancelled, revenue_amount, promo_count FROM stg", "stg"
         ),
-        "surrogate_keys": statement(
+        "surrogate_key": statement(
             f"SELECT order_id, sku, {key('order_id', 'sku')} AS sales_key, {key('sku')} AS product_key, "
             f"{key('ship_country', 'ship_city', 'ship_state', 'ship_postal_code')} AS place_key FROM stg",
             "stg",

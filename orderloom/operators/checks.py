@@ -76,7 +76,7 @@ def failures(check_name: str, rows: DataFrame, count: Column | None = None) -> D
     ``count`` replaces the row count where rows were pre-aggregated.
     """
     total = F.count(F.lit(1)) if count is None else F.coalesce(count, F.lit(0)).cast("bigint")
-    return rows.agg(total.alias("failures")).select(F.lit(check_name).alias("check_name"), "failures")
+    return rows.agg(F.lit(check_name).alias("check_name"), total.alias("failures"))
 
 
 def with_limits(result: DataFrame, warn_above: int = 0, error_above: int = 0) -> DataFrame:

@@ -66,14 +66,19 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int, null_label: str =
     return ranked.where(F.col("_rank") <= k).drop("_rank")
 
 
-def distinct_counts(df: DataFrame, labels: Mapping[str, str | Column]) -> DataFrame:
+def distinct_counts(
+    df: DataFrame, labels: Mapping[str, str | Column], relative_error: float | None = None
+) -> DataFrame:
     """One row with the distinct non-null values per labelled column or expression.
 
     Several ``count(distinct)`` in one aggregate make Spark copy each row once
     per column at full width. Counting the distinct (column, value) pairs
-    instead keeps those copies two fields wide.
+    instead keeps those copies two fields wide. With ``relative_error`` the counts
+    are estimated in one pass, from sketches of fixed size.
     """
     cells = df.select(*[(c if isinstance(c, Column) else column(c)).alias(name) for name, c in labels.items()])
+    if relative_error is not None:
+        return cells.agg(*[F.approx_count_distinct(column(n), relative_error).alias(n) for n in labels])
     counted = value_counts(cells, list(labels))
     found = (F.col("value").isNotNull()).cast("int")
     return counted.agg(

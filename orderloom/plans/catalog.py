@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions import parse, text
-from orderloom.functions.keys import surrogate_key
+from orderloom.functions import keys, parse, text
 from orderloom.operators import checks
 from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.benchmark import open_benchmark, scratch
@@ -214,13 +213,13 @@ def derived_measures(w: Warehouse) -> DataFrame:
 
 
 @query
-def surrogate_keys(w: Warehouse) -> DataFrame:
+def surrogate_key(w: Warehouse) -> DataFrame:
     return w.staging().select(
         "order_id",
         "sku",
-        surrogate_key("order_id", "sku").alias("sales_key"),
-        surrogate_key("sku").alias("product_key"),
-        surrogate_key(*dimensions.PLACE).alias("place_key"),
+        keys.surrogate_key("order_id", "sku").alias("sales_key"),
+        keys.surrogate_key("sku").alias("product_key"),
+        keys.surrogate_key(*dimensions.PLACE).alias("place_key"),
     )
 
 

@@ -176,5 +176,4 @@ def suite(
             checks.failures("status_conflict.stg_orders", status_conflict_rows(staging)), *status_conflicts
         ),
     ]
-    results = [*[checks.with_limits(r) for r in strict], *tolerant]
-    return checks.status(checks.union_all(results))
+    return checks.status(checks.union_all([checks.with_limits(checks.union_all(strict)), *tolerant]))

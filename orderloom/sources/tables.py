@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-LAYERS = ("raw", "seeds", "staging", "marts")
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,9 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="orderloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    session = spark.sparkContext.applicationId
+    if session not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[session] = tempfile.mkdtemp(prefix="orderloom-")
+    return _LOCAL_FOLDERS[session]
 
 
 def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> int:

@@ -106,6 +106,8 @@ def test_distinct_counts_over_several_passes(spark):
     rows = spark.range(500).select(*[(F.col("id") % (i + 1)).cast("string").alias(c) for i, c in enumerate(columns)])
     found = counting.distinct_counts(rows, {c: c for c in columns}).first()
     assert found.asDict() == {c: i + 1 for i, c in enumerate(columns)}
+    estimated = counting.distinct_counts(rows, {c: c for c in columns}, relative_error=0.05).first()
+    assert all(abs(estimated[c] - n) <= 0.2 * n for c, n in found.asDict().items())
 
 
 def test_no_local_checkpoints_or_driver_collections():
