@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import column
 from orderloom.operators import checks
+from orderloom.operators.joins import join_dimension
 from orderloom.plans import vocabulary as v
 from orderloom.plans.fact import Star
 from orderloom.plans.profile import status_conflict
@@ -100,9 +101,8 @@ def terminal_mismatch_rows(statuses: DataFrame) -> DataFrame:
 def unknown_region_rows(star: Star) -> DataFrame:
     """Fact lines whose place has no region."""
     unmapped = star.places.where(F.col("region") == v.UNKNOWN_REGION)
-    return star.fact.join(unmapped.select("geography_key", "ship_state"), "geography_key").select(
-        "order_id", "sku", "ship_state"
-    )
+    found = join_dimension(star.fact, unmapped.select("geography_key", "ship_state"), "geography_key")
+    return found.select("order_id", "sku", "ship_state")
 
 
 def unknown_region_count(star: Star) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import Counter
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -214,6 +215,20 @@ def test_shared_folder_follows_the_session(spark):
     assert tables.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def session_stub(master):
+    conf = {"spark.master": master}
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)),
+        sparkContext=SimpleNamespace(applicationId="stub"),
+    )
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_folder(session_stub("yarn"))
+    assert tables.shared_folder(session_stub("local[2]")) == tables.shared_folder(session_stub("local[2]"))
+
+
 def test_schema_contract(spark):
     with pytest.raises(ValueError, match="unexpected schema"):
         schemas.conform(spark.range(1), schemas.FACT)
