@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from orderloom.llm import toxicity
 from orderloom.llm.jaccard_join import jaccard_classes
 
+#: Score from which a document counts as toxic.
+TOXIC = 0.7
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,8 +25,23 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learnt from two of three folds of the labelled ids."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = toxicity.fit(docs, labels.where(fold != 1))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        (fold == 1).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op8_toxicity": op8_toxicity,
 }
 
 _OP1 = r"""
