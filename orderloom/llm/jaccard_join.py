@@ -6,17 +6,18 @@ two sketches never exceeds the size of the symmetric difference of the sets. Set
 sizes a and b with a Jaccard similarity of at least p/100 differ in at most
 ``(100 - p) * (a + b) / (100 + p)`` shingles.
 
-Sizes fall into bands ``[4^j, 4^(j+1))``. Band j cuts the sketch into segments; a set
+Sizes fall into bands ``[2^j, 2^(j+1))``. Band j cuts the sketch into segments; a set
 of the band, and a larger one that may still link with a member, keeps the segments
 with a toggled bit, each as a 64-bit signature of its content. If at most d shingles
 differ, at most d segments do, so (pigeonhole) of any d+1 of a set's segments one is
 equal in the other set. Both sides therefore emit their first d+1 segments in one
-global order, frequent contents last, and every linked pair shares the smallest
-segment that they have in common. A set with too few segments to promise this emits
+global order (frequent contents last, fuller segments first), and every linked pair
+shares the smallest segment that they have in common. A set with too few segments to promise this emits
 all of them and a mark that meets the other sets of this sort. The order decides only
 how many pairs are looked at, never which are found.
 
-Pairs are verified on the whole sets. In the first round each signature's smallest
+Pairs are screened by the Hamming distance of their folded sketches, and those that
+may still link are verified on the whole sets. In the first round each signature's smallest
 set (its hub) is compared with all others; then the sets of a signature that are in
 different components are compared with each other, except where their distances
 to the hub prove by the triangle inequality that they can't link. So copies cost a
@@ -42,8 +43,8 @@ from orderloom.llm.components import components
 FILTER_BITS = 1 << 25
 #: Signature contents that are put last because many sets have them: at most so many are broadcast, the most frequent first.
 FREQUENT = 100_000
-#: Times that a content must occur in one batch to be counted as a candidate for these.
-FREQUENT_IN_BATCH = 12
+#: Different sets of a batch that must have a content for it to be a candidate for these.
+FREQUENT_IN_BATCH = 3
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -83,15 +84,15 @@ def _allowed(total: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each band: (index of the set, signature, signatures that the set must emit), ordered by set and segment."""
+    """For each band: (index of the set, signature, signatures that the set must emit), in the sets' order of emission."""
     n = np.diff(bounds)
     if not n.any():
         return
     bands = np.zeros(len(n), np.int64)
-    while (larger := n >= 4 ** (bands + 1)).any():
+    while (larger := n >= 2 ** (bands + 1)).any():
         bands[larger] += 1
     for band in range(int(bands.max()) + 1):
-        most = 4 ** (band + 1) - 1
+        most = 2 ** (band + 1) - 1
         home = (bands == band) & (n > 0)
         guest = (bands == band + 1) & (n * percent <= most * 100)
         own = np.flatnonzero(home | guest)
@@ -103,14 +104,17 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> Iterator
         at = np.repeat(bounds[:-1][own] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         token = hashes[at]
         of = np.repeat(np.arange(len(own)), size)
-        segments = np.uint64(max(2 * 4**band, 64))
+        segments = np.uint64(max(2**band * 240 * (100 - percent) // (100 * percent), 64))  # just enough that a set fills d+1 of them
         segment = ((token >> np.uint64(32)) * segments) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], (segment[1:] != segment[:-1]) | (of[1:] != of[:-1]))))
         content = np.bitwise_xor.reduceat(mix(token | np.uint64(0xFFFFFFFF00000000)), first)
+        bits = np.diff(np.append(first, len(token)))
         toggled = content != 0
-        first, content = first[toggled], content[toggled]
-        signature = mix(content + mix(segment[first] * np.uint64(64) + np.uint64(band)))
+        first, content, bits = first[toggled], content[toggled], bits[toggled]
+        signature = mix(content + mix(segment[first] * np.uint64(64) + np.uint64(band)) + bits.astype(np.uint64))
         of = of[first]
+        order = np.lexsort((-bits, of))  # stable: segments in order among equals
+        of, signature = of[order], signature[order]
         few = np.flatnonzero(np.bincount(of, minlength=len(own)) < need)
         mark = mix(np.full(len(few), band + (1 << 62), np.uint64))
         of, signature = np.concatenate((of, few)), np.concatenate((signature, mark))
@@ -165,36 +169,53 @@ def _long(x: np.ndarray) -> pa.Array:
 _EMPTY = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-def _per_batch(work, width: int):
-    """A function for mapInArrow that hands ``work`` the sets of each run of texts."""
+def _per_batch(work, width: int, last=None):
+    """A function for mapInArrow that hands ``work`` the sets of each run of texts, and calls ``last`` after each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in slices(texts_of_batch(batch)):
                 hashes, bounds = shingle_sets(data, offsets, width)
                 yield from work(batch.slice(first, len(offsets) - 1), hashes, bounds)
+            if last is not None:
+                yield from last()
 
     return run
 
 
-def _describe(percent: int):
+def _different(ids: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Marks the first set of each id that isn't in ``seen``, and adds it there."""
+    one = np.zeros(len(ids), bool)
+    found, places = np.unique(ids, return_index=True)
+    new = [(k, i) for k, i in zip(found.tolist(), places.tolist(), strict=True) if k not in seen]
+    seen.update(k for k, _ in new)
+    one[[i for _, i in new]] = True
+    return one
+
+
+def _describe(percent: int, width: int):
+    """Rows (doc_id, size, set id), and per batch the contents (signature, times) that several different sets have."""
+    names = ["doc_id", "n_shingles", "set_id", "signature", "times"]
+    found: list[np.ndarray] = []
+    seen: set[int] = set()
+
     def work(batch, hashes, bounds):
         n, ids = np.diff(bounds), _set_ids(hashes, bounds)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(n), _long(ids), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
-            ["doc_id", "n_shingles", "set_id", "signature", "times"],
-        )
-        # of copies in the batch one counts: they can't make a content frequent among different sets
-        one = np.zeros(len(n), bool)
-        one[np.unique(ids, return_index=True)[1]] = True
-        for of, signature, _ in signatures(hashes, bounds, percent):
-            found, times = np.unique(signature[one[of]], return_counts=True)
-            found, times = found[times >= FREQUENT_IN_BATCH], times[times >= FREQUENT_IN_BATCH]
-            if len(found):
-                empty = pa.nulls(len(found), pa.int64())
-                yield pa.RecordBatch.from_arrays([empty, empty, empty, _long(found), pa.array(times)], ["doc_id", "n_shingles", "set_id", "signature", "times"])
+        empty = pa.nulls(len(n), pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n), _long(ids), empty, empty], names)
+        one = _different(ids, seen)
+        found.extend(signature[one[of]] for of, signature, _ in signatures(hashes, bounds, percent))
 
-    return work
+    def last():
+        if found:
+            signature, times = np.unique(np.concatenate(found), return_counts=True)
+            signature, times = signature[times >= FREQUENT_IN_BATCH], times[times >= FREQUENT_IN_BATCH]
+            found.clear()
+            seen.clear()
+            empty = pa.nulls(len(signature), pa.int64())
+            yield pa.RecordBatch.from_arrays([empty, empty, empty, _long(signature), pa.array(times)], names)
+
+    return _per_batch(work, width, last)
 
 
 def _emit(percent: int, frequent, rank):
@@ -214,6 +235,44 @@ def _bits(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (signature % np.uint64(FILTER_BITS)).astype(np.int64), ((signature >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
+def _sketch(hashes: np.ndarray) -> bytes:
+    """Parity sketch folded to between four and eight bits a shingle, a power of two."""
+    width = 64
+    while width < 4 * len(hashes):
+        width *= 2
+    toggles = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(toggles.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _screen(percent: int):
+    """Pairs with the Hamming distance of their sketches, and whether they may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_a, size_b = (batch.column(k).to_numpy() for k in (2, 3))
+            apart = []
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
+                a, b = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                if len(a) < len(b):
+                    a, b = b, a
+                folded = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+                apart.append(int(np.bitwise_count(folded ^ b).sum()))
+            apart = np.array(apart, np.int64)
+            close = (np.minimum(size_a, size_b) * 100 >= np.maximum(size_a, size_b) * percent) & (apart <= _allowed(size_a + size_b, percent))
+            least = 2.0 * apart / np.maximum(size_a + size_b + apart, 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(least), pa.array(close)], ["a", "b", "size_a", "size_b", "least", "close"])
+
+    return run
+
+
+def _screened(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, size_a, size_b, least, close): ``least`` is a lower bound of the Jaccard distance."""
+    a = sets.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("x"))
+    b = sets.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("y"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "size_a", "size_b", "x", "y")
+    return both.mapInArrow(_screen(percent), "a long, b long, size_a long, size_b long, least double, close boolean")
+
+
 def _gather(percent: int, frequent, rank, filled):
     def work(batch, hashes, bounds):
         ids = _set_ids(hashes, bounds)
@@ -236,8 +295,11 @@ def _gather(percent: int, frequent, rank, filled):
         if not len(own):
             return
         lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(of)).astype(np.int32)), _long(signature))
-        sets = pa.array([hashes[bounds[i] : bounds[i + 1]].tobytes() for i in own.tolist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([_long(ids[own]), lists, sets], ["set_id", "signatures", "hashes"])
+        whole = [hashes[bounds[i] : bounds[i + 1]] for i in own.tolist()]
+        sets = pa.array([x.tobytes() for x in whole], pa.binary())
+        sketches = pa.array([_sketch(x) for x in whole], pa.binary())
+        sizes = pa.array(np.diff(bounds)[own])
+        yield pa.RecordBatch.from_arrays([_long(ids[own]), sizes, lists, sketches, sets], ["set_id", "size", "signatures", "sketch", "hashes"])
 
     return work
 
@@ -289,12 +351,12 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     ``component_id`` is the smallest id that is reachable by links, the row's own
     included. ``set_id`` is 64 bits wide; equal sets share it.
     """
-    if not 50 <= percent <= 100:
-        raise ValueError("percent must be from 50 to 100")
+    if not 70 <= percent <= 100:
+        raise ValueError("percent must be from 70 to 100")
     spark = docs.sparkSession
     ship(spark)
     rows = texts(docs, key, text)
-    described = stored(rows.mapInArrow(_per_batch(_describe(percent), width), "doc_id long, n_shingles long, set_id long, signature long, times long"), "sets")
+    described = stored(rows.mapInArrow(_describe(percent, width), "doc_id long, n_shingles long, set_id long, signature long, times long"), "sets")
     counted = described.where("times is not null").groupBy("signature").agg(F.sum("times").alias("times"))
     top = counted.orderBy(F.desc("times"), "signature").limit(FREQUENT).toPandas()
     frequent = top["signature"].to_numpy(np.int64).view(np.uint64)
@@ -311,38 +373,40 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     for piece in pieces.toLocalIterator():  # at most FILTER_BITS / 8 bytes in all
         whole[piece["piece"]] = np.frombuffer(piece["bits"], np.uint8)
     filled = spark.sparkContext.broadcast(whole.reshape(-1))
-    gathered = rows.mapInArrow(_per_batch(_gather(percent, frequent, rank, filled), width), "set_id long, signatures array<long>, hashes binary")
+    gathered = rows.mapInArrow(_per_batch(_gather(percent, frequent, rank, filled), width), "set_id long, size long, signatures array<long>, sketch binary, hashes binary")
     gathered = stored(gathered, "gathered")
-    sets = gathered.groupBy("set_id").agg(F.first("hashes").alias("hashes"))
+    sets = gathered.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "hashes")])
     members = gathered.select("set_id", F.explode("signatures").alias("signature")).distinct().join(shared, "signature")
 
-    sizes = f"least(size_a, size_b) * 100 >= greatest(size_a, size_b) * {percent}"
     linked = f"100 * shared >= {percent} * (size_a + size_b - shared)"
     stars = members.where("set_id <> hub").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
-    stars = stored(_verified(stars, sets).withColumn("distance", F.expr("1.0d - shared / (size_a + size_b - shared)")), "stars")
-    labels = components(stars.where(linked).select("a", "b"))
+    stars = stored(_screened(stars, sets, percent), "stars")
+    known = stored(_verified(stars.where("close").select("a", "b"), sets), "known")
+    labels = components(known.where(linked).select("a", "b"))
 
     # what the hubs left open: members of a signature in different components
-    far = stars.select(F.col("a").alias("hub"), F.col("b").alias("set_id"), "distance", F.col("size_b").alias("size"))
-    hubs = stars.select(F.col("a").alias("hub"), F.col("size_a").alias("size")).distinct()
-    hubs = hubs.select("hub", F.col("hub").alias("set_id"), F.lit(0.0).alias("distance"), "size")
-    placed = members.join(far.union(hubs), ["hub", "set_id"]).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    placed = placed.withColumn("label", F.coalesce("label", "set_id"))
+    distance = F.expr("1.0d - shared / (size_a + size_b - shared)")
+    far = stars.join(known.select("a", "b", distance.alias("exact")), ["a", "b"], "left").select(
+        F.col("a").alias("hub"), F.col("b").alias("set_id"), F.coalesce("exact", "least").alias("least"), F.coalesce("exact", F.lit(1.0)).alias("most"), F.col("size_b").alias("size")
+    )
+    placed = members.where("set_id <> hub").join(far, ["hub", "set_id"]).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    placed = stored(placed.select("signature", "set_id", "least", "most", "size", F.coalesce("label", "set_id").alias("label")), "open")
     split = placed.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("signature")
-    left = placed.where("set_id <> hub").join(split, "signature").select("hub", "signature", "set_id", "distance", "size", "label")
-    left = stored(left, "open")
-    one, two = (left.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("set_id", "distance", "size", "label")]) for s in "ab")
+    left = placed.join(split, "signature")
+    one, two = (left.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("set_id", "least", "most", "size", "label")]) for s in "ab")
+    limit = 1 - percent / 100 + 1e-9
     rest = (
         one.join(two, "signature")
         .where("set_id_a < set_id_b and label_a <> label_b")
-        .where(sizes)
-        .where(f"abs(distance_a - distance_b) <= {1 - percent / 100 + 1e-9}")
+        .where(f"least(size_a, size_b) * 100 >= greatest(size_a, size_b) * {percent}")
+        .where(f"least_a - most_b <= {limit} and least_b - most_a <= {limit}")
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
         .distinct()
     )
-    more = stored(_verified(rest, sets).where(linked).select("a", "b"), "links")
+    more = _screened(rest, sets, percent).where("close").select("a", "b")
+    more = stored(_verified(more, sets).where(linked).select("a", "b"), "links")
     if not more.isEmpty():
-        labels = components(stars.where(linked).select("a", "b").union(more))
+        labels = components(known.where(linked).select("a", "b").union(more))
 
     first = described.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
     by_set = first.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
