@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import toxicity
+from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 
 #: Score from which a document counts as toxic.
@@ -25,6 +26,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Syncmer fingerprints of all documents, and their likeness to an edited text's and the next document's."""
+    return fingerprinted(_table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learnt from two of three folds of the labelled ids."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -41,6 +47,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_fingerprints": op3_fingerprints,
     "op8_toxicity": op8_toxicity,
 }
 
