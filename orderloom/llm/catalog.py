@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import toxicity
+from orderloom.llm import hidden_markov, toxicity
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 
@@ -31,6 +31,11 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprinted(_table(spark, folder, "documents"))
 
 
+def op6_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Hidden Markov scores of all documents, learnt from nine tenths of the ids."""
+    return hidden_markov.scored(_table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learnt from two of three folds of the labelled ids."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -48,6 +53,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_fingerprints": op3_fingerprints,
+    "op6_hmm_scores": op6_hmm_scores,
     "op8_toxicity": op8_toxicity,
 }
 

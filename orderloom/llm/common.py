@@ -100,8 +100,8 @@ def slices(array: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of consecutive texts, and the texts' offsets among the words."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash of every word of consecutive texts, the texts' offsets among them, first byte and length of each."""
     inside = _IN_WORD[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -110,10 +110,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(begins)
     bounds = np.searchsorted(starts, offsets)
     if len(starts) == 0:
-        return np.zeros(0, np.uint64), bounds
+        return np.zeros(0, np.uint64), bounds, starts, starts
     power, inverse = _powers(len(data))
     sums = np.add.reduceat(_VALUES[data] * power[: len(data)], starts)
-    return mix(sums * inverse[starts]), bounds
+    lengths = np.add.reduceat(inside, starts, dtype=np.int64)
+    return mix(sums * inverse[starts]), bounds, starts, lengths
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of consecutive texts, and the texts' offsets among the words."""
+    return word_spans(data, offsets)[:2]
 
 
 def texts_of_batch(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
