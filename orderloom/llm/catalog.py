@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import hidden_markov, toxicity
+from orderloom.llm import bpe, hidden_markov, toxicity
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 
@@ -50,11 +51,23 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents by the prefix table, and the bytes they decode to, as digests."""
+    found = bpe.coded(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_fingerprints": op3_fingerprints,
     "op6_hmm_scores": op6_hmm_scores,
     "op8_toxicity": op8_toxicity,
+    "op10_prefix_bpe": op10_prefix_bpe,
 }
 
 _OP1 = r"""
