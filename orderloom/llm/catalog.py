@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderloom.llm import bpe, hidden_markov, toxicity
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
+from orderloom.llm.packing import packed
 
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
@@ -27,6 +28,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens, a row per piece."""
+    return packed(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Syncmer fingerprints of all documents, and their likeness to an edited text's and the next document's."""
     return fingerprinted(_table(spark, folder, "documents"))
@@ -64,6 +70,7 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op6_hmm_scores": op6_hmm_scores,
     "op8_toxicity": op8_toxicity,
