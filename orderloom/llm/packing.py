@@ -30,11 +30,13 @@ from orderloom.llm.common import ship, stored
 
 LENGTH = 1024
 #: Pivots of the linear program, at most; it also ends within this share of the lower bound.
-PIVOTS, GAP = 1_500, 5e-4
+PIVOTS, GAP = 3_000, 1e-3
+#: Patterns that one knapsack adds, and that are kept of the earlier ones.
+PER_ROUND, POOL = 40, 2_000
 
 
-def _knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts per length of the most valuable pattern."""
+def _knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int, wanted: int) -> list[np.ndarray]:
+    """Counts per length of patterns of high value: for each of some lengths the best pattern that has it, the best of all first."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     usable = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for room in range(1, capacity + 1):
@@ -45,36 +47,59 @@ def _knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndar
             k = int(values.argmax())
             if values[k] > best[room] + 1e-12:
                 best[room], choice[room] = values[k], k
-    counts, room = np.zeros(len(lengths), np.int64), capacity
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            counts[choice[room]] += 1
-            room -= int(lengths[choice[room]])
-    return counts
+    out = []
+    for lead in np.argsort(-(prices + best[capacity - lengths]), kind="stable")[:wanted].tolist():
+        counts, room = np.zeros(len(lengths), np.int64), capacity - int(lengths[lead])
+        counts[lead] = 1
+        while room > 0:
+            if choice[room] < 0:
+                room -= 1
+            else:
+                counts[choice[room]] += 1
+                room -= int(lengths[choice[room]])
+        out.append(counts)
+    return out
+
+
+def _first_fit(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Patterns of first fit decreasing and how often each is used."""
+    left, out = demand.astype(np.int64).copy(), []
+    while left.any():
+        column, room = np.zeros(len(lengths), np.int64), capacity
+        for k in np.flatnonzero(left)[::-1].tolist():
+            column[k] = min(left[k], room // lengths[k])
+            room -= int(column[k] * lengths[k])
+        held = column > 0
+        times = int((left[held] // column[held]).min())
+        out.append((column, times))
+        left -= times * column
+    return out
 
 
-def patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = LENGTH) -> list[tuple[np.ndarray, int]]:
-    """Patterns (counts per length) and how often each is used; together they hold every item exactly once."""
+def _price(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Basic patterns (columns) and their amounts in the linear program's solution."""
     n = len(lengths)
-    if n == 0:
-        return []
     columns = np.diag(capacity // lengths).astype(float)
     inverse = np.diag(1 / np.diag(columns))
     amounts = inverse @ demand
     bound = float(lengths @ demand) / capacity
+    pool = np.array([x for x, _ in _first_fit(lengths, demand, capacity)], float).T
     for _ in range(PIVOTS):
         if amounts.sum() <= bound * (1 + GAP):
             break
         prices = inverse.sum(axis=0)
-        column = _knapsack(prices, lengths, capacity).astype(float)
-        if prices @ column <= 1 + 1e-9:
-            break
+        values = prices @ pool
+        best = int(values.argmax())
+        if values[best] <= 1 + 1e-7:
+            fresh = np.array(_knapsack(prices, lengths, capacity, PER_ROUND), float).T
+            if prices @ fresh[:, 0] <= 1 + 1e-7:
+                break
+            pool = np.concatenate((pool[:, np.argsort(-values)[:POOL]], fresh), axis=1)
+            continue
+        column = pool[:, best]
         change = inverse @ column
         rows = np.flatnonzero(change > 1e-9)
-        ratios = amounts[rows] / change[rows]
-        out = rows[int(ratios.argmin())]
+        out = rows[int((amounts[rows] / change[rows]).argmin())]
         step = amounts[out] / change[out]
         amounts = np.maximum(amounts - step * change, 0)
         amounts[out] = step
@@ -82,25 +107,23 @@ def patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = LENGTH) ->
         inverse -= np.outer(change, pivot)
         inverse[out] = pivot
         columns[:, out] = column
-    left = demand.astype(np.int64).copy()
-    out_patterns = []
+    return columns, amounts
+
+
+def patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = LENGTH) -> list[tuple[np.ndarray, int]]:
+    """Patterns (counts per length) and how often each is used; together they hold every item exactly once."""
+    if len(lengths) == 0:
+        return []
+    columns, amounts = _price(lengths, demand, capacity)
+    left, out = demand.astype(np.int64).copy(), []
     for k in np.argsort(-amounts, kind="stable"):
         column = columns[:, k].astype(np.int64)
         held = column > 0
-        times = min(int(amounts[k] + 1e-6), int((left[held] // column[held]).min())) if held.any() else 0
+        times = min(int(amounts[k] + 1e-6), int((left[held] // column[held]).min()))
         if times > 0:
-            out_patterns.append((column, times))
+            out.append((column, times))
             left -= times * column
-    while left.any():
-        column, room = np.zeros(n, np.int64), capacity
-        for k in np.flatnonzero(left)[::-1]:
-            column[k] = min(left[k], room // lengths[k])
-            room -= int(column[k] * lengths[k])
-        held = column > 0
-        times = int((left[held] // column[held]).min())
-        out_patterns.append((column, times))
-        left -= times * column
-    return out_patterns
+    return out + _first_fit(lengths, left, capacity)
 
 
 def _strand_sums(rows: DataFrame, keys: list[str], amount: str, name: str) -> DataFrame:
