@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import ship, texts_of_batch
-from orderloom.llm.pieces import Pieces
+from orderloom.llm.pieces import LONG_PIECE, Pieces
 
 #: Rows that a worker encodes at a time, and pairs of tokens whose verdict it remembers.
 ROWS, KNOWN_PAIRS = 256, 1 << 20
@@ -111,22 +111,21 @@ def _worker(path: str, pattern: str) -> tuple[Vocabulary, Pieces]:
     """One per Python worker, so that batches share what it remembers."""
     vocabulary = Vocabulary(path, pattern)
 
-    def one(text: str) -> bytes:
-        found = [x for match in vocabulary.pattern.findall(text) for x in Encoding(vocabulary, match.encode()).ids()]
-        return np.array(found, "<u4").tobytes()
-
     words: dict[str, bytes] = {}
 
     def word(text: str) -> bytes:
         if (known := words.get(text)) is None:
-            known = one(text)
-            if len(text) <= 48:
+            known = np.array(Encoding(vocabulary, text.encode()).ids(), "<u4").tobytes()
+            if len(text) <= LONG_PIECE:
                 if len(words) >= 200_000:
                     words.clear()
                 words[text] = known
         return known
 
-    return vocabulary, Pieces(lambda pieces: [b"".join(map(word, vocabulary.pattern.findall(x))) for x in pieces])
+    def each(texts: list[str]) -> list[bytes]:
+        return [b"".join(map(word, vocabulary.pattern.findall(x))) for x in texts]
+
+    return vocabulary, Pieces(each, each)
 
 
 def encode(texts: list[str], path: str, pattern: str) -> list[np.ndarray]:

@@ -1,10 +1,10 @@
 """Encode many texts through a bounded store of the pieces they share.
 
-A single space between two characters that are no white space always starts a new
-match of the tokenizers' splitting pattern, so a text may be cut before each such
-space, its pieces encoded apart and their ids joined. Texts with other runs of white
-space are encoded whole. The store only saves time: what it returns is what the
-encoder returned.
+A single space or line break between two characters that are no white space always
+starts a new match of the tokenizers' splitting pattern, so a text may be cut before
+each, its pieces encoded apart and their ids joined. Texts with other runs of spaces
+are encoded whole. The store only saves time: what it returns is what the encoder
+returned.
 """
 
 from __future__ import annotations
@@ -13,49 +13,47 @@ from collections.abc import Callable
 from itertools import chain
 
 #: Pieces that a worker remembers; beyond it the store starts anew. Longer pieces are not remembered.
-KNOWN_PIECES, LONG_PIECE = 400_000, 48
+KNOWN_PIECES, LONG_PIECE = 500_000, 48
 
 
 def _cuttable(piece: str) -> bool:
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+    body = piece[1:] if piece[:1] == "\n" else piece
+    return bool(body) and not body[0].isspace() and not body[-1].isspace()
 
 
 class Pieces:
-    """``encode`` maps a list of strings to the bytes of their ids, in any fixed width."""
+    """``encode`` maps strings, each starting with its space or line break, to the bytes of their ids in a fixed width."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
-        self._encode = encode
-        self._after_space: dict[str, bytes | None] = {}
-        self._at_start: dict[str, bytes | None] = {}
-
-    def _learn(self, known: dict[str, bytes | None], pieces: set[str], lead: str) -> list[str]:
-        fresh = [x for x in pieces if _cuttable(x)]
-        known.update(dict.fromkeys(pieces))
-        known.update(zip(fresh, self._encode([lead + x for x in fresh]), strict=True))
-        return [x for x in pieces if len(x) > LONG_PIECE]
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], encode_whole: Callable[[list[str]], list[bytes]]) -> None:
+        self._encode, self._encode_whole = encode, encode_whole
+        self._known: dict[str, bytes | None] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self._after_space) + len(self._at_start) > KNOWN_PIECES:
-            self._after_space.clear()
-            self._at_start.clear()
-        cut = [x.split(" ") for x in texts]
+        known = self._known
+        if len(known) > KNOWN_PIECES:
+            known.clear()
+        # a line break is a cut and stays with what follows it; the first piece has no such start
+        cut = [x.replace("\n", " \n").split(" ") for x in texts]
         heads = [x.pop(0) for x in cut]
-        long_heads = self._learn(self._at_start, set(heads).difference(self._at_start), "")
-        long_rest = self._learn(self._after_space, set(chain.from_iterable(cut)).difference(self._after_space), " ")
-        out, whole = [], []
-        for text, head, rest in zip(texts, heads, cut, strict=True):
-            ids = [self._at_start[head], *map(self._after_space.__getitem__, rest)]
-            if None in ids:
-                # a head that ends in white space, or an empty one, may still be a whole text
-                whole.append((len(out), text))
-                out.append(b"")
+        new = set(chain.from_iterable(cut)).difference(known)
+        fresh = [x for x in new if _cuttable(x)]
+        known.update(dict.fromkeys(new))
+        known.update(zip(fresh, self._encode([x if x[0] == "\n" else " " + x for x in fresh]), strict=True))
+        out: list[bytes | None] = []
+        first: list[tuple[int, str]] = []
+        for head, rest in zip(heads, cut, strict=True):
+            ids = list(map(known.__getitem__, rest))
+            if None in ids or (rest and not _cuttable(head)):
+                out.append(None)
             else:
+                first.append((len(out), head))
                 out.append(b"".join(ids))
-        if whole:
-            for (i, _), ids in zip(whole, self._encode([x for _, x in whole]), strict=True):
-                out[i] = ids
-        for x in long_heads:
-            del self._at_start[x]
-        for x in long_rest:
-            del self._after_space[x]
+        for (i, _), ids in zip(first, self._encode_whole([x for _, x in first]), strict=True):
+            out[i] = ids + out[i]
+        whole = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(whole, self._encode_whole([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        for x in new:
+            if len(x) > LONG_PIECE:
+                del known[x]
         return out

@@ -24,10 +24,21 @@ def _worker(path: str) -> Pieces:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def encode(texts: list[str]) -> list[bytes]:
+    starts = np.array([tokenizer.id_to_token(i)[:1] in ("Ġ", "Ċ") for i in range(tokenizer.get_vocab_size())])
+
+    def whole(texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Pieces(encode)
+    def pieces(texts: list[str]) -> list[bytes]:
+        # as one text: only the first token of a piece begins with its space or line break
+        ids = np.frombuffer(b"".join(whole(["".join(texts)])), "<u4")
+        bounds = np.flatnonzero(starts[ids]).tolist()
+        if not bounds or len(bounds) != len(texts):
+            return whole(texts)
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(bounds, [*bounds[1:], len(ids)], strict=True)]
+
+    return Pieces(pieces, whole)
 
 
 def token_ids(texts: list[str], path: str) -> list[bytes]:
