@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import mix, ship, slices, stored, texts, texts_of_batch, word_hashes
 from orderloom.llm.components import components
 
-#: Bits of the filter that holds the shared signatures. It is of this size for any input; fuller filters let more through.
-FILTER_BITS = 1 << 25
+#: Bits per shared signature in the filter that selects sets worth keeping, and its bits at most (64 MiB).
+#: Beyond that size it lets more through; what it lets through is joined exactly.
+BITS_EACH, FILTER_BITS = 32, 1 << 29
+PIECE_BITS = 1 << 19
 #: Signature contents that are put last because many sets have them: at most so many are broadcast, the most frequent first.
 FREQUENT = 100_000
 #: Different sets of a batch that must have a content for it to be a candidate for these.
@@ -218,21 +220,57 @@ def _describe(percent: int, width: int):
     return _per_batch(work, width, last)
 
 
-def _emit(percent: int, frequent, rank):
+def _emit(percent: int, frequent, rank, width: int):
+    seen: set[int] = set()  # of copies in a batch one emits
+
     def work(batch, hashes, bounds):
         ids = _set_ids(hashes, bounds)
-        one = np.zeros(len(ids), bool)
-        one[np.unique(ids, return_index=True)[1]] = True
+        one = _different(ids, seen)
         for of, signature, need in signatures(hashes, bounds, percent):
             keep = emitted(of, signature, need, frequent, rank) & one[of]
             yield pa.RecordBatch.from_arrays([_long(signature[keep]), _long(ids[of[keep]])], ["signature", "set_id"])
 
-    return work
+    def last():
+        seen.clear()
+        return ()
+
+    return _per_batch(work, width, last)
+
+
+def _places(signature: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Three places of each signature in a filter of a power of two bits."""
+    last = np.uint64(bits - 1)
+    return [(x & last).astype(np.int64) for x in (signature, signature >> np.uint64(32), mix(signature + _ODD[2]))]
+
 
+def _filter(shared: DataFrame) -> np.ndarray:
+    """Filter of the signatures in ``shared``, as bytes; its pieces are filled apart."""
+    wanted, bits = shared.count() * BITS_EACH, PIECE_BITS
+    while bits < min(wanted, FILTER_BITS):
+        bits *= 2
 
-def _bits(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of a signature in the filter."""
-    return (signature % np.uint64(FILTER_BITS)).astype(np.int64), ((signature >> np.uint64(32)) % np.uint64(FILTER_BITS)).astype(np.int64)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.concatenate(_places(batch.column(0).to_numpy().view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(places // PIECE_BITS), pa.array((places % PIECE_BITS).astype(np.int32))], ["piece", "bit"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            pieces, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for piece in np.unique(pieces).tolist():
+                filled = np.zeros(PIECE_BITS, bool)
+                filled[bit[pieces == piece]] = True
+                packed = np.packbits(filled, bitorder="little")
+                found[piece] = found[piece] | packed if piece in found else packed
+        for piece, packed in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int64()), pa.array([packed.tobytes()], pa.binary())], ["piece", "bits"])
+
+    placed = shared.select("signature").mapInArrow(split, "piece long, bit int").repartition(F.col("piece"))
+    whole = np.zeros((bits // PIECE_BITS, PIECE_BITS // 8), np.uint8)
+    for row in placed.mapInArrow(fill, "piece long, bits binary").toLocalIterator():  # FILTER_BITS / 8 bytes in all, at most
+        whole[row["piece"]] |= np.frombuffer(row["bits"], np.uint8)
+    return whole.reshape(-1)
 
 
 def _sketch(hashes: np.ndarray) -> bytes:
@@ -265,27 +303,27 @@ def _screen(percent: int):
     return run
 
 
-def _screened(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _screened(pairs: DataFrame, briefs: DataFrame, percent: int) -> DataFrame:
     """(a, b, size_a, size_b, least, close): ``least`` is a lower bound of the Jaccard distance."""
-    a = sets.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("x"))
-    b = sets.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("y"))
+    a = briefs.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("x"))
+    b = briefs.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "size_a", "size_b", "x", "y")
     return both.mapInArrow(_screen(percent), "a long, b long, size_a long, size_b long, least double, close boolean")
 
 
 def _gather(percent: int, frequent, rank, filled):
     def work(batch, hashes, bounds):
-        ids = _set_ids(hashes, bounds)
-        one = np.zeros(len(ids), bool)
-        one[np.unique(ids, return_index=True)[1]] = True
+        ids, known = _set_ids(hashes, bounds), filled.value
+        one = _different(ids, set())
         ofs, found = [], []
-        known = filled.value
         for of, signature, need in signatures(hashes, bounds, percent):
             keep = np.flatnonzero(emitted(of, signature, need, frequent, rank) & one[of])
-            a, b = _bits(signature[keep])
-            hit = ((known[a >> 3] >> (a & 7).astype(np.uint8)) & (known[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
-            ofs.append(of[keep[hit]])
-            found.append(signature[keep[hit]])
+            hit = np.ones(len(keep), np.uint8)
+            for at in _places(signature[keep], 8 * len(known)):
+                hit &= known[at >> 3] >> (at & 7).astype(np.uint8)
+            keep = keep[hit == 1]
+            ofs.append(of[keep])
+            found.append(signature[keep])
         if not ofs:
             return
         of, signature = np.concatenate(ofs), np.concatenate(found)
@@ -304,24 +342,6 @@ def _gather(percent: int, frequent, rank, filled):
     return work
 
 
-def _fill_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One filter for each task's signatures, as pieces of 64 KiB that have any bit."""
-    filled = np.zeros(FILTER_BITS, bool)
-    for batch in batches:
-        for places in _bits(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
-            filled[places] = True
-    packed = np.packbits(filled, bitorder="little").reshape(-1, 1 << 13)
-    for k in np.flatnonzero(packed.any(axis=1)):
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([packed[k].tobytes()], pa.binary())], ["piece", "bits"])
-
-
-def _or_pieces(table: pa.Table) -> pa.Table:
-    whole = np.zeros(1 << 13, np.uint8)
-    for bits in table.column("bits"):
-        whole |= np.frombuffer(bits.as_buffer(), np.uint8)
-    return pa.table({"piece": table.column("piece")[:1], "bits": pa.array([whole.tobytes()], pa.binary())})
-
-
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sizes of intersections of the pairs' sets."""
     for batch in batches:
@@ -338,6 +358,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, shared, size_a, size_b) of pairs of set ids."""
+    pairs = stored(pairs, "pairs")
+    needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    sets = sets.join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.first("hashes").alias("hashes"))
     with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x")), "a")
     with_both = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y")), "b")
     return with_both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long, shared long, size_a long, size_b long")
@@ -364,23 +387,21 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     frequent, rank = frequent[order], (len(order) - order).astype(np.int64)
 
     described = described.where("n_shingles is not null")
-    emission = rows.mapInArrow(_per_batch(_emit(percent, frequent, rank), width), "signature long, set_id long")
+    emission = rows.mapInArrow(_emit(percent, frequent, rank, width), "signature long, set_id long")
     shared = stored(
         emission.groupBy("signature").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("top")).where("hub < top").select("signature", "hub"), "shared"
     )
-    pieces = shared.select("signature").mapInArrow(_fill_filter, "piece long, bits binary").groupBy("piece").applyInArrow(_or_pieces, "piece long, bits binary")
-    whole = np.zeros((FILTER_BITS >> 16, 1 << 13), np.uint8)
-    for piece in pieces.toLocalIterator():  # at most FILTER_BITS / 8 bytes in all
-        whole[piece["piece"]] = np.frombuffer(piece["bits"], np.uint8)
-    filled = spark.sparkContext.broadcast(whole.reshape(-1))
+    filled = spark.sparkContext.broadcast(_filter(shared))
     gathered = rows.mapInArrow(_per_batch(_gather(percent, frequent, rank, filled), width), "set_id long, size long, signatures array<long>, sketch binary, hashes binary")
     gathered = stored(gathered, "gathered")
-    sets = gathered.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "hashes")])
-    members = gathered.select("set_id", F.explode("signatures").alias("signature")).distinct().join(shared, "signature")
+    sets = gathered.select("set_id", "hashes")
+    members = stored(gathered.select("set_id", F.explode("signatures").alias("signature")).distinct().join(shared, "signature"), "members")
+    briefs = gathered.select("set_id", "size", "sketch").join(members.select("set_id").distinct(), "set_id", "left_semi")
+    briefs = stored(briefs.groupBy("set_id").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "briefs")
 
     linked = f"100 * shared >= {percent} * (size_a + size_b - shared)"
     stars = members.where("set_id <> hub").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
-    stars = stored(_screened(stars, sets, percent), "stars")
+    stars = stored(_screened(stars, briefs, percent), "stars")
     known = stored(_verified(stars.where("close").select("a", "b"), sets), "known")
     labels = components(known.where(linked).select("a", "b"))
 
@@ -403,7 +424,7 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
         .distinct()
     )
-    more = _screened(rest, sets, percent).where("close").select("a", "b")
+    more = _screened(rest, briefs, percent).where("close").select("a", "b")
     more = stored(_verified(more, sets).where(linked).select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(known.where(linked).select("a", "b").union(more))
