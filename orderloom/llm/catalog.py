@@ -12,6 +12,7 @@ from orderloom.llm import bpe, hidden_markov, toxicity
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 from orderloom.llm.packing import packed
+from orderloom.llm.vector_search import search
 
 #: Score from which a document counts as toxic.
 TOXIC = 0.7
@@ -38,6 +39,11 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprinted(_table(spark, folder, "documents"))
 
 
+def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth embedding."""
+    return search(_table(spark, folder, "embeddings"), "vec_id % 50 = 0")
+
+
 def op6_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Hidden Markov scores of all documents, learnt from nine tenths of the ids."""
     return hidden_markov.scored(_table(spark, folder, "documents"))
@@ -72,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_vector_search": op4_vector_search,
     "op6_hmm_scores": op6_hmm_scores,
     "op8_toxicity": op8_toxicity,
     "op10_prefix_bpe": op10_prefix_bpe,
