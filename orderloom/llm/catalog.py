@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, hidden_markov, toxicity
+from orderloom.llm import bpe, hidden_markov, html_text, toxicity
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 from orderloom.llm.packing import packed
@@ -63,6 +63,13 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = _table(spark, folder, "pages")
+    found = html_text.extracted(pages, html_text.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents by the prefix table, and the bytes they decode to, as digests."""
     found = bpe.coded(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -81,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op4_vector_search": op4_vector_search,
     "op6_hmm_scores": op6_hmm_scores,
     "op8_toxicity": op8_toxicity,
+    "op9_html_extraction": op9_html_extraction,
     "op10_prefix_bpe": op10_prefix_bpe,
 }
 
