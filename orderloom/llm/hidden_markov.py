@@ -34,8 +34,8 @@ CLASSES = 512
 #: Most frequent words with a symbol of their own, and those whose counts are known to every task; fixed sizes.
 SYMBOLS, FREQUENT = 4_095, 1 << 18
 STATES, ROUNDS, WINDOW = 8, 4, 128
-#: Tokens whose state probabilities are held at a time.
-CHUNK = 1 << 18
+#: Texts scored at a time, and tokens whose state probabilities are held at a time.
+ROWS, CHUNK = 4_096, 1 << 18
 #: Weight of the symbols' overall shares in every state's emissions.
 SMOOTHING = 20.0
 _SLOTS = np.uint64((1 << 20) - 1)
@@ -106,7 +106,12 @@ def learn_vocabulary(training: DataFrame) -> tuple[Vocabulary, DataFrame]:
     """Counts of all words of ``training`` (text): what tasks know, and the stored table (word, n) of all of them."""
     counted = training.select("text").mapInArrow(_count, "word long, n long")
     counts = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas()
+    # counts in steps of a twelfth of an octave tell how far down FREQUENT words reach
+    step = F.floor(12 * F.log2("n")).alias("step")
+    steps = counts.groupBy(step).count().orderBy(F.desc("step")).toPandas()
+    enough = steps["step"][steps["count"].cumsum() <= FREQUENT]
+    top = counts.where(step >= (int(enough.min()) if len(enough) else 1 << 30)).toPandas()  # FREQUENT rows at most
+    top = top.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     by_class = counts.groupBy(F.expr(f"word & {CLASSES - 1}").alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toPandas()
     n_texts = training.count()
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
@@ -258,7 +263,7 @@ def _score(vocabulary, chain):
         of_class = known.symbol[later] - SYMBOLS
         shares[later] = np.log10((known.counts[later] + 0.1) / (known.class_tokens[of_class] + 0.1 * (known.class_words[of_class] + 1)))
         end = float(known.base(np.array([float(known.texts)]))[0])
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             ids, held = batch.column(1).cast(pa.int64()), batch.column(2)
             rows = batch.column(0).to_numpy()
             parts, texts_at = [], []

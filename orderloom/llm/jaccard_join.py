@@ -381,7 +381,10 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     rows = texts(docs, key, text)
     described = stored(rows.mapInArrow(_describe(percent, width), "doc_id long, n_shingles long, set_id long, signature long, times long"), "sets")
     counted = described.where("times is not null").groupBy("signature").agg(F.sum("times").alias("times"))
-    top = counted.orderBy(F.desc("times"), "signature").limit(FREQUENT).toPandas()
+    steps = counted.groupBy(F.floor(4 * F.log2("times")).alias("step")).count().orderBy(F.desc("step")).toPandas()
+    enough = steps["step"][steps["count"].cumsum() <= FREQUENT]
+    top = counted.where(F.floor(4 * F.log2("times")) >= (int(enough.min()) if len(enough) else 1 << 30)).toPandas()  # FREQUENT rows at most
+    top = top.sort_values(["times", "signature"], ascending=[False, True], ignore_index=True)
     frequent = top["signature"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     frequent, rank = frequent[order], (len(order) - order).astype(np.int64)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import common
-from orderloom.llm.common import mix, ship, slices, texts, texts_of_batch
+from orderloom.llm.common import mix, sampled, ship, slices, texts, texts_of_batch
 
 #: Labelled rows that are used to fit, at most.
 TRAINING_ROWS = 10_000
@@ -184,8 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, ridge: fl
     """Fit on at most ``rows`` of the labelled rows of ``labels`` (doc_id, toxic)."""
     ship(docs.sparkSession)
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
-    marked = marked.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    chosen = marked.toPandas()  # at most ``rows`` pairs of numbers
+    marked = marked.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    chosen = sampled(marked, "doc_id", rows).toPandas()  # at most ``rows`` pairs of numbers
     n, bad = len(chosen), int(chosen["toxic"].sum())
     if bad in (0, n):
         return Model(float(np.log((bad + 1) / (n - bad + 1))))

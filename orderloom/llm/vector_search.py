@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ship, stored
+from orderloom.llm.common import sampled, ship, stored
 
 #: Rows that the rotation is fitted on, at most; a hash of the id selects them.
 SAMPLE = 10_000
@@ -130,7 +130,7 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
         return spark.createDataFrame([], schema)
     dims, total = int(usual["n"]), int(usual["count"])
     kept = kept.where(F.size("vector") == dims)
-    sample = kept.orderBy(F.xxhash64("vec_id"), "row").limit(SAMPLE).select("vector").toArrow()
+    sample = sampled(kept, "row", SAMPLE).select("vector").toArrow()
     unit = _matrix(sample)
     unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
     turn = rotation(unit, max(8, min(64, dims // 8 * 8)))
