@@ -31,6 +31,8 @@ from orderloom.llm.common import ship, stored
 LENGTH = 1024
 #: Pivots of the linear program, at most; it also ends within this share of the lower bound.
 PIVOTS, GAP = 3_000, 1e-3
+#: Step of lengths in the linear program; rounding up costs an item less than one step.
+GRAIN = 2
 #: Patterns that one knapsack adds, and that are kept of the earlier ones.
 PER_ROUND, POOL = 40, 2_000
 
@@ -110,10 +112,8 @@ def _price(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.n
     return columns, amounts
 
 
-def patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = LENGTH) -> list[tuple[np.ndarray, int]]:
-    """Patterns (counts per length) and how often each is used; together they hold every item exactly once."""
-    if len(lengths) == 0:
-        return []
+def _rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """The linear program's patterns a whole number of times, and first fit for what is left."""
     columns, amounts = _price(lengths, demand, capacity)
     left, out = demand.astype(np.int64).copy(), []
     for k in np.argsort(-amounts, kind="stable"):
@@ -126,6 +126,39 @@ def patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = LENGTH) ->
     return out + _first_fit(lengths, left, capacity)
 
 
+def patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = LENGTH, grain: int = GRAIN) -> list[tuple[np.ndarray, int]]:
+    """Patterns (counts per length) and how often each is used; together they hold every item exactly once.
+
+    The linear program counts lengths in steps of ``grain``, rounded up; then each
+    pattern takes the step's real lengths in turn, the longest first.
+    """
+    if len(lengths) == 0:
+        return []
+    steps, of = np.unique(-(-lengths // grain), return_inverse=True)
+    members = [np.flatnonzero(of == k)[::-1].tolist() for k in range(len(steps))]
+    left = demand.astype(np.int64).copy()
+    out = []
+    for column, times in _rounded(steps, np.bincount(of, demand).astype(np.int64), capacity // grain):
+        wanted = [(k, int(column[k])) for k in np.flatnonzero(column)]
+        while times > 0:
+            exact, together = np.zeros(len(lengths), np.int64), times
+            for k, each in wanted:
+                while members[k] and left[members[k][0]] == 0:
+                    members[k].pop(0)
+                if left[members[k][0]] >= each:
+                    exact[members[k][0]] = each
+                    together = min(together, int(left[members[k][0]]) // each)
+                else:  # the last of a length go with the next length
+                    together = 1
+                    for i in members[k]:
+                        exact[i] = min(each, left[i])
+                        each -= int(exact[i])
+            out.append((exact, together))
+            left -= together * exact
+            times -= together
+    return out
+
+
 def _strand_sums(rows: DataFrame, keys: list[str], amount: str, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``amount`` over the rows before, within ``keys``; each key is worked in strands."""
     spark = rows.sparkSession
