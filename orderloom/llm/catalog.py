@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, hidden_markov, html_text, toxicity
+from orderloom.llm import bpe, hidden_markov, html_text, secret_scan, toxicity
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 from orderloom.llm.packing import packed
@@ -49,6 +49,12 @@ def op6_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return hidden_markov.scored(_table(spark, folder, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents, with their places."""
+    docs = _table(spark, folder, "documents")
+    return secret_scan.findings(docs, secret_scan.fit(docs))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learnt from two of three folds of the labelled ids."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_vector_search": op4_vector_search,
     "op6_hmm_scores": op6_hmm_scores,
+    "op7_secret_scan": op7_secret_scan,
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
     "op10_prefix_bpe": op10_prefix_bpe,
