@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from orderloom.sources.tables import shared_folder
 
 #: Bytes of text that are hashed at a time; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -39,6 +40,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """Bounds the batches that tasks hand to Python, for jobs that run inside."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, n_bytes)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id long, text string) of any table with these columns; null texts are empty, other columns go."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

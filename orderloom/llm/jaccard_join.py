@@ -36,13 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import mix, ship, slices, stored, texts, texts_of_batch, word_hashes
+from orderloom.llm.common import arrow_batches, mix, ship, slices, stored, texts, texts_of_batch, word_hashes
 from orderloom.llm.components import components
 
 #: Bits per shared signature in the filter that selects sets worth keeping, and its bits at most (64 MiB).
 #: Beyond that size it lets more through; what it lets through is joined exactly.
 BITS_EACH, FILTER_BITS = 32, 1 << 29
 PIECE_BITS = 1 << 19
+#: Bytes of a batch of texts or pairs of sets that a worker holds.
+BATCH_BYTES = 16 << 20
 #: Signature contents that are put last because many sets have them: at most so many are broadcast, the most frequent first.
 FREQUENT = 100_000
 #: Different sets of a batch that must have a content for it to be a candidate for these.
@@ -376,9 +378,13 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
     """
     if not 70 <= percent <= 100:
         raise ValueError("percent must be from 70 to 100")
-    spark = docs.sparkSession
-    ship(spark)
-    rows = texts(docs, key, text)
+    ship(docs.sparkSession)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _classes(texts(docs, key, text), width, percent)
+
+
+def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    spark = rows.sparkSession
     described = stored(rows.mapInArrow(_describe(percent, width), "doc_id long, n_shingles long, set_id long, signature long, times long"), "sets")
     counted = described.where("times is not null").groupBy("signature").agg(F.sum("times").alias("times"))
     steps = counted.groupBy(F.floor(4 * F.log2("times")).alias("step")).count().orderBy(F.desc("step")).toPandas()
