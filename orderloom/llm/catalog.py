@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, hidden_markov, html_text, secret_scan, toxicity
+from orderloom.llm import bpe, hidden_markov, html_text, id_files, secret_scan, toxicity
+from orderloom.llm.common import new_path
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
 from orderloom.llm.packing import packed
@@ -44,6 +45,13 @@ def op4_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return search(_table(spark, folder, "embeddings"), "vec_id % 50 = 0")
 
 
+def op5_token_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents, written to compressed files and read back."""
+    path = new_path(spark, "token-ids")
+    id_files.write_ids(_table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return id_files.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Hidden Markov scores of all documents, learnt from nine tenths of the ids."""
     return hidden_markov.scored(_table(spark, folder, "documents"))
@@ -92,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_vector_search": op4_vector_search,
+    "op5_token_id_files": op5_token_id_files,
     "op6_hmm_scores": op6_hmm_scores,
     "op7_secret_scan": op7_secret_scan,
     "op8_toxicity": op8_toxicity,

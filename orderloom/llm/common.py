@@ -33,9 +33,14 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/llm/{name}-{uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
