@@ -29,7 +29,7 @@ from orderloom.llm import token_ids
 from orderloom.llm.common import ship, stored
 
 LENGTH = 1024
-#: Pivots of the linear program, at most; it also ends within this share of the lower bound.
+#: Pivots of the linear program, at most; it also ends within this share of the lower bound, or one sequence.
 PIVOTS, GAP = 3_000, 1e-3
 #: Step of lengths in the linear program; rounding up costs an item less than one step.
 GRAIN = 2
@@ -87,7 +87,7 @@ def _price(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.n
     bound = float(lengths @ demand) / capacity
     pool = np.array([x for x, _ in _first_fit(lengths, demand, capacity)], float).T
     for _ in range(PIVOTS):
-        if amounts.sum() <= bound * (1 + GAP):
+        if amounts.sum() <= bound + max(1.0, bound * GAP):
             break
         prices = inverse.sum(axis=0)
         values = prices @ pool

@@ -208,9 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, ridge: fl
     return Model(offset, features, weights)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``toxic_score`` (0 to 1); a column of that name is replaced."""
-    ship(docs.sparkSession)
+def scorer(model: Model):
+    """A function of a text column that gives the score, 0 to 1; null texts count as empty."""
 
     @F.pandas_udf("double")
     def scored(series):
@@ -220,4 +219,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             out[first : first + len(offsets) - 1] += np.bincount(of, model.weights[place], len(offsets) - 1)
         return type(series)(1 / (1 + np.exp(-np.clip(out, -30, 30))))
 
-    return docs.withColumn("toxic_score", scored(F.col("text").cast("string")))
+    return scored
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with a column ``toxic_score`` (0 to 1); a column of that name is replaced."""
+    ship(docs.sparkSession)
+    return docs.withColumn("toxic_score", scorer(model)(F.col("text").cast("string")))
