@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import ship, texts_of_batch
 from orderloom.llm.pieces import LONG_PIECE, Pieces
 
-#: Rows that a worker encodes at a time, and pairs of tokens whose verdict it remembers.
-ROWS, KNOWN_PAIRS = 256, 1 << 20
+#: Rows that a worker encodes at a time; matches of the pattern and pairs of tokens that it remembers.
+ROWS, KNOWN_WORDS, KNOWN_PAIRS = 256, 1_000_000, 1 << 20
 
 
 class Vocabulary:
@@ -40,10 +40,21 @@ class Vocabulary:
         self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._alone: dict[int, bool] = {}
+        #: verdicts by left * 2**32 + right; left is one less than 0 for a token that stands alone
+        self.pairs: dict[int, bool] = {}
+        # tokens spelt from their end: (node * 256 + byte) -> node, and the token that ends at a node
+        self.ending: dict[int, int] = {}
+        self.token_at: list[int] = [-1]
+        for token, rank in self.ranks.items():
+            node = 0
+            for byte in reversed(token):
+                after = self.ending.get(node << 8 | byte)
+                if after is None:
+                    after = self.ending[node << 8 | byte] = len(self.token_at)
+                    self.token_at.append(-1)
+                node = after
+            self.token_at[node] = rank
 
     def _merged(self, data: bytes) -> list[int]:
         """Ids of a few bytes by merging the lowest rank first."""
@@ -57,16 +68,13 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[x] for x in parts]
 
-    def reachable(self, token: int) -> bool:
-        if (known := self._alone.get(token)) is None:
-            known = self._alone[token] = self._merged(self.bytes_of[token]) == [token]
-        return known
-
     def neighbours(self, left: int, right: int) -> bool:
-        if (known := self._pairs.get((left, right))) is None:
-            if len(self._pairs) >= KNOWN_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self._merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        """Whether the merges keep the two tokens apart and whole; ``left`` is -1 at the start of a piece."""
+        if len(self.pairs) >= KNOWN_PAIRS:
+            self.pairs.clear()
+        alone = left < 0
+        known = self._merged(self.bytes_of[right] if alone else self.bytes_of[left] + self.bytes_of[right]) == ([right] if alone else [left, right])
+        self.pairs[left << 32 | right] = known
         return known
 
 
@@ -80,16 +88,26 @@ class Encoding:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        begin, of, ranks, last = len(self.data), self._of, self._of.ranks, self.last
+        begin, of, last = len(self.data), self._of, self.last
+        ending, token_at, pairs = of.ending, of.token_at, of.pairs
         self.data = data = self.data + more
-        for end in range(begin + 1, len(data) + 1):
-            for start in range(max(0, end - of.longest), end):
-                token = ranks.get(data[start:end])
-                if token is not None and (of.neighbours(last[start - 1], token) if start else of.reachable(token)):
-                    last.append(token)
-                    break
+        for end in range(begin, len(data)):
+            node, start = 0, end
+            # tokens that end here, from the shortest on; one of them has the right neighbour
+            while start >= 0:
+                node = ending.get(node << 8 | data[start])
+                if node is None:
+                    raise ValueError(f"no token ends at byte {end + 1}; the vocabulary lacks a single byte")
+                token = token_at[node]
+                if token >= 0:
+                    left = last[start - 1] if start else -1
+                    known = pairs.get(left << 32 | token)
+                    if known or (known is None and of.neighbours(left, token)):
+                        last.append(token)
+                        break
+                start -= 1
             else:
-                raise ValueError(f"no token ends at byte {end}; the vocabulary lacks a single byte")
+                raise ValueError(f"no token ends at byte {end + 1}; the vocabulary lacks a single byte")
 
     def replace(self, start: int, stop: int, new: bytes) -> None:
         """Puts ``new`` in place of the bytes from ``start`` to ``stop``; prefixes up to ``start`` are kept."""
@@ -117,7 +135,7 @@ def _worker(path: str, pattern: str) -> tuple[Vocabulary, Pieces]:
         if (known := words.get(text)) is None:
             known = np.array(Encoding(vocabulary, text.encode()).ids(), "<u4").tobytes()
             if len(text) <= LONG_PIECE:
-                if len(words) >= 200_000:
+                if len(words) >= KNOWN_WORDS:
                     words.clear()
                 words[text] = known
         return known

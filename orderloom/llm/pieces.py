@@ -13,7 +13,7 @@ from collections.abc import Callable
 from itertools import chain
 
 #: Pieces that a worker remembers; beyond it the store starts anew. Longer pieces are not remembered.
-KNOWN_PIECES, LONG_PIECE = 500_000, 48
+KNOWN_PIECES, LONG_PIECE = 800_000, 48
 
 
 def _cuttable(piece: str) -> bool:
