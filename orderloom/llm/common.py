@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orderloom.sources.tables import shared_folder
 
 #: Bytes of text that are hashed at a time; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -44,11 +44,11 @@ from orderloom.llm.components import components
 BITS_EACH, FILTER_BITS = 32, 1 << 29
 PIECE_BITS = 1 << 19
 #: Bytes of a batch of texts or pairs of sets that a worker holds.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Signature contents that are put last because many sets have them: at most so many are broadcast, the most frequent first.
 FREQUENT = 100_000
-#: Different sets of a batch that must have a content for it to be a candidate for these.
-FREQUENT_IN_BATCH = 3
+#: Different sets that are counted together in a task, and how many must have a content for it to be a candidate for these.
+COUNTED_TOGETHER, FREQUENT_AMONG_THEM = 5_000, 3
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -174,7 +174,7 @@ _EMPTY = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def _per_batch(work, width: int, last=None):
-    """A function for mapInArrow that hands ``work`` the sets of each run of texts, and calls ``last`` after each batch."""
+    """A function for mapInArrow that hands ``work`` the sets of each run of texts, and calls ``last`` after each batch and at the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +182,9 @@ def _per_batch(work, width: int, last=None):
                 hashes, bounds = shingle_sets(data, offsets, width)
                 yield from work(batch.slice(first, len(offsets) - 1), hashes, bounds)
             if last is not None:
-                yield from last()
+                yield from last(False)
+        if last is not None:
+            yield from last(True)
 
     return run
 
@@ -198,7 +200,7 @@ def _different(ids: np.ndarray, seen: set[int]) -> np.ndarray:
 
 
 def _describe(percent: int, width: int):
-    """Rows (doc_id, size, set id), and per batch the contents (signature, times) that several different sets have."""
+    """Rows (doc_id, size, set id), and the contents (signature, times) that several different sets have."""
     names = ["doc_id", "n_shingles", "set_id", "signature", "times"]
     found: list[np.ndarray] = []
     seen: set[int] = set()
@@ -210,10 +212,10 @@ def _describe(percent: int, width: int):
         one = _different(ids, seen)
         found.extend(signature[one[of]] for of, signature, _ in signatures(hashes, bounds, percent))
 
-    def last():
-        if found:
+    def last(end: bool):
+        if found and (end or len(seen) >= COUNTED_TOGETHER):
             signature, times = np.unique(np.concatenate(found), return_counts=True)
-            signature, times = signature[times >= FREQUENT_IN_BATCH], times[times >= FREQUENT_IN_BATCH]
+            signature, times = signature[times >= FREQUENT_AMONG_THEM], times[times >= FREQUENT_AMONG_THEM]
             found.clear()
             seen.clear()
             empty = pa.nulls(len(signature), pa.int64())
@@ -232,8 +234,9 @@ def _emit(percent: int, frequent, rank, width: int):
             keep = emitted(of, signature, need, frequent, rank) & one[of]
             yield pa.RecordBatch.from_arrays([_long(signature[keep]), _long(ids[of[keep]])], ["signature", "set_id"])
 
-    def last():
-        seen.clear()
+    def last(end: bool):
+        if end or len(seen) >= COUNTED_TOGETHER:
+            seen.clear()
         return ()
 
     return _per_batch(work, width, last)

@@ -112,7 +112,7 @@ def nearest(index: Index, data: np.ndarray, data_rows: np.ndarray, data_ids: np.
 
 def _matrix(table: pa.Table) -> np.ndarray:
     flat = table.column("vector").combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1) if len(flat) else np.zeros((0, 1))
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
 def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vector: str = "embedding", reach: float = REACH) -> DataFrame:
@@ -151,9 +151,9 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
     asked = queries.select(every(data_blocks).alias("d"), of(query_blocks).alias("q"), "vec_id", "row", "vector")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        ours, theirs = _matrix(left), _matrix(right)
         out: list[tuple] = []
-        if len(ours) and len(theirs):
+        if left.num_rows and right.num_rows:
+            ours, theirs = _matrix(left), _matrix(right)
             index = Index(codes(ours / np.sqrt((ours * ours).sum(axis=1))[:, None], turn), radius)
             asking = codes(theirs / np.sqrt((theirs * theirs).sum(axis=1))[:, None], turn)
             ids, numbers = left.column("vec_id").to_numpy(), left.column("row").to_numpy()
