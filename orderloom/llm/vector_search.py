@@ -110,8 +110,8 @@ def nearest(index: Index, data: np.ndarray, data_rows: np.ndarray, data_ids: np.
     return data_ids[near][best], score[best]
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    flat = table.column("vector").combine_chunks()
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    flat = vectors.combine_chunks()
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
@@ -131,7 +131,7 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
     dims, total = int(usual["n"]), int(usual["count"])
     kept = kept.where(F.size("vector") == dims)
     sample = sampled(kept, "row", SAMPLE).select("vector").toArrow()
-    unit = _matrix(sample)
+    unit = _matrix(sample.column("vector"))
     unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
     turn = rotation(unit, max(8, min(64, dims // 8 * 8)))
     known = codes(unit, turn)
@@ -148,21 +148,22 @@ def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vect
     of = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     data = kept.select(of(data_blocks).alias("d"), every(query_blocks).alias("q"), "vec_id", "row", "vector")
-    asked = queries.select(every(data_blocks).alias("d"), of(query_blocks).alias("q"), "vec_id", "row", "vector")
+    # names of their own: both sides come from one table
+    asked = queries.select(every(data_blocks).alias("to"), of(query_blocks).alias("by"), F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), F.col("vector").alias("query"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if left.num_rows and right.num_rows:
-            ours, theirs = _matrix(left), _matrix(right)
+            ours, theirs = _matrix(left.column("vector")), _matrix(right.column("query"))
             index = Index(codes(ours / np.sqrt((ours * ours).sum(axis=1))[:, None], turn), radius)
             asking = codes(theirs / np.sqrt((theirs * theirs).sum(axis=1))[:, None], turn)
             ids, numbers = left.column("vec_id").to_numpy(), left.column("row").to_numpy()
-            for query, row, code, vec in zip(right.column("vec_id").to_pylist(), right.column("row").to_pylist(), asking, theirs, strict=True):
+            for query, row, code, vec in zip(right.column("query_id").to_pylist(), right.column("query_row").to_pylist(), asking, theirs, strict=True):
                 out.extend((query, row, i, s) for i, s in zip(*nearest(index, ours, numbers, ids, code, vec, row, k), strict=True))
         columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "query_row", "vec_id", "score"])
 
-    found = data.groupBy("d", "q").cogroup(asked.groupBy("d", "q")).applyInArrow(meet, "query_id long, query_row long, vec_id long, score double")
+    found = data.groupBy("d", "q").cogroup(asked.groupBy("to", "by")).applyInArrow(meet, "query_id long, query_row long, vec_id long, score double")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
