@@ -33,7 +33,7 @@ from orderloom.llm.range_coder import BLOCK, checksum, decode_blocks, encode_blo
 from orderloom.llm.token_ids import runs
 
 #: Ids after which a segment ends, with the document it is in, and ids that a reader decodes at a time.
-SEGMENT = 4 << 20
+SEGMENT = 8 << 20
 #: Bytes of ids in a batch that a reader hands on.
 BATCH_BYTES = 16 << 20
 _MAGIC, _VERSION = b"OLID", 1
@@ -152,7 +152,7 @@ def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Runs of rows that hold about SEGMENT ids together."""
     first, held = 0, 0
     for k, n in enumerate(batch.column("n_ids").to_pylist()):
-        if held and held + n > SEGMENT * 3 // 2:
+        if held and held + n > SEGMENT * 5 // 4:
             yield batch.slice(first, k - first)
             first, held = k, 0
         held += n

@@ -6,7 +6,8 @@ candidate, and codes whether it is right. The probability is mixed from three
 estimates, by the record of the order-2 context, by that of the order-1 context, and
 by how often the candidate's group of ids occurs (order 0): logistic mixing with
 weights that each block learns. A wrong candidate is followed by the id itself under
-adaptive order-0 frequencies, first its high byte, then its low byte.
+adaptive order-0 frequencies: a right guess and the 256 high bytes share one step of
+the coder, the low byte takes another.
 
 All arithmetic is on integers, so that every machine decodes alike. The blocks are
 coded side by side: step t codes the t-th id of every block with array operations.
@@ -19,10 +20,11 @@ import zlib
 import numpy as np
 
 #: Ids in a block, ids between two updates of the order-0 frequencies, and ids that the format can hold.
-BLOCK, REFRESH, MOST_IDS = 8_192, 128, 1 << 16
+BLOCK, REFRESH, MOST_IDS = 8_192, 256, 1 << 16
 _TOP, _LEAST = np.uint64(1 << 48), np.uint64(1 << 32)
 _S16, _S48 = np.uint64(16), np.uint64(48)
 _ORDER1, _ORDER2 = 10, 11  # bits of the context tables
+_FIRST, _SECOND = np.uint64(28), np.uint64(16)  # bits of the frequencies in the two steps
 
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 1, 4095).astype(np.int32)
 _STRETCH = np.clip(np.searchsorted(_SQUASH, np.arange(4096)) - 2048, -2047, 2047).astype(np.int32)
@@ -45,6 +47,10 @@ class _Model:
         self.bounds = [np.empty((blocks, 257), np.int32) for _ in range(2)]
         self.refresh(blocks)
 
+    def places_of(self, n: int) -> np.ndarray:
+        """Where each block's frequencies begin."""
+        return self.lane[:n] * 257
+
     def refresh(self, n: int) -> None:
         """Cumulative frequencies to 2**16 from the counts so far; every byte keeps a share."""
         for counts, bounds in zip(self.counts, self.bounds, strict=True):
@@ -101,8 +107,8 @@ class _Writer:
         self.lanes: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
 
-    def put(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        unit = self.range.take(lane) >> _S16
+    def put(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray, bits: np.uint64) -> None:
+        unit = self.range.take(lane) >> bits
         low, span = self.low.take(lane) + start.astype(np.uint64) * unit, size.astype(np.uint64) * unit
         out, at, gone, left = None, lane, low, span
         while True:
@@ -141,9 +147,9 @@ class _Reader:
             self.code = (self.code << _S16) | self.words[self.at]
             self.at += 1
 
-    def value(self, lane: np.ndarray) -> np.ndarray:
-        self.unit = self.range.take(lane) >> _S16
-        return np.minimum((self.code.take(lane) - self.low.take(lane)) // self.unit, np.uint64(65_535)).astype(np.int64)
+    def value(self, lane: np.ndarray, bits: np.uint64) -> np.ndarray:
+        self.unit = self.range.take(lane) >> bits
+        return np.minimum((self.code.take(lane) - self.low.take(lane)) // self.unit, (np.uint64(1) << bits) - np.uint64(1)).astype(np.int64)
 
     def take(self, lane: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         low, span = self.low.take(lane) + start.astype(np.uint64) * self.unit, size.astype(np.uint64) * self.unit
@@ -182,16 +188,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         if t % REFRESH == 0 and t:
             model.refresh(n)
         now = ids[t, :n]
-        hit = (model.candidate(n) == now)
-        chance = model.chance << 4
-        writer.put(model.lane[:n], np.where(hit, 0, chance), np.where(hit, chance, (1 << 16) - chance))
+        hit = model.candidate(n) == now
+        flat, high = model.bounds[0].reshape(-1), model.places_of(n) + (now >> 8)
+        chance, low = model.chance.astype(np.int64), flat.take(high)
+        rest = 4096 - chance
+        start = np.where(hit, 0, (chance << 16) + low * rest)
+        writer.put(model.lane[:n], start, np.where(hit, chance << 16, (flat.take(high + 1) - low) * rest), _FIRST)
         missed = np.flatnonzero(~hit)
         if len(missed):
-            for bounds, part in zip(model.bounds, (now[missed] >> 8, now[missed] & 255), strict=True):
-                at = missed * 257 + part
-                flat = bounds.reshape(-1)
-                start = flat[at]
-                writer.put(missed, start, flat[at + 1] - start)
+            flat, at = model.bounds[1].reshape(-1), missed * 257 + (now.take(missed) & 255)
+            start = flat.take(at)
+            writer.put(missed, start, flat.take(at + 1) - start, _SECOND)
         model.learn(n, now, hit)
     out: list[bytes] = [b""] * len(blocks)
     for k, payload in zip(order.tolist(), writer.finish(), strict=True):
@@ -220,20 +227,26 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             model.refresh(n)
         lane = model.lane[:n]
         guess = model.candidate(n)
-        chance = model.chance << 4
-        hit = reader.value(lane) < chance
-        reader.take(lane, np.where(hit, 0, chance), np.where(hit, chance, (1 << 16) - chance))
+        chance = model.chance.astype(np.int64)
+        value = reader.value(lane, _FIRST)
+        hit = value < chance << 16
+        missed = np.flatnonzero(~hit)
+        start, size = np.zeros(n, np.int64), chance << 16
+        if len(missed):
+            gone, rest = size.take(missed), 4096 - chance.take(missed)
+            high = _find(model.bounds[0], missed, (value.take(missed) - gone) // rest)
+            flat, at = model.bounds[0].reshape(-1), missed * 257 + high
+            low = flat.take(at)
+            start[missed], size[missed] = gone + low * rest, (flat.take(at + 1) - low) * rest
+        reader.take(lane, start, size)
         now = ids[t, :n]
         now[:] = guess
-        missed = np.flatnonzero(~hit)
         if len(missed):
-            found = []
-            for bounds in model.bounds:
-                byte = _find(bounds, missed, reader.value(missed))
-                flat, at = bounds.reshape(-1), missed * 257 + byte
-                reader.take(missed, flat[at], flat[at + 1] - flat[at])
-                found.append(byte)
-            now[missed] = found[0] << 8 | found[1]
+            byte = _find(model.bounds[1], missed, reader.value(missed, _SECOND))
+            flat, at = model.bounds[1].reshape(-1), missed * 257 + byte
+            low = flat.take(at)
+            reader.take(missed, low, flat.take(at + 1) - low)
+            now[missed] = high << 8 | byte
         model.learn(n, now, hit)
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(sizes)
     for lane, k in enumerate(order.tolist()):
