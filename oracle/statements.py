@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.models import in_list, key, quote, statement
+from oracle.models import DATES, in_list, key, quote, statement
 from orderloom.plans import quality
 from orderloom.plans import vocabulary as v
 from orderloom.plans.catalog import CITY, FULFILMENTS
@@ -34,6 +34,12 @@ def sources_and_sinks() -> dict[str, str]:
     )
     return {
         "src_csv_raw": statement(f"SELECT {raw_csv} FROM raw", "raw"),
+        "src_csv_malformed": statement(
+            f"SELECT \"index\" AS line_index, CASE WHEN NOT bad THEN \"Order ID\" END AS order_id, "
+            f"CASE WHEN bad THEN NULL WHEN {LINE_NUMBER} = 2 THEN concat(\"ASIN\", chr(10), '\"boxed\"') "
+            f"ELSE \"ASIN\" END AS asin, bad AS diverted FROM (SELECT *, {LINE_NUMBER} IN (3, 4) AS bad FROM raw)",
+            "raw",
+        ),
         "sink_overwrite_roundtrip": statement(
             "SELECT order_id, sku, order_date, quantity, amount, is_b2b FROM stg", "stg"
         ),
@@ -138,6 +144,9 @@ def scalars() -> dict[str, str]:
 
 def model_tables() -> dict[str, str]:
     fact = statement("SELECT * FROM fact", "fact")
+    stg = statement(f"SELECT {', '.join(STAGING.names)} FROM stg", "stg")
+    span = "SELECT cast(unnest(generate_series(DATE '1995-01-01', DATE '1997-06-30', INTERVAL 1 DAY)) AS date) AS full_date"
+    days = f"{DATES[: DATES.index('FROM (')]} FROM ({span})"
     return {
         "dedup_latest_complete": statement(
             'SELECT trim("Order ID") AS order_id, trim("SKU") AS sku, cast("index" AS int) AS source_position, '
@@ -145,9 +154,14 @@ def model_tables() -> dict[str, str]:
             'try_cast("Amount" AS decimal(10, 2)) AS amount FROM kept',
             "kept",
         ),
-        "stg_orders": statement(f"SELECT {', '.join(STAGING.names)} FROM stg", "stg"),
+        "stg_orders": stg,
+        "stg_orders_many_repeats": stg,
+        "stg_orders_from_source": stg,
         "dim_product": statement("SELECT * FROM products", "products"),
         "dim_date": statement("SELECT * FROM dates", "dates"),
+        "dim_date_span": statement(
+            f"SELECT days.*, (SELECT count(*) FROM stg WHERE order_date = full_date) AS order_lines FROM ({days}) AS days", "stg"
+        ),
         "dim_geography": statement("SELECT * FROM places", "places"),
         "dim_order_status": statement(
             "SELECT statuses.*, (SELECT count(*) FROM stg WHERE stg.status_detail = statuses.status_detail) "
@@ -166,6 +180,12 @@ def report_tables() -> dict[str, str]:
         f"WHERE places.ship_city = {quote(CITY)} AND status_group IN {in_list(v.SOLD_GROUPS)}"
     )
     here = f"fact.ship_country = {quote(COUNTRY)}"
+    by_style = statement(
+        "SELECT product_style, cast(sum(quantity) AS bigint) AS units, "
+        f"cast(round(sum(revenue_amount), 2) AS decimal(38, 2)) AS revenue_inr FROM {sold} "
+        "GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",
+        "fact",
+    )
     return {
         "rpt_city_style_topn": statement(
             f"SELECT product_style, cast(sum(quantity) AS bigint) AS units FROM {sold} AND {here} "
@@ -176,12 +196,8 @@ def report_tables() -> dict[str, str]:
             f"SELECT product_category, cast(sum(quantity) AS bigint) AS units FROM {sold} AND {here} GROUP BY 1",
             "fact",
         ),
-        "rpt_city_style_revenue": statement(
-            "SELECT product_style, cast(sum(quantity) AS bigint) AS units, "
-            f"cast(round(sum(revenue_amount), 2) AS decimal(38, 2)) AS revenue_inr FROM {sold} "
-            "GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",
-            "fact",
-        ),
+        "rpt_city_style_revenue": by_style,
+        "mart_reopen_report": by_style,
         "rpt_season_revenue": statement(
             "SELECT season, days_in_data, orders, total_revenue, per_day AS avg_daily_revenue, "
             "cast(total_revenue AS double) / 1e6 AS total_revenue_millions, per_day / 1e6 AS avg_daily_revenue_millions "

@@ -14,21 +14,16 @@ from orderloom.functions.text import column
 COLUMNS_PER_PASS = 12
 
 
-def count_where(condition: Column) -> Column:
-    """Rows for which the condition is true."""
-    return F.count_if(condition)
-
-
 def counters(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """One row with a count per named condition, from a single scan."""
-    return df.agg(*[count_where(cond).alias(name) for name, cond in conditions.items()])
+    return df.agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
 
 
 def counters_long(
     df: DataFrame, conditions: Mapping[str, Column], name: str, value: str, total: str | None = None
 ) -> DataFrame:
     """Like :func:`counters`, with one row per condition; ``total`` adds the row count."""
-    wide = [count_where(cond).alias(key) for key, cond in conditions.items()]
+    wide = [F.count_if(cond).alias(key) for key, cond in conditions.items()]
     ids = []
     if total is not None:
         wide.append(F.count(F.lit(1)).alias(total))
@@ -36,8 +31,16 @@ def counters_long(
     return df.agg(*wide).unpivot(ids, [column(key) for key in conditions], name, value)
 
 
+def _text(name: str) -> Column:
+    return column(name).cast("string")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], null_label: str | None = None) -> DataFrame:
-    """(column_name, value, count) over several text columns, one scan per pass.
+    """(column_name, value, count) over several columns, one scan per pass.
+
+    Values are text: equal values of a column have equal text and different ones
+    different text, so counts of distinct values stay exact for numbers, dates,
+    flags and strings.
 
     Each row becomes one narrow pair per column, and the pairs are counted
     before the shuffle, so a value that fills most rows costs one row per task.
@@ -47,7 +50,7 @@ def value_counts(df: DataFrame, columns: Sequence[str], null_label: str | None =
         batch = columns[start : start + COLUMNS_PER_PASS]
         cells = df.select(
             *[
-                (column(c) if null_label is None else F.coalesce(column(c), F.lit(null_label))).alias(c)
+                (_text(c) if null_label is None else F.coalesce(_text(c), F.lit(null_label))).alias(c)
                 for c in batch
             ]
         )
@@ -93,3 +96,25 @@ def repeated_tuples(df: DataFrame, keys: Sequence[str], count: str = "row_count"
     """Key tuples that occur more than once, with their row count."""
     groups = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias(count))
     return groups.where(F.col(count) > 1)
+
+
+def tuple_hashes(keys: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a key tuple, NULLs included: 16 bytes that stand for keys of any width.
+
+    Two different tuples among n share both with a chance of about n * n / 2**129.
+    """
+    parts = [part for k in keys for part in (column(k), column(k).isNull())]
+    return [F.xxhash64(*parts).alias("_hash_a"), F.xxhash64(F.lit("second"), *parts).alias("_hash_b")]
+
+
+def repeated_groups(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
+    """Row counts of the key tuples that occur more than once, without the tuples.
+
+    Only hashes are shuffled, whatever the width of the keys.
+    """
+    return df.groupBy(*tuple_hashes(keys)).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1).select(count)
+
+
+def distinct_tuples(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of hashes per distinct key tuple."""
+    return df.select(*tuple_hashes(keys)).distinct()

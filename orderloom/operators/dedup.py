@@ -10,8 +10,9 @@ from pyspark.sql.window import Window
 
 from orderloom.functions.text import column
 
-
 KEY_HASH = "key_hash"
+# Key hashes sent to every executor at most: 16 bytes each in a hash table of longs, about 64 MB.
+HASH_ROWS = 4_000_000
 
 
 def repeated_key_hashes(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
@@ -25,28 +26,46 @@ def repeated_key_hashes(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     return hashes.where(F.col("rows") > 1).select(KEY_HASH)
 
 
-def with_repeated_key(df: DataFrame, keys: Sequence[Column], repeated: DataFrame, present: bool = True) -> DataFrame:
-    """Rows whose key hash is in ``repeated``, which must be small, or those whose is not."""
-    return df.join(F.broadcast(repeated), F.xxhash64(*keys) == F.col(KEY_HASH), "left_semi" if present else "left_anti")
+def with_repeated_key(
+    df: DataFrame, keys: Sequence[Column], repeated: DataFrame, present: bool = True, broadcast_rows: int = HASH_ROWS
+) -> DataFrame:
+    """Rows whose key hash is in ``repeated``, or those whose is not.
+
+    ``repeated`` is broadcast if a count shows that it fits; beyond that the join
+    is left to Spark.
+    """
+    fits = repeated.limit(broadcast_rows + 1).count() <= broadcast_rows
+    hashes = F.broadcast(repeated) if fits else repeated
+    return df.join(hashes, F.xxhash64(*keys) == F.col(KEY_HASH), "left_semi" if present else "left_anti")
 
 
 def keep_first(
-    df: DataFrame, keys: Sequence[Column], order: Sequence[Column], repeated: DataFrame | None = None
+    df: DataFrame,
+    keys: Sequence[Column],
+    order: Sequence[Column],
+    repeated: DataFrame | None = None,
+    broadcast_rows: int = HASH_ROWS,
 ) -> DataFrame:
     """First row per key by ``order``; remaining ties go by the columns, left to right.
 
     Written as ``row_number() = 1`` so that Spark puts a group limit before the
     shuffle: each map task sends at most one row per key, however hot the key.
 
-    With the small table ``repeated`` from :func:`repeated_key_hashes`, only rows
-    of repeated keys are sorted and shuffled. All others pass through in place.
+    With the table ``repeated`` from :func:`repeated_key_hashes`, only rows of
+    repeated keys are sorted and shuffled; all others pass through in place. If it
+    is too large to broadcast, few rows may be spared that way, and the group
+    limit alone does the work: one exchange, of one row per key and task.
     """
-    candidates = df if repeated is None else with_repeated_key(df, keys, repeated)
     ties = [column(c).asc_nulls_last() for c in df.columns]
     by_key = Window.partitionBy(*keys).orderBy(*order, *ties)
-    ranked = candidates.withColumn("_rank", F.row_number().over(by_key))
-    first = ranked.where(F.col("_rank") == 1).drop("_rank")
-    return first if repeated is None else with_repeated_key(df, keys, repeated, present=False).unionByName(first)
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_rank", F.row_number().over(by_key)).where(F.col("_rank") == 1).drop("_rank")
+
+    if repeated is None or repeated.limit(broadcast_rows + 1).count() > broadcast_rows:
+        return first(df)
+    candidates = with_repeated_key(df, keys, repeated, True, broadcast_rows)
+    return with_repeated_key(df, keys, repeated, False, broadcast_rows).unionByName(first(candidates))
 
 
 def collapse_max(df: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:

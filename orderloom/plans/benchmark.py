@@ -15,9 +15,9 @@ _OPENED: dict[tuple[str, str, str], Warehouse] = {}
 _SOURCES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """New folder for a table that one query writes and reads back."""
-    return f"{shared_folder(spark)}/orderloom/{name}-{uuid4().hex}"
+def scratch(warehouse: Warehouse, name: str) -> str:
+    """Folder for a table that one query writes and reads back: the same for each call on the same input."""
+    return f"{warehouse.base}/scratch/{name}"
 
 
 def _fingerprint(spark: SparkSession, folder: str) -> str:
@@ -35,8 +35,9 @@ def open_benchmark(spark: SparkSession, folder: str) -> Warehouse:
     if key not in _OPENED:
         _OPENED[key] = Warehouse(
             spark,
-            scratch(spark, "warehouse"),
+            f"{shared_folder(spark)}/orderloom/warehouse-{uuid4().hex}",
             raw=lambda: raw_order_lines(spark, folder),
             regions=lambda: benchmark_regions(spark),
+            calendar=None,
         )
     return _OPENED[key]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.functions import keys, parse, text
 from orderloom.operators import checks
@@ -53,16 +54,32 @@ def _variant(raw: DataFrame, *choices: Column) -> Column:
 @query
 def src_csv_raw(w: Warehouse) -> DataFrame:
     """Raw lines through a CSV file, with quotes and commas inside a field."""
-    path = scratch(w.spark, "order-lines-csv")
+    path = scratch(w, "order-lines-csv")
     quoted = F.concat(F.lit('"'), F.col("ASIN"), F.lit('", boxed'))
     csvfiles.write_csv(w.raw().withColumn("ASIN", quoted), path)
     return csvfiles.read_text_csv(w.spark, path)
 
 
+@query
+def src_csv_malformed(w: Warehouse) -> DataFrame:
+    """Lines of a CSV file with line breaks in quoted fields, fields too many and fields too few."""
+    path = scratch(w, "order-lines-malformed")
+    number = F.floor(F.col("index").cast("bigint") / 1000000).cast("int")
+    quoted = [F.concat(F.lit('"'), F.coalesce(text.column(c), F.lit("")), F.lit('"')) for c in ("index", "Order ID")]
+    broken = F.concat(F.lit('"'), text.column("ASIN"), F.lit('\n""boxed"""'))
+    asin = F.when(number == 2, broken).otherwise(F.concat(F.lit('"'), text.column("ASIN"), F.lit('"')))
+    line = F.when(number == 3, F.concat_ws(",", *quoted)).when(number == 4, F.concat_ws(",", *quoted, asin, F.lit("extra"))).otherwise(F.concat_ws(",", *quoted, asin))
+    w.raw().select(line.alias("value")).write.mode("overwrite").text(path)
+    schema = StructType([StructField(c, StringType()) for c in ("line_index", "order_id", "asin")])
+    good, bad = csvfiles.split_csv(w.spark, path, schema, multi_line=True, header=False)
+    diverted = bad.select(F.replace(F.split_part(F.col(csvfiles.MALFORMED), F.lit(","), F.lit(1)), F.lit('"'), F.lit("")).alias("line_index"))
+    return good.withColumn("diverted", F.lit(False)).unionByName(diverted.withColumn("diverted", F.lit(True)), allowMissingColumns=True)
+
+
 @query
 def sink_overwrite_roundtrip(w: Warehouse) -> DataFrame:
     """A table written twice holds the second content only."""
-    path = scratch(w.spark, "overwrite")
+    path = scratch(w, "overwrite")
     rows = w.staging().select("order_id", "sku", "order_date", "quantity", "amount", "is_b2b")
     tables.overwrite(rows.where("is_b2b"), path)
     tables.overwrite(rows, path)
@@ -82,7 +99,7 @@ def load_audit_count(w: Warehouse) -> DataFrame:
 @query
 def seed_region_lookup(w: Warehouse) -> DataFrame:
     """Region lookup from its CSV file, with the lines shipped to each state."""
-    path = scratch(w.spark, "regions-csv")
+    path = scratch(w, "regions-csv")
     csvfiles.write_csv(benchmark_regions(w.spark), path)
     lookup = csvfiles.read_regions(w.spark, path)
     per_state = w.staging().groupBy(F.col("ship_country").alias("country"), F.col("ship_state").alias("state"))
@@ -92,10 +109,10 @@ def seed_region_lookup(w: Warehouse) -> DataFrame:
 @query
 def mart_materialize_roundtrip(w: Warehouse) -> DataFrame:
     """The fact stored by month and read back."""
-    path = scratch(w.spark, "fact-by-month")
+    path = scratch(w, "fact-by-month")
     month = (F.col("date_key") / 100).cast("int")
     tables.overwrite(w.fact().withColumn(SALE_MONTH, month), path, partition_by=SALE_MONTH)
-    per_month = w.spark.read.parquet(path).groupBy(F.col(SALE_MONTH).cast("int").alias(SALE_MONTH))
+    per_month = w.spark.read.parquet(tables.current(w.spark, path)).groupBy(F.col(SALE_MONTH).cast("int").alias(SALE_MONTH))
     return per_month.agg(
         _rows().alias("order_lines"), F.sum("revenue_amount").cast("decimal(38,2)").alias("total_revenue")
     )
@@ -106,7 +123,7 @@ def namespace_sql(w: Warehouse) -> DataFrame:
     """Units per region and status group, as SQL on the published names."""
     prefix = f"ol_{w.base.rsplit('-', 1)[-1][:8]}_"
     w.publish(prefix)
-    return w.spark.sql(
+    found = w.spark.sql(
         f"""
         SELECT region, status_group, CAST(sum(quantity) AS BIGINT) AS units
         FROM {prefix}marts.fct_sales
@@ -115,6 +132,16 @@ def namespace_sql(w: Warehouse) -> DataFrame:
         GROUP BY region, status_group
         """
     )
+    # the plan holds the tables by now, so the names may go
+    tables.unpublish(w.spark, ["raw", "seeds", "staging", "marts"], prefix)
+    return found
+
+
+@query
+def mart_reopen_report(w: Warehouse) -> DataFrame:
+    """A report from the stored tables, opened anew without loading or building anything."""
+    w.build()
+    return reports.style_revenue(Warehouse.open(w.spark, w.base).star(), CITY)
 
 
 # Column functions, on all raw lines
@@ -240,12 +267,24 @@ def dedup_latest_complete(w: Warehouse) -> DataFrame:
     )
 
 
-def stg_orders(spark: SparkSession, folder: str) -> DataFrame:
+@query
+def stg_orders(w: Warehouse) -> DataFrame:
+    """Staging from the stored raw lines, only repeated ones sorted."""
+    return staging.staged_lines(w.raw(), w.repeated_lines())
+
+
+@query
+def stg_orders_many_repeats(w: Warehouse) -> DataFrame:
+    """The same where the repeated lines are too many to broadcast."""
+    return staging.staged_lines(w.raw(), w.repeated_lines(), broadcast_rows=0)
+
+
+def stg_orders_from_source(spark: SparkSession, folder: str) -> DataFrame:
     """Staging straight from the source tables, nothing stored in between."""
     return staging.staged_lines(raw_order_lines(spark, folder))
 
 
-QUERIES["stg_orders"] = stg_orders
+QUERIES["stg_orders_from_source"] = stg_orders_from_source
 
 
 @query
@@ -258,6 +297,15 @@ def dim_date(w: Warehouse) -> DataFrame:
     return dimensions.calendar_covering(w.staging(), "order_date")
 
 
+@query
+def dim_date_span(w: Warehouse) -> DataFrame:
+    """A calendar of a stated span, with the staging lines of each day."""
+    days = dimensions.calendar(w.spark, "1995-01-01", "1997-07-01")
+    lines = w.staging().groupBy(F.col("order_date").alias("full_date")).agg(_rows().alias("order_lines"))
+    counted = days.join(lines, "full_date", "left")
+    return counted.withColumn("order_lines", F.coalesce("order_lines", F.lit(0).cast("bigint")))
+
+
 @query
 def dim_geography(w: Warehouse) -> DataFrame:
     return dimensions.places(w.staging(), w.regions())
@@ -280,7 +328,7 @@ def fct_sales(w: Warehouse) -> DataFrame:
 @query
 def fct_sales_derived_keys(w: Warehouse) -> DataFrame:
     """The same fact with product and place keys computed in place."""
-    return fact.fact_by_key(w.staging(), w.dates(), w.statuses())
+    return fact.fact_by_key(w.staging(), w.dates(), w.places(), w.statuses())
 
 
 # Reports
@@ -375,6 +423,14 @@ def _status(*results: DataFrame, limits: quality.Limits = quality.Limits()) -> D
     return checks.status(checks.with_limits(checks.union_all(results), *limits))
 
 
+def _under(found: DataFrame, *limits: quality.Limits) -> DataFrame:
+    """One count held against several limits."""
+    each = F.array(*[F.struct(F.lit(x.warn_above).alias("warn_above"), F.lit(x.error_above).alias("error_above")) for x in limits])
+    held = found.select("check_name", "failures", F.explode(each).alias("x")).select("check_name", "failures", "x.*")
+    level = checks.level(F.col("failures"), F.col("warn_above"), F.col("error_above"))
+    return held.select("check_name", F.col("failures").cast("bigint").alias("failures"), level.alias("status"), "error_above")
+
+
 def _named_tables(w: Warehouse) -> dict[str, DataFrame]:
     star = w.star()
     return {
@@ -401,7 +457,7 @@ def chk_unique(w: Warehouse) -> DataFrame:
     wanted = {**quality.UNIQUE, "raw": ["Order ID", "index"]}
     return _status(
         *[
-            checks.failures(f"unique.{name}.{c}", checks.repeated_values(t[name], c))
+            checks.failures(f"unique.{name}.{c}", checks.repeats(t[name], [c], nulls=False))
             for name, columns in wanted.items()
             for c in columns
         ]
@@ -413,18 +469,10 @@ def chk_accepted_values(w: Warehouse) -> DataFrame:
     t = _named_tables(w)
     wanted = [
         *quality.accepted_values(FULFILMENTS),
-        ("stg_orders", "product_size", ["1", "2", "3"], None),
-        ("stg_orders", "sales_channel", ["BUILDING"], "is_b2b"),
+        checks.Accepted("stg_orders", "product_size", ["1", "2", "3"]),
+        checks.Accepted("stg_orders", "sales_channel", ["BUILDING"], "is_b2b"),
     ]
-    return _status(
-        *[
-            checks.failures(
-                f"accepted_values.{name}.{c}",
-                checks.unexpected_values(t[name], c, values, None if where is None else F.expr(where)),
-            )
-            for name, c, values, where in wanted
-        ]
-    )
+    return _status(*quality.accepted_counts(t, wanted))
 
 
 @query
@@ -455,7 +503,7 @@ def chk_unique_combination(w: Warehouse) -> DataFrame:
     wanted = {**quality.UNIQUE_COMBINATION, "raw": ["Order ID", "SKU"]}
     return _status(
         *[
-            checks.failures(f"unique_combination.{name}", checks.repeated_combinations(t[name], columns))
+            checks.failures(f"unique_combination.{name}", checks.repeats(t[name], columns, nulls=True))
             for name, columns in wanted.items()
         ]
     )
@@ -509,12 +557,7 @@ def chk_is_terminal_contract(w: Warehouse) -> DataFrame:
 def chk_unknown_region(w: Warehouse) -> DataFrame:
     """The same count under the default limits and under wider ones."""
     found = quality.unknown_region_count(w.star())
-    return checks.union_all(
-        [
-            checks.status(checks.with_limits(found, *limits)).withColumn("error_above", F.lit(limits.error_above))
-            for limits in (quality.UNKNOWN_REGION_LIMITS, quality.Limits(3000, 10**9), quality.Limits(10**8, 10**9))
-        ]
-    )
+    return _under(found, quality.UNKNOWN_REGION_LIMITS, quality.Limits(3000, 10**9), quality.Limits(10**8, 10**9))
 
 
 @query
@@ -525,12 +568,7 @@ def chk_unknown_region_rows(w: Warehouse) -> DataFrame:
 @query
 def chk_status_courier(w: Warehouse) -> DataFrame:
     found = checks.failures("status_conflict.stg_orders", quality.status_conflict_rows(w.staging()))
-    return checks.union_all(
-        [
-            checks.status(checks.with_limits(found, *limits)).withColumn("error_above", F.lit(limits.error_above))
-            for limits in (quality.STATUS_CONFLICT_LIMITS, quality.Limits(0, 10**6), quality.Limits())
-        ]
-    )
+    return _under(found, quality.STATUS_CONFLICT_LIMITS, quality.Limits(0, 10**6), quality.Limits())
 
 
 @query

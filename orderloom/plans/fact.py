@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.keys import surrogate_key
 from orderloom.functions.text import or_default
+from orderloom.operators.joins import BROADCAST_ROWS
 from orderloom.plans.dimensions import PLACE
 from orderloom.plans.vocabulary import UNKNOWN_PLACE
 from orderloom.sources.schemas import FACT, conform
 
 
+# Days of a calendar that is sent to every executor at most: a century.
+MOST_DAYS = 36_525
+
+
 class Star(NamedTuple):
     fact: DataFrame
     dates: DataFrame
@@ -23,10 +28,15 @@ class Star(NamedTuple):
 
 
 def _dated(staging: DataFrame, dates: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Lines with their date and status key; both dimensions are small and fixed in size."""
-    return staging.join(
-        dates.select(F.col("full_date").alias("order_date"), "date_key"), "order_date"
-    ).join(statuses.select("status_detail", "status_key"), "status_detail")
+    """Lines with their date and status key.
+
+    The statuses are 13 and a calendar of a century has 36,525 days, so both are
+    broadcast; a longer calendar is left to Spark.
+    """
+    days = dates.select(F.col("full_date").alias("order_date"), "date_key")
+    fits = days.limit(MOST_DAYS + 1).count() <= MOST_DAYS
+    dated = staging.join(F.broadcast(days) if fits else days, "order_date")
+    return dated.join(F.broadcast(statuses.select("status_detail", "status_key")), "status_detail")
 
 
 def _fact(lines: DataFrame) -> DataFrame:
@@ -52,29 +62,43 @@ def fact_by_lookup(
     )
 
 
-def keys_are_derivable(places: DataFrame) -> bool:
-    """Whether no address field in the data reads UNKNOWN, so only the stand-in row does."""
+def _absent() -> Column:
+    """Address fields that a line lacks."""
+    return sum((F.col(c).isNull().cast("int") for c in PLACE), F.lit(0))
+
+
+def _keyed(staging: DataFrame, dates: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Lines with every key, product and place keys derived from the line itself."""
+    return _dated(staging.where(F.col("sku").isNotNull()), dates, statuses).withColumns(
+        {
+            "product_key": surrogate_key("sku"),
+            "geography_key": surrogate_key(*[or_default(c, UNKNOWN_PLACE) for c in PLACE]),
+        }
+    )
+
+
+def named_unknown(places: DataFrame) -> DataFrame:
+    """Keys of the places with a field that reads UNKNOWN: the stand-in, and any that the data holds."""
     literal = F.lit(False)
     for c in PLACE:
         literal = literal | (F.col(c) == UNKNOWN_PLACE)
-    return places.where(literal).limit(2).count() == 1
+    return places.where(literal).select("geography_key")
 
 
-def fact_by_key(staging: DataFrame, dates: DataFrame, statuses: DataFrame) -> DataFrame:
+def fact_by_key(staging: DataFrame, dates: DataFrame, places: DataFrame, statuses: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The same fact without shuffling it to the two dimensions that grow with the data.
 
     Product and place keys are functions of their natural keys, and both
-    dimensions hold exactly the values found in ``staging``. So the lookups can
-    only miss on a NULL sku or on an address that is present in part, and they
-    need no join. This holds if :func:`keys_are_derivable` does.
+    dimensions hold exactly the values found in ``staging``. So a line with a
+    complete address, or with none, has its place. Only a line that lacks a part
+    of it must be looked up, and its missing fields are read as UNKNOWN, so it can
+    match no place but one that holds that word: a few, broadcast after a count.
     """
-    absent = sum((F.col(c).isNull().cast("int") for c in PLACE), F.lit(0))
-    kept = staging.where(F.col("sku").isNotNull() & absent.isin(0, len(PLACE)))
-    return _fact(
-        _dated(kept, dates, statuses).withColumns(
-            {
-                "product_key": surrogate_key("sku"),
-                "geography_key": surrogate_key(*[or_default(c, UNKNOWN_PLACE) for c in PLACE]),
-            }
-        )
-    )
+    lines = _keyed(staging, dates, statuses)
+    whole = _absent().isin(0, len(PLACE))
+    named = named_unknown(places)
+    if named.limit(broadcast_rows + 1).count() > broadcast_rows:
+        return _fact(lines.where(whole)).unionByName(_fact(lines.where(~whole).join(named, "geography_key")))
+    partly = F.when(~whole, F.col("geography_key"))
+    probed = lines.join(F.broadcast(named.withColumnRenamed("geography_key", "_named")), partly == F.col("_named"), "left")
+    return _fact(probed.where(whole | F.col("_named").isNotNull()))

@@ -19,8 +19,8 @@ from orderloom.functions.text import (
     list_length,
     or_default,
 )
-from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated_tuples, top_values
-from orderloom.operators.dedup import with_repeated_key
+from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated_tuples, top_values, value_counts
+from orderloom.operators.dedup import HASH_ROWS, repeated_key_hashes, with_repeated_key
 from orderloom.plans.staging import line_key
 from orderloom.plans.vocabulary import CANCELLED
 from orderloom.sources.schemas import RAW_COLUMNS
@@ -47,22 +47,30 @@ def _rows() -> Column:
 
 
 def overview(raw: DataFrame) -> DataFrame:
-    """Rows, distinct orders, products and places, and the range of order dates."""
-    date = parse_mdy("Date")
-    totals = raw.agg(_rows().alias("records"), F.min(date).alias("date_min"), F.max(date).alias("date_max"))
-    distinct = distinct_counts(
-        raw,
-        {
-            "unique_orders": "Order ID",
-            "skus": "SKU",
-            "styles": "Style",
-            "categories": "Category",
-            "sizes": "Size",
-            "ship_cities": "ship-city",
-            "distinct_dates": "Date",
-        },
-    )
-    return totals.crossJoin(distinct).select(
+    """Rows, distinct orders, products and places, and the range of order dates, all from one scan.
+
+    Every column's values are counted once; the rows are the sum of one column's
+    counts, and only distinct dates are parsed.
+    """
+    labels = {
+        "unique_orders": "Order ID",
+        "skus": "SKU",
+        "styles": "Style",
+        "categories": "Category",
+        "sizes": "Size",
+        "ship_cities": "ship-city",
+        "distinct_dates": "Date",
+    }
+    counted = value_counts(raw, list(labels.values()))
+    of = lambda c: F.col("column_name") == c
+    date = F.when(of("Date"), parse_mdy("value"))
+    found = F.col("value").isNotNull().cast("int")
+    return counted.agg(
+        F.coalesce(F.sum(F.when(of("Date"), F.col("count"))), F.lit(0)).cast("bigint").alias("records"),
+        F.min(date).alias("date_min"),
+        F.max(date).alias("date_max"),
+        *[F.coalesce(F.sum(F.when(of(c), found)), F.lit(0)).cast("bigint").alias(name) for name, c in labels.items()],
+    ).select(
         "records",
         "unique_orders",
         "skus",
@@ -106,13 +114,18 @@ def duplicate_pairs(raw: DataFrame) -> DataFrame:
     )
 
 
-def exact_duplicates(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def exact_duplicates(raw: DataFrame, repeated: DataFrame | None = None, broadcast_rows: int = HASH_ROWS) -> DataFrame:
     """Rows that repeat another one in every column but the row index.
 
-    Such rows share their (order, sku). With the small table ``repeated`` of
-    repeated pairs, only their rows are grouped at full width.
+    Such rows share their (order, sku). With the table ``repeated`` of repeated
+    pairs, only their rows are grouped at full width, if it is small enough to be
+    broadcast; else the rows are found by a narrow count of row hashes first.
     """
-    rows = raw if repeated is None else with_repeated_key(raw, line_key(), repeated)
+    if repeated is not None and repeated.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        rows = with_repeated_key(raw, line_key(), repeated, True, broadcast_rows)
+    else:
+        business = [column(c) for c in BUSINESS_COLUMNS]
+        rows = with_repeated_key(raw, business, repeated_key_hashes(raw, business), True, broadcast_rows)
     return repeated_tuples(rows, BUSINESS_COLUMNS).agg(_surplus().alias("business_level_exact_duplicates"))
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.text import column
 from orderloom.operators import checks
+from orderloom.operators.counting import distinct_tuples
 from orderloom.operators.joins import join_dimension
 from orderloom.plans import vocabulary as v
 from orderloom.plans.fact import Star
@@ -71,31 +71,44 @@ UNKNOWN_REGION_LIMITS = Limits(3000, 10000)
 STATUS_CONFLICT_LIMITS = Limits(250, 1000)
 
 
-def accepted_values(fulfilments: Sequence[str]) -> list[tuple[str, str, Sequence[object], str | None]]:
-    """(table, column, accepted values, row filter). Fulfilment providers differ by business."""
+def accepted_values(fulfilments: Sequence[str]) -> list[checks.Accepted]:
+    """Accepted values of the declared columns. Fulfilment providers differ by business."""
     return [
-        ("stg_orders", "status_detail", [s.detail for s in v.STATUSES], None),
-        ("stg_orders", "courier_status", v.COURIER_STATUSES, "courier_status is not null"),
-        ("stg_orders", "fulfilment", fulfilments, None),
-        ("dim_date", "season", v.SEASONS, None),
-        ("dim_geography", "region", v.REGIONS, None),
-        ("dim_order_status", "status_group", v.STATUS_GROUPS, None),
+        checks.Accepted("stg_orders", "status_detail", [s.detail for s in v.STATUSES]),
+        checks.Accepted("stg_orders", "courier_status", v.COURIER_STATUSES, "courier_status is not null"),
+        checks.Accepted("stg_orders", "fulfilment", fulfilments),
+        checks.Accepted("dim_date", "season", v.SEASONS),
+        checks.Accepted("dim_geography", "region", v.REGIONS),
+        checks.Accepted("dim_order_status", "status_group", v.STATUS_GROUPS),
     ]
 
 
+def accepted_counts(tables: Mapping[str, DataFrame], tests: Sequence[checks.Accepted]) -> list[DataFrame]:
+    """(check_name, failures) of accepted-values tests, one scan per table."""
+    return [checks.unexpected_counts(tables[t], [x for x in tests if x.table == t]) for t in dict.fromkeys(x.table for x in tests)]
+
+
+def cancelled_revenue() -> Column:
+    """Whether a line is cancelled and yet has revenue."""
+    return F.col("is_cancelled") & (F.col("revenue_amount") != 0)
+
+
 def cancelled_revenue_rows(star: Star) -> DataFrame:
     """Cancelled lines whose revenue is not zero."""
-    rows = star.fact.where(F.col("is_cancelled") & (F.col("revenue_amount") != 0))
-    return rows.join(star.statuses, "status_key").select(
+    return star.fact.where(cancelled_revenue()).join(star.statuses, "status_key").select(
         "order_id", "sku", "status_detail", "amount", "revenue_amount"
     )
 
 
+def terminal_mismatch() -> Column:
+    """Whether a status has a terminal flag that contradicts its group."""
+    group, terminal = F.col("status_group"), F.col("is_terminal")
+    return (group.isin(v.TERMINAL_GROUPS) & ~terminal) | (group.isin(v.OPEN_GROUPS) & terminal)
+
+
 def terminal_mismatch_rows(statuses: DataFrame) -> DataFrame:
     """Statuses whose terminal flag contradicts their group."""
-    group, terminal = F.col("status_group"), F.col("is_terminal")
-    wrong = (group.isin(v.TERMINAL_GROUPS) & ~terminal) | (group.isin(v.OPEN_GROUPS) & terminal)
-    return statuses.where(wrong).select("status_detail", "status_group", "is_terminal")
+    return statuses.where(terminal_mismatch()).select("status_detail", "status_group", "is_terminal")
 
 
 def unknown_region_rows(star: Star) -> DataFrame:
@@ -124,13 +137,16 @@ def fact_count_mismatch(star: Star, staging: DataFrame) -> DataFrame:
 
 
 def staging_count_mismatch(raw: DataFrame, staging: DataFrame) -> DataFrame:
-    """Distinct raw (order, sku) pairs, untrimmed, against staging rows."""
-    pairs = raw.select(column("Order ID"), column("SKU")).distinct()
+    """Distinct raw (order, sku) pairs, untrimmed, against staging rows; only hashes of the pairs are shuffled."""
+    pairs = distinct_tuples(raw, ["Order ID", "SKU"])
     return checks.count_mismatch(
         pairs, staging, "expected_rows_from_raw_dedup", "actual_staging_rows", "unexpected_delta"
     )
 
 
+ROWS = "rows."
+
+
 def suite(
     raw: DataFrame,
     staging: DataFrame,
@@ -138,12 +154,18 @@ def suite(
     fulfilments: Sequence[str],
     unknown_region: Limits = UNKNOWN_REGION_LIMITS,
     status_conflicts: Limits = STATUS_CONFLICT_LIMITS,
+    where: Mapping[str, str] | None = None,
+    limits: Mapping[str, Limits] | None = None,
 ) -> DataFrame:
     """(check_name, failures, status) of all 72 checks, as one job.
 
-    Not-null checks share one scan per table; the others read only the columns
-    they test and reduce them before any shuffle where the check allows it.
+    All checks on single rows, and the row counts, share one scan per table; so do
+    the accepted values, and the foreign keys with the unknown regions. Uniqueness
+    takes a scan of each key, of which only hashes are shuffled. ``where`` limits
+    the rows of a table's not-null and uniqueness checks; ``limits`` tolerates
+    failures of a check by name.
     """
+    where = where or {}
     tables = {
         "stg_orders": staging,
         "dim_date": star.dates,
@@ -152,28 +174,61 @@ def suite(
         "dim_order_status": star.statuses,
         "fct_sales": star.fact,
     }
-    strict = [checks.null_counts(tables[t], t, columns) for t, columns in NOT_NULL.items()]
+    own: dict[str, dict[str, Column]] = {t: checks.null_conditions(t, columns, where.get(t)) for t, columns in NOT_NULL.items()}
+    own["stg_orders"]["status_conflict.stg_orders"] = status_conflict(F.col("status_detail"), F.col("courier_status"))
+    own["fct_sales"]["cancelled_revenue.fct_sales"] = cancelled_revenue()
+    own["dim_order_status"]["terminal_contract.dim_order_status"] = terminal_mismatch()
+    for t in ("stg_orders", "fct_sales"):
+        own[t][ROWS + t] = F.lit(True)
+    found = [checks.row_checks(tables[t], conditions) for t, conditions in own.items()]
+    found += accepted_counts(tables, accepted_values(fulfilments))
     for t, columns in UNIQUE.items():
-        strict += [checks.failures(f"unique.{t}.{c}", checks.repeated_values(tables[t], c)) for c in columns]
-    for t, c, accepted, where in accepted_values(fulfilments):
-        rows = checks.unexpected_values(tables[t], c, accepted, None if where is None else F.expr(where))
-        strict.append(checks.failures(f"accepted_values.{t}.{c}", rows))
-    for key, parent in FOREIGN_KEYS.items():
-        orphans = checks.orphan_keys(star.fact, key, tables[parent], key)
-        strict.append(checks.failures(f"relationships.fct_sales.{key}", orphans, F.sum("row_count")))
+        found += [checks.failures(f"unique.{t}.{c}", checks.repeats(tables[t], [c], False, where.get(t))) for c in columns]
     for t, columns in UNIQUE_COMBINATION.items():
-        rows = checks.repeated_combinations(tables[t], columns)
-        strict.append(checks.failures(f"unique_combination.{t}.{'+'.join(columns)}", rows))
-    strict += [
-        checks.failures("row_count.fct_sales.stg_orders", fact_count_mismatch(star, staging)),
-        checks.failures("row_count.stg_orders.raw", staging_count_mismatch(raw, staging)),
-        checks.failures("cancelled_revenue.fct_sales", cancelled_revenue_rows(star)),
-        checks.failures("terminal_contract.dim_order_status", terminal_mismatch_rows(star.statuses)),
-    ]
-    tolerant = [
-        checks.with_limits(unknown_region_count(star), *unknown_region),
-        checks.with_limits(
-            checks.failures("status_conflict.stg_orders", status_conflict_rows(staging)), *status_conflicts
-        ),
+        found.append(checks.failures(f"unique_combination.{t}.{'+'.join(columns)}", checks.repeats(tables[t], columns, True, where.get(t))))
+    found.append(checks.failures(ROWS + "raw", distinct_tuples(raw, ["Order ID", "SKU"])))
+    flagged = star.places.withColumn("unmapped", F.col("region") == v.UNKNOWN_REGION)
+    parents = {k: (k, flagged if t == "dim_geography" else tables[t]) for k, t in FOREIGN_KEYS.items()}
+    orphans = checks.orphan_counts(star.fact, parents, "fct_sales", "unmapped")
+    # a key held by no row at all has no line of its own: its count is 0
+    found.append(orphans.select(F.explode(F.array(
+        F.struct(F.concat(F.lit("relationships.fct_sales."), "key_name").alias("check_name"), F.col("orphans").cast("bigint").alias("failures")),
+        F.struct(F.concat(F.lit("marked."), "key_name").alias("check_name"), F.col("marked").cast("bigint").alias("failures")),
+    )).alias("x")).select("x.*"))
+    counts = checks.union_all([x.select("check_name", F.col("failures").cast("bigint").alias("failures")) for x in found])
+    return checks.status(_results(counts, fulfilments, unknown_region, status_conflicts, limits or {}))
+
+
+def check_names(fulfilments: Sequence[str]) -> list[str]:
+    """Names of the 72 checks."""
+    names = [f"not_null.{t}.{c}" for t, columns in NOT_NULL.items() for c in columns]
+    names += [f"unique.{t}.{c}" for t, columns in UNIQUE.items() for c in columns]
+    names += [x.name for x in accepted_values(fulfilments)]
+    names += [f"relationships.fct_sales.{k}" for k in FOREIGN_KEYS]
+    names += [f"unique_combination.{t}.{'+'.join(columns)}" for t, columns in UNIQUE_COMBINATION.items()]
+    return names + [
+        "row_count.fct_sales.stg_orders",
+        "row_count.stg_orders.raw",
+        "cancelled_revenue.fct_sales",
+        "terminal_contract.dim_order_status",
+        "unknown_region.fct_sales",
+        "status_conflict.stg_orders",
     ]
-    return checks.status(checks.union_all([checks.with_limits(checks.union_all(strict)), *tolerant]))
+
+
+def _results(counts: DataFrame, fulfilments: Sequence[str], unknown_region: Limits, status_conflicts: Limits, limits: Mapping[str, Limits]) -> DataFrame:
+    """One row per check with its limits, from the counts, of which there are about as many as checks."""
+    known = counts.agg(F.map_from_entries(F.collect_list(F.struct("check_name", "failures"))).alias("m"))
+    of = lambda name: F.coalesce(F.try_element_at("m", F.lit(name)), F.lit(0).cast("bigint"))
+    differ = lambda a, b: (of(ROWS + a) != of(ROWS + b)).cast("bigint")
+    derived = {
+        "row_count.fct_sales.stg_orders": differ("fct_sales", "stg_orders"),
+        "row_count.stg_orders.raw": differ("raw", "stg_orders"),
+        "unknown_region.fct_sales": of("marked.geography_key"),
+    }
+    tolerated = {"unknown_region.fct_sales": unknown_region, "status_conflict.stg_orders": status_conflicts, **limits}
+    rows = []
+    for name in check_names(fulfilments):
+        warn, error = tolerated.get(name, Limits())
+        rows.append(F.struct(F.lit(name).alias("check_name"), derived.get(name, of(name)).alias("failures"), F.lit(warn).alias("warn_above"), F.lit(error).alias("error_above")))
+    return known.select(F.explode(F.array(*rows)).alias("x")).select("x.*")

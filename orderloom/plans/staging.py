@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import parse, text
-from orderloom.operators.dedup import keep_first
+from orderloom.operators.dedup import HASH_ROWS, keep_first
 from orderloom.plans.vocabulary import CANCELLED
 from orderloom.sources.schemas import MONEY, STAGING, conform
 
@@ -42,14 +42,14 @@ def line_key() -> list[Column]:
     return [text.clean("Order ID"), text.clean("SKU")]
 
 
-def best_lines(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def best_lines(raw: DataFrame, repeated: DataFrame | None = None, broadcast_rows: int = HASH_ROWS) -> DataFrame:
     """One raw row per (order, sku): a row with an amount first, then the latest one.
 
     Only the four values that decide are parsed before the shuffle, and the rows
     travel as the raw text, which holds each value once.
     """
     order = [parse.parse_money("Amount").isNull(), parse.parse_int("index").desc_nulls_last()]
-    return keep_first(raw, line_key(), order, repeated)
+    return keep_first(raw, line_key(), order, repeated, broadcast_rows)
 
 
 def typed_lines(raw: DataFrame) -> DataFrame:
@@ -73,6 +73,6 @@ def with_measures(lines: DataFrame) -> DataFrame:
     )
 
 
-def staged_lines(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def staged_lines(raw: DataFrame, repeated: DataFrame | None = None, broadcast_rows: int = HASH_ROWS) -> DataFrame:
     """Staging; ``repeated`` as in :func:`orderloom.operators.dedup.keep_first`."""
-    return conform(with_measures(typed_lines(best_lines(raw, repeated))), STAGING)
+    return conform(with_measures(typed_lines(best_lines(raw, repeated, broadcast_rows))), STAGING)

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from orderloom.operators.checks import repeated_combinations
-from orderloom.operators.dedup import repeated_key_hashes
-from orderloom.operators.joins import BROADCAST_ROWS
+from orderloom.operators.dedup import HASH_ROWS, repeated_key_hashes
 from orderloom.plans import dimensions, fact
+from orderloom.plans import vocabulary as v
 from orderloom.plans.staging import line_key, staged_lines
 from orderloom.sources import schemas, tables
 
@@ -32,25 +32,38 @@ class Warehouse:
         base: str,
         raw: Callable[[], DataFrame],
         regions: Callable[[], DataFrame] | None = None,
-        calendar: tuple[str, str] | None = None,
+        calendar: tuple[str, str] | None = (v.CALENDAR_START, v.CALENDAR_END),
         fact_by_month: bool = False,
-        broadcast_rows: int = BROADCAST_ROWS,
+        broadcast_rows: int = HASH_ROWS,
     ) -> None:
-        """``calendar`` is (first day, day after the last); by default whole years around the data.
+        """``calendar`` is (first day, day after the last); None takes whole years around the data.
 
-        ``fact_by_month`` stores the fact in one folder per month, for reports
-        that read few months. It costs one more shuffle of the fact. A set of more
-        than ``broadcast_rows`` repeated lines is not broadcast.
+        Lines outside the calendar are dropped from the fact and reported by the
+        row-count check. ``fact_by_month`` stores the fact in one folder per month,
+        for reports that read few months. It costs one more shuffle of the fact.
+        More than ``broadcast_rows`` hashes of repeated lines are not broadcast.
         """
         self.spark = spark
         self.base = base.rstrip("/")
         self.rows_written: dict[str, int] = {}
+        self._opened = False
         self._raw_rows = raw
         self._region_rows = regions or (lambda: dimensions.state_regions(spark))
         self._calendar = calendar
         self._fact_by_month = fact_by_month
         self._broadcast_rows = broadcast_rows
 
+    @classmethod
+    def open(cls, spark: SparkSession, base: str) -> Warehouse:
+        """The warehouse stored at ``base``, to read: nothing is loaded or built, a missing table is an error."""
+
+        def refuse() -> DataFrame:
+            raise ValueError(f"the warehouse at {base} was opened to be read")
+
+        warehouse = cls(spark, base, raw=refuse, regions=refuse)
+        warehouse._opened = True
+        return warehouse
+
     def path(self, layer: str, name: str) -> str:
         return f"{self.base}/{layer}/{name}"
 
@@ -63,7 +76,7 @@ class Warehouse:
         partition_by: str | None = None,
     ) -> DataFrame:
         path = self.path(layer, name)
-        if name not in self.rows_written:
+        if not self._opened and name not in self.rows_written:
             self.rows_written[name] = tables.overwrite(build(), path, partition_by)
         return tables.read(self.spark, path, schema)
 
@@ -80,19 +93,31 @@ class Warehouse:
             raise ValueError("the region lookup lists a (country, state) twice, which would multiply places")
         return rows
 
-    def repeated_lines(self) -> DataFrame | None:
-        """Key hashes of the repeated (order, sku) pairs, or None if too many to broadcast."""
-        name = "repeated_lines"
-        hashes = self._stored(
-            "staging", name, schemas.KEY_HASHES, lambda: repeated_key_hashes(self.raw(), line_key())
+    def repeated_lines(self) -> DataFrame:
+        """Key hashes of the repeated (order, sku) pairs, eight bytes each."""
+        return self._stored(
+            "staging", "repeated_lines", schemas.KEY_HASHES, lambda: repeated_key_hashes(self.raw(), line_key())
         )
-        return hashes if self.rows_written[name] <= self._broadcast_rows else None
 
     def staging(self) -> DataFrame:
         return self._stored(
-            "staging", "stg_orders", schemas.STAGING, lambda: staged_lines(self.raw(), self.repeated_lines())
+            "staging", "stg_orders", schemas.STAGING, lambda: self._addressed(staged_lines(self.raw(), self.repeated_lines(), self._broadcast_rows))
         )
 
+    @staticmethod
+    def _addressed(staging: DataFrame) -> DataFrame:
+        """Staging lines; one whose whole address reads UNKNOWN stops the build.
+
+        That word stands for a missing address, so such a line would double the
+        place of all lines without one, and the fact rows that refer to it.
+        """
+        literal = F.lit(True)
+        for c in dimensions.PLACE:
+            literal = literal & (F.col(c) == v.UNKNOWN_PLACE)
+        refused = F.raise_error(F.concat(F.lit("an address that reads UNKNOWN in every field is refused; order "), F.coalesce("order_id", F.lit("?"))))
+        country = F.when(F.coalesce(literal, F.lit(False)), refused.cast("string")).otherwise(F.col("ship_country"))
+        return staging.withColumn("ship_country", country)
+
     def products(self) -> DataFrame:
         return self._stored(
             "marts", "dim_product", schemas.DIM_PRODUCT, lambda: dimensions.products(self.staging())
@@ -120,11 +145,7 @@ class Warehouse:
         )
 
     def _fact_rows(self) -> DataFrame:
-        staging, dates, places, statuses = self.staging(), self.dates(), self.places(), self.statuses()
-        if fact.keys_are_derivable(places):
-            rows = fact.fact_by_key(staging, dates, statuses)
-        else:
-            rows = fact.fact_by_lookup(staging, dates, self.products(), places, statuses)
+        rows = fact.fact_by_key(self.staging(), self.dates(), self.places(), self.statuses())
         if self._fact_by_month:
             return rows.withColumn(SALE_MONTH, (F.col("date_key") / 100).cast("int"))
         return rows

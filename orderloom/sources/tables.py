@@ -1,14 +1,17 @@
-"""Stored tables: full-refresh writes, typed reads, one namespace per layer."""
+"""Stored tables: full-refresh writes that switch when complete, typed reads, one namespace per layer."""
 
 from __future__ import annotations
 
+import re
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_VERSION = re.compile(r"v(\d{8})-[0-9a-f]{8}$")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,36 +31,89 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[session]
 
 
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
+    """(number, folder, complete) of the versions of a table, in order.
+
+    Spark leaves a ``_SUCCESS`` file when a write is committed, so a version is
+    complete from one moment on, and a failed or unfinished one never is.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    found = []
+    for entry in files.listStatus(place):
+        folder = entry.getPath()
+        if named := _VERSION.match(folder.getName()):
+            done = files.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+            found.append((int(named[1]), f"{path.rstrip('/')}/{folder.getName()}", done))
+    return sorted(found)
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Folder of the latest complete version of the table at ``path``."""
+    done = [folder for _, folder, complete in _versions(spark, path) if complete]
+    return done[-1] if done else None
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Replace the table at ``path`` and return the rows written.
 
+    The rows go to a new version of the table, which readers see once it is
+    complete; a failed write leaves the old rows in place, and a table can be
+    rewritten from its own rows. The version before stays for readers that opened
+    it, older ones are removed.
+
     The count is observed during the write, so it costs no second scan. With
     ``partition_by``, Spark first rebalances the rows by that column: small
     partitions are merged and a hot value is split over several files.
     """
+    spark = df.sparkSession
+    before = _versions(spark, path)
+    folder = f"{path.rstrip('/')}/v{before[-1][0] + 1 if before else 1:08d}-{uuid4().hex[:8]}"
     rows = df if partition_by is None else df.hint("rebalance", F.col(partition_by))
     written = Observation()
-    writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    writer.parquet(folder)
+    kept = [old for _, old, complete in before if complete][-1:]
+    for _, old, _ in before:
+        if old not in kept:
+            _drop(spark, old)
     return written.get["rows"]
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    folder = current(spark, path)
+    if folder is None:
+        raise ValueError(f"no complete table at {path}")
+    return spark.read.schema(schema).parquet(folder)
 
 
 def publish(spark: SparkSession, base: str, tables: dict[str, dict[str, tuple[str, list[str]]]], prefix: str = "") -> None:
     """Make stored tables queryable by name: ``{layer: {table: (path, columns)}}``.
 
     Each layer becomes a database called exactly like the layer, after ``prefix``.
-    The names are views on the stored files, so a rebuilt table needs no refresh
-    of partitions or statistics.
+    The names are views on the current version of each table; publish again after
+    a rebuild.
     """
     for layer, members in tables.items():
         database = f"`{prefix}{layer}`"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}/databases/{prefix}{layer}'")
+        place = f"{base}/databases/{prefix}{layer}".replace("'", "\\'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}'")
         for name, (path, columns) in members.items():
             listed = ", ".join(f"`{c}`" for c in columns)
-            spark.sql(f"CREATE OR REPLACE VIEW {database}.`{name}` AS SELECT {listed} FROM parquet.`{path}`")
+            folder = (current(spark, path) or path).replace("`", "``")
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.`{name}` AS SELECT {listed} FROM parquet.`{folder}`")
+
+
+def unpublish(spark: SparkSession, layers: list[str], prefix: str = "") -> None:
+    """Drop the databases that :func:`publish` made; the tables stay."""
+    for layer in layers:
+        spark.sql(f"DROP DATABASE IF EXISTS `{prefix}{layer}` CASCADE")

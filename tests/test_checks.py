@@ -19,7 +19,6 @@ def small(spark):
 
 
 def test_nulls(small):
-    assert checks.null_rows(small, "k").count() == 2
     found = {r["check_name"]: r["failures"] for r in checks.null_counts(small, "t", ["k", "v"]).collect()}
     assert found == {"not_null.t.k": 2, "not_null.t.v": 1}
 
@@ -37,6 +36,38 @@ def test_unexpected_values(small):
     assert checks.unexpected_values(small, "v", ["a", "b", "c"]).count() == 0
 
 
+def test_repeats_by_hash(small):
+    assert [r[0] for r in checks.repeats(small, ["k"], nulls=False).collect()] == [2]
+    doubled = small.union(small.where("k is null and v is null"))
+    assert [r[0] for r in checks.repeats(doubled, ["k", "v"], nulls=True).collect()] == [2]
+    swapped = small.sparkSession.createDataFrame([("a", None), (None, "a"), ("ab", "c"), ("a", "bc")], "x string, y string")
+    assert checks.repeats(swapped, ["x", "y"], nulls=True).count() == 0
+    assert checks.repeats(small, ["v"], nulls=False, where="k = 1").count() == 0
+
+
+def test_unexpected_counts_of_several_columns(small):
+    tests = [checks.Accepted("t", "k", [1]), checks.Accepted("t", "v", ["a"]), checks.Accepted("t", "v", ["a", "b"], "k = 1"), checks.Accepted("t", "v", ["c"], "k = 2")]
+    found = {r["check_name"]: r["failures"] for r in checks.unexpected_counts(small, tests[:2]).collect()}
+    assert found == {"accepted_values.t.k": 1, "accepted_values.t.v": 2}
+    assert [r["failures"] for r in checks.unexpected_counts(small, tests[2:3]).collect()] == [0]
+    assert [r["failures"] for r in checks.unexpected_counts(small, tests[3:]).collect()] == [0]
+
+
+def test_kinds_of_checks_are_as_many_as_declared():
+    """Stated numbers, so that a value missing from a list is noticed."""
+    from orderloom.plans import vocabulary as v
+    from orderloom.sources.schemas import RAW_COLUMNS, STAGING
+
+    names = quality.check_names(FULFILMENTS)
+    kinds = {k: sum(n.startswith(k + ".") for n in names) for k in ("not_null", "unique", "accepted_values", "relationships", "unique_combination")}
+    assert kinds == {"not_null": 46, "unique": 8, "accepted_values": 6, "relationships": 4, "unique_combination": 2}
+    assert len(names) == len(set(names)) == 72
+    assert len(v.STATUSES) == 13 and len(set(v.STATUS_GROUPS)) == 5 and {s.group for s in v.STATUSES} == set(v.STATUS_GROUPS)
+    assert len(v.STATE_REGIONS) == 36 and len(RAW_COLUMNS) == 24
+    assert len(profile.BUSINESS_COLUMNS) == 23 and len(profile.CATEGORICAL) == 11
+    assert len(STAGING.names) == 26
+
+
 def test_orphans(spark, small):
     parents = spark.createDataFrame([("a",), (None,)], "id string")
     assert checks.orphan_rows(small, "v", parents, "id").count() == 3

@@ -8,9 +8,21 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracle import statements
+from orderloom.plans import catalog
 from tests.conftest import SMALL, plan
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, statements.all_statements()
+# Reports and profiles whose rows come in order: the columns that they are ordered by, True for descending.
+ORDERED = {
+    "rpt_city_style_topn": [("units", True), ("product_style", False)],
+    "rpt_city_category_units": [("units", True)],
+    "rpt_cancel_rate_region": [("cancellation_rate", True)],
+    "rpt_city_style_revenue": [("units", True)],
+    "prof_status_courier": [("row_count", True)],
+    "prof_missing_by_column": [("missing", True), ("column_name", False)],
+    "prof_value_distribution": [("column_name", False), ("count", True), ("value", False)],
+}
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "date": "DATE"}
 
 
@@ -22,8 +34,19 @@ def con():
     return connection
 
 
-def test_every_query_has_a_counterpart():
+def test_every_query_has_a_counterpart_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_rows_come_in_order(spark, name):
+    rows = [r.asDict() for r in QUERIES[name](spark, SMALL).collect()]
+    assert len(rows) > 1
+    wanted = rows
+    for column, descending in reversed(ORDERED[name]):
+        wanted = sorted(wanted, key=lambda r: r[column], reverse=descending)
+    assert [tuple(r[c] for c, _ in ORDERED[name]) for r in rows] == [tuple(r[c] for c, _ in ORDERED[name]) for r in wanted]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -41,5 +64,10 @@ def test_matches(spark, con, name):
     assert "Python" not in steps and "Pandas" not in steps and "CartesianProduct" not in steps
 
 
+def test_seasons_come_in_the_order_of_the_year(spark):
+    found = [r["season"] for r in QUERIES["rpt_season_revenue"](spark, SMALL).collect()]
+    assert found == ["Winter", "Spring", "Summer", "Monsoon", "Autumn"]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 5

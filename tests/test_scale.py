@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from orderloom.operators import counting
+from orderloom.operators import checks, counting
 from orderloom.operators.joins import join_dimension
-from orderloom.plans import dimensions, fact, profile, reports, staging
+from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.benchmark import open_benchmark
+from orderloom.plans.catalog import FULFILMENTS
 from tests.conftest import SMALL, plan
 
 
@@ -67,9 +68,33 @@ def test_scan_reads_only_what_a_report_needs(w):
 
 
 def test_derived_keys_need_no_shuffle(w):
-    tree = plan(fact.fact_by_key(w.staging(), w.dates(), w.statuses())).split("\n\n")[0]
+    tree = plan(fact.fact_by_key(w.staging(), w.dates(), w.places(), w.statuses())).split("\n\n")[0]
     assert len(re.findall(r"[- ]Exchange", tree)) == 0
-    assert tree.count("BroadcastHashJoin") == 2
+    assert tree.count("BroadcastHashJoin") == 3
+
+
+def test_lookups_never_shuffle_staging_for_dates_or_statuses(w, no_broadcast):
+    tree = plan(fact.fact_by_lookup(w.staging(), w.dates(), w.products(), w.places(), w.statuses())).split("\n\n")[0]
+    assert tree.count("BroadcastHashJoin") == 2 and tree.count("SortMergeJoin") == 2
+
+
+def scans(df, table):
+    return len(re.findall(rf"Location: InMemoryFileIndex \[[^\]]*/{table}/", plan(df)))
+
+
+def test_suite_reads_each_table_a_few_times(w):
+    suite = quality.suite(w.raw(), w.staging(), w.star(), FULFILMENTS)
+    assert scans(suite, "stg_orders") <= 3 and scans(suite, "fct_sales") <= 4 and scans(suite, "order_lines") == 1
+    unknown, conflicts, accepted = (entry.queries()[f"chk_{x}"](w.spark, SMALL) for x in ("unknown_region", "status_courier", "accepted_values"))
+    assert scans(unknown, "fct_sales") == 1 and scans(conflicts, "stg_orders") == 1 and scans(accepted, "stg_orders") == 1
+    assert scans(profile.overview(w.raw()), "order_lines") == 1
+
+
+def test_uniqueness_shuffles_hashes(w):
+    text = plan(checks.repeats(w.fact(), ["sales_key"], nulls=False))
+    exchange = re.search(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", text).group(1)
+    carried = [re.sub(r"#.*", "", c).strip() for c in exchange.split(",")]
+    assert carried == ["_groupingexpression", "_groupingexpression", "count"]  # two hashes, never the key
 
 
 def test_fixed_dimensions_are_broadcast_by_their_known_size(spark, w):
@@ -114,6 +139,8 @@ def test_no_local_checkpoints_or_driver_collections():
     from pathlib import Path
 
     for file in (Path(__file__).resolve().parents[1] / "orderloom").rglob("*.py"):
+        if "llm" in file.parts:
+            continue  # the optional subpackage has Python operators and bounded samples
         source = file.read_text()
         for word in ("localCheckpoint", ".collect(", "toPandas", ".rdd", "pandas_udf", "crossJoin(F."):
             assert word not in source, (file, word)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedup import repeated_key_hashes
-from orderloom.plans import dimensions, fact, profile, quality, staging
+from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.vocabulary import STATUSES
 from orderloom.plans.warehouse import Warehouse
 from orderloom.sources import csvfiles, schemas, tables
@@ -93,8 +93,7 @@ def test_repeated_lines_beyond_the_limit_are_not_broadcast(spark, tmp_path, raw_
     w = Warehouse(spark, str(tmp_path / "wh"), raw=lambda: raw_rows(*rows), broadcast_rows=limit)
     assert w.staging().count() == 3
     assert w.rows_written["repeated_lines"] == 1
-    assert (w.repeated_lines() is None) is (limit == 0)
-    assert profile.exact_duplicates(w.raw(), w.repeated_lines()).first()[0] == 1
+    assert profile.exact_duplicates(w.raw(), w.repeated_lines(), limit).first()[0] == 1
 
 
 def test_default_calendar(spark):
@@ -148,15 +147,70 @@ def test_derived_keys_equal_looked_up_keys(spark, tmp_path, raw_rows, literal):
     w = built(spark, tmp_path, raw_rows(*rows), calendar=("2020-01-01", "2031-01-01"))
     looked_up = fact.fact_by_lookup(w.staging(), w.dates(), w.products(), w.places(), w.statuses())
     assert Counter(map(tuple, w.fact().collect())) == Counter(map(tuple, looked_up.collect()))
-    assert fact.keys_are_derivable(w.places()) is not literal
+    assert fact.named_unknown(w.places()).count() == (2 if literal else 1)
     kept = {r["order_id"] for r in looked_up.collect()}
     assert ("o1" in kept) is literal  # o1 lacks only its city
     assert kept >= {"o0", "o15"} and not kept & {"no sku", "late", "odd"}
-    if not literal:
-        derived = fact.fact_by_key(w.staging(), w.dates(), w.statuses())
+    for limit in (0, 100):
+        derived = fact.fact_by_key(w.staging(), w.dates(), w.places(), w.statuses(), limit)
         assert Counter(map(tuple, derived.collect())) == Counter(map(tuple, looked_up.collect()))
 
 
+def test_an_address_that_reads_unknown_throughout_is_refused(spark, tmp_path, raw_rows):
+    place = {c: "Unknown" for c in NO_ADDRESS}
+    place["ship-postal-code"] = place["ship-country"] = "UNKNOWN"
+    w = Warehouse(spark, str(tmp_path / "wh"), raw=lambda: raw_rows({"Order ID": "named", **place}, {"Order ID": "none", **NO_ADDRESS}))
+    with pytest.raises(Exception, match="UNKNOWN in every field is refused; order named"):
+        w.build()
+
+
+def test_lines_outside_the_calendar_are_reported(spark, tmp_path, raw_rows):
+    w = built(spark, tmp_path, raw_rows({"Order ID": "a"}, {"Order ID": "mistyped", "Date": "01-01-69"}))
+    assert w.dates().count() == 4018 and w.fact().count() == 1
+    assert [tuple(r) for r in quality.fact_count_mismatch(w.star(), w.staging()).collect()] == [(1, 2, -1)]
+
+
+def test_open_reads_what_is_stored_and_builds_nothing(spark, tmp_path, raw_rows):
+    calls = []
+    base = str(tmp_path / "wh")
+
+    def load():
+        calls.append(1)
+        return raw_rows({"Order ID": "a"}, {"Order ID": "b", "Qty": "3"})
+
+    Warehouse(spark, base, raw=load).build()
+    loads = len(calls)
+    opened = Warehouse.open(spark, base)
+    assert reports.style_revenue(opened.star(), "MUMBAI").first()["units"] == 4
+    assert opened.raw().count() == 2 and opened.regions().count() == 36 and len(calls) == loads and not opened.rows_written
+    with pytest.raises(ValueError, match="no complete table"):
+        Warehouse.open(spark, str(tmp_path / "none")).fact()
+
+
+def test_failed_rebuild_leaves_the_old_rows(spark, tmp_path, raw_rows):
+    base = str(tmp_path / "wh")
+    Warehouse(spark, base, raw=lambda: raw_rows({"Order ID": "old"})).build()
+    broken = raw_rows({"Order ID": "new"}).withColumn("SKU", F.raise_error(F.lit("broken extract")).cast("string"))
+    with pytest.raises(Exception, match="broken extract"):
+        Warehouse(spark, base, raw=lambda: broken).build()
+    assert [r["order_id"] for r in Warehouse.open(spark, base).fact().collect()] == ["old"]
+    Warehouse(spark, base, raw=lambda: raw_rows({"Order ID": "new"})).build()
+    assert [r["order_id"] for r in Warehouse.open(spark, base).fact().collect()] == ["new"]
+
+
+def test_a_table_can_be_rewritten_from_itself(spark, tmp_path):
+    path = str(tmp_path / "it's a table")
+    schema = spark.range(1).schema
+    tables.overwrite(spark.range(5), path)
+    for _ in range(4):
+        assert tables.overwrite(tables.read(spark, path, schema).where("id > 0"), path) == 4
+    assert tables.read(spark, path, schema).count() == 4
+    assert len([p for p in (tmp_path / "it's a table").iterdir() if p.is_dir()]) == 2
+    tables.publish(spark, str(tmp_path / "it's"), {"quoted": {"t": (path, ["id"])}})
+    assert spark.sql("SELECT count(*) FROM quoted.t").first()[0] == 4
+    tables.unpublish(spark, ["quoted"])
+
+
 def test_every_status_reaches_the_fact(spark, tmp_path, raw_rows):
     rows = raw_rows(*[{"Order ID": f"o{i}", "Status": s.detail} for i, s in enumerate(STATUSES)])
     w = built(spark, tmp_path, rows)
@@ -205,6 +259,31 @@ def test_csv_quotes_blanks_and_header(spark, tmp_path):
         csvfiles.read_regions(spark, str(tmp_path / "bad.csv")).collect()
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_loses_no_row(spark, tmp_path, multi_line):
+    lines = ["country,state,region", "a,b,c", "1,2,3,4", "1,2", '"x', 'y",s,r', 'a,b,"z', 'w"']
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "in.csv")
+    with pytest.raises(csvfiles.MalformedRows, match=f"{2 if multi_line else 6} malformed rows"):
+        csvfiles.read_text_csv(spark, path, schemas.REGIONS, multi_line=multi_line)
+    good, bad = csvfiles.split_csv(spark, path, schemas.REGIONS, multi_line=multi_line)
+    wanted = [("a", "b", "c"), ("x\ny", "s", "r"), ("a", "b", "z\nw")] if multi_line else [("a", "b", "c")]
+    assert [tuple(r) for r in good.collect()] == wanted and good.count() == good.select("state").count() == len(wanted)
+    diverted = lines[2:4] if multi_line else lines[2:]
+    assert sorted(r[0] for r in bad.collect()) == sorted(diverted) and bad.count() == len(diverted)
+
+
+def test_typed_tables_can_be_profiled(spark, tmp_path, raw_rows):
+    from orderloom.operators import counting
+
+    w = built(spark, tmp_path, raw_rows({"Order ID": "a", "Amount": "1"}, {"Order ID": "b", "Amount": "1.00", "Qty": "7"}))
+    columns = ["order_date", "quantity", "amount", "is_b2b", "sku"]
+    found = counting.distinct_counts(w.staging(), {c: c for c in columns}).first().asDict()
+    assert found == {"order_date": 1, "quantity": 2, "amount": 1, "is_b2b": 1, "sku": 1}
+    top = {(r["column_name"], r["value"]): r["count"] for r in counting.top_values(w.fact(), ["quantity", "is_cancelled"], 5).collect()}
+    assert top == {("quantity", "1"): 1, ("quantity", "7"): 1, ("is_cancelled", "false"): 2}
+
+
 def test_csv_keeps_line_breaks_on_request(spark, tmp_path):
     (tmp_path / "in.csv").write_text('country,state,region\n"a\nb",c,d\n')
     found = csvfiles.read_text_csv(spark, str(tmp_path / "in.csv"), schemas.REGIONS, multi_line=True).collect()
