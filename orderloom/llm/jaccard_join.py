@@ -43,6 +43,8 @@ from orderloom.llm.components import components
 #: Beyond that size it lets more through; what it lets through is joined exactly.
 BITS_EACH, FILTER_BITS = 32, 1 << 29
 PIECE_BITS = 1 << 19
+#: Members of a hub that are compared with each other at a time, on either side.
+BLOCK = 1_024
 #: Bytes of a batch of texts or pairs of sets that a worker holds.
 BATCH_BYTES = 8 << 20
 #: Signature contents that are put last because many sets have them: at most so many are broadcast, the most frequent first.
@@ -386,6 +388,79 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
         return _classes(texts(docs, key, text), width, percent)
 
 
+def _still_open(far: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their component's label, of hubs whose members are in several components."""
+    placed = far.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    split = placed.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("hub")
+    return stored(placed.join(split, "hub"), "open")
+
+
+def _close_pairs(left: DataFrame, briefs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of one hub, in different components, that may link by size, triangle inequality and sketch.
+
+    Members outside a hub's largest component are held against all of its members,
+    in blocks of a bounded size, inside the tasks; only pairs that may link come out.
+    """
+    limit = 1 - percent / 100 + 1e-9
+    counts = left.groupBy("hub", "label").count()
+    groups = counts.groupBy("hub").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.sum("count").alias("n"), F.max("count").alias("most_in_one"))
+    groups = groups.select(
+        "hub", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("data_blocks"), F.ceil((F.col("n") - F.col("most_in_one")) / BLOCK).cast("int").alias("query_blocks")
+    )
+    rows = stored(left.join(groups, "hub").join(briefs.select("set_id", "sketch"), "set_id"), "blocks")
+    own = lambda n: F.pmod(F.xxhash64("set_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    values = ("set_id", "label", "size", "least", "most", "sketch")
+    data = rows.select("hub", own("data_blocks").alias("d"), every("query_blocks").alias("q"), *values)
+    asked = rows.where("label <> main").select(F.col("hub").alias("to"), every("data_blocks").alias("at"), own("query_blocks").alias("by"), *[F.col(c).alias(f"q_{c}") for c in values])
+
+    def meet(held: pa.Table, asking: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        if held.num_rows and asking.num_rows:
+            ids, label, size = (held.column(c).to_numpy() for c in ("set_id", "label", "size"))
+            least, most = (held.column(c).to_numpy() for c in ("least", "most"))
+            folded = _Folded(held.column("sketch").to_pylist())
+            for row in asking.to_pylist():
+                n = row["q_size"]
+                may = (label != row["q_label"]) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent)
+                may &= (least - row["q_most"] <= limit) & (row["q_least"] - most <= limit)
+                near = np.flatnonzero(may)
+                if len(near):
+                    near = near[folded.apart(np.frombuffer(row["q_sketch"], np.uint8), near) <= _allowed(size[near] + n, percent)]
+                    out_a.append(np.minimum(ids[near], row["q_set_id"]))
+                    out_b.append(np.maximum(ids[near], row["q_set_id"]))
+        empty = np.zeros(0, np.int64)
+        return pa.table({"a": np.concatenate([empty, *out_a]), "b": np.concatenate([empty, *out_b])})
+
+    return data.groupBy("hub", "d", "q").cogroup(asked.groupBy("to", "at", "by")).applyInArrow(meet, "a long, b long").distinct()
+
+
+class _Folded:
+    """Sketches of several widths, folded to a common one when they are compared."""
+
+    def __init__(self, sketches: list[bytes]) -> None:
+        self._width = np.array([len(x) for x in sketches])
+        self._place = np.zeros(len(sketches), np.int64)
+        self._by: dict[tuple[int, int], np.ndarray] = {}
+        for w in np.unique(self._width).tolist():
+            own = np.flatnonzero(self._width == w)
+            self._place[own] = np.arange(len(own))
+            self._by[w, w] = np.frombuffer(b"".join(sketches[i] for i in own.tolist()), np.uint8).reshape(-1, w)
+
+    def apart(self, sketch: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Hamming distances between a sketch and some of these."""
+        out = np.zeros(len(rows), np.int64)
+        for w in np.unique(self._width[rows]).tolist():
+            at = np.flatnonzero(self._width[rows] == w)
+            to = min(w, len(sketch))
+            if (w, to) not in self._by:
+                whole = self._by[w, w]
+                self._by[w, to] = np.bitwise_xor.reduce(whole.reshape(len(whole), -1, to), axis=1)
+            one = np.bitwise_xor.reduce(sketch.reshape(-1, to), axis=0)
+            out[at] = np.bitwise_count(self._by[w, to][self._place[rows[at]]] ^ one).sum(axis=1)
+        return out
+
+
 def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
     spark = rows.sparkSession
     described = stored(rows.mapInArrow(_describe(percent, width), "doc_id long, n_shingles long, set_id long, signature long, times long"), "sets")
@@ -417,29 +492,23 @@ def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
     known = stored(_verified(stars.where("close").select("a", "b"), sets), "known")
     labels = components(known.where(linked).select("a", "b"))
 
-    # what the hubs left open: members of a signature in different components
     distance = F.expr("1.0d - shared / (size_a + size_b - shared)")
     far = stars.join(known.select("a", "b", distance.alias("exact")), ["a", "b"], "left").select(
         F.col("a").alias("hub"), F.col("b").alias("set_id"), F.coalesce("exact", "least").alias("least"), F.coalesce("exact", F.lit(1.0)).alias("most"), F.col("size_b").alias("size")
     )
-    placed = members.where("set_id <> hub").join(far, ["hub", "set_id"]).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    placed = stored(placed.select("signature", "set_id", "least", "most", "size", F.coalesce("label", "set_id").alias("label")), "open")
-    split = placed.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("signature")
-    left = placed.join(split, "signature")
-    one, two = (left.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("set_id", "least", "most", "size", "label")]) for s in "ab")
-    limit = 1 - percent / 100 + 1e-9
-    rest = (
-        one.join(two, "signature")
-        .where("set_id_a < set_id_b and label_a <> label_b")
-        .where(f"least(size_a, size_b) * 100 >= greatest(size_a, size_b) * {percent}")
-        .where(f"least_a - most_b <= {limit} and least_b - most_a <= {limit}")
-        .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
-        .distinct()
-    )
-    more = _screened(rest, briefs, percent).where("close").select("a", "b")
-    more = stored(_verified(more, sets).where(linked).select("a", "b"), "links")
-    if not more.isEmpty():
-        labels = components(known.where(linked).select("a", "b").union(more))
+    far = stored(far, "far")
+    # the member nearest to a hub is likelier to be in the middle of its group: a second hub
+    left = _still_open(far, labels)
+    middle = left.groupBy("hub").agg(F.min(F.struct("most", "least", "set_id", "label")).alias("m"))
+    second = left.join(middle, "hub").where("set_id <> m.set_id and label <> m.label")
+    second = second.select(F.least("set_id", "m.set_id").alias("a"), F.greatest("set_id", "m.set_id").alias("b")).distinct()
+    second = stored(_verified(_screened(second, briefs, percent).where("close").select("a", "b"), sets).where(linked).select("a", "b"), "second")
+    edges = known.where(linked).select("a", "b").union(second)
+    if not second.isEmpty():
+        labels = components(edges)
+    rest = stored(_verified(_close_pairs(_still_open(far, labels), briefs, percent), sets).where(linked).select("a", "b"), "rest")
+    if not rest.isEmpty():
+        labels = components(edges.union(rest))
 
     first = described.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
     by_set = first.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
