@@ -3,7 +3,8 @@
 Features are the distinct words of a text (letters only, case folded) and the words'
 first four to eight bytes. Which features count is decided by a likelihood-ratio test
 against the labels, in one distributed aggregation. A logistic model on them is fitted
-by full-batch descent on
+by full-batch descent, with some features hidden at each step so that a single word can
+decide, on
 
     mean log loss + ridge * |w|^2 + fairness * mean (z(x) - z(x'))^2
 
@@ -40,6 +41,8 @@ FEATURES = 4_096
 #: Least number of training rows with a feature, and least likelihood ratio of its association with the label.
 LEAST_ROWS, LEAST_RATIO = 3, 15.0
 PREFIXES = (4, 5, 6, 7, 8)
+#: Share of a row's features that a step of training sees.
+SHOWN = 0.7
 
 #: Identity terms by kind; within a kind each stands for any other in a neutral sentence. Fixed values, to be extended by the caller.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -163,24 +166,30 @@ def _matrix(lists: list) -> tuple[np.ndarray, np.ndarray]:
     return of, np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(of) else np.zeros(0, np.int64)
 
 
-def _descend(toxic: np.ndarray, own: list, swapped: list, size: int, ridge: float, fairness: float, steps: int) -> tuple[float, np.ndarray]:
+def _descend(toxic: np.ndarray, own: list, swapped: list, size: int, ridge: float, fairness: float, steps: int, seed: int = 9) -> tuple[float, np.ndarray]:
     n = len(toxic)
     (ro, co), (rs, cs) = _matrix(own), _matrix(swapped)
+    has = np.bincount(ro, minlength=n) > 0
+    random = np.random.default_rng(seed)
     w, b = np.zeros(size), float(np.log((toxic.sum() + 1) / (n - toxic.sum() + 1)))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
-        z = np.bincount(ro, w[co], n)
-        gap = z - np.bincount(rs, w[cs], n)
-        error = (1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - toxic) / n
-        pull = 2 * fairness * gap / n
-        g = np.append(np.bincount(co, (error + pull)[ro], size) - np.bincount(cs, pull[rs], size) + 2 * ridge * w, error.sum())
+        # some features are hidden at each step, so that none relies on the others
+        seen = random.random(len(co)) < SHOWN
+        rk, ck = ro[seen], co[seen]
+        z = np.bincount(rk, w[ck], n)
+        blind = has & (toxic > 0) & (np.bincount(rk, minlength=n) == 0)
+        error = np.where(blind, 0.0, 1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - toxic) / n
+        pull = 2 * fairness / n * (np.bincount(ro, w[co], n) - np.bincount(rs, w[cs], n))
+        g = np.bincount(ck, error[rk], size) + np.bincount(co, pull[ro], size) - np.bincount(cs, pull[rs], size) + 2 * ridge * w
+        g = np.append(g, error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
     return float(b), w
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, ridge: float = 2e-6, fairness: float = 1.0, steps: int = 400) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, ridge: float = 2e-6, fairness: float = 1.0, steps: int = 600) -> Model:
     """Fit on at most ``rows`` of the labelled rows of ``labels`` (doc_id, toxic)."""
     ship(docs.sparkSession)
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
