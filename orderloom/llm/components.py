@@ -7,42 +7,37 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import stored
 
+#: Edges that one task takes at least; small graphs aren't spread over hundreds of tasks.
+EDGES_PER_TASK = 100_000
 
-def components(edges: DataFrame) -> DataFrame:
+
+def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, label): the smallest node each node of ``edges`` (a, b) can reach.
 
-    Every round each node takes the smallest label among its neighbours' and its
-    own, then the label of its label; labels at least halve their distance to the
-    smallest on chains, and stars settle in two rounds. All steps are joins and
-    partially aggregated minima, so a node with many edges costs one row per task.
+    Each round every component of labels so far takes the smallest label that any of
+    its nodes sees at a neighbour, and then the label which that one takes. So whole
+    components move, and what remains at least halves on chains. All steps are joins
+    and partially aggregated minima: a node with many edges, or a component with many
+    nodes, costs one row per task. ``known`` are labels of some of the same edges.
     """
-    both = stored(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
+    both = edges.where("a <> b").select("a", "b")
+    both = stored(both.union(both.select("b", "a")).distinct(), "edges")
+    tasks = 4 + both.count() // EDGES_PER_TASK
+    both = both.coalesce(tasks)
+    labels = both.select(F.col("a").alias("node")).distinct()
+    if known is None:
+        labels = labels.withColumn("label", F.col("node"))
+    else:
+        labels = labels.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labels = stored(labels.coalesce(tasks), "labels")
     while True:
-        near = (
-            both.join(labels, both["b"] == labels["node"])
-            .select(F.col("a").alias("node"), "label")
-            .union(labels.select("node", "label"))
-            .union(labels.select(F.col("label").alias("node"), "label"))
-            .union(_pushed(both, labels))
-            .groupBy("node")
-            .agg(F.min("label").alias("near"))
-        )
-        parent = near.select(F.col("node").alias("parent"), F.col("near").alias("above"))
-        after = (
-            near.join(parent, near["near"] == parent["parent"])
-            .select("node", F.least("near", "above").alias("now"))
-            .join(labels, "node")
-            .select("node", F.col("now").alias("label"), (F.col("now") != F.col("label")).alias("changed"))
-        )
-        after = stored(after, "labels")
-        labels = after.select("node", "label")
-        if after.where("changed").isEmpty():
+        seen = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "label", F.lit(None).cast("long").alias("own"))
+        own = labels.select("node", "label", F.col("label").alias("own"))
+        near = seen.union(own).groupBy("node").agg(F.min("label").alias("near"), F.min("own").alias("own")).coalesce(tasks)
+        moves = stored(near.groupBy("own").agg(F.min("near").alias("to")).where("to < own").coalesce(tasks), "moves")
+        if moves.isEmpty():
             return labels
-
-
-def _pushed(both: DataFrame, labels: DataFrame) -> DataFrame:
-    """Each node's old label hears of the labels around that node, so that whole trees move at once."""
-    own = labels.select(F.col("node").alias("a"), F.col("label").alias("own"))
-    other = labels.select(F.col("node").alias("b"), F.col("label").alias("other"))
-    return both.join(own, "a").join(other, "b").where("other < own").select(F.col("own").alias("node"), F.col("other").alias("label"))
+        again = moves.select(F.col("own").alias("to"), F.col("to").alias("on"))
+        jumped = moves.join(again, "to", "left").select(F.col("own").alias("label"), F.coalesce("on", "to").alias("now"))
+        labels = labels.join(jumped, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+        labels = stored(labels.coalesce(tasks), "labels")

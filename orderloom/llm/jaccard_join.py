@@ -11,7 +11,8 @@ of the band, and a larger one that may still link with a member, keeps the segme
 with a toggled bit, each as a 64-bit signature of its content. If at most d shingles
 differ, at most d segments do, so (pigeonhole) of any d+1 of a set's segments one is
 equal in the other set. Both sides therefore emit their first d+1 segments in one
-global order (frequent contents last, fuller segments first), and every linked pair
+global order (frequent contents last; before them, by the total length of their
+shingles, what hardly meets by chance first), and every linked pair
 shares the smallest segment that they have in common. A set with too few segments to promise this emits
 all of them and a mark that meets the other sets of this sort. The order decides only
 how many pairs are looked at, never which are found.
@@ -36,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import arrow_batches, mix, ship, slices, stored, texts, texts_of_batch, word_hashes
+from orderloom.llm.common import arrow_batches, mix, ship, slices, stored, texts, texts_of_batch, word_spans
 from orderloom.llm.components import components
 
 #: Bits per shared signature in the filter that selects sets worth keeping, and its bits at most (64 MiB).
 #: Beyond that size it lets more through; what it lets through is joined exactly.
 BITS_EACH, FILTER_BITS = 32, 1 << 29
 PIECE_BITS = 1 << 19
+#: Ids of sets to verify that are broadcast at most (counted; about 32 MB); beyond it the sets are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Members of a hub that are compared with each other at a time, on either side.
 BLOCK = 1_024
 #: Bytes of a batch of texts or pairs of sets that a worker holds.
@@ -55,9 +58,16 @@ COUNTED_TOGETHER, FREQUENT_AMONG_THEM = 5_000, 3
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
+_LENGTH = np.uint64(15)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of consecutive texts, and the texts' offsets among them."""
-    words, bounds = word_hashes(data, offsets)
+    """Sorted distinct shingle hashes of consecutive texts, and the texts' offsets among them.
+
+    The lowest four bits of a hash tell the length of the shingle's words: long ones
+    hardly meet by chance.
+    """
+    words, bounds, _, lengths = word_spans(data, offsets)
     n = np.diff(bounds)
     sizes = np.where(n >= width, n - width + 1, np.minimum(n, 1))
     ends = np.cumsum(sizes)
@@ -66,7 +76,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
     for k in range(width if len(full) else 0):
         full += mix(words[k : k + len(full)] + _ODD[k % 5])
         full *= _ODD[0]
-    full = mix(full)
+    total = np.concatenate(([0], np.cumsum(lengths)))
+    full = mix(full) & ~_LENGTH | np.clip((total[width:] - total[:-width])[: len(full)] // 3 - 2, 0, 15).astype(np.uint64)
     kept = [0]
     for i, (count, end, size) in enumerate(zip(n.tolist(), ends.tolist(), sizes.tolist(), strict=True)):
         if size == 0:
@@ -80,6 +91,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
             own = np.full(1, count, np.uint64)
             for k in range(count):
                 own = mix(own * _ODD[1] + words[at + k : at + k + 1])
+            own |= _LENGTH
         out[kept[-1] : kept[-1] + len(own)] = own
         kept.append(kept[-1] + len(own))
     return out[: kept[-1]], np.array(kept, np.int64)
@@ -110,16 +122,16 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> Iterator
         at = np.repeat(bounds[:-1][own] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         token = hashes[at]
         of = np.repeat(np.arange(len(own)), size)
-        segments = np.uint64(max(2**band * 240 * (100 - percent) // (100 * percent), 64))  # just enough that a set fills d+1 of them
+        segments = np.uint64(max(2**band * 400 * (100 - percent) // (100 * percent), 64))  # a set fills about twice the d+1 that it emits
         segment = ((token >> np.uint64(32)) * segments) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], (segment[1:] != segment[:-1]) | (of[1:] != of[:-1]))))
         content = np.bitwise_xor.reduceat(mix(token | np.uint64(0xFFFFFFFF00000000)), first)
-        bits = np.diff(np.append(first, len(token)))
+        weight = np.add.reduceat((token & _LENGTH) + np.uint64(1), first).astype(np.int64)
         toggled = content != 0
-        first, content, bits = first[toggled], content[toggled], bits[toggled]
-        signature = mix(content + mix(segment[first] * np.uint64(64) + np.uint64(band)) + bits.astype(np.uint64))
+        first, content, weight = first[toggled], content[toggled], np.minimum(weight[toggled], 63)
+        signature = mix(content + mix(segment[first] * np.uint64(64) + np.uint64(band)) + weight.astype(np.uint64))
         of = of[first]
-        order = np.lexsort((-bits, of))  # stable: segments in order among equals
+        order = np.argsort((of << 6) + 63 - weight, kind="stable")  # segments in order among equals
         of, signature = of[order], signature[order]
         few = np.flatnonzero(np.bincount(of, minlength=len(own)) < need)
         mark = mix(np.full(len(few), band + (1 << 62), np.uint64))
@@ -364,10 +376,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared, size_a, size_b) of pairs of set ids."""
-    pairs = stored(pairs, "pairs")
+    """(a, b, shared, size_a, size_b) of stored pairs of set ids; only the sets in a pair are shuffled."""
     needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    sets = sets.join(needed, "set_id", "left_semi").groupBy("set_id").agg(F.first("hashes").alias("hashes"))
+    few = needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    sets = sets.join(F.broadcast(needed) if few else needed, "set_id", "left_semi").groupBy("set_id").agg(F.first("hashes").alias("hashes"))
     with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x")), "a")
     with_both = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y")), "b")
     return with_both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long, shared long, size_a long, size_b long")
@@ -482,15 +494,15 @@ def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
     gathered = rows.mapInArrow(_per_batch(_gather(percent, frequent, rank, filled), width), "set_id long, size long, signatures array<long>, sketch binary, hashes binary")
     gathered = stored(gathered, "gathered")
     sets = gathered.select("set_id", "hashes")
-    members = stored(gathered.select("set_id", F.explode("signatures").alias("signature")).distinct().join(shared, "signature"), "members")
-    briefs = gathered.select("set_id", "size", "sketch").join(members.select("set_id").distinct(), "set_id", "left_semi")
-    briefs = stored(briefs.groupBy("set_id").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "briefs")
+    briefs = stored(gathered.groupBy("set_id").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "briefs")
 
     linked = f"100 * shared >= {percent} * (size_a + size_b - shared)"
+    members = gathered.select("set_id", F.explode("signatures").alias("signature")).join(shared, "signature")
     stars = members.where("set_id <> hub").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
     stars = stored(_screened(stars, briefs, percent), "stars")
     known = stored(_verified(stars.where("close").select("a", "b"), sets), "known")
-    labels = components(known.where(linked).select("a", "b"))
+    edges = known.where(linked).select("a", "b")
+    labels = components(edges)
 
     distance = F.expr("1.0d - shared / (size_a + size_b - shared)")
     far = stars.join(known.select("a", "b", distance.alias("exact")), ["a", "b"], "left").select(
@@ -502,13 +514,15 @@ def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
     middle = left.groupBy("hub").agg(F.min(F.struct("most", "least", "set_id", "label")).alias("m"))
     second = left.join(middle, "hub").where("set_id <> m.set_id and label <> m.label")
     second = second.select(F.least("set_id", "m.set_id").alias("a"), F.greatest("set_id", "m.set_id").alias("b")).distinct()
-    second = stored(_verified(_screened(second, briefs, percent).where("close").select("a", "b"), sets).where(linked).select("a", "b"), "second")
-    edges = known.where(linked).select("a", "b").union(second)
+    second = stored(_screened(second, briefs, percent).where("close").select("a", "b"), "pairs")
+    second = stored(_verified(second, sets).where(linked).select("a", "b"), "second")
+    edges = edges.union(second)
     if not second.isEmpty():
-        labels = components(edges)
-    rest = stored(_verified(_close_pairs(_still_open(far, labels), briefs, percent), sets).where(linked).select("a", "b"), "rest")
+        labels = components(edges, labels)
+    rest = stored(_close_pairs(_still_open(far, labels), briefs, percent), "pairs")
+    rest = stored(_verified(rest, sets).where(linked).select("a", "b"), "rest")
     if not rest.isEmpty():
-        labels = components(edges.union(rest))
+        labels = components(edges.union(rest), labels)
 
     first = described.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
     by_set = first.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
