@@ -46,6 +46,10 @@ BITS_EACH, FILTER_BITS = 32, 1 << 29
 PIECE_BITS = 1 << 19
 #: Ids of sets to verify that are broadcast at most (counted; about 32 MB); beyond it the sets are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Rows of ids and numbers that one task takes at least.
+ROWS_PER_TASK = 50_000
+#: Sets that one task takes at least, once few are left.
+SETS_PER_TASK = 2_500
 #: Members of a hub that are compared with each other at a time, on either side.
 BLOCK = 1_024
 #: Bytes of a batch of texts or pairs of sets that a worker holds.
@@ -322,11 +326,11 @@ def _screen(percent: int):
     return run
 
 
-def _screened(pairs: DataFrame, briefs: DataFrame, percent: int) -> DataFrame:
+def _screened(pairs: DataFrame, briefs: DataFrame, percent: int, tasks: int) -> DataFrame:
     """(a, b, size_a, size_b, least, close): ``least`` is a lower bound of the Jaccard distance."""
     a = briefs.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("x"))
     b = briefs.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("y"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "size_a", "size_b", "x", "y")
+    both = pairs.join(a, "a").coalesce(tasks).join(b, "b").select("a", "b", "size_a", "size_b", "x", "y").coalesce(tasks)
     return both.mapInArrow(_screen(percent), "a long, b long, size_a long, size_b long, least double, close boolean")
 
 
@@ -375,13 +379,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(na, pa.int64()), pa.array(nb, pa.int64())], ["a", "b", "shared", "size_a", "size_b"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, tasks: int) -> DataFrame:
     """(a, b, shared, size_a, size_b) of stored pairs of set ids; only the sets in a pair are shuffled."""
     needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     few = needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     sets = sets.join(F.broadcast(needed) if few else needed, "set_id", "left_semi").groupBy("set_id").agg(F.first("hashes").alias("hashes"))
-    with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x")), "a")
-    with_both = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y")), "b")
+    with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x")), "a").coalesce(tasks)
+    with_both = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y")), "b").coalesce(tasks)
     return with_both.select("a", "b", "x", "y").mapInArrow(_compare, "a long, b long, shared long, size_a long, size_b long")
 
 
@@ -400,14 +404,14 @@ def jaccard_classes(docs: DataFrame, width: int = 5, percent: int = 75, key: str
         return _classes(texts(docs, key, text), width, percent)
 
 
-def _still_open(far: DataFrame, labels: DataFrame) -> DataFrame:
+def _still_open(far: DataFrame, labels: DataFrame, tasks: int) -> DataFrame:
     """Members, with their component's label, of hubs whose members are in several components."""
-    placed = far.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    placed = far.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id")).coalesce(tasks)
     split = placed.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("hub")
-    return stored(placed.join(split, "hub"), "open")
+    return stored(placed.join(split, "hub").coalesce(tasks), "open")
 
 
-def _close_pairs(left: DataFrame, briefs: DataFrame, percent: int) -> DataFrame:
+def _close_pairs(left: DataFrame, briefs: DataFrame, percent: int, tasks: int) -> DataFrame:
     """(a, b): members of one hub, in different components, that may link by size, triangle inequality and sketch.
 
     Members outside a hub's largest component are held against all of its members,
@@ -419,7 +423,7 @@ def _close_pairs(left: DataFrame, briefs: DataFrame, percent: int) -> DataFrame:
     groups = groups.select(
         "hub", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("data_blocks"), F.ceil((F.col("n") - F.col("most_in_one")) / BLOCK).cast("int").alias("query_blocks")
     )
-    rows = stored(left.join(groups, "hub").join(briefs.select("set_id", "sketch"), "set_id"), "blocks")
+    rows = stored(left.join(groups, "hub").join(briefs.select("set_id", "sketch"), "set_id").coalesce(tasks), "blocks")
     own = lambda n: F.pmod(F.xxhash64("set_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     values = ("set_id", "label", "size", "least", "most", "sketch")
@@ -493,14 +497,16 @@ def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
     filled = spark.sparkContext.broadcast(_filter(shared))
     gathered = rows.mapInArrow(_per_batch(_gather(percent, frequent, rank, filled), width), "set_id long, size long, signatures array<long>, sketch binary, hashes binary")
     gathered = stored(gathered, "gathered")
+    # few sets are left: so many tasks as they fill, not as all documents would
+    tasks = 8 + gathered.count() // SETS_PER_TASK
     sets = gathered.select("set_id", "hashes")
-    briefs = stored(gathered.groupBy("set_id").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")), "briefs")
+    briefs = stored(gathered.groupBy("set_id").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")).coalesce(tasks), "briefs")
 
     linked = f"100 * shared >= {percent} * (size_a + size_b - shared)"
-    members = gathered.select("set_id", F.explode("signatures").alias("signature")).join(shared, "signature")
+    members = gathered.select("set_id", F.explode("signatures").alias("signature")).join(shared, "signature").coalesce(tasks)
     stars = members.where("set_id <> hub").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
-    stars = stored(_screened(stars, briefs, percent), "stars")
-    known = stored(_verified(stars.where("close").select("a", "b"), sets), "known")
+    stars = stored(_screened(stars, briefs, percent, tasks), "stars")
+    known = stored(_verified(stars.where("close").select("a", "b"), sets, tasks), "known")
     edges = known.where(linked).select("a", "b")
     labels = components(edges)
 
@@ -508,26 +514,28 @@ def _classes(rows: DataFrame, width: int, percent: int) -> DataFrame:
     far = stars.join(known.select("a", "b", distance.alias("exact")), ["a", "b"], "left").select(
         F.col("a").alias("hub"), F.col("b").alias("set_id"), F.coalesce("exact", "least").alias("least"), F.coalesce("exact", F.lit(1.0)).alias("most"), F.col("size_b").alias("size")
     )
-    far = stored(far, "far")
+    far = stored(far.coalesce(tasks), "far")
     # the member nearest to a hub is likelier to be in the middle of its group: a second hub
-    left = _still_open(far, labels)
+    left = _still_open(far, labels, tasks)
     middle = left.groupBy("hub").agg(F.min(F.struct("most", "least", "set_id", "label")).alias("m"))
     second = left.join(middle, "hub").where("set_id <> m.set_id and label <> m.label")
     second = second.select(F.least("set_id", "m.set_id").alias("a"), F.greatest("set_id", "m.set_id").alias("b")).distinct()
-    second = stored(_screened(second, briefs, percent).where("close").select("a", "b"), "pairs")
-    second = stored(_verified(second, sets).where(linked).select("a", "b"), "second")
+    second = stored(_screened(second, briefs, percent, tasks).where("close").select("a", "b"), "pairs")
+    second = stored(_verified(second, sets, tasks).where(linked).select("a", "b"), "second")
     edges = edges.union(second)
     if not second.isEmpty():
         labels = components(edges, labels)
-    rest = stored(_close_pairs(_still_open(far, labels), briefs, percent), "pairs")
-    rest = stored(_verified(rest, sets).where(linked).select("a", "b"), "rest")
+    rest = stored(_close_pairs(_still_open(far, labels, tasks), briefs, percent, tasks), "pairs")
+    rest = stored(_verified(rest, sets, tasks).where(linked).select("a", "b"), "rest")
     if not rest.isEmpty():
         labels = components(edges.union(rest), labels)
 
-    first = described.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    by_set = first.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    lowest = by_set.groupBy("label").agg(F.min("first").alias("component_id"))
-    ids = by_set.join(lowest, "label").select("set_id", "component_id")
-    full = described.where("n_shingles > 0").join(ids, "set_id").select("doc_id", "n_shingles", "set_id", "component_id")
+    rows_per_task = 8 + described.count() // ROWS_PER_TASK
+    full = described.where("n_shingles > 0")
+    first = full.groupBy("set_id").agg(F.min("doc_id").alias("first")).coalesce(rows_per_task)
+    by_set = first.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id")).coalesce(rows_per_task)
+    lowest = by_set.groupBy("label").agg(F.min("first").alias("component_id")).coalesce(rows_per_task)
+    ids = stored(by_set.join(lowest, "label").select("set_id", "component_id").coalesce(rows_per_task), "ids")
+    full = full.join(ids, "set_id").select("doc_id", "n_shingles", "set_id", "component_id")
     empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", "set_id", F.col("doc_id").alias("component_id"))
     return full.unionAll(empty)
