@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import packing, secret_scan, toxicity
 from orderloom.llm.catalog import TOXIC
-from orderloom.llm.common import new_path, ship
-from orderloom.llm.jaccard_join import jaccard_classes
+from orderloom.llm.common import new_path, ship, stored
+from orderloom.llm.jaccard_join import BROADCAST_IDS, jaccard_classes
 
 #: What stands for rows in the second stage; not a column of documents.
 _ROW = "__row"
@@ -41,7 +41,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", _ROW)
     kept = members.groupBy("component_id").agg(F.min(order)[_ROW].alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
     rest = members.join(kept, "component_id").where(F.col(_ROW) != F.col("kept")).select(_ROW)
-    return numbered.join(rest, _ROW, "left_anti").select(*docs.columns)
+    rest = stored(rest, "copies")
+    # counted: 16 MB of row numbers at most are broadcast, more are joined by a shuffle of the rows
+    few = rest.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return numbered.join(F.broadcast(rest) if few else rest, _ROW, "left_anti").select(*docs.columns)
 
 
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
