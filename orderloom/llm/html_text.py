@@ -8,7 +8,10 @@ joined by edges that are the stronger the closer the blocks are in the element t
 The minimum cut between the terminals is the labelling of least total cost, so a short
 line between two paragraphs stays and a sentence in a menu goes.
 
-Scripts, styles, comments in the markup and form controls never make a block.
+Scripts, styles, comments in the markup and form controls never make a block. Such an
+element ends with its own end tag; if that doesn't come before an enclosing element's,
+it was never closed and ends with the next block that starts, so what follows is read.
+Scripts and styles alone run to their end tag or the page's end, as in HTML.
 Character references are decoded, white space in a block becomes one space, blocks are
 joined by a line break. A markup that breaks off is read up to there. Null and empty
 pages have the empty text. Pages are handled one by one, so repeated rows agree; each
@@ -38,7 +41,11 @@ _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-_SILENT = frozenset("script style noscript template svg math head title iframe object select option button textarea datalist canvas audio video map".split())
+_SILENT = frozenset("script style noscript template svg title iframe select option button textarea datalist canvas audio video".split())
+#: Silent elements that can't hold themselves: the next one ends an open one.
+_SINGLE = frozenset("noscript title iframe select option button textarea".split())
+#: Silent elements whose content is no markup, if they are closed.
+_RAW = {tag: re.compile(rf"<(/?){tag}\b", re.IGNORECASE) for tag in ("title", "textarea", "iframe")}
 _CONTENT = frozenset(("article", "main"))
 _BOILERPLATE = frozenset(("nav", "aside", "footer", "form", "menu", "dialog", "search", "header"))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -67,14 +74,110 @@ class Block:
 
 
 class _Reader(HTMLParser):
+    """Records a page's tags and texts with the end of every silent element, and then makes blocks of them."""
+
+    CDATA_CONTENT_ELEMENTS = ("script", "style", *_RAW)
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
+        self._events: list[tuple[int, str, list]] = []  # 1: start, -1: end, 0: text
+        self._nested: list[tuple[str, int]] = []  # tag, event of its start
+        self._ends: dict[int, tuple[int, bool]] = {}  # start of a silent element: event that ends it, whether it is its own end tag
+        self._unclosed: set[str] = set()  # of _RAW: no end tag follows
         self._open: list[tuple[str, int, int]] = []  # tag, number, what it tells
-        self._silent: list[str] = []
         self._text: list[str] = []
         self._links, self._linked, self._made = 0, 0, 0
 
+    def parse_starttag(self, i: int) -> int:
+        self._at = i
+        return self._whole(super().parse_starttag(i), i)
+
+    def parse_endtag(self, i: int) -> int:
+        return self._whole(super().parse_endtag(i), i)
+
+    def parse_pi(self, i: int) -> int:
+        return self._whole(super().parse_pi(i), i)
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self._whole(super().parse_html_declaration(i), i)
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        found = _COMMENT.match(self.rawdata, i)
+        return found.end() if found else len(self.rawdata)
+
+    def _whole(self, end: int, i: int) -> int:
+        """Markup that breaks off with the page is no text."""
+        return len(self.rawdata) if end < 0 and _BROKEN_OFF.match(self.rawdata, i) else end
+
+    def set_cdata_mode(self, elem: str) -> None:
+        if elem in _RAW:
+            found = None if elem in self._unclosed else _RAW[elem].search(self.rawdata, self._at + 1)
+            if found is None:
+                self._unclosed.add(elem)
+            if found is None or not found[1]:
+                return
+        super().set_cdata_mode(elem)
+
+    def _leave(self, k: int, closed: bool) -> None:
+        """The element at place ``k`` ends here and all in it."""
+        for at, (tag, start) in enumerate(self._nested[k:], k):
+            if tag in _SILENT:
+                self._ends[start] = (len(self._events), closed and at == k)
+        del self._nested[k:]
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in _SINGLE:
+            for k in range(len(self._nested) - 1, -1, -1):
+                if self._nested[k][0] == tag:
+                    self._leave(k, False)
+                    break
+        if tag in _SILENT or (tag in _BLOCK and tag != "hr"):
+            self._nested.append((tag, len(self._events)))
+        self._events.append((1, tag, attrs))
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in ("body", "html"):
+            self._leave(0, False)
+        elif tag in _SILENT or tag in _BLOCK:
+            for k in range(len(self._nested) - 1, -1, -1):
+                if self._nested[k][0] == tag:
+                    self._leave(k, True)
+                    break
+                if tag == "p" and self._nested[k][0] in _SILENT:
+                    break
+        self._events.append((-1, tag, []))
+
+    def handle_data(self, data: str) -> None:
+        self._events.append((0, data, []))
+
+    def read(self, html: str) -> list[Block]:
+        self.feed(html)
+        self.close()
+        self._leave(0, False)
+        i, silent = 0, 0  # silent: event at which an element that was never closed ends at the latest
+        while i < len(self._events):
+            kind, value, attrs = self._events[i]
+            if kind > 0 and value in _SILENT:
+                end, closed = self._ends[i]
+                if closed:
+                    i = end
+                else:
+                    silent = max(silent, end)
+            else:
+                if kind > 0 and (value in _BLOCK or value == "body"):
+                    silent = 0
+                if i >= silent:
+                    if kind > 0:
+                        self._start(value, attrs)
+                    elif kind < 0:
+                        self._end(value)
+                    else:
+                        self._add(value)
+            i += 1
+        self._flush()
+        return self.blocks
+
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
@@ -84,15 +187,7 @@ class _Reader(HTMLParser):
             self._text = []
         self._linked = 0
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self._silent:
-            if tag == self._silent[-1]:
-                self._silent.append(tag)
-            return
-        if tag in _SILENT:
-            # an open head ends with its body
-            self._silent.append(tag)
-            return
+    def _start(self, tag: str, attrs: list) -> None:
         if tag == "a":
             self._links = 1
         elif tag == "br":
@@ -117,11 +212,7 @@ class _Reader(HTMLParser):
                 self._made += 1
                 self._open.append((tag, self._made, told))
 
-    def handle_endtag(self, tag: str) -> None:
-        if self._silent:
-            if tag == self._silent[-1]:
-                self._silent.pop()
-            return
+    def _end(self, tag: str) -> None:
         if tag == "a":
             self._links = 0
         elif tag in _BLOCK:
@@ -131,32 +222,19 @@ class _Reader(HTMLParser):
                     del self._open[k:]
                     break
 
-    def handle_data(self, data: str) -> None:
-        if not self._silent:
-            self._text.append(data)
-            if self._links:
-                self._linked += len(data)
+    def _add(self, data: str) -> None:
+        self._text.append(data)
+        if self._links:
+            self._linked += len(data)
 
 
-_BROKEN_OFF = re.compile(r"<(?:[/!?a-zA-Z][^<>]*|!--(?:(?!-->).)*)$", re.DOTALL)
-_HEAD = re.compile(r"<body\b|</head\s*>", re.IGNORECASE)
+_BROKEN_OFF = re.compile(r"<[/!?a-zA-Z][^<>]*$")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?--!?\s*>)", re.DOTALL)
 
 
 def blocks(html: str) -> list[Block]:
     """Text blocks of a page in order."""
-    last = html.rfind("<")
-    comment = html.rfind("<!--")
-    if comment >= 0 and html.find("-->", comment) < 0:
-        html = html[:comment]
-    elif last >= 0 and html.find(">", last) < 0 and _BROKEN_OFF.match(html, last):
-        html = html[:last]
-    if not _HEAD.search(html):
-        html = re.sub(r"<head\b[^>]*>", "", html, flags=re.IGNORECASE)
-    reader = _Reader()
-    reader.feed(html)
-    reader.close()
-    reader._flush()
-    return reader.blocks
+    return _Reader().read(html)
 
 
 def features(block: Block) -> list[float]:

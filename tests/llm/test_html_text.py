@@ -45,6 +45,22 @@ def test_other_layouts():
     assert h.main_text(plain, h._PRIOR) == "\n".join([LONG.strip(), "Yes.", LONG.strip()])
 
 
+def test_what_is_never_closed_hides_nothing():
+    body = f"<article><p>{LONG}</p><p>{LONG * 2}</p></article>"
+    wanted = f"{LONG.strip()}\n{(LONG * 2).strip()}"
+    for head in ("<head><title>T</title>", "<head><title>T", "<head><noscript><link href=x>", '<head><script>var s="<!--";</script>', "<!--><head><meta charset=x>"):
+        for start in ("<body>", ""):
+            assert h.main_text(f"<html>{head}{start}{body}", h._PRIOR) == wanted, head + start
+            assert h.main_text(f"<html>{head}{start}{body}</body></html>", h._PRIOR) == wanted, head + start
+    for tag in ("noscript", "button", "select", "svg", "textarea", "iframe", "video", "template", "option"):
+        for page in (f"<div><{tag}>no</div>{body}", f"<div><{tag}>no{body}</div>", f"<{tag}>no{body}<div><{tag}>no</{tag}></div>", f"<div><{tag}>no<div>no</div>no</{tag}></div>{body}"):
+            assert h.main_text(page, h._PRIOR) == wanted, page
+    for tag in ("math", "object", "map"):
+        assert h.main_text(f"<article><p>{LONG}<{tag}>x = 1</{tag}></p></article>", h._PRIOR) == f"{LONG}x = 1"
+    for script in ("script", "style"):
+        assert h.main_text(f"<article><p>{LONG}</p><{script}>a = '<!--'</{script}><p>{LONG * 2}</p></article><!-- open <p>{LONG}", h._PRIOR) == wanted
+
+
 def test_edge_rows(spark):
     rows = [
         (1, "u", None), (2, None, ""), (3, "u", "no markup at all, but a sentence that reads like text. " * 3), (4, "u", f"<article><p>{LONG}</p><p>cut &amp; <b>of"),
