@@ -66,6 +66,25 @@ def test_edge_rows(make_docs):
     assert "0a1b2c3d4e5f607182" in by_rule
 
 
+def test_whole_values_whatever_their_characters(make_docs):
+    pgp = "-----BEGIN PGP PRIVATE KEY BLOCK-----\nlQdGBF\n-----END PGP PRIVATE KEY BLOCK-----"
+    planted = [
+        ('password = "Xk9$mQ2#vL7!pR"', "Xk9$mQ2#vL7!pR"), ("password=Tr0ub4dor&3extra!", "Tr0ub4dor&3extra!"), ("password     =          qzxvkjwpgh", "qzxvkjwpgh"),
+        ("the password is qzxvkjwpgh, as told", "qzxvkjwpgh"), ("passphrase: 'é9$ü#7ñ!2öß4&x'", "é9$ü#7ñ!2öß4&x"), ("login?token=a9f3k2m8q7w1z5x4&user=me", "a9f3k2m8q7w1z5x4"), (pgp, pgp),
+    ]
+    for text, secret in planted[:-1]:
+        assert secret in {x.text for x in s.candidates(text, np.frombuffer(text.encode(), np.uint8))}, text
+    prose = [(10_000 + k, f"apple the password is {w} melon") for k, w in enumerate(["required", "banana", "orange", "melon"] * 20)]
+    model = s.fit(make_docs(*corpus_rows(), *prose))
+    docs = make_docs(*((k, f"apple {text} melon") for k, (text, _) in enumerate(planted)), (99, "apple the password is required melon"))
+    clean = {r["doc_id"]: r["text"] for r in s.redacted(docs, model).collect()}
+    for k, (text, secret) in enumerate(planted):
+        assert clean[k] == f"apple {text.replace(secret, s.REPLACEMENT)} melon"
+    assert clean[99] == "apple the password is required melon"
+    found = {r["doc_id"]: r["secret"] for r in s.findings(docs, model).collect()}
+    assert found == {k: secret for k, (_, secret) in enumerate(planted)}
+
+
 def test_forest_learns_a_rule():
     r = np.random.default_rng(2)
     x = r.random((1500, s.FEATURES))
