@@ -1,7 +1,8 @@
 """Toxicity: a classifier whose score must not change when identity terms are swapped.
 
-Features are the distinct words of a text (letters only, case folded) and the words'
-first four to eight bytes. Which features count is decided by a likelihood-ratio test
+Features are the distinct words of a text (Unicode letters with their marks, case
+folded) and the words' first four to eight letters; scripts written without blanks have
+all their runs of one to six letters instead, at every position. Which features count is decided by a likelihood-ratio test
 against the labels, in one distributed aggregation. A logistic model on them is fitted
 by full-batch descent, with some features hidden at each step so that a single word can
 decide, on
@@ -23,8 +24,10 @@ toxic if any of its labels says so.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,8 @@ FEATURES = 4_096
 #: Least number of training rows with a feature, and least likelihood ratio of its association with the label.
 LEAST_ROWS, LEAST_RATIO = 3, 15.0
 PREFIXES = (4, 5, 6, 7, 8)
+#: Lengths of the runs of letters in scripts without blanks.
+GRAMS = (1, 2, 3, 4, 5, 6)
 #: Share of a row's features that a step of training sees.
 SHOWN = 0.7
 
@@ -64,40 +69,90 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
-def _fold(data: np.ndarray) -> np.ndarray:
-    """Lower case of ASCII and of the two-byte letters from U+00C0 to U+00DE."""
-    out = data.copy()
-    out[(data >= 65) & (data <= 90)] += 32
-    second = np.flatnonzero(data[:-1] == 0xC3) + 1
-    upper = second[(data[second] >= 0x80) & (data[second] <= 0x9E) & (data[second] != 0x97)]
-    out[upper] += 32
-    return out
+#: Thai, Lao, Tibetan, Myanmar, Khmer, New Tai Lue and Tai Tham, kana, Han, Yi, Javanese, Myanmar and Tai Viet, kana halves and supplements, Han.
+_WITHOUT_BLANKS = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+    (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x323AF),
+)
+_NONE, _LETTER, _DENSE, _MARK = range(4)
+_POINTS = 0x323B1  # no letters from the last on
+
+
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Folded form and kind of each code point."""
+    folded, kinds = np.arange(_POINTS, dtype=np.uint32), np.zeros(_POINTS, np.uint8)
+    for point in range(_POINTS):
+        char = chr(point)
+        if char.isalpha():
+            kinds[point] = _LETTER
+            low = char.casefold()
+            folded[point] = ord(low if len(low) == 1 else char.lower()[0])
+        elif unicodedata.category(char)[0] == "M":
+            kinds[point] = _MARK
+    for first, last in _WITHOUT_BLANKS:
+        part = kinds[first : last + 1]
+        part[part == _LETTER] = _DENSE
+    return folded, kinds
+
+
+def _points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of consecutive texts in UTF-8, and the texts' offsets among them."""
+    if not len(data) or data.max() < 128:
+        return data, offsets
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    points = data[at].astype(np.uint32)
+    wide = np.flatnonzero(points >= 0xC0)
+    lead = points[wide]
+    after = np.concatenate((data, np.zeros(3, np.uint8))).astype(np.uint32) & 0x3F
+    second, third, fourth = (after[at[wide] + k] for k in (1, 2, 3))
+    four = ((lead & 7) << 18) | (second << 12) | (third << 6) | fourth
+    points[wide] = np.where(lead < 0xE0, ((lead & 0x1F) << 6) | second, np.where(lead < 0xF0, ((lead & 0xF) << 12) | (second << 6) | third, four))
+    return np.minimum(points, _POINTS - 1), np.searchsorted(at, offsets)
 
 
 def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature hashes of consecutive texts, not yet distinct, and the index of the text of each."""
-    data = _fold(data)
-    inside = ((data >= 97) & (data <= 122)) | (data >= 128)
-    begins, ends = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    ends[:-1] &= ~inside[1:]
-    full = offsets[:-1] < offsets[1:]
-    heads, tails = offsets[:-1][full], offsets[1:][full] - 1
-    begins[heads], ends[tails] = inside[heads], inside[tails]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    if not len(starts):
+    points, offsets = _points(data, offsets)
+    if not len(points):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    power, inverse = common._powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    of = np.searchsorted(offsets, starts, "right") - 1
-    scale = inverse[starts]
-    hashes, owners = [mix((sums[stops] - sums[starts]) * scale)], [of]
+    folded, kinds = _tables()
+    kind, points = kinds[points], folded[points]
+    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+    if (marks := kind == _MARK).any():
+        # a mark belongs to the letter before it; without one it is no letter
+        kind[heads[marks[heads]]] = _NONE
+        base = np.maximum.accumulate(np.where(kind == _MARK, 0, np.arange(len(kind))))
+        kind = kind[base]
+    change = np.concatenate(([True], kind[1:] != kind[:-1]))
+    change[heads] = True
+    starts = np.flatnonzero(change)
+    stops = np.append(starts[1:], len(kind))
+    kind = kind[starts]
+    power, inverse = common._powers(len(points))
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * power[: len(points)], out=sums[1:])
+
+    def hashed(begins: np.ndarray, ends: np.ndarray, tag: int = 0) -> np.ndarray:
+        return mix((sums[ends] - sums[begins]) * inverse[begins] + np.uint64(tag << 56))
+
+    words, dense = kind == _LETTER, kind == _DENSE
+    begins, ends = starts[words], stops[words]
+    of = np.searchsorted(offsets, begins, "right") - 1
+    hashes, owners = [hashed(begins, ends)], [of]
     for n in PREFIXES:
-        long = stops - starts > n
-        at = starts[long]
-        hashes.append(mix((sums[at + n] - sums[at]) * scale[long] + np.uint64(n << 56)))
+        long = ends - begins > n
+        hashes.append(hashed(begins[long], begins[long] + n, n))
         owners.append(of[long])
+    if dense.any():
+        lengths = stops[dense] - starts[dense]
+        ends = np.repeat(stops[dense], lengths)
+        begins = ends - np.repeat(np.cumsum(lengths), lengths) + np.arange(len(ends))
+        of = np.searchsorted(offsets, begins, "right") - 1
+        for n in GRAMS:
+            fits = ends - begins >= n
+            hashes.append(hashed(begins[fits], begins[fits] + n, 64 + n))
+            owners.append(of[fits])
     return np.concatenate(hashes), np.concatenate(owners)
 
 

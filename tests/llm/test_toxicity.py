@@ -78,3 +78,33 @@ def test_features_ignore_case_and_marks():
 
     assert of("RÉEUX!! scum###") == of("réeux SCUM")
     assert len(of("abcdefghi")) == 1 + len(t.PREFIXES)
+
+
+def test_words_end_at_marks_of_any_script(make_docs, spark):
+    def of(*texts):
+        data = [x.encode() for x in texts]
+        hashes, owners = t.word_features(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        return [set(hashes[owners == k].tolist()) for k in range(len(texts))]
+
+    word, *others = of("moron", "“moron”", "a\u00a0moron", "so—moron…", "你好moron你好", "❤\ufe0fmoron", "MORON", "\u0301moron")
+    assert all(word <= x for x in others)
+    for upper, lower in (("ДУРАК", "дурак"), ("ΜΩΡΟΣ", "μωρος"), ("ÉÇÀ", "éçà")):
+        one, two = of(upper, lower)
+        assert one == two
+    thai, line = of("ควาย", "เขาเป็นควายจริง")
+    assert thai <= line
+    one, two, empty = of("傻瓜", "他真是个大傻瓜。", "")
+    assert one <= two and not empty
+    assert of("傻", "瓜")[0].isdisjoint(of("傻", "瓜")[1])
+
+    r = random.Random(1)
+    rows, labels = [], []
+    for k in range(300):
+        text = [r.choice("天地人山水火木金土日月") for _ in range(20)]
+        if k % 3 == 0:
+            text[r.randrange(3, 15)] = "傻瓜"
+        rows.append((k, "".join(text)))
+        labels.append((k, int(k % 3 == 0)))
+    model = t.fit(make_docs(*rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r["doc_id"]: r["toxic_score"] for r in t.score(make_docs((1, "天地人山水火木金土傻瓜日月"), (2, "天地人山水火木金土日月")), model).collect()}
+    assert found[2] < 0.3 and found[1] > 0.7
