@@ -74,3 +74,24 @@ def test_likeness():
     assert f.likeness(one, one) == 1.0
     reversed_order = "".join(f"{k:08x}{10 * (20 - k):08x}" for k in range(20))
     assert f.likeness(one, reversed_order) < 0.1
+
+
+def test_long_texts_keep_all_anchors():
+    r = random.Random(5)
+    words = lambda n: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    passage = words(50)
+    one, two = (f"{words(10_000)} {passage} {words(10_000)}" for _ in range(2))
+    a, b = f.fingerprints([one, two])
+    shared = f._split(a).keys() & f._split(b).keys()
+    inside = f._split(f.fingerprints([passage])[0]).keys()
+    assert len(inside) > 30 and inside <= shared
+    assert len(f._split(a)) > 0.15 * len(one) and len(a) < 1.5 * len(one)
+    dice = 2 * len(inside) / (len(f._split(a)) + len(f._split(b)))
+    assert 0.9 * dice <= f.likeness(a, b) <= 1.2 * dice
+    half = f.half_replaced(one, two)
+    assert f.likeness(a, f.fingerprints([half])[0]) == pytest.approx(0.5, abs=0.01)
+
+
+def test_coding_gives_back_anchors():
+    plain = "".join(f"{h:08x}{p:08x}" for h, p in ((7, 0), (1, 254), (2**32 - 1, 509), (3, 510), (5, 3_000_000)))
+    assert f._split(f._written(f._read(plain))) == f._split(plain) == {7: 0, 1: 254, 2**32 - 1: 509, 3: 510, 5: 3_000_000}
