@@ -91,3 +91,16 @@ def test_forest_learns_a_rule():
     y = ((x[:, 2] > 0.6) & (x[:, 5] < 0.5)).astype(float)
     forest = s.Forest(x[:1000], y[:1000])
     assert ((forest.score(x[1000:]) >= 0.5) == (y[1000:] == 1)).mean() > 0.95
+
+
+def test_dictionary_does_not_change_with_the_size(make_docs):
+    words = lambda copies: [(k, " ".join(["apple"] * 299 + ["banana"])) for k in range(300 * copies)] + [(-k, f"rareword{k} rareword{k} melon") for k in range(copies)]
+    small, large = (s.learn_corpus(make_docs(*words(n))) for n in (1, 8))
+
+    def usual(corpus, *names):
+        return s._usual(list(names), corpus).tolist()
+
+    # 'rareword0' is twice among 90,000 words, and twice among 720,000; the others keep their shares
+    assert usual(small, "apple", "banana", "melon") == [True, True, False]
+    assert usual(large, "apple", "banana", "melon") == [True, True, False]
+    assert not usual(large, "rareword0")[0]
