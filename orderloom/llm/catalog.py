@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, hidden_markov, html_text, id_files, secret_scan, toxicity
+from orderloom.llm import bpe, hidden_markov, html_text, id_files, piece_bpe, secret_scan, toxicity
 from orderloom.llm.common import new_path
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
@@ -95,6 +95,17 @@ def op10_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents by merge rounds over the pieces, and the text they decode to, as digests."""
+    found = piece_bpe.coded(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
@@ -106,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_html_extraction": op9_html_extraction,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op11_piece_bpe": op11_piece_bpe,
 }
 
 _OP1 = r"""
