@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe, hidden_markov, html_text, id_files, piece_bpe, secret_scan, toxicity
+from orderloom.llm import alignment, bpe, hidden_markov, html_text, id_files, piece_bpe, secret_scan, toxicity
 from orderloom.llm.common import new_path
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
@@ -106,6 +106,12 @@ def op11_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures of the alignment of two tokenizers over every document, each distinct text aligned once."""
+    docs = _table(spark, folder, "documents")
+    return alignment.measures(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
@@ -118,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_prefix_bpe": op10_prefix_bpe,
     "op11_piece_bpe": op11_piece_bpe,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 _OP1 = r"""

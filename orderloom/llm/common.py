@@ -21,6 +21,8 @@ from orderloom.sources.tables import shared_folder
 
 #: Bytes of text that are hashed at a time; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 18
+#: Share of all rows (one in so many) from which a class is too large to be dealt by its key.
+LARGE = 1_000
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -65,6 +67,23 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def joined_classes(rows: DataFrame, classes: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the columns of ``classes``, which has one row per ``key`` and the number of its rows in ``size``; a left join.
+
+    Classes of more than one in ``LARGE`` of all rows can't be more than ``LARGE``: these
+    are broadcast. Rows they match take part in the shuffle under keys of their own, so no task gets
+    a large class. ``classes`` is read three times, so it must be stored rows.
+    """
+    others = [c for c in classes.columns if c != key]
+    total = classes.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) * LARGE > total
+    few = classes.where(large).select(key, F.struct(*others).alias("__large"))
+    rest = classes.where(~large).select(key, F.struct(*others).alias("__small"), F.lit(0).alias("__strand"))
+    spread = F.when(F.col("__large").isNull(), 0).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).cast("int")
+    found = rows.join(F.broadcast(few), key, "left").withColumn("__strand", spread).join(rest, [key, "__strand"], "left")
+    return found.select(*rows.columns, *[F.coalesce(F.col("__large")[c], F.col("__small")[c]).alias(c) for c in others])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (the public splitmix64 constants)."""
     x = x ^ (x >> np.uint64(30))

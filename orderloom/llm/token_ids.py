@@ -16,40 +16,53 @@ from orderloom.llm.pieces import Pieces
 END, ROWS = 0, 256
 
 
-@lru_cache(maxsize=2)
-def _worker(path: str) -> Pieces:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-    from tokenizers import Tokenizer
+class ByteTokens:
+    """A byte-level tokenizer; ``special_as_text`` reads the strings of special tokens as any other text."""
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
+        from tokenizers import Tokenizer
 
-    starts = np.array([tokenizer.id_to_token(i)[:1] in ("Ġ", "Ċ") for i in range(tokenizer.get_vocab_size())])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_as_text
+        self._starts = np.array([self.tokenizer.id_to_token(i)[:1] in ("Ġ", "Ċ") for i in range(self.tokenizer.get_vocab_size())])
 
-    def whole(texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(texts: list[str]) -> list[bytes]:
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """The same for pieces of text that start with a space or line break and hold no other."""
         # as one text: only the first token of a piece begins with its space or line break
-        ids = np.frombuffer(b"".join(whole(["".join(texts)])), "<u4")
-        bounds = np.flatnonzero(starts[ids]).tolist()
+        ids = np.frombuffer(b"".join(self.whole(["".join(texts)])), "<u4")
+        bounds = np.flatnonzero(self._starts[ids]).tolist()
         if not bounds or len(bounds) != len(texts):
-            return whole(texts)
+            return self.whole(texts)
         data = ids.tobytes()
         return [data[4 * a : 4 * b] for a, b in zip(bounds, [*bounds[1:], len(ids)], strict=True)]
 
-    return Pieces(pieces, whole)
+
+@lru_cache(maxsize=2)
+def _tokens(path: str) -> ByteTokens:
+    return ByteTokens(path)
+
+
+def encoder(path: str) -> Pieces:
+    """Encodes texts as the library's plain call does; what it remembers goes with it."""
+    tokens = _tokens(path)
+    return Pieces(tokens.pieces, tokens.whole)
 
 
-def token_ids(texts: list[str], path: str) -> list[bytes]:
+def token_ids(texts: list[str], encode: Pieces) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers, the end id appended."""
     end = np.array([END], "<u4").tobytes()
-    return [x + end for x in _worker(path)(texts)]
+    return [x + end for x in encode(texts)]
 
 
 def runs(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batches in runs of a few rows, each with its texts' ids."""
+    """The batches of a task in runs of a few rows, each with its texts' ids."""
+    encode = encoder(path)
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS):
             batch = whole.slice(at, ROWS)
-            yield batch, token_ids(texts_of_batch(batch).to_pylist(), path)
+            yield batch, token_ids(texts_of_batch(batch).to_pylist(), encode)

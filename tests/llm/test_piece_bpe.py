@@ -94,7 +94,7 @@ def test_equal_and_inverted_ranks_join_from_the_left():
         points = of.char_symbol[[ord(x) for x in text]]
         first = np.zeros(len(text), bool)
         first[0] = True
-        assert of._rounds(points, first)[0].tolist() == of._heap(points.tolist())[0]
+        assert of._rounds(points.copy(), first)[0].tolist() == of._heap(points.tolist())[0]
 
 
 def test_other_models_are_refused(tmp_path):
