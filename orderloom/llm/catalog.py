@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm import alignment, bpe, hidden_markov, html_text, id_files, piece_bpe, secret_scan, toxicity
+from orderloom.llm.collocations import collocations
 from orderloom.llm.common import new_path
 from orderloom.llm.fingerprints import fingerprinted
 from orderloom.llm.jaccard_join import jaccard_classes
@@ -112,6 +113,11 @@ def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.measures(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 strongest phrases of each language of all documents."""
+    return collocations(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_packing": op2_packing,
@@ -125,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op10_prefix_bpe": op10_prefix_bpe,
     "op11_piece_bpe": op11_piece_bpe,
     "op12_token_alignment": op12_token_alignment,
+    "op13_collocations": op13_collocations,
 }
 
 _OP1 = r"""
@@ -157,6 +164,46 @@ SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS co
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+_OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM worded GROUP BY lang),
+counted AS (
+  SELECT lang, m AS len, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM worded, range(1, 6) AS lengths(m))
+  GROUP BY ALL HAVING count(*) >= 100
+),
+inside AS (
+  SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:len - 1], ' '), array_to_string(string_split(phrase, ' ')[2:len], ' ')]) AS phrase
+  FROM counted WHERE len > 2
+),
+candidates AS (
+  SELECT * FROM counted c
+  WHERE len > 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.f >= c.f)
+),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[k + 1:len], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, len)) AS k FROM candidates)
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score,
+    row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY (1000 * a * n) // (x.f * y.f), k) AS place
+  FROM cuts JOIN counted x ON x.lang = cuts.lang AND x.phrase = head
+    JOIN counted y ON y.lang = cuts.lang AND y.phrase = tail JOIN sizes ON sizes.lang = cuts.lang
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored WHERE place = 1
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": _OP1,
+    "op13_collocations": _OP13,
 }
