@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain, islice, pairwise
 
 import numpy as np
@@ -50,8 +51,8 @@ LONG_WORD = 48
 _ODD_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-class Aligner:
-    """Tokens of both kinds, links and groups of words; a word starts with its space or line break."""
+class Tokens:
+    """Both tokenizers with the bytes of their ids and the ids' decimal digits; of fixed size, one per process."""
 
     def __init__(self, byte_path: str, piece_path: str) -> None:
         self.a = ByteTokens(byte_path, special_as_text=True)
@@ -61,14 +62,43 @@ class Aligner:
             raise ValueError(f"vocabularies of at most {1 << ID_BITS} ids are needed")
         byte_of = {c: b for b, c in _byte_letters().items()}
         names = [self.a.tokenizer.id_to_token(i) for i in range(size)]
-        self.a_bytes = [bytes(byte_of[c] for c in x) if all(c in byte_of for c in x) else x.encode() for x in names]
-        self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.cuts = self.b.breaks_apart
+        self.a_bytes = Ragged([bytes(byte_of[c] for c in x) if all(c in byte_of for c in x) else x.encode() for x in names])
+        self.b_bytes = Ragged(self.b.bytes_of)
+        self.digits = Ragged([b"%d," % i for i in range(max(size, self.b.size))])
+
+
+class Ragged:
+    """Byte strings by number, for gathering many at once."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.width = np.array([len(x) for x in strings], np.int64)
+        self.start = np.concatenate(([0], np.cumsum(self.width)[:-1]))
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the strings one after the other, and where each ends."""
+        width = self.width[numbers]
+        ends = np.cumsum(width)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[numbers] - ends + width, width)], ends
+
+
+@lru_cache(maxsize=1)
+def _tokens(byte_path: str, piece_path: str) -> Tokens:
+    return Tokens(byte_path, piece_path)
+
+
+class Aligner:
+    """Tokens of both kinds, links and groups of words; a word starts with its space or line break."""
+
+    def __init__(self, byte_path: str, piece_path: str) -> None:
+        self.of = _tokens(byte_path, piece_path)
+        self.cuts = self.of.b.breaks_apart
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.odd: dict[str, int] = {}
+        self.long: list[str] = []  # of these, the words that are too long to stay
         self.groups: list[bytes] = []  # per word: its groups as text
         self.numbers = np.zeros((0, 4), np.int64)  # per word: A tokens, B tokens, groups, links; -1 without tokens
         self.links = np.zeros(0, np.int64)  # pairs of ids, word by word
@@ -76,25 +106,19 @@ class Aligner:
 
     def add(self, words: list[str], a_ids: list[bytes]) -> range:
         """Aligns new words; returns their numbers."""
-        b_ids = self.b.encode_escaped([x.replace(" ", piece_bpe.SPACE) for x in words])
+        of = self.of
+        b_ids = of.b.encode_escaped([x.replace(" ", piece_bpe.SPACE) for x in words])
         data = [x.encode() for x in words]
         a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in (a_ids, b_ids))
-        a_ends, b_ends = (np.cumsum([len(x) // 4 for x in ids]) for ids in (a_ids, b_ids))
-        names = self.a_bytes
-        whole = np.array(
-            [
-                b"".join(map(names.__getitem__, x)) == y == b"".join(map(self.b.bytes_of.__getitem__, z))
-                for x, y, z in zip(_split(a, a_ends), data, _split(b, b_ends), strict=True)
-            ],
-            bool,
-        )
-        n_a, n_b = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
+        n_a, n_b = (np.array([len(x) // 4 for x in ids], np.int64) for ids in (a_ids, b_ids))
+        size = np.array([len(x) for x in data], np.int64)
+        whole = self._faithful(data, size, a, n_a, of.a_bytes) & self._faithful(data, size, b, n_b, of.b_bytes)
         a, b = a[np.repeat(whole, n_a)], b[np.repeat(whole, n_b)]
         # ends of A tokens and B tokens on the line of all bytes
-        ends = np.cumsum(np.where(whole, [len(x) for x in data], 0))
+        ends = np.cumsum(np.where(whole, size, 0))
         marks = np.zeros(int(ends[-1]) + 1, np.uint8)
-        marks[np.cumsum(self.a_length[a])] |= 1
-        marks[np.cumsum(self.b.lengths[b])] |= 2
+        marks[np.cumsum(of.a_bytes.width[a])] |= 1
+        marks[np.cumsum(of.b_bytes.width[b])] |= 2
         marks[0] = 0
         at = np.flatnonzero(marks)
         mark = marks[at]
@@ -103,11 +127,8 @@ class Aligner:
         both = mark == 3
         link_ends = np.searchsorted(at, ends, "right")
         group_ends = np.append(0, np.cumsum(both))[link_ends]
-        a_names, b_names = (list(map(str, x.tolist())) for x in (a, b))
-        spans = zip(pairwise([0, *of_a[both].tolist()]), pairwise([0, *of_b[both].tolist()]), strict=True)
-        groups = [",".join(a_names[i:j]) + "|" + ",".join(b_names[k:m]) for (i, j), (k, m) in spans]
         first = len(self.groups)
-        self.groups.extend(";".join(groups[i:j]).encode() for i, j in pairwise([0, *group_ends.tolist()]))
+        self.groups.extend(self._written(a, b, of_a[both], of_b[both], group_ends))
         counts = np.stack([n_a, n_b, np.diff(group_ends, prepend=0), np.diff(link_ends, prepend=0)], 1)
         counts[~whole] = -1
         self.numbers = np.concatenate((self.numbers, counts))
@@ -115,6 +136,33 @@ class Aligner:
         self.starts = np.concatenate((self.starts, self.starts[-1] + link_ends))
         return range(first, len(self.groups))
 
+    @staticmethod
+    def _faithful(data: list[bytes], size: np.ndarray, ids: np.ndarray, n: np.ndarray, bytes_of: Ragged) -> np.ndarray:
+        """Whether the ids of each word give back its bytes."""
+        found, ends = bytes_of.joined(ids)
+        cuts = np.append(0, ends)[np.append(0, np.cumsum(n))]
+        wanted = b"".join(data)
+        if (np.diff(cuts) == size).all() and found.tobytes() == wanted:
+            return np.ones(len(data), bool)
+        joined = found.tobytes()
+        return np.array([joined[i:j] == x for x, (i, j) in zip(data, pairwise(cuts.tolist()), strict=True)], bool)
+
+    def _written(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, group_ends: np.ndarray) -> list[bytes]:
+        """Groups of each word as text; a group ends after so many tokens of A and of B."""
+        if not len(a_ends):
+            return [b""] * len(group_ends)
+        # tokens in the order in which they are written: A tokens of a group, then its B tokens
+        n_a, n_b = np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0)
+        order = np.zeros(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(b_ends - n_b, n_a)] = a
+        order[np.arange(len(b)) + np.repeat(a_ends, n_b)] = b
+        text, ends = self.of.digits.joined(order)
+        last = ends[a_ends + b_ends - 1] - 1  # where the sign after a group stands
+        text[last] = ord(";")
+        text[ends[a_ends + b_ends - n_b - 1] - 1] = ord("|")
+        data, cuts = text.tobytes(), np.append(0, last + 1)[np.append(0, group_ends)].tolist()
+        return [data[i : max(i, j - 1)] for i, j in pairwise(cuts)]
+
     def learn(self, cut: list[list[str]]) -> None:
         """Numbers of new words that follow a single space, given without it, or start with a line break."""
         new = list(set(chain.from_iterable(cut)).difference(self.known))
@@ -122,12 +170,14 @@ class Aligner:
         self.known.update(dict.fromkeys(new, -1))
         if regular:
             words = [x if x[0] == "\n" else " " + x for x in regular]
-            self.known.update(zip(regular, self.add(words, self.a.pieces(words)), strict=True))
+            self.known.update(zip(regular, self.add(words, self.of.a.pieces(words)), strict=True))
+        self.long += [x for x in new if len(x) > LONG_WORD]
 
     def numbers_of(self, words: list[str]) -> list[int]:
         """Numbers of words as they stand, of any white space."""
         if new := list(set(words).difference(self.odd)):
-            self.odd.update(zip(new, self.add(new, self.a.whole(new)), strict=True))
+            self.odd.update(zip(new, self.add(new, self.of.a.whole(new)), strict=True))
+            self.long += [x for x in new if len(x) > LONG_WORD]
         return list(map(self.odd.__getitem__, words))
 
     def runs(self, whole: list[str]) -> Iterator[tuple[int, list[int]]]:
@@ -147,10 +197,10 @@ class Aligner:
         """Keeps what is remembered within its bounds."""
         if len(self.groups) > KNOWN_WORDS or len(self.known) > 2 * KNOWN_WORDS:
             self.forget()
-        else:
-            for store in (self.known, self.odd):
-                for x in [x for x in store if len(x) > LONG_WORD]:
-                    del store[x]
+        for x in self.long:
+            self.known.pop(x, None)
+            self.odd.pop(x, None)
+        self.long.clear()
 
     def measured(self, whole: list[str]) -> list[tuple[np.ndarray, bytes | None, np.ndarray, np.ndarray]]:
         """Per text: its four numbers, digest of its groups, its distinct pairs and how often each is linked."""
@@ -194,11 +244,6 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def _split(ids: np.ndarray, ends: np.ndarray) -> Iterator[list[int]]:
-    listed = ids.tolist()
-    return (listed[i:j] for i, j in pairwise([0, *ends.tolist()]))
-
-
 def _regular(word: str) -> bool:
     body = word[1:] if word[:1] == "\n" else word
     return bool(body) and not body[0].isspace() and not body[-1].isspace()
