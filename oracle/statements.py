@@ -32,8 +32,11 @@ def sources_and_sinks() -> dict[str, str]:
         "concat('\"', \"ASIN\", '\", boxed') AS \"ASIN\"" if c == "ASIN" else f"nullif({ident(c)}, '') AS {ident(c)}"
         for c in RAW_COLUMNS
     )
+    broken = "concat(\"ASIN\", chr(10), '\"boxed\",', chr(10), \"Order ID\") AS \"ASIN\""
+    broken_csv = ", ".join(broken if c == "ASIN" else f"nullif({ident(c)}, '') AS {ident(c)}" for c in RAW_COLUMNS)
     return {
         "src_csv_raw": statement(f"SELECT {raw_csv} FROM raw", "raw"),
+        "src_csv_line_breaks": statement(f"SELECT {broken_csv} FROM raw", "raw"),
         "src_csv_malformed": statement(
             f"SELECT \"index\" AS line_index, CASE WHEN NOT bad THEN \"Order ID\" END AS order_id, "
             f"CASE WHEN bad THEN NULL WHEN {LINE_NUMBER} = 2 THEN concat(\"ASIN\", chr(10), '\"boxed\"') "
@@ -326,6 +329,7 @@ def profiles() -> dict[str, str]:
     found = {name: statement(build("raw"), "raw") for name, build in on_both.items()}
     for name, build in on_both.items():
         found[f"{name}_dirty"] = statement(build("dirty"), "raw", extra={"dirty": DIRTY})
+    found["prof_exact_duplicates_clustered"] = found["prof_exact_duplicates"]
     bodies = {
         "prof_order_fanout": """SELECT count(*) FILTER (n > 1) AS orders_with_multiple_rows, max(n) AS max_rows_per_order
             FROM (SELECT count(*) AS n FROM raw GROUP BY "Order ID")""",

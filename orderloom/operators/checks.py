@@ -42,12 +42,15 @@ def null_counts(df: DataFrame, table: str, columns: Sequence[str], where: str |
     return row_checks(df, null_conditions(table, columns, where))
 
 
-def repeats(df: DataFrame, columns: Sequence[str], nulls: bool, where: str | None = None) -> DataFrame:
-    """Row counts of the values that occur more than once; NULLs count as a value if ``nulls``."""
+def repeats(df: DataFrame, columns: Sequence[str], nulls: bool, where: str | None = None, within: Sequence[str] = ()) -> DataFrame:
+    """Row counts of the values that occur more than once; NULLs count as a value if ``nulls``.
+
+    ``within`` as for :func:`orderloom.operators.counting.repeated_tuples`.
+    """
     rows = df if where is None else df.where(where)
     if not nulls:
         rows = rows.dropna(subset=list(columns))
-    return repeated_groups(rows, columns)
+    return repeated_groups(rows, columns, within=within)
 
 
 def unexpected_counts(df: DataFrame, tests: Sequence[Accepted]) -> DataFrame:

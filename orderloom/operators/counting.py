@@ -92,10 +92,14 @@ def distinct_counts(
     )
 
 
-def repeated_tuples(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
-    """Key tuples that occur more than once, with their row count."""
-    groups = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias(count))
-    return groups.where(F.col(count) > 1)
+def repeated_tuples(df: DataFrame, keys: Sequence[str], count: str = "row_count", within: Sequence[str] = ()) -> DataFrame:
+    """Key tuples that occur more than once, with their row count.
+
+    ``within`` names columns that rows of equal keys share. Where the rows are stored
+    clustered by them, they are grouped in place and nothing is shuffled.
+    """
+    groups = df.groupBy(*map(column, [*within, *keys])).agg(F.count(F.lit(1)).alias(count))
+    return groups.where(F.col(count) > 1).select(*map(column, keys), count)
 
 
 def tuple_hashes(keys: Sequence[str]) -> list[Column]:
@@ -107,14 +111,19 @@ def tuple_hashes(keys: Sequence[str]) -> list[Column]:
     return [F.xxhash64(*parts).alias("_hash_a"), F.xxhash64(F.lit("second"), *parts).alias("_hash_b")]
 
 
-def repeated_groups(df: DataFrame, keys: Sequence[str], count: str = "row_count") -> DataFrame:
+def repeated_groups(df: DataFrame, keys: Sequence[str], count: str = "row_count", within: Sequence[str] = ()) -> DataFrame:
     """Row counts of the key tuples that occur more than once, without the tuples.
 
-    Only hashes are shuffled, whatever the width of the keys.
+    Only hashes are shuffled, whatever the width of the keys; with ``within``, as
+    for :func:`repeated_tuples`, nothing is.
     """
+    if within:
+        return repeated_tuples(df, keys, count, within).select(count)
     return df.groupBy(*tuple_hashes(keys)).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > 1).select(count)
 
 
-def distinct_tuples(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row of hashes per distinct key tuple."""
+def distinct_tuples(df: DataFrame, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct key tuple: its hashes or, with ``within`` as for :func:`repeated_tuples`, the tuple."""
+    if within:
+        return df.select(*map(column, [*within, *keys])).distinct()
     return df.select(*tuple_hashes(keys)).distinct()

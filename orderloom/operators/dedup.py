@@ -15,14 +15,23 @@ KEY_HASH = "key_hash"
 HASH_ROWS = 4_000_000
 
 
+def clustering(df: DataFrame) -> list[str]:
+    """The columns that rows are stored by, of those that carry the hash of their key."""
+    return [KEY_HASH] if KEY_HASH in df.columns else []
+
+
+def key_hash(keys: Sequence[Column]) -> Column:
+    return F.xxhash64(*keys).alias(KEY_HASH)
+
+
 def repeated_key_hashes(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     """Hashes of the keys that occur more than once.
 
     Two different keys may share a hash, so a few unique keys can be among them;
     a repeated key is never missing. Eight bytes per row are counted, before the
-    shuffle and after it.
+    shuffle and after it; rows stored by the hash are counted in place.
     """
-    hashes = df.select(F.xxhash64(*keys).alias(KEY_HASH)).groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("rows"))
+    hashes = df.select(KEY_HASH if clustering(df) else key_hash(keys)).groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("rows"))
     return hashes.where(F.col("rows") > 1).select(KEY_HASH)
 
 
@@ -35,8 +44,10 @@ def with_repeated_key(
     is left to Spark.
     """
     fits = repeated.limit(broadcast_rows + 1).count() <= broadcast_rows
-    hashes = F.broadcast(repeated) if fits else repeated
-    return df.join(hashes, F.xxhash64(*keys) == F.col(KEY_HASH), "left_semi" if present else "left_anti")
+    hashes = repeated.select(F.col(KEY_HASH).alias("_repeated"))
+    hashes = F.broadcast(hashes) if fits else hashes
+    own = F.col(KEY_HASH) if clustering(df) else F.xxhash64(*keys)
+    return df.join(hashes, own == F.col("_repeated"), "left_semi" if present else "left_anti")
 
 
 def keep_first(
@@ -54,10 +65,11 @@ def keep_first(
     With the table ``repeated`` from :func:`repeated_key_hashes`, only rows of
     repeated keys are sorted and shuffled; all others pass through in place. If it
     is too large to broadcast, few rows may be spared that way, and the group
-    limit alone does the work: one exchange, of one row per key and task.
+    limit alone does the work: one exchange, of one row per key and task. Rows that
+    are stored by the hash of their key are sorted where they are, without an exchange.
     """
     ties = [column(c).asc_nulls_last() for c in df.columns]
-    by_key = Window.partitionBy(*keys).orderBy(*order, *ties)
+    by_key = Window.partitionBy(*clustering(df), *keys).orderBy(*order, *ties)
 
     def first(rows: DataFrame) -> DataFrame:
         return rows.withColumn("_rank", F.row_number().over(by_key)).where(F.col("_rank") == 1).drop("_rank")

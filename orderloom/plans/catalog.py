@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.functions import keys, parse, text
 from orderloom.operators import checks
+from orderloom.operators.dedup import clustering
 from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.benchmark import open_benchmark, scratch
 from orderloom.plans.vocabulary import UNKNOWN_PLACE
@@ -76,6 +77,15 @@ def src_csv_malformed(w: Warehouse) -> DataFrame:
     return good.withColumn("diverted", F.lit(False)).unionByName(diverted.withColumn("diverted", F.lit(True)), allowMissingColumns=True)
 
 
+@query
+def src_csv_line_breaks(w: Warehouse) -> DataFrame:
+    """Raw lines through a CSV file with line breaks in quoted fields, each file read in splits of a megabyte."""
+    path = scratch(w, "order-lines-broken")
+    broken = F.concat(text.column("ASIN"), F.lit('\n"boxed",\n'), text.column("Order ID"))
+    csvfiles.write_csv(w.raw().withColumn("ASIN", broken), path)
+    return csvfiles.read_text_csv(w.spark, path, multi_line=True, split_bytes=1 << 20)
+
+
 @query
 def sink_overwrite_roundtrip(w: Warehouse) -> DataFrame:
     """A table written twice holds the second content only."""
@@ -256,7 +266,7 @@ def surrogate_key(w: Warehouse) -> DataFrame:
 @query
 def dedup_latest_complete(w: Warehouse) -> DataFrame:
     """The kept line of each (order, sku) and its position in the source."""
-    kept = staging.best_lines(w.raw(), w.repeated_lines())
+    kept = staging.best_lines(w.lines(), w.repeated_lines())
     return kept.select(
         text.clean("Order ID").alias("order_id"),
         text.clean("SKU").alias("sku"),
@@ -270,13 +280,13 @@ def dedup_latest_complete(w: Warehouse) -> DataFrame:
 @query
 def stg_orders(w: Warehouse) -> DataFrame:
     """Staging from the stored raw lines, only repeated ones sorted."""
-    return staging.staged_lines(w.raw(), w.repeated_lines())
+    return staging.staged_lines(w.lines(), w.repeated_lines())
 
 
 @query
 def stg_orders_many_repeats(w: Warehouse) -> DataFrame:
-    """The same where the repeated lines are too many to broadcast."""
-    return staging.staged_lines(w.raw(), w.repeated_lines(), broadcast_rows=0)
+    """The same where the repeated lines are too many to broadcast: clustered lines are sorted where they are."""
+    return staging.staged_lines(w.lines(), w.repeated_lines(), broadcast_rows=0)
 
 
 def stg_orders_from_source(spark: SparkSession, folder: str) -> DataFrame:
@@ -369,7 +379,7 @@ def _profile(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
 _profile("prof_overview", profile.overview)
 _profile("prof_order_fanout", profile.order_fanout)
 _profile("prof_style_fanout", profile.style_fanout)
-_profile("prof_duplicate_pairs", profile.duplicate_pairs)
+QUERIES["prof_duplicate_pairs"] = lambda spark, folder: profile.duplicate_pairs(open_benchmark(spark, folder).lines())
 _profile("prof_quality_counters", profile.quality_counters)
 _profile("prof_sku_drift", profile.sku_drift)
 _profile("prof_co_missing", profile.co_missing)
@@ -387,7 +397,13 @@ _profile("prof_distinct_counts", profile.category_cardinality)
 
 @query
 def prof_exact_duplicates(w: Warehouse) -> DataFrame:
-    return profile.exact_duplicates(w.raw(), w.repeated_lines())
+    return profile.exact_duplicates(w.lines(), w.repeated_lines())
+
+
+@query
+def prof_exact_duplicates_clustered(w: Warehouse) -> DataFrame:
+    """The same where the repeated lines are too many to broadcast: clustered lines are grouped where they are."""
+    return profile.exact_duplicates(w.lines(), w.repeated_lines(), broadcast_rows=0)
 
 
 def _dirty(raw: DataFrame) -> DataFrame:
@@ -500,10 +516,11 @@ def chk_relationships_rows(w: Warehouse) -> DataFrame:
 @query
 def chk_unique_combination(w: Warehouse) -> DataFrame:
     t = _named_tables(w)
+    t["raw"] = w.lines()
     wanted = {**quality.UNIQUE_COMBINATION, "raw": ["Order ID", "SKU"]}
     return _status(
         *[
-            checks.failures(f"unique_combination.{name}", checks.repeats(t[name], columns, nulls=True))
+            checks.failures(f"unique_combination.{name}", checks.repeats(t[name], columns, nulls=True, within=clustering(t[name])))
             for name, columns in wanted.items()
         ]
     )
@@ -522,7 +539,7 @@ def chk_rowcount_reconcile(w: Warehouse) -> DataFrame:
 
 @query
 def chk_staging_reconcile(w: Warehouse) -> DataFrame:
-    raw, staged = w.raw(), w.staging()
+    raw, staged = w.lines(), w.staging()
     thinned = staged.where(F.col("amount").isNotNull())
     short = quality.staging_count_mismatch(raw, thinned)
     return _status(
@@ -578,4 +595,4 @@ def chk_status_courier_rows(w: Warehouse) -> DataFrame:
 
 @query
 def chk_suite_summary(w: Warehouse) -> DataFrame:
-    return quality.suite(w.raw(), w.staging(), w.star(), FULFILMENTS)
+    return quality.suite(w.lines(), w.staging(), w.star(), FULFILMENTS)

@@ -20,7 +20,7 @@ from orderloom.functions.text import (
     or_default,
 )
 from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated_tuples, top_values, value_counts
-from orderloom.operators.dedup import HASH_ROWS, repeated_key_hashes, with_repeated_key
+from orderloom.operators.dedup import HASH_ROWS, clustering, repeated_key_hashes, with_repeated_key
 from orderloom.plans.staging import line_key
 from orderloom.plans.vocabulary import CANCELLED
 from orderloom.sources.schemas import RAW_COLUMNS
@@ -108,8 +108,8 @@ def _surplus() -> Column:
 
 
 def duplicate_pairs(raw: DataFrame) -> DataFrame:
-    """(order, sku) pairs that occur again, and the rows beyond the first."""
-    return repeated_tuples(raw, ["Order ID", "SKU"]).agg(
+    """(order, sku) pairs that occur again, and the rows beyond the first; clustered lines are counted in place."""
+    return repeated_tuples(raw, ["Order ID", "SKU"], within=clustering(raw)).agg(
         _rows().alias("duplicate_groups"), _surplus().alias("extra_rows_in_dupe_groups")
     )
 
@@ -119,14 +119,17 @@ def exact_duplicates(raw: DataFrame, repeated: DataFrame | None = None, broadcas
 
     Such rows share their (order, sku). With the table ``repeated`` of repeated
     pairs, only their rows are grouped at full width, if it is small enough to be
-    broadcast; else the rows are found by a narrow count of row hashes first.
+    broadcast; else clustered lines are grouped in place, and of others the rows are
+    found by a narrow count of row hashes first.
     """
     if repeated is not None and repeated.limit(broadcast_rows + 1).count() <= broadcast_rows:
         rows = with_repeated_key(raw, line_key(), repeated, True, broadcast_rows)
+    elif clustering(raw):
+        rows = raw
     else:
         business = [column(c) for c in BUSINESS_COLUMNS]
         rows = with_repeated_key(raw, business, repeated_key_hashes(raw, business), True, broadcast_rows)
-    return repeated_tuples(rows, BUSINESS_COLUMNS).agg(_surplus().alias("business_level_exact_duplicates"))
+    return repeated_tuples(rows, BUSINESS_COLUMNS, within=clustering(raw)).agg(_surplus().alias("business_level_exact_duplicates"))
 
 
 def quality_counters(raw: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators import checks
 from orderloom.operators.counting import distinct_tuples
+from orderloom.operators.dedup import clustering
 from orderloom.operators.joins import join_dimension
 from orderloom.plans import vocabulary as v
 from orderloom.plans.fact import Star
@@ -137,8 +138,8 @@ def fact_count_mismatch(star: Star, staging: DataFrame) -> DataFrame:
 
 
 def staging_count_mismatch(raw: DataFrame, staging: DataFrame) -> DataFrame:
-    """Distinct raw (order, sku) pairs, untrimmed, against staging rows; only hashes of the pairs are shuffled."""
-    pairs = distinct_tuples(raw, ["Order ID", "SKU"])
+    """Distinct raw (order, sku) pairs, untrimmed, against staging rows; at most hashes of the pairs are shuffled."""
+    pairs = distinct_tuples(raw, ["Order ID", "SKU"], clustering(raw))
     return checks.count_mismatch(
         pairs, staging, "expected_rows_from_raw_dedup", "actual_staging_rows", "unexpected_delta"
     )
@@ -186,7 +187,7 @@ def suite(
         found += [checks.failures(f"unique.{t}.{c}", checks.repeats(tables[t], [c], False, where.get(t))) for c in columns]
     for t, columns in UNIQUE_COMBINATION.items():
         found.append(checks.failures(f"unique_combination.{t}.{'+'.join(columns)}", checks.repeats(tables[t], columns, True, where.get(t))))
-    found.append(checks.failures(ROWS + "raw", distinct_tuples(raw, ["Order ID", "SKU"])))
+    found.append(checks.failures(ROWS + "raw", distinct_tuples(raw, ["Order ID", "SKU"], clustering(raw))))
     flagged = star.places.withColumn("unmapped", F.col("region") == v.UNKNOWN_REGION)
     parents = {k: (k, flagged if t == "dim_geography" else tables[t]) for k, t in FOREIGN_KEYS.items()}
     orphans = checks.orphan_counts(star.fact, parents, "fct_sales", "unmapped")

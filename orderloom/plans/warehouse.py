@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from orderloom.functions.text import column
 from orderloom.operators.checks import repeated_combinations
-from orderloom.operators.dedup import HASH_ROWS, repeated_key_hashes
+from orderloom.operators.dedup import HASH_ROWS, key_hash, repeated_key_hashes
 from orderloom.plans import dimensions, fact
 from orderloom.plans import vocabulary as v
 from orderloom.plans.staging import line_key, staged_lines
@@ -35,13 +36,16 @@ class Warehouse:
         calendar: tuple[str, str] | None = (v.CALENDAR_START, v.CALENDAR_END),
         fact_by_month: bool = False,
         broadcast_rows: int = HASH_ROWS,
+        buckets: int | None = None,
     ) -> None:
         """``calendar`` is (first day, day after the last); None takes whole years around the data.
 
         Lines outside the calendar are dropped from the fact and reported by the
         row-count check. ``fact_by_month`` stores the fact in one folder per month,
         for reports that read few months. It costs one more shuffle of the fact.
-        More than ``broadcast_rows`` hashes of repeated lines are not broadcast.
+        More than ``broadcast_rows`` hashes of repeated lines are not broadcast. The raw
+        lines are stored in ``buckets`` by the hash of (order, sku), by default as many
+        as Spark shuffles into; a bucket should fit a task.
         """
         self.spark = spark
         self.base = base.rstrip("/")
@@ -52,6 +56,7 @@ class Warehouse:
         self._calendar = calendar
         self._fact_by_month = fact_by_month
         self._broadcast_rows = broadcast_rows
+        self._buckets = buckets
 
     @classmethod
     def open(cls, spark: SparkSession, base: str) -> Warehouse:
@@ -74,14 +79,22 @@ class Warehouse:
         schema: StructType,
         build: Callable[[], DataFrame],
         partition_by: str | None = None,
+        cluster_by: str | None = None,
     ) -> DataFrame:
         path = self.path(layer, name)
         if not self._opened and name not in self.rows_written:
-            self.rows_written[name] = tables.overwrite(build(), path, partition_by)
+            self.rows_written[name] = tables.overwrite(build(), path, partition_by, cluster_by, self._buckets)
         return tables.read(self.spark, path, schema)
 
+    def lines(self) -> DataFrame:
+        """Raw lines with the hash of their (order, sku), and stored by it."""
+        return self._stored("raw", "order_lines", schemas.RAW_LINES, self._hashed_lines, cluster_by=schemas.KEY_HASH)
+
+    def _hashed_lines(self) -> DataFrame:
+        return self._raw_rows().withColumn(schemas.KEY_HASH, key_hash(line_key()))
+
     def raw(self) -> DataFrame:
-        return self._stored("raw", "order_lines", schemas.RAW, self._raw_rows)
+        return self.lines().select(*map(column, schemas.RAW.names))
 
     def regions(self) -> DataFrame:
         return self._stored("seeds", "state_to_region", schemas.REGIONS, self._unique_regions)
@@ -96,12 +109,12 @@ class Warehouse:
     def repeated_lines(self) -> DataFrame:
         """Key hashes of the repeated (order, sku) pairs, eight bytes each."""
         return self._stored(
-            "staging", "repeated_lines", schemas.KEY_HASHES, lambda: repeated_key_hashes(self.raw(), line_key())
+            "staging", "repeated_lines", schemas.KEY_HASHES, lambda: repeated_key_hashes(self.lines(), line_key())
         )
 
     def staging(self) -> DataFrame:
         return self._stored(
-            "staging", "stg_orders", schemas.STAGING, lambda: self._addressed(staged_lines(self.raw(), self.repeated_lines(), self._broadcast_rows))
+            "staging", "stg_orders", schemas.STAGING, lambda: self._addressed(staged_lines(self.lines(), self.repeated_lines(), self._broadcast_rows))
         )
 
     @staticmethod

@@ -54,8 +54,11 @@ TEXT, INT, DATE, FLAG = StringType(), IntegerType(), DateType(), BooleanType()
 
 RAW = StructType([StructField(name, TEXT) for name in RAW_COLUMNS])
 
+KEY_HASH = "key_hash"
 KEY_HASHES = _struct(key_hash=LongType())
 
+RAW_LINES = StructType([*RAW.fields, *KEY_HASHES.fields])
+
 REGIONS = _struct(country=TEXT, state=TEXT, region=TEXT)
 
 STAGING = _struct(

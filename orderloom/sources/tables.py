@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import tempfile
+import time
+from collections.abc import Mapping
+from typing import NamedTuple
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 _VERSION = re.compile(r"v(\d{8})-[0-9a-f]{8}$")
+_COMMIT = re.compile(r"_commit-(\d{8})\.json$")
+_BUCKET = re.compile(r"_(\d{5})\.c\d+\.")
+#: A bucket is uneven if it holds over so many bytes and so many times the mean: its rows are then shuffled, not read by one task.
+LARGE_BUCKET, UNEVEN = 256 << 20, 4
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,69 +41,201 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[session]
 
 
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, bool]]:
-    """(number, folder, complete) of the versions of a table, in order.
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed the version that this one was to become."""
 
-    Spark leaves a ``_SUCCESS`` file when a write is committed, so a version is
-    complete from one moment on, and a failed or unfinished one never is.
-    """
+
+class Commit(NamedTuple):
+    """What a table's version is: its folder, rows, buckets if it is clustered, and what was counted while it was written."""
+
+    number: int
+    based_on: int
+    folder: str
+    rows: int
+    clustered_by: str | None = None
+    buckets: int | None = None
+    even: bool = True
+    measures: dict[str, int] = {}  # noqa: RUF012
+
+
+def _hadoop(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(place):
-        return []
-    found = []
-    for entry in files.listStatus(place):
-        folder = entry.getPath()
-        if named := _VERSION.match(folder.getName()):
-            done = files.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
-            found.append((int(named[1]), f"{path.rstrip('/')}/{folder.getName()}", done))
-    return sorted(found)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _entries(spark: SparkSession, path: str) -> list:
+    place, files = _hadoop(spark, path)
+    return list(files.listStatus(place)) if files.exists(place) else []
+
+
+def _commits(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(named[1]) for x in _entries(spark, path) if (named := _COMMIT.match(x.getPath().getName())))
+
+
+def _commit_path(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/_commit-{number:08d}.json"
+
+
+def _read_commit(spark: SparkSession, path: str, number: int) -> Commit:
+    place, files = _hadoop(spark, _commit_path(path, number))
+    stream = files.open(place)
+    try:
+        return Commit(**json.loads(bytes(stream.readAllBytes())))
+    finally:
+        stream.close()
+
+
+def commit_of(spark: SparkSession, path: str) -> Commit | None:
+    """The latest version of the table at ``path``."""
+    numbers = _commits(spark, path)
+    return _read_commit(spark, path, numbers[-1]) if numbers else None
+
+
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Makes a file with this content unless there is one, in one step; whether it was made.
+
+    The content goes to a file of another name first. On local disks that file gets the
+    wanted name as a second link, which fails if the name is taken. Elsewhere it is renamed without
+    overwriting, which HDFS and its like do in one step.
+    """
+    place, files = _hadoop(spark, path)
+    if files.getUri().getScheme() == "file":
+        wanted = place.toUri().getPath()
+        given = f"{wanted}.{uuid4().hex}"
+        with open(given, "x") as out:
+            out.write(text)
+        try:
+            os.link(given, wanted)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(given)
+        return True
+    given, _ = _hadoop(spark, f"{path}.{uuid4().hex}")
+    out = files.create(given, False)
+    out.write(text.encode())
+    out.close()
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark._sc._gateway.new_array(rename, 1)
+    how[0] = rename.NONE
+    try:
+        spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration()).rename(given, place, how)
+    except Py4JJavaError as failed:
+        files.delete(given, False)
+        if files.exists(place):
+            return False
+        raise failed
+    return True
 
 
 def current(spark: SparkSession, path: str) -> str | None:
-    """Folder of the latest complete version of the table at ``path``."""
-    done = [folder for _, folder, complete in _versions(spark, path) if complete]
-    return done[-1] if done else None
+    """Folder of the latest version of the table at ``path``."""
+    commit = commit_of(spark, path)
+    return None if commit is None else f"{path.rstrip('/')}/{commit.folder}"
 
 
 def _drop(spark: SparkSession, folder: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _hadoop(spark, folder)
+    files.delete(place, True)
+
+
+def _even_buckets(spark: SparkSession, folder: str, buckets: int) -> bool:
+    """Whether no bucket holds much more than its share, by the sizes of its files."""
+    size = [0] * buckets
+    for entry in _entries(spark, folder):
+        if named := _BUCKET.search(entry.getPath().getName()):
+            size[int(named[1])] += entry.getLen()
+    return max(size) <= max(LARGE_BUCKET, UNEVEN * sum(size) / buckets)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+def overwrite(
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    cluster_by: str | None = None,
+    buckets: int | None = None,
+    measures: Mapping[str, Column] | None = None,
+) -> int:
     """Replace the table at ``path`` and return the rows written.
 
-    The rows go to a new version of the table, which readers see once it is
-    complete; a failed write leaves the old rows in place, and a table can be
-    rewritten from its own rows. The version before stays for readers that opened
-    it, older ones are removed.
+    The rows go to a new version of the table, which readers see once its commit
+    record is made: one file per version, numbered one beyond the version the
+    writer started from, that only one writer can make. A failed write leaves the
+    old rows in place, and a table can be rewritten from its own rows. Of two writers
+    at once the second raises :class:`ConcurrentWrite` and removes its own files only. The
+    version before stays for readers that opened it; older committed ones are removed.
+    Files of writers that were killed stay until :func:`vacuum`.
 
-    The count is observed during the write, so it costs no second scan. With
+    The rows, and those for which each condition of ``measures`` holds, are counted
+    during the write, so they cost no second scan; :func:`commit_of` has them. With
     ``partition_by``, Spark first rebalances the rows by that column: small
-    partitions are merged and a hot value is split over several files.
+    partitions are merged and a hot value is split over several files. With
+    ``cluster_by``, rows of equal values of that column are in the same bucket, and
+    joins, groups and windows on it need no exchange.
     """
     spark = df.sparkSession
-    before = _versions(spark, path)
-    folder = f"{path.rstrip('/')}/v{before[-1][0] + 1 if before else 1:08d}-{uuid4().hex[:8]}"
-    rows = df if partition_by is None else df.hint("rebalance", F.col(partition_by))
+    numbers = _commits(spark, path)
+    based_on = numbers[-1] if numbers else 0
+    named = f"v{based_on + 1:08d}-{uuid4().hex[:8]}"
+    folder = f"{path.rstrip('/')}/{named}"
     written = Observation()
-    writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(folder)
-    kept = [old for _, old, complete in before if complete][-1:]
-    for _, old, _ in before:
-        if old not in kept:
-            _drop(spark, old)
-    return written.get["rows"]
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(f"m{i}") for i, c in enumerate((measures or {}).values())]]
+    if cluster_by is not None:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.hint("rebalance", buckets, F.col(cluster_by)).observe(written, *counts).write
+        table = f"spark_catalog.default.orderloom_{uuid4().hex}"
+        # a table of its own name for a moment: the files stay
+        writer.bucketBy(buckets, cluster_by).option("path", folder).format("parquet").saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")
+    else:
+        buckets = None
+        rows = df if partition_by is None else df.hint("rebalance", F.col(partition_by))
+        writer = rows.observe(written, *counts).write
+        if partition_by is not None:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(folder)
+    found = written.get
+    even = buckets is None or _even_buckets(spark, folder, buckets)
+    measured = {name: found[f"m{i}"] for i, name in enumerate(measures or {})}
+    commit = Commit(based_on + 1, based_on, named, found["rows"], cluster_by, buckets, even, measured)
+    # a writer that was overtaken twice finds its number free only if commits were removed, which nobody does
+    if not _create(spark, _commit_path(path, commit.number), json.dumps(commit._asdict())):
+        _drop(spark, folder)
+        raise ConcurrentWrite(f"version {commit.number} of {path} was written by another writer meanwhile")
+    for old in numbers[:-1]:
+        _drop(spark, f"{path.rstrip('/')}/{_read_commit(spark, path, old).folder}")
+    return commit.rows
+
+
+def vacuum(spark: SparkSession, path: str, older_than_hours: float = 24) -> list[str]:
+    """Removes version folders that no commit names and that are older than any running write; returns their names."""
+    known = {_read_commit(spark, path, n).folder for n in _commits(spark, path)}
+    limit = (time.time() - 3600 * older_than_hours) * 1000
+    found = []
+    for entry in _entries(spark, path):
+        name = entry.getPath().getName()
+        if _VERSION.match(name) and name not in known and entry.getModificationTime() < limit:
+            _drop(spark, f"{path.rstrip('/')}/{name}")
+            found.append(name)
+    return found
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    folder = current(spark, path)
-    if folder is None:
+    """The table's latest version. One that is clustered in even buckets is read by them."""
+    commit = commit_of(spark, path)
+    if commit is None:
         raise ValueError(f"no complete table at {path}")
-    return spark.read.schema(schema).parquet(folder)
+    folder = f"{path.rstrip('/')}/{commit.folder}"
+    if commit.buckets is None or not commit.even:
+        return spark.read.schema(schema).parquet(folder)
+    table = f"spark_catalog.default.orderloom_{uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    place = folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{commit.clustered_by}`) INTO {commit.buckets} BUCKETS LOCATION '{place}'")
+    try:
+        return spark.table(table)  # the plan holds files and buckets, so the name may go
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 def publish(spark: SparkSession, base: str, tables: dict[str, dict[str, tuple[str, list[str]]]], prefix: str = "") -> None:

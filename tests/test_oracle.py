@@ -23,6 +23,8 @@ ORDERED = {
     "prof_missing_by_column": [("missing", True), ("column_name", False)],
     "prof_value_distribution": [("column_name", False), ("count", True), ("value", False)],
 }
+# Records over several lines are found by Arrow batches in the tasks; all other queries stay with column functions.
+IN_PYTHON = {"src_csv_malformed", "src_csv_line_breaks"}
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "date": "DATE"}
 
 
@@ -61,7 +63,8 @@ def test_matches(spark, con, name):
     assert expected, "an empty result proves nothing"
     assert Counter(map(tuple, found.collect())) == expected
     steps = plan(found)
-    assert "Python" not in steps and "Pandas" not in steps and "CartesianProduct" not in steps
+    assert name in IN_PYTHON or ("Python" not in steps and "Arrow" not in steps)
+    assert "Pandas" not in steps and "CartesianProduct" not in steps
 
 
 def test_seasons_come_in_the_order_of_the_year(spark):
