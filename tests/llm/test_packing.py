@@ -1,10 +1,12 @@
 import zlib
+from functools import cache
+from itertools import product
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from orderloom.llm import catalog, packing
+from orderloom.llm import catalog, packing, token_ids
 from tests.llm.conftest import SMALL
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -12,7 +14,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def ids_of(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [np.array([*x.ids, 0], "<u4") for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -50,6 +51,47 @@ def test_edge_rows(make_docs):
     assert packing.packed(make_docs().limit(0), PATH).count() == 0
 
 
+SPECIAL = ["<|endoftext|> first", "in<|endoftext|>side a word", "after a <|endoftext|> space", "a\n<|endoftext|>\nline", "<|endoftext|>" * 3, "x  <|endoftext|>  y<|endof"]
+
+
+def test_strings_of_special_tokens_are_their_ids(make_docs):
+    """As in the library's plain call: one id in place of the string."""
+    assert 50256 in ids_of(SPECIAL[:1])[0]
+    check(packing.packed(make_docs(*enumerate(SPECIAL)), PATH).collect(), dict(enumerate(SPECIAL)))
+
+
+def test_what_is_remembered_goes_with_the_task():
+    first, second = (token_ids.encoder(PATH) for _ in range(2))
+    assert token_ids.token_ids(["some words here"], first) == [x.tobytes() for x in ids_of(["some words here"])]
+    assert first._known and not second._known
+
+
+def test_knapsack_is_the_best_pattern_there_is():
+    """Prices of patterns against every pattern of small instances."""
+    random = np.random.default_rng(4)
+    for _ in range(20):
+        lengths = np.sort(random.choice(np.arange(3, 30), 4, replace=False))
+        demand = random.integers(1, 5, 4)
+        found = packing.patterns(lengths, demand, 40)
+        used = sum(t for _, t in found)
+        assert (sum(c * t for c, t in found) == demand).all() and all(c @ lengths <= 40 for c, _ in found)
+        assert used <= _fewest(lengths, demand, 40) + 1
+
+
+def _fewest(lengths, demand, size):
+    """The fewest sequences, by search over all ways to fill one after the other."""
+    fits = [p for p in product(*[range(n + 1) for n in demand]) if any(p) and np.dot(p, lengths) <= size]
+
+    @cache
+    def least(left):
+        if not any(left):
+            return 0
+        first = next(i for i, n in enumerate(left) if n)
+        return 1 + min(least(tuple(np.subtract(left, p))) for p in fits if p[first] and all(a <= b for a, b in zip(p, left, strict=True)))
+
+    return least(tuple(demand.tolist()))
+
+
 def test_sequences_hold_the_ids(make_docs):
     rows = {k: f"number {k} " * (k * 60 + 1) for k in range(12)}
     found = packing.sequences(make_docs(*rows.items()), PATH).collect()

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from orderloom.llm import toxicity
 from orderloom.llm.catalog import TOXIC
@@ -62,6 +64,35 @@ def test_edge_rows(spark, tmp_path, make_docs):
     assert {r["doc_id"] for r in pieces} == {i for i, _ in found}
 
 
+def test_own_columns_come_back_and_parallelism_changes_nothing(spark, tmp_path, make_docs, monkeypatch):
+    words = [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join(words[k % 7 * 8 :]) + " tail" * (i % 2)) for i, k in enumerate(range(70))]
+    docs = make_docs(*rows).select("*", F.col("doc_id").alias("row_number"), F.lit("kept").alias("ROW_NUMBER_"), F.lit("too").alias("text_before"))
+    docs = stored(docs.repartition(9), tmp_path / "docs")
+    found = []
+    for at, size in enumerate(["128m", "2k", "1m"]):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        real, classes = p.jaccard_classes, []
+
+        def changed(*args, **more):
+            out = real(*args, **more)
+            # what is read after this is dealt to other tasks than before
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+            classes.append(out)
+            return out
+
+        monkeypatch.setattr(p, "jaccard_classes", changed)
+        kept = p.drop_near_duplicates(spark, docs, SMALL)
+        assert kept.columns == docs.columns and classes
+        kept = p.replace_secrets(spark, stored(kept, tmp_path / str(at)), SMALL).collect()
+        monkeypatch.setattr(p, "jaccard_classes", real)
+        found.append(sorted(r["doc_id"] for r in kept))
+        assert all(r["row_number"] == r["doc_id"] and r["ROW_NUMBER_"] == "kept" and r["text_before"] == "too" for r in kept)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    groups = brute(rows)
+    assert found[0] == found[1] == found[2] == sorted({c for _, _, c in groups})
+
+
 def test_empty_table(spark, tmp_path, make_docs):
     docs = stored(make_docs().limit(0), tmp_path / "0")
     for _, stage in p.STAGES:

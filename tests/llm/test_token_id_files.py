@@ -10,7 +10,7 @@ from orderloom.llm import catalog, id_files
 from orderloom.llm import range_coder as c
 from orderloom.llm.common import new_path
 from tests.llm.conftest import SMALL
-from tests.llm.test_packing import PATH, ids_of
+from tests.llm.test_packing import PATH, SPECIAL, ids_of
 
 
 def test_query(spark, own_texts):
@@ -31,6 +31,9 @@ def test_edge_rows(spark, make_docs):
     texts = ["no id", "", "two", "", "", "many words " * 9000]
     assert [r["ids"] for r in found] == [x.tobytes() for x in ids_of(texts)]
     path = new_path(spark, "test")
+    id_files.write_ids(make_docs(*enumerate(SPECIAL)), path, PATH)
+    assert [r["ids"] for r in sorted(id_files.read_ids(spark, path).collect(), key=lambda r: r["start"])] == [x.tobytes() for x in ids_of(SPECIAL)]
+    path = new_path(spark, "test")
     id_files.write_ids(make_docs().limit(0), path, PATH)
     assert id_files.read_ids(spark, path).count() == 0
 
