@@ -14,7 +14,8 @@ counts, as well as the count of the strongest left and right extension, are summ
 A phrase of at least ``least`` occurrences has frequent parts only. Hence words are
 counted first, then pairs of frequent words, then triples of frequent pairs (both by
 hash), and the last pass enumerates what frequent words, pairs and triples leave.
-Filters of ``FILTER_BITS`` bits tell frequent parts; what they wrongly let through is
+Shards send their counts in lists, one per bucket of hashes, and a task adds up those of its
+buckets. Filters of ``FILTER_BITS`` bits tell frequent parts; what they wrongly let through is
 counted exactly and dropped then, so hashes and the filters' size never change a result.
 
 Everything is per language; a null language is ``und``. Null and empty texts have no words.
@@ -32,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +41,9 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import arrow_batches, mix, ship, stored
 
 #: Words of a shard; bytes of text that are split at a time, and of a batch.
-SHARD_WORDS, PART_BYTES, BATCH_BYTES = 1 << 21, 4 << 20, 8 << 20
+SHARD_WORDS, PART_BYTES, BATCH_BYTES = 1 << 20, 1 << 20, 4 << 20
+#: Rows that a task takes up before it merges them.
+MERGED_ROWS = 1 << 20
 #: Bits of a filter of frequent parts (8 MiB); whole pieces of Spark's bitmaps.
 FILTER_BITS, PIECE_BITS = 1 << 26, 1 << 15
 #: Languages whose sizes are broadcast at most; parts over which counts are spread in joins and phrases before ranking.
@@ -266,8 +270,49 @@ def word_counts(docs: DataFrame, least: int) -> DataFrame:
     return counted.where((F.col("n") >= least) | F.col("word").isNull())
 
 
+def _buckets(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the hashes by their bucket, and where each of the ``n`` buckets ends in it."""
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
+    return np.argsort(bucket, kind="stable"), np.cumsum(np.bincount(bucket, minlength=n))
+
+
+def _dealt(lists: dict[str, pa.Array], hashes: np.ndarray, n: int) -> pa.RecordBatch:
+    """A row per bucket with its part of each column, as lists: a shuffle of few long rows in place of many short ones."""
+    order, ends = _buckets(hashes, n)
+    offsets = pa.array(np.append(0, ends).astype(np.int32))
+    columns = [pa.array(np.arange(n, dtype=np.int32))]
+    columns += [pa.ListArray.from_arrays(offsets, x.take(pa.array(order))) for x in lists.values()]
+    batch = pa.RecordBatch.from_arrays(columns, ["bucket", *lists])
+    return batch.filter(pa.array(np.diff(ends, prepend=0) > 0))
+
+
+def _summed(dealt: DataFrame, keys: list[str], sums: list[str], least: int, schema: str, n: int) -> DataFrame:
+    """Sums by key of lists dealt into buckets, where the first sum is at least ``least``; a task holds its bucket's keys."""
+
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(parts).group_by(keys, use_threads=False).aggregate([(x, "sum") for x in sums])
+        return found.select([*keys, *[f"{x}_sum" for x in sums]]).rename_columns([*keys, *sums])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.Table] = []
+        held = distinct = 0
+        for batch in batches:
+            flat = {x: batch.column(batch.schema.get_field_index(x)) for x in (*keys, *sums)}
+            parts.append(pa.table({x: y.flatten() if isinstance(y, pa.ListArray) else y for x, y in flat.items()}))
+            held += parts[-1].num_rows
+            if held > distinct + MERGED_ROWS:
+                parts = [merged(parts)]
+                held = distinct = parts[0].num_rows
+        if parts:
+            found = merged(parts)
+            yield from found.filter(pc.greater_equal(found[sums[0]], least)).to_batches()
+
+    return dealt.repartition(n, "bucket").mapInArrow(run, schema)
+
+
 def _hashed_counts(docs: DataFrame, length: int, filters: list, least: int) -> DataFrame:
     """Hashes of phrases of one length, of frequent parts, with at least ``least`` occurrences (of all with that hash)."""
+    n = _partitions(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [x.value for x in filters]
@@ -275,12 +320,16 @@ def _hashed_counts(docs: DataFrame, length: int, filters: list, least: int) -> D
             hashes = word_hashes(lang, words)
             text = _frequent_runs(ids, hashes, known[0], known[1] if length > 2 else None)
             for level in phrases(text, length):
-                if level.words.shape[1] == length:
+                if level.words.shape[1] == length and len(level.n):
                     found = phrase_hashes(level.words, hashes)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(level.n)], ["hash", "n"])
+                    yield _dealt({"hash": pa.array(found.view(np.int64)), "n": pa.array(level.n)}, found, n)
+
+    dealt = _rows(docs).mapInArrow(run, "bucket int, hash array<long>, n array<long>")
+    return _summed(dealt, ["hash"], ["n"], least, "hash long, n long", n).select("hash")
+
 
-    counted = _rows(docs).mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least).select("hash")
+def _partitions(docs: DataFrame) -> int:
+    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def phrase_counts(docs: DataFrame, words: DataFrame, least: int, depth: int) -> DataFrame:
@@ -289,6 +338,7 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int, depth: int) ->
     ``left`` and ``right`` sum each shard's strongest extension, so a phrase's
     extensions to that side have no more occurrences.
     """
+    n = _partitions(docs)
     context = docs.sparkSession.sparkContext
     filters = [context.broadcast(Filter.of(words.where("word is not null").select(F.xxhash64("lang", "word").alias("hash"))))]
     for length in range(2, min(depth, 3) + 1):
@@ -305,16 +355,16 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int, depth: int) ->
                 return known[last - 1].has(phrase_hashes(longer[:, -last:], hashes))
 
             for level in phrases(_frequent_runs(ids, hashes, known[0], known[1]), depth, keep):
-                joined = pa.array([b" ".join(map(words.__getitem__, x)) for x in level.words.tolist()], pa.binary()).cast(pa.string())
-                length = np.full(len(joined), level.words.shape[1], np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(joined), pa.string()), joined, *map(pa.array, (length, level.n, level.left, level.right))],
-                    ["lang", "phrase", "length", "n", "left", "right"],
-                )
-
-    found = _rows(docs).mapInArrow(run, "lang string, phrase string, length int, n long, left long, right long")
-    sums = found.groupBy("lang", "phrase", "length").agg(*[F.sum(x).alias(x) for x in ("n", "left", "right")])
-    return sums.where(F.col("n") >= least)
+                if len(level.n):
+                    joined = pa.array([b" ".join(map(words.__getitem__, x)) for x in level.words.tolist()], pa.binary()).cast(pa.string())
+                    rows = {"lang": pa.array([lang] * len(joined)), "phrase": joined, "length": pa.array(np.full(len(joined), level.words.shape[1], np.int32))}
+                    rows |= {"n": pa.array(level.n), "left": pa.array(level.left), "right": pa.array(level.right)}
+                    yield _dealt(rows, phrase_hashes(level.words, hashes), n)
+
+    lists = "bucket int, lang array<string>, phrase array<string>, length array<int>, n array<long>, left array<long>, right array<long>"
+    dealt = _rows(docs).mapInArrow(run, lists)
+    schema = "lang string, phrase string, length int, n long, left long, right long"
+    return _summed(dealt, ["lang", "phrase", "length"], ["n", "left", "right"], least, schema, n)
 
 
 def _part(first: bool):
