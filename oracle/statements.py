@@ -451,7 +451,7 @@ def check_tables() -> dict[str, str]:
             ]
         )
 
-    return {
+    found = {
         "chk_not_null": union(*not_null, *[_nulls("raw", c) for c in RAW_COLUMNS]),
         "chk_unique": union(*unique, *[_repeats(f"unique.raw.{c}", "raw", [c]) for c in ("Order ID", "index")]),
         "chk_accepted_values": union(
@@ -511,6 +511,8 @@ def check_tables() -> dict[str, str]:
             _found("status_conflict.stg_orders", "count(*)", conflicts, *quality.STATUS_CONFLICT_LIMITS),
         ),
     }
+    found["chk_suite_scanned"] = found["chk_suite_summary"]
+    return found
 
 
 def all_statements() -> dict[str, str]:

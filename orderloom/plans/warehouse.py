@@ -7,7 +7,7 @@ the executors that wrote them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +16,24 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from orderloom.functions.text import column
 from orderloom.operators.checks import repeated_combinations
 from orderloom.operators.dedup import HASH_ROWS, key_hash, repeated_key_hashes
-from orderloom.plans import dimensions, fact
+from orderloom.plans import dimensions, fact, quality
 from orderloom.plans import vocabulary as v
 from orderloom.plans.staging import line_key, staged_lines
 from orderloom.sources import schemas, tables
 
 SALE_MONTH = "sale_month"
+LAYERS = {
+    "raw": {"order_lines": schemas.RAW},
+    "seeds": {"state_to_region": schemas.REGIONS},
+    "staging": {"stg_orders": schemas.STAGING},
+    "marts": {
+        "fct_sales": schemas.FACT,
+        "dim_date": schemas.DIM_DATE,
+        "dim_product": schemas.DIM_PRODUCT,
+        "dim_geography": schemas.DIM_GEOGRAPHY,
+        "dim_order_status": schemas.DIM_ORDER_STATUS,
+    },
+}
 
 
 class Warehouse:
@@ -83,9 +95,24 @@ class Warehouse:
     ) -> DataFrame:
         path = self.path(layer, name)
         if not self._opened and name not in self.rows_written:
-            self.rows_written[name] = tables.overwrite(build(), path, partition_by, cluster_by, self._buckets)
+            measures = quality.row_conditions(name)
+            self.rows_written[name] = tables.overwrite(build(), path, partition_by, cluster_by, self._buckets, measures)
         return tables.read(self.spark, path, schema)
 
+    def measured(self) -> dict[str, dict[str, int]]:
+        """By table, what was counted while it was written: failures of the checks on single rows, and its rows."""
+        found = {}
+        for layer, members in LAYERS.items():
+            for name in members:
+                commit = tables.commit_of(self.spark, self.path(layer, name))
+                if commit is not None and name in quality.NOT_NULL:
+                    found[name] = {**commit.measures, quality.ROWS + name: commit.rows}
+        return found
+
+    def suite(self, fulfilments: Sequence[str], **more) -> DataFrame:
+        """The quality suite; checks on single rows and row counts come from the writes. ``more`` as for :func:`quality.suite`."""
+        return quality.suite(self.lines(), self.staging(), self.star(), fulfilments, measured=self.measured(), **more)
+
     def lines(self) -> DataFrame:
         """Raw lines with the hash of their (order, sku), and stored by it."""
         return self._stored("raw", "order_lines", schemas.RAW_LINES, self._hashed_lines, cluster_by=schemas.KEY_HASH)
@@ -183,20 +210,8 @@ class Warehouse:
     def publish(self, prefix: str = "") -> None:
         """Build every table and give each its name, ``<prefix><layer>.<table>``."""
         self.build()
-        members = {
-            "raw": {"order_lines": schemas.RAW},
-            "seeds": {"state_to_region": schemas.REGIONS},
-            "staging": {"stg_orders": schemas.STAGING},
-            "marts": {
-                "fct_sales": schemas.FACT,
-                "dim_date": schemas.DIM_DATE,
-                "dim_product": schemas.DIM_PRODUCT,
-                "dim_geography": schemas.DIM_GEOGRAPHY,
-                "dim_order_status": schemas.DIM_ORDER_STATUS,
-            },
-        }
         placed = {
             layer: {name: (self.path(layer, name), schema.names) for name, schema in group.items()}
-            for layer, group in members.items()
+            for layer, group in LAYERS.items()
         }
         tables.publish(self.spark, self.base, placed, prefix)

@@ -1,6 +1,8 @@
 """Each check must fail on its bad row, and the suite must count all 72."""
 
 import datetime as dt
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from orderloom.plans import profile, quality
 from orderloom.plans.benchmark import open_benchmark
 from orderloom.plans.catalog import FULFILMENTS
 from orderloom.plans.warehouse import Warehouse
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan
 
 
 @pytest.fixture(scope="module")
@@ -121,6 +123,9 @@ def test_suite_reports_each_fault(spark, tmp_path, raw_rows):
         for r in quality.suite(w.raw(), w.staging(), bad, ["Merchant"], quality.Limits(), quality.Limits()).collect()
         if r["failures"]
     }
+    scanned = Counter(map(tuple, quality.suite(w.lines(), w.staging(), star, ["Merchant"]).collect()))
+    assert Counter(map(tuple, w.suite(["Merchant"]).collect())) == scanned
+    assert Counter(map(tuple, Warehouse.open(spark, str(tmp_path / "wh")).suite(["Merchant"]).collect())) == scanned
     for column in quality.NOT_NULL["stg_orders"]:
         expected = 0 if column == "promo_count" else 1
         assert found.get(f"not_null.stg_orders.{column}", 0) == expected, column
@@ -145,6 +150,23 @@ def test_suite_reports_each_fault(spark, tmp_path, raw_rows):
     assert found["terminal_contract.dim_order_status"] == 13
 
 
+def test_what_was_measured_is_not_scanned_again(spark):
+    w = open_benchmark(spark, SMALL)
+    w.build()
+    measured = w.measured()
+    assert measured["stg_orders"]["rows.stg_orders"] == w.staging().count() and measured["fct_sales"]["cancelled_revenue.fct_sales"] == 0
+    scans = lambda df, table: len(re.findall(rf"Location: InMemoryFileIndex \[[^\]]*/{table}/", plan(df)))
+    reads = lambda df: "\n".join(x for x in plan(df).split("\n") if x.startswith("ReadSchema"))
+    found, before = w.suite(FULFILMENTS), quality.suite(w.lines(), w.staging(), w.star(), FULFILMENTS)
+    # staging: accepted values, unique pairs; the fact: keys, unique key, unique pairs
+    assert scans(found, "stg_orders") == 2 and scans(before, "stg_orders") == 3
+    assert scans(found, "fct_sales") == 3 and scans(before, "fct_sales") == 4
+    for column in ("quantity", "promo_count", "revenue_amount", "is_cancelled"):
+        assert column in reads(before) and column not in reads(found)
+    limited = quality.suite(w.lines(), w.staging(), w.star(), FULFILMENTS, where={"stg_orders": "is_b2b"}, measured=measured)
+    assert scans(limited, "stg_orders") == 3 and limited.count() == 72
+
+
 def test_status_conflicts(raw_rows, spark, tmp_path):
     rows = raw_rows(
         {"Order ID": "1", "Courier Status": "Unshipped"},
