@@ -200,6 +200,7 @@ def report_tables() -> dict[str, str]:
             "fact",
         ),
         "rpt_city_style_revenue": by_style,
+        "rpt_city_style_revenue_by_place": by_style,
         "mart_reopen_report": by_style,
         "rpt_season_revenue": statement(
             "SELECT season, days_in_data, orders, total_revenue, per_day AS avg_daily_revenue, "

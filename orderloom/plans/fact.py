@@ -20,11 +20,18 @@ MOST_DAYS = 36_525
 
 
 class Star(NamedTuple):
+    """The fact with its dimensions; ``by_place`` says that the fact is stored in the order of its places."""
+
     fact: DataFrame
     dates: DataFrame
     products: DataFrame
     places: DataFrame
     statuses: DataFrame
+    by_place: bool = False
+
+
+#: The order of a fact that is stored by place: the last key splits a place and day that holds many lines.
+PLACE_ORDER = ("geography_key", "date_key", "sales_key")
 
 
 def _dated(staging: DataFrame, dates: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.numbers import ratio
 from orderloom.operators.joins import join_dimension
+from orderloom.operators.skipping import near_keys
 from orderloom.plans.fact import Star
 from orderloom.plans.vocabulary import SOLD_GROUPS, UNKNOWN_REGION
 
@@ -39,7 +40,8 @@ def _sold_in_city(
     """(attribute, units, revenue) of one city, by a product attribute."""
     statuses = star.statuses.where(F.col("status_group").isin(*status_groups)).select("status_key")
     city_keys = star.places.where(F.col("ship_city") == city).select("geography_key")
-    lines = _in_country(star.fact, country).join(statuses, "status_key")
+    fact = near_keys(star.fact, "geography_key", city_keys) if star.by_place else star.fact
+    lines = _in_country(fact, country).join(statuses, "status_key")
     per_product = join_dimension(lines, city_keys, "geography_key").groupBy("product_key").agg(_units(), _revenue())
     return (
         per_product.join(star.products.select("product_key", attribute), "product_key")

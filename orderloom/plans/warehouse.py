@@ -49,6 +49,7 @@ class Warehouse:
         fact_by_month: bool = False,
         broadcast_rows: int = HASH_ROWS,
         buckets: int | None = None,
+        fact_by_place: bool = False,
     ) -> None:
         """``calendar`` is (first day, day after the last); None takes whole years around the data.
 
@@ -57,7 +58,9 @@ class Warehouse:
         for reports that read few months. It costs one more shuffle of the fact.
         More than ``broadcast_rows`` hashes of repeated lines are not broadcast. The raw
         lines are stored in ``buckets`` by the hash of (order, sku), by default as many
-        as Spark shuffles into; a bucket should fit a task.
+        as Spark shuffles into; a bucket should fit a task. ``fact_by_place`` stores the
+        fact in the order of place and day, so that reports on a city skip most of it; it
+        costs a shuffle and a sort of the fact.
         """
         self.spark = spark
         self.base = base.rstrip("/")
@@ -69,6 +72,7 @@ class Warehouse:
         self._fact_by_month = fact_by_month
         self._broadcast_rows = broadcast_rows
         self._buckets = buckets
+        self._fact_by_place = fact_by_place
 
     @classmethod
     def open(cls, spark: SparkSession, base: str) -> Warehouse:
@@ -92,11 +96,12 @@ class Warehouse:
         build: Callable[[], DataFrame],
         partition_by: str | None = None,
         cluster_by: str | None = None,
+        order_by: Sequence[str] = (),
     ) -> DataFrame:
         path = self.path(layer, name)
         if not self._opened and name not in self.rows_written:
             measures = quality.row_conditions(name)
-            self.rows_written[name] = tables.overwrite(build(), path, partition_by, cluster_by, self._buckets, measures)
+            self.rows_written[name] = tables.overwrite(build(), path, partition_by, cluster_by, self._buckets, measures, order_by)
         return tables.read(self.spark, path, schema)
 
     def measured(self) -> dict[str, dict[str, int]]:
@@ -193,11 +198,13 @@ class Warehouse:
     def fact(self) -> DataFrame:
         month = SALE_MONTH if self._fact_by_month else None
         schema = schemas.FACT if month is None else StructType([*schemas.FACT.fields, StructField(month, IntegerType())])
-        stored = self._stored("marts", "fct_sales", schema, self._fact_rows, month)
+        order = fact.PLACE_ORDER if self._fact_by_place else ()
+        stored = self._stored("marts", "fct_sales", schema, self._fact_rows, month, order_by=order)
         return stored.select(*schemas.FACT.names)
 
     def star(self) -> fact.Star:
-        return fact.Star(self.fact(), self.dates(), self.products(), self.places(), self.statuses())
+        rows, commit = self.fact(), tables.commit_of(self.spark, self.path("marts", "fct_sales"))
+        return fact.Star(rows, self.dates(), self.products(), self.places(), self.statuses(), commit.ordered_by[:1] == ["geography_key"])
 
     def build(self) -> dict[str, int]:
         """Build every table; returns the rows written per table."""

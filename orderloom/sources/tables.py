@@ -7,7 +7,7 @@ import os
 import re
 import tempfile
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 from uuid import uuid4
 
@@ -22,6 +22,8 @@ _COMMIT = re.compile(r"_commit-(\d{8})\.json$")
 _BUCKET = re.compile(r"_(\d{5})\.c\d+\.")
 #: A bucket is uneven if it holds over so many bytes and so many times the mean: its rows are then shuffled, not read by one task.
 LARGE_BUCKET, UNEVEN = 256 << 20, 4
+#: Rows of a row group of a table that is stored in order.
+GROUP_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -56,6 +58,7 @@ class Commit(NamedTuple):
     buckets: int | None = None
     even: bool = True
     measures: dict[str, int] = {}  # noqa: RUF012
+    ordered_by: list[str] = []  # noqa: RUF012
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -155,6 +158,8 @@ def overwrite(
     cluster_by: str | None = None,
     buckets: int | None = None,
     measures: Mapping[str, Column] | None = None,
+    order_by: Sequence[str] = (),
+    rows_per_group: int = GROUP_ROWS,
 ) -> int:
     """Replace the table at ``path`` and return the rows written.
 
@@ -171,7 +176,9 @@ def overwrite(
     ``partition_by``, Spark first rebalances the rows by that column: small
     partitions are merged and a hot value is split over several files. With
     ``cluster_by``, rows of equal values of that column are in the same bucket, and
-    joins, groups and windows on it need no exchange.
+    joins, groups and windows on it need no exchange. With ``order_by``, files and
+    their row groups follow that order, so that a filter on it skips most of them;
+    Spark samples the rows first to find even ranges.
     """
     spark = df.sparkSession
     numbers = _commits(spark, path)
@@ -190,14 +197,18 @@ def overwrite(
     else:
         buckets = None
         rows = df if partition_by is None else df.hint("rebalance", F.col(partition_by))
+        if order_by:
+            rows = df.repartitionByRange(*order_by).sortWithinPartitions(*([partition_by] if partition_by else []), *order_by)
         writer = rows.observe(written, *counts).write
+        if order_by:
+            writer = writer.option("parquet.block.row.count.limit", rows_per_group)
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
         writer.parquet(folder)
     found = written.get
     even = buckets is None or _even_buckets(spark, folder, buckets)
     measured = {name: found[f"m{i}"] for i, name in enumerate(measures or {})}
-    commit = Commit(based_on + 1, based_on, named, found["rows"], cluster_by, buckets, even, measured)
+    commit = Commit(based_on + 1, based_on, named, found["rows"], cluster_by, buckets, even, measured, list(order_by))
     # a writer that was overtaken twice finds its number free only if commits were removed, which nobody does
     if not _create(spark, _commit_path(path, commit.number), json.dumps(commit._asdict())):
         _drop(spark, folder)

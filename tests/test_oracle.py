@@ -19,6 +19,7 @@ ORDERED = {
     "rpt_city_category_units": [("units", True)],
     "rpt_cancel_rate_region": [("cancellation_rate", True)],
     "rpt_city_style_revenue": [("units", True)],
+    "rpt_city_style_revenue_by_place": [("units", True)],
     "prof_status_courier": [("row_count", True)],
     "prof_missing_by_column": [("missing", True), ("column_name", False)],
     "prof_value_distribution": [("column_name", False), ("count", True), ("value", False)],
