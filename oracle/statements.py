@@ -357,6 +357,22 @@ def profiles() -> dict[str, str]:
         "prof_value_distribution": distributions,
         "prof_distinct_counts": f"SELECT {cardinalities} FROM raw",
     }
+    wide = {
+        "quality_counters": _quality_counters("raw"),
+        "co_missing": _co_missing("raw"),
+        "anomalies_by_status": bodies["prof_anomaly_by_status"],
+        "cancelled_with_amount": bodies["prof_cancelled_with_amount"],
+        "promotion_shape": bodies["prof_promo_shape"],
+        "filled_rows": bodies["prof_non_empty"],
+    }
+    parts = [
+        f"SELECT {quote(name)} AS profile, measure, value FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS double) FROM ({body})) "
+        "ON COLUMNS(*) INTO NAME measure VALUE value)"
+        for name, body in wide.items()
+    ]
+    for profile, value in (("missing", "missing"), ("pct_missing", "pct_missing")):
+        parts.append(f"SELECT '{profile}' AS profile, column_name AS measure, CAST({value} AS double) AS value FROM ({_missing_by_column('raw')})")
+    bodies["prof_bundle"] = " UNION ALL ".join(parts)
     return found | {name: statement(body, "raw") for name, body in bodies.items()}
 
 

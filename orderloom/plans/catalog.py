@@ -400,6 +400,7 @@ _profile("prof_cancelled_with_amount", profile.cancelled_with_amount)
 _profile("prof_promo_shape", profile.promotion_shape)
 _profile("prof_non_empty", lambda raw: profile.filled_rows(raw, "Unnamed: 22", "unnamed_22_non_empty"))
 _profile("prof_missing_by_column", profile.missing_by_column)
+_profile("prof_bundle", profile.bundle)
 _profile("prof_value_distribution", profile.value_distribution)
 _profile("prof_distinct_counts", profile.category_cardinality)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from orderloom.functions.text import (
 )
 from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated_tuples, top_values, value_counts
 from orderloom.operators.dedup import HASH_ROWS, clustering, repeated_key_hashes, with_repeated_key
+from orderloom.operators.summaries import Summary, summarise
 from orderloom.plans.staging import line_key
 from orderloom.plans.vocabulary import CANCELLED
 from orderloom.sources.schemas import RAW_COLUMNS
@@ -132,22 +133,20 @@ def exact_duplicates(raw: DataFrame, repeated: DataFrame | None = None, broadcas
     return repeated_tuples(rows, BUSINESS_COLUMNS, within=clustering(raw)).agg(_surplus().alias("business_level_exact_duplicates"))
 
 
-def quality_counters(raw: DataFrame) -> DataFrame:
+def _quality() -> dict[str, Column]:
     quantity = parse_int("Qty")
-    return counters(
-        raw,
-        {
-            "missing_amount": is_blank("Amount"),
-            "qty_zero": quantity == 0,
-            "qty_negative": quantity < 0,
-            "amount_negative": parse_double("Amount") < 0,
-            "invalid_dates": has_text("Date") & parse_mdy("Date").isNull(),
-            "missing_shipping_info": is_blank("ship-city")
-            | is_blank("ship-state")
-            | is_blank("ship-postal-code")
-            | is_blank("ship-country"),
-        },
-    )
+    return {
+        "missing_amount": is_blank("Amount"),
+        "qty_zero": quantity == 0,
+        "qty_negative": quantity < 0,
+        "amount_negative": parse_double("Amount") < 0,
+        "invalid_dates": has_text("Date") & parse_mdy("Date").isNull(),
+        "missing_shipping_info": is_blank("ship-city") | is_blank("ship-state") | is_blank("ship-postal-code") | is_blank("ship-country"),
+    }
+
+
+def quality_counters(raw: DataFrame) -> DataFrame:
+    return counters(raw, _quality())
 
 
 def sku_drift(raw: DataFrame) -> DataFrame:
@@ -166,17 +165,18 @@ def sku_drift(raw: DataFrame) -> DataFrame:
     return drifts.agg(*[F.count_if(a).alias(f"sku_{a}_drift") for a in attributes])
 
 
+def _co_missing() -> dict[str, Column]:
+    no_amount, no_currency = is_blank("Amount"), is_blank("currency")
+    return {
+        "both_null": no_amount & no_currency,
+        "only_amount_null": no_amount & ~no_currency,
+        "only_currency_null": ~no_amount & no_currency,
+    }
+
+
 def co_missing(raw: DataFrame) -> DataFrame:
     """Whether amount and currency are missing together."""
-    no_amount, no_currency = is_blank("Amount"), is_blank("currency")
-    return counters(
-        raw,
-        {
-            "both_null": no_amount & no_currency,
-            "only_amount_null": no_amount & ~no_currency,
-            "only_currency_null": ~no_amount & no_currency,
-        },
-    )
+    return counters(raw, _co_missing())
 
 
 def fulfilment_crosstab(raw: DataFrame) -> DataFrame:
@@ -215,8 +215,7 @@ def casing_collapse(raw: DataFrame) -> DataFrame:
     )
 
 
-def anomalies_by_status(raw: DataFrame) -> DataFrame:
-    """Zero quantities and missing amounts, among cancelled and shipped lines."""
+def _anomalies() -> dict[str, Column]:
     status = clean("Status")
     families = {"cancelled": status == CANCELLED, "shipped": status.startswith("Shipped")}
     anomalies = {"qty_zero": parse_int("Qty") == 0, "amount_missing": is_blank("Amount")}
@@ -225,23 +224,36 @@ def anomalies_by_status(raw: DataFrame) -> DataFrame:
         conditions[f"{anomaly}_total"] = found
         for family, member in families.items():
             conditions[f"{anomaly}_{family}"] = found & member
-    return counters(raw, conditions)
+    return conditions
+
+
+def anomalies_by_status(raw: DataFrame) -> DataFrame:
+    """Zero quantities and missing amounts, among cancelled and shipped lines."""
+    return counters(raw, _anomalies())
+
+
+def _cancelled_and_priced() -> Column:
+    return (column("Status") == CANCELLED) & (parse_double("Amount") > 0)
 
 
 def cancelled_with_amount(raw: DataFrame) -> DataFrame:
-    priced = raw.where((column("Status") == CANCELLED) & (parse_double("Amount") > 0))
+    priced = raw.where(_cancelled_and_priced())
     return priced.agg(_rows().alias("cancelled_orders_with_amount_gt_zero"))
 
 
+def _promotions() -> dict[str, Column]:
+    listed, items = has_text("promotion-ids"), list_length("promotion-ids")
+    return {
+        "rows_with_promo": F.count_if(listed),
+        "max_raw_length": F.max(F.length(column("promotion-ids"))).cast("bigint"),
+        "max_promo_count_per_row": F.max(items).cast("bigint"),
+        "avg_promo_count_when_present": F.avg(F.when(listed, items)),
+    }
+
+
 def promotion_shape(raw: DataFrame) -> DataFrame:
     """How many lines carry promotions, and how long the lists are."""
-    listed, items = has_text("promotion-ids"), list_length("promotion-ids")
-    return raw.agg(
-        F.count_if(listed).alias("rows_with_promo"),
-        F.max(F.length(column("promotion-ids"))).cast("bigint").alias("max_raw_length"),
-        F.max(items).cast("bigint").alias("max_promo_count_per_row"),
-        F.avg(F.when(listed, items)).alias("avg_promo_count_when_present"),
-    )
+    return raw.agg(*[c.alias(name) for name, c in _promotions().items()])
 
 
 def filled_rows(raw: DataFrame, col: str, alias: str) -> DataFrame:
@@ -259,6 +271,27 @@ def missing_by_column(raw: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> D
     )
 
 
+def summaries(columns: Sequence[str] = RAW_COLUMNS) -> dict[str, Summary]:
+    """The profiles that are one aggregate of all lines, to be taken from one scan."""
+    rows = F.count(F.lit(1))
+    missing = {c: F.count_if(is_blank(c)) for c in columns}
+    return {
+        "quality_counters": Summary.of_conditions(_quality()),
+        "co_missing": Summary.of_conditions(_co_missing()),
+        "anomalies_by_status": Summary.of_conditions(_anomalies()),
+        "cancelled_with_amount": Summary.of_conditions({"cancelled_orders_with_amount_gt_zero": _cancelled_and_priced()}),
+        "promotion_shape": Summary(_promotions()),
+        "filled_rows": Summary.of_conditions({"unnamed_22_non_empty": has_text("Unnamed: 22")}),
+        "missing": Summary(missing),
+        "pct_missing": Summary({**missing, "_rows": rows}, lambda found: {c: round_double(percent(found[c], found["_rows"]), 2) for c in missing}),
+    }
+
+
+def bundle(raw: DataFrame, chosen: Mapping[str, Summary] | None = None) -> DataFrame:
+    """(profile, measure, value) of many profiles, from one scan."""
+    return summarise(raw, summaries() if chosen is None else chosen)
+
+
 def value_distribution(raw: DataFrame, columns: Sequence[str] = CATEGORICAL, k: int = 15) -> DataFrame:
     """The most frequent values of each column."""
     found = top_values(raw, columns, k, NULL_LABEL)

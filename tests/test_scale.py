@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from orderloom.operators import checks, counting
+from orderloom.operators import checks, counting, summaries
 from orderloom.operators.joins import join_dimension
 from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.benchmark import open_benchmark
@@ -54,6 +54,18 @@ def test_many_columns_are_profiled_in_one_scan(w):
         assert nodes(build(w.raw()), "Scan parquet") == 1, build.__name__
 
 
+def test_many_summaries_share_one_scan_and_equal_aggregates(w):
+    found = profile.bundle(w.raw())
+    assert nodes(found, "Scan parquet") == 1 and plan(found).split("\n\n")[0].count("HashAggregate") == 2
+    text = plan(found)
+    assert text.count("partial_count(1)") == 1  # the rows are counted once for all 24 shares
+    rows = {(r["profile"], r["measure"]): r["value"] for r in found.collect()}
+    alone = profile.quality_counters(w.raw()).first().asDict() | profile.promotion_shape(w.raw()).first().asDict()
+    assert {m: rows[p, m] for p, m in rows if p in ("quality_counters", "promotion_shape")} == alone
+    few = summaries.summarise(w.raw().limit(0), {"a": summaries.Summary({"n": F.count(F.lit(1)), "top": F.max("Qty")})})
+    assert [tuple(r) for r in few.collect()] == [("a", "n", 0.0), ("a", "top", None)]
+
+
 def test_counts_before_the_shuffle(w):
     tree = plan(profile.value_distribution(w.raw())).split("\n\n")[0]
     assert tree.count("HashAggregate") >= 2
