@@ -14,8 +14,10 @@ it was never closed and ends with the next block that starts, so what follows is
 Scripts and styles alone run to their end tag or the page's end, as in HTML.
 Character references are decoded, white space in a block becomes one space, blocks are
 joined by a line break. A markup that breaks off is read up to there. Null and empty
-pages have the empty text. Pages are handled one by one, so repeated rows agree; each
-task holds one page's blocks at a time.
+pages have the empty text, an empty table gives an empty one. Pages are handled one by
+one, so repeated rows agree; each task holds one page's blocks at a time, and the cut of a
+very long page takes time in proportion to its blocks as long as flows stay local. A
+block that costs the same on either side is boilerplate. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import sampled, ship
 
-#: Pages whose blocks train the classifier, at most; a hash of their text selects them.
-TRAINING_PAGES = 2_000
+#: Pages whose blocks train the classifier, at most, selected by a hash; blocks of each that are used, at most.
+TRAINING_PAGES, TRAINING_BLOCKS = 2_000, 200
+#: Flow that counts as none.
+EPSILON = 1e-12
 #: Cost of a cut between two neighbouring blocks of one parent; less for a farther common ancestor.
 SMOOTHNESS = 1.5
 
@@ -258,40 +262,97 @@ def features(block: Block) -> list[float]:
 def separate(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Minimum cut: which nodes stay with the source. ``gain`` > 0 pulls to the source, < 0 to the sink.
 
-    Flow goes from nodes with a surplus to nodes with a deficit along shortest paths.
+    A node that pulls harder than all its edges together is settled by itself, and its
+    edges then pull its neighbours, which may settle these. What is left is cut by
+    maximum flow: each phase levels the nodes by their distance from a surplus and sends
+    flow along all paths that go up the levels, until no surplus reaches a deficit.
     """
-    n = len(gain)
-    spare, lack = [max(0.0, g) for g in gain], [max(0.0, -g) for g in gain]
-    room: list[dict[int, float]] = [{} for _ in range(n)]
+    pull, n = list(gain), len(gain)
+    near: list[dict[int, float]] = [{} for _ in range(n)]
     for a, b, c in edges:
-        room[a][b] = room[a].get(b, 0.0) + c
-        room[b][a] = room[b].get(a, 0.0) + c
+        near[a][b] = near[a].get(b, 0.0) + c
+        near[b][a] = near[b].get(a, 0.0) + c
+    weight = [sum(x.values()) for x in near]
+    with_source: list[bool | None] = [None] * n
+    waiting = list(range(n))
+    while waiting:
+        i = waiting.pop()
+        if with_source[i] is not None or not (pull[i] > weight[i] + EPSILON or -pull[i] >= weight[i]):
+            continue
+        with_source[i] = pull[i] > 0
+        for j, c in near[i].items():
+            pull[j] += c if with_source[i] else -c
+            weight[j] -= c
+            del near[j][i]
+            waiting.append(j)
+        near[i] = {}
+    left = [i for i in range(n) if with_source[i] is None]
+    for i, kept in zip(left, _flow(left, pull, near), strict=True):
+        with_source[i] = kept
+    return [bool(x) for x in with_source]
+
+
+def _flow(nodes: list[int], pull: list[float], near: list[dict[int, float]]) -> list[bool]:
+    """Which of the nodes a surplus still reaches once the flow is at its maximum."""
+    place = {i: k for k, i in enumerate(nodes)}
+    n = len(nodes)
+    spare, lack = [max(0.0, pull[i]) for i in nodes], [max(0.0, -pull[i]) for i in nodes]
+    arcs: list[list[int]] = [[] for _ in range(n)]  # arc e leads to head[e] and has room[e]; e ^ 1 leads back
+    head: list[int] = []
+    room: list[float] = []
+    for k, i in enumerate(nodes):
+        for j, c in near[i].items():
+            if i < j:
+                arcs[k].append(len(head))
+                arcs[place[j]].append(len(head) + 1)
+                head += [place[j], k]
+                room += [c, c]
     while True:
-        before = [-1 if s > 1e-12 else -2 for s in spare]  # -1: a source of flow, -2: not reached
-        reached = [i for i in range(n) if before[i] == -1]
-        goal = -1
-        for i in reached:
-            if lack[i] > 1e-12:
-                goal = i
+        level = [0 if s > EPSILON else -1 for s in spare]
+        reached = [k for k in range(n) if level[k] == 0]
+        found = False
+        for k in reached:
+            found = found or lack[k] > EPSILON
+            for e in arcs[k]:
+                if room[e] > EPSILON and level[head[e]] < 0:
+                    level[head[e]] = level[k] + 1
+                    reached.append(head[e])
+        if not found:
+            return [x >= 0 for x in level]
+        tried = [0] * n
+        for source in reached:
+            if level[source]:
                 break
-            for j, c in room[i].items():
-                if c > 1e-12 and before[j] == -2:
-                    before[j] = i
-                    reached.append(j)
-        if goal < 0:
-            return [x != -2 for x in before]
-        flow, at = lack[goal], goal
-        while before[at] >= 0:
-            flow = min(flow, room[before[at]][at])
-            at = before[at]
-        flow = min(flow, spare[at])
-        spare[at] -= flow
-        lack[goal] -= flow
-        at = goal
-        while before[at] >= 0:
-            room[before[at]][at] -= flow
-            room[at][before[at]] += flow
-            at = before[at]
+            path: list[int] = []  # arcs from the source on
+            at = source
+            while spare[source] > EPSILON:
+                if lack[at] > EPSILON:
+                    flow = min(spare[source], lack[at], min((room[e] for e in path), default=spare[source]))
+                    spare[source] -= flow
+                    lack[at] -= flow
+                    full = len(path)
+                    for d, e in enumerate(path):
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                        if room[e] <= EPSILON:
+                            full = min(full, d)
+                    if full < len(path):
+                        at = head[path[full] ^ 1]
+                        del path[full:]
+                    continue
+                while tried[at] < len(arcs[at]):
+                    e = arcs[at][tried[at]]
+                    if room[e] > EPSILON and level[head[e]] == level[at] + 1:
+                        break
+                    tried[at] += 1
+                if tried[at] < len(arcs[at]):
+                    path.append(arcs[at][tried[at]])
+                    at = head[path[-1]]
+                elif path:
+                    at = head[path.pop() ^ 1]
+                    tried[at] += 1
+                else:
+                    break
 
 
 def _edges(found: list[Block], smoothness: float) -> list[tuple[int, int, float]]:
@@ -322,7 +383,11 @@ def main_text(html: str, weights: np.ndarray, smoothness: float = SMOOTHNESS) ->
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(float(x.told > 0), features(x)) for html in batch.column(0).to_pylist() for x in blocks(html) if x.told]
+        rows = []
+        for html in batch.column(0).to_pylist():
+            told = [x for x in blocks(html) if x.told]
+            step = max(1, -(-len(told) // TRAINING_BLOCKS))
+            rows += [(float(x.told > 0), features(x)) for x in told[::step]]
         yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.float64()), pa.array([x for _, x in rows], pa.list_(pa.float64()))], ["content", "features"])
 
 
@@ -330,11 +395,14 @@ def fit(pages: DataFrame, rows: int = TRAINING_PAGES, hold: float = 0.02, steps:
     """Weights of the block classifier, trained on blocks whose elements tell what they are.
 
     Each such block counts twice, with and without what its elements tell, so that the
-    text's own features learn to decide where no element does.
+    text's own features learn to decide where no element does. At most ``rows`` pages are
+    used, chosen by a hash of id and text, and ``TRAINING_BLOCKS`` blocks of each, evenly
+    spaced; pages are read in place, only their blocks' numbers come to the driver.
     """
     ship(pages.sparkSession)
-    html = pages.select(F.col("html").cast("string").alias("html")).dropna()
-    known = sampled(html, "html", rows).mapInArrow(_training_rows, "content double, features array<double>").toArrow()
+    html = pages.select(F.col("html").cast("string").alias("html"), F.xxhash64(F.col("page_id").cast("long"), F.col("html").cast("string")).alias("chosen")).dropna(subset=["html"])
+    chosen = sampled(html.select("chosen"), "chosen", rows).distinct()  # at most ``rows`` numbers
+    known = html.join(F.broadcast(chosen), "chosen", "left_semi").dropDuplicates(["chosen"]).select("html").mapInArrow(_training_rows, "content double, features array<double>").toArrow()
     if known.num_rows == 0:
         return _PRIOR.copy()
     told = np.array(known.column("features").to_pylist())

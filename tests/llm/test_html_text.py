@@ -1,6 +1,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 
@@ -90,3 +91,61 @@ def test_cut_is_minimal():
 
         best = min(cost(x) for x in itertools.product((False, True), repeat=n))
         assert abs(cost(h.separate(gain, edges)) - best) < 1e-9
+
+
+def test_long_pages_take_time_in_proportion():
+    n = 100_000
+    for gain in ([1.0 if i % 2 else -0.9 for i in range(n)], np.random.default_rng(2).normal(size=n).tolist()):
+        edges = [(i, i + 1, 1.5) for i in range(n - 1)] + [(i, i + 2, 0.75) for i in range(n - 2)]
+        start = time.process_time()
+        h.separate(gain, edges)
+        assert time.process_time() - start < 10
+    start = time.process_time()
+    found = h.main_text("<table>" + f"<tr><td><p>{LONG}</p></td><td><a href=1>next</a></td></tr>" * 20_000 + "</table>", h._PRIOR)
+    assert found.count(LONG.strip()) == 20_000 and time.process_time() - start < 30
+
+
+def test_cut_of_larger_graphs_by_another_method():
+    """The value of the cut against one augmenting path at a time."""
+    r = np.random.default_rng(7)
+    for n in (30, 80):
+        gain = r.normal(0, 0.6, n).tolist()
+        edges = [(i, int(j), float(c)) for i in range(n) for j, c in zip(r.integers(0, n, 3), r.random(3), strict=True) if i != j]
+        keep = h.separate(gain, edges)
+        cost = sum(max(0, g) if not k else max(0, -g) for g, k in zip(gain, keep, strict=True)) + sum(c for a, b, c in edges if keep[a] != keep[b])
+        assert abs(cost - _largest_flow(gain, edges)) < 1e-9
+
+
+def _largest_flow(gain, edges):
+    room = {}
+    for a, b, c in edges:
+        room[a, b], room[b, a] = room.get((a, b), 0) + c, room.get((b, a), 0) + c
+    for i, g in enumerate(gain):
+        room["s", i], room[i, "t"], room[i, "s"], room["t", i] = max(g, 0), max(-g, 0), 0, 0
+    total = 0.0
+    while True:
+        before, queue = {"s": None}, ["s"]
+        for a in queue:
+            for (x, y), c in room.items():
+                if x == a and c > 1e-12 and y not in before:
+                    before[y] = a
+                    queue.append(y)
+        if "t" not in before:
+            return total
+        path, at = [], "t"
+        while before[at] is not None:
+            path.append((before[at], at))
+            at = before[at]
+        flow = min(room[x] for x in path)
+        total += flow
+        for a, b in path:
+            room[a, b] -= flow
+            room[b, a] += flow
+
+
+def test_training_takes_a_bounded_part_of_each_page(spark):
+    pages = [(1, f"<article>{('<p>' + LONG) * 900}</article>"), (1, f"<article>{('<p>' + LONG) * 900}</article>"), (2, "<nav><p>Home</p></nav>" * 3)]
+    frame = spark.createDataFrame([(i, "u", x) for i, x in pages], "page_id long, url string, html string")
+    counts = [len(r["features"]) for r in frame.select("html").mapInArrow(h._training_rows, "content double, features array<double>").collect()]
+    assert len(counts) <= 2 * h.TRAINING_BLOCKS + 3
+    assert (h.fit(frame) == h.fit(frame.repartition(5))).all()
