@@ -2,41 +2,52 @@
 
 Unit vectors are rotated so that their signs lose least (iterative quantisation, fitted
 on a bounded sample) and the signs make a binary code of up to 64 bits. A code is cut
-into bytes, and each byte position has an index of its own. Two codes within Hamming
-distance r agree in one of m bytes up to t_j bits whenever the t_j + 1 sum to more than
-r (pigeonhole). So a query probes, per byte position, every value within t_j bits of
-its own, and gets every code within the radius; what is farther is then dropped by its
-whole distance, and the rest is ranked by the cosine of the original vectors.
+into substrings, and each substring position has an index of its own: a table of
+(position, value, row). Two codes within Hamming distance r agree in one of m substrings
+up to t_j bits whenever the t_j + 1 sum to more than r (pigeonhole). So a query probes, per
+position, every value within t_j bits of its own, which is a join on (position, value),
+and gets every code within the radius; what is farther is dropped by its whole distance,
+a pair is kept at the first position that finds it, and the rest is ranked by the
+cosine of the original vectors. The width of the substrings is the one with the least
+probes and retrieved rows for the number of rows there are.
 
 The radius is the ``reach`` quantile of the distances that true neighbours have in the
 sample. Neighbours in the whole table are nearer than in its sample, so recall only
-grows with the table. Where a block holds fewer than ``k`` codes in the radius, the
-radius grows there until it holds as many, so no query is short of results.
+grows with the table. Queries that find fewer than ``k`` rows are compared with all rows.
 
-Every row is indexed, in blocks of a bounded size that are dealt by a hash of the row;
-each query block meets each data block once. Vectors that are null, zero, of another
-length than most, or that hold null or non-finite components take no part. Equal scores
-are ordered by the smaller id. A row is never its own neighbour, its copies are.
+Equal vectors are indexed once, with their k + 1 smallest ids: no other copy can be
+among a query's k nearest. Vectors of each length are a search of their own. The vectors
+move to their block once; a query's vector moves to the blocks that hold its
+candidates. A task holds one block's vectors and reads the queries one after the other.
+Index values that many rows share are dealt in parts.
+
+Vectors that are null, empty, zero, or that hold null or non-finite components take no
+part, nor do rows without id; very small and very large components are scaled by
+powers of two first, which changes no digit of a cosine. Equal scores are ordered by the
+smaller id. A row is never its own neighbour, its copies are, also under the same id.
+Other columns are ignored, an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import sampled, ship, stored
 
-#: Rows that the rotation is fitted on, at most; a hash of the id selects them.
+#: Rows that the rotation is fitted on, at most; a hash of the row selects them.
 SAMPLE = 10_000
-#: Rows of a block of data and of a block of queries, on average.
-DATA_BLOCK, QUERY_BLOCK = 4_096, 2_048
+#: Rows of a block of vectors on average, and of one index value that are joined together.
+BLOCK, VALUE_ROWS = 4_096, 50_000
 REACH = 0.97
-
-_MASKS = [np.array([sum(1 << b for b in bits) for n in range(t + 1) for bits in combinations(range(8), n)], np.uint8) for t in range(9)]
+#: Substring widths that are considered, and probes per position at most.
+WIDTHS, MOST_PROBES = range(8, 17), 4_096
 
 
 def rotation(sample: np.ndarray, bits: int, rounds: int = 40, seed: int = 5) -> np.ndarray:
@@ -53,117 +64,211 @@ def rotation(sample: np.ndarray, bits: int, rounds: int = 40, seed: int = 5) ->
 
 
 def codes(unit: np.ndarray, turn: np.ndarray) -> np.ndarray:
-    return np.packbits(unit @ turn > 0, axis=1)
+    """Signs after the rotation as the bits of one number per vector."""
+    signs = np.packbits(unit @ turn > 0, axis=1, bitorder="little")
+    return np.pad(signs, ((0, 0), (0, 8 - signs.shape[1]))).copy().view("<u8")[:, 0]
+
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, so that their largest components are near 1."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1)
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    near = scaled(vectors)
+    return near / np.linalg.norm(near, axis=1, keepdims=True)
 
 
 def thresholds(radius: int, positions: int) -> list[int]:
-    """Bits by which each byte may differ so that codes within the radius agree in one byte at least; -1: not needed."""
+    """Bits by which each substring may differ so that codes within the radius agree in one at least; -1: not needed."""
     each, more = divmod(radius + 1, positions)
-    return [min(8, each + (j < more) - 1) for j in range(positions)]
-
-
-class Index:
-    """One index per byte position: for every value a query may have there, the rows it retrieves."""
-
-    def __init__(self, rows: np.ndarray, radius: int) -> None:
-        self.rows, self.radius = rows, radius
-        n = len(rows)
-        self._retrieved = []
-        for j, t in enumerate(thresholds(radius, rows.shape[1])):
-            if t < 0:
-                continue
-            bucket = np.zeros((256, n), bool)
-            bucket[rows[:, j], np.arange(n)] = True
-            packed = np.packbits(bucket, axis=1)
-            probed = np.zeros_like(packed)
-            for mask in _MASKS[t]:
-                probed |= packed[np.arange(256) ^ mask]
-            self._retrieved.append((j, probed))
-
-    def within(self, query: np.ndarray) -> np.ndarray:
-        """Rows within the radius of a query's code."""
-        found = np.zeros((len(self.rows) + 7) // 8, np.uint8)
-        for j, probed in self._retrieved:
-            found |= probed[query[j]]
-        near = np.flatnonzero(np.unpackbits(found, count=len(self.rows)))
-        return near[_apart(self.rows[near], query) <= self.radius]
-
-
-def nearest(index: Index, data: np.ndarray, data_rows: np.ndarray, data_ids: np.ndarray, code: np.ndarray, vector: np.ndarray, row: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, cosines) of a query's nearest rows in one block."""
-    near = index.within(code)
-    near = near[data_rows[near] != row]
-    if len(near) < k:
-        apart = _apart(index.rows, code).astype(np.int64)
-        apart[data_rows == row] = 1 << 20
-        others = int((data_rows != row).sum())
-        wide = np.sort(apart)[min(k, others) - 1] if others else -1
-        near = np.flatnonzero(apart <= wide)
-    ours = data[near]
-    score = np.einsum("ij,ij->i", ours, np.broadcast_to(vector, ours.shape))
-    score /= np.sqrt(np.einsum("ij,ij->i", ours, ours)) * np.sqrt(np.einsum("i,i->", vector, vector))
-    best = np.lexsort((data_ids[near], -score))[:k]
-    return data_ids[near][best], score[best]
-
-
-def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
-    flat = vectors.combine_chunks()
+    return [each + (j < more) - 1 for j in range(positions)]
+
+
+def substrings(bits: int, radius: int, rows: int) -> list[tuple[int, int, int]]:
+    """(first bit, width, bits that may differ) of the positions, of the width with the least probes and retrieved rows."""
+
+    def cut(width: int) -> list[tuple[int, int, int]]:
+        count = -(-bits // width)
+        widths = [bits // count + (j < bits % count) for j in range(count)]
+        firsts = [sum(widths[:j]) for j in range(count)]
+        return [(f, w, min(w, t)) for f, w, t in zip(firsts, widths, thresholds(radius, count), strict=True) if t >= 0]
+
+    def probes(w: int, t: int) -> int:
+        return sum(comb(w, n) for n in range(t + 1))
+
+    found = [cut(w) for w in WIDTHS]
+    fit = [x for x in found if max(probes(w, t) for _, w, t in x) <= MOST_PROBES]
+    return min(fit or found[:1], key=lambda x: sum(probes(w, t) * (1 + rows / 2**w) for _, w, t in x))
+
+
+def _masks(width: int, t: int) -> list[int]:
+    return [sum(1 << b for b in bits) for n in range(t + 1) for bits in combinations(range(width), n)]
+
+
+def _value(code: str, first: int, width: int) -> Column:
+    return F.shiftrightunsigned(F.col(code), first).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
+
+
+def pairs_within(data: DataFrame, queries: DataFrame, radius: int, positions: list[tuple[int, int, int]]) -> DataFrame:
+    """(query_row, row) of all rows (row, code) within the radius of a query (query_row, query_code), each once."""
+    values = [F.struct(F.lit(j).alias("position"), _value("code", f, w).alias("value")) for j, (f, w, _) in enumerate(positions)]
+    index = data.select("row", "code", F.inline(F.array(*values)))
+    # values that many rows share are dealt in parts; there are as many values as the positions have, at most
+    large = index.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > VALUE_ROWS)
+    large = F.broadcast(large.select("position", "value", F.ceil(F.col("n") / VALUE_ROWS).cast("int").alias("parts")))
+    index = index.join(large, ["position", "value"], "left")
+    part = F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)).cast("int").alias("part")
+    index = index.select("row", "code", "position", "value", part)
+
+    def probes_of(j: int, f: int, w: int, t: int) -> Column:
+        masks, own = F.array(*[F.lit(m) for m in _masks(w, t)]), _value("query_code", f, w)
+        return F.transform(masks, lambda m: F.struct(F.lit(j).alias("position"), own.bitwiseXOR(m).alias("value")))
+
+    probed = [probes_of(j, *x) for j, x in enumerate(positions)]
+    probes = queries.select("query_row", "query_code", F.inline(F.concat(*probed))).join(large, ["position", "value"], "left")
+    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    probes = probes.select("query_row", "query_code", "position", "value", F.explode(parts).alias("part"))
+    met = index.join(probes, ["position", "value", "part"])
+    differ = F.col("code").bitwiseXOR(F.col("query_code"))
+    met = met.where(F.bit_count(differ) <= radius)
+    for j, (f, w, t) in enumerate(positions):
+        # the same pair may meet in several positions: the first one counts
+        there = F.bit_count(F.shiftrightunsigned(differ, f).bitwiseAND(F.lit((1 << w) - 1)))
+        met = met.where((F.col("position") <= j) | (there > t))
+    return met.select("query_row", "row")
+
+
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    flat = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
+class Block:
+    """Vectors of a block, with the ids and rows of each one's copies."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        order = np.argsort(rows.column("row").to_numpy())
+        self.rows = rows.column("row").to_numpy()[order]
+        self.vectors = scaled(_matrix(rows.column("vector"))[order])
+        self.norms = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors))
+        copies = rows.column("copies").to_pylist()
+        self.copies = [copies[i] for i in order.tolist()]
+
+    def nearest(self, own: int, query: np.ndarray, among: np.ndarray | None, k: int) -> list[tuple[float, int]]:
+        """(cosine, id) of the ``k`` rows nearest to the query, without the query's own row, of all vectors or some."""
+        at = np.arange(len(self.rows)) if among is None else np.searchsorted(self.rows, among)
+        vector = scaled(query[None, :])[0]
+        score = np.einsum("ij,j->i", self.vectors[at], vector) / (self.norms[at] * np.sqrt(np.einsum("i,i->", vector, vector)))
+        if len(score) > k + 1:  # the query itself may be one of them; equal scores are all looked at
+            few = score >= np.partition(score, -(k + 1))[-(k + 1)]
+            at, score = at[few], score[few]
+        found = [(-s, c["vec_id"]) for i, s in zip(at.tolist(), score.tolist(), strict=True) for c in self.copies[i] if c["row"] != own]
+        return [(-s, i) for s, i in sorted(found)[:k]]
+
+
+def _ranked(k: int):
+    """For mapInArrow over a block's vectors and then its requests, block after block: each query's nearest in the block."""
+    kinds = {"query_row": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts, held = None, [], None
+        for batch in batches:
+            out: list[tuple] = []
+            numbers, asked = batch.column("block").to_numpy(), batch.column("asked").to_numpy(zero_copy_only=False)
+            bounds = np.flatnonzero((np.diff(numbers) != 0) | (asked[1:] != asked[:-1])) + 1
+            for a, b in zip([0, *bounds.tolist()], [*bounds.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if numbers[a] != number:
+                    number, parts, held = numbers[a], [], None
+                rows = batch.slice(a, b - a)
+                if not asked[a]:
+                    parts.append(rows)
+                elif parts:
+                    held = held or Block(pa.Table.from_batches(parts))
+                    ids, own, among = rows.column("vec_id"), rows.column("row"), rows.column("among")
+                    for i, query in enumerate(_matrix(rows.column("vector"))):
+                        some = among[i].values.to_numpy(zero_copy_only=False) if among[i].is_valid else None
+                        out += [(own[i].as_py(), ids[i].as_py(), j, s) for s, j in held.nearest(own[i].as_py(), query, some, k)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    return run
+
+
+def _nearest(data: DataFrame, requests: DataFrame, tasks: int, k: int) -> DataFrame:
+    """(query_row, query_id, vec_id, score, rank) of requests (block, row, vec_id, vector, among) on the blocks of data (block, row, vector, copies)."""
+    none = F.lit(None)
+    ours = data.select("block", F.lit(False).alias("asked"), "row", none.cast("long").alias("vec_id"), "vector", "copies", none.cast("array<long>").alias("among"))
+    no_copies = none.cast(data.schema["copies"].dataType).alias("copies")
+    theirs = requests.select("block", F.lit(True).alias("asked"), "row", "vec_id", "vector", no_copies, "among")
+    dealt = ours.unionByName(theirs).repartition(tasks, "block").sortWithinPartitions("block", "asked")
+    found = dealt.mapInArrow(_ranked(k), "query_row long, query_id long, vec_id long, score double")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")))
+    return ranked.where(F.col("rank") <= k)
+
+
 def search(rows: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", vector: str = "embedding", reach: float = REACH) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of largest cosine found for each row that meets ``is_query``."""
     spark = rows.sparkSession
     ship(spark)
-    schema = "query_id long, rank int, vec_id long, score double"
     plain = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     sound = F.expr("vector is not null and size(vector) > 0 and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vector, x -> x <> 0)")
     plain = plain.where(sound & F.col("vec_id").isNotNull())
     # one read gives each row a number that stays
     kept = stored(plain.withColumn("row", F.monotonically_increasing_id()), "vectors")
-    usual = kept.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if usual is None:
-        return spark.createDataFrame([], schema)
-    dims, total = int(usual["n"]), int(usual["count"])
-    kept = kept.where(F.size("vector") == dims)
+    lengths = kept.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy("n").toLocalIterator()
+    whole = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for n, total in [(int(x["n"]), int(x["rows"])) for x in lengths]:
+        whole = whole.unionByName(_search_length(kept.where(F.size("vector") == n), n, total, is_query, k, reach))
+    return whole
+
+
+def _search_length(kept: DataFrame, dims: int, total: int, is_query: str, k: int, reach: float) -> DataFrame:
+    """The search among the ``total`` vectors of one length."""
+    spark = kept.sparkSession
     sample = sampled(kept, "row", SAMPLE).select("vector").toArrow()
-    unit = _matrix(sample.column("vector"))
-    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-    turn = rotation(unit, max(8, min(64, dims // 8 * 8)))
+    unit = _unit(_matrix(sample.column("vector")))
+    bits = max(8, min(64, dims // 8 * 8))
+    turn = rotation(unit, bits)
     known = codes(unit, turn)
     probe = np.arange(0, len(unit), max(1, len(unit) // 200))
     cosine = unit[probe] @ unit.T
     cosine[np.arange(len(probe)), probe] = -2
     true = np.argsort(-cosine, axis=1)[:, : min(k, max(1, len(unit) - 1))]
-    radius = int(np.quantile(_apart(known[probe][:, None], known[true]), reach))
+    radius = int(np.quantile(np.bitwise_count(known[probe][:, None] ^ known[true]), reach))
     # a cosine is all that counts, so the radius reaches at least a quarter of the bits
-    radius = max(radius, 2 * known.shape[1])
-
-    queries = kept.where(is_query)
-    data_blocks, query_blocks = -(-total // DATA_BLOCK), max(1, -(-queries.count() // QUERY_BLOCK))
-    of = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    data = kept.select(of(data_blocks).alias("d"), every(query_blocks).alias("q"), "vec_id", "row", "vector")
-    # names of their own: both sides come from one table
-    asked = queries.select(every(data_blocks).alias("to"), of(query_blocks).alias("by"), F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), F.col("vector").alias("query"))
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if left.num_rows and right.num_rows:
-            ours, theirs = _matrix(left.column("vector")), _matrix(right.column("query"))
-            index = Index(codes(ours / np.sqrt((ours * ours).sum(axis=1))[:, None], turn), radius)
-            asking = codes(theirs / np.sqrt((theirs * theirs).sum(axis=1))[:, None], turn)
-            ids, numbers = left.column("vec_id").to_numpy(), left.column("row").to_numpy()
-            for query, row, code, vec in zip(right.column("query_id").to_pylist(), right.column("query_row").to_pylist(), asking, theirs, strict=True):
-                out.extend((query, row, i, s) for i, s in zip(*nearest(index, ours, numbers, ids, code, vec, row, k), strict=True))
-        columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "query_row", "vec_id", "score"])
-
-    found = data.groupBy("d", "q").cogroup(asked.groupBy("to", "by")).applyInArrow(meet, "query_id long, query_row long, vec_id long, score double")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    radius = min(bits, max(radius, bits // 4))
+
+    # equal vectors once, with the smallest ids of their copies
+    smallest = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id", "row"))
+    few = kept.withColumn("place", smallest).where(F.col("place") <= k + 1)
+    copies = F.array_sort(F.collect_list(F.struct("vec_id", "row"))).alias("copies")
+    distinct = few.groupBy("vector").agg(copies).select("vector", "copies", F.col("copies")[0]["row"].alias("row"))
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                of = codes(_unit(_matrix(batch.column("vector"))), turn)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of.view(np.int64))], [*batch.schema.names, "code"])
+
+    blocks = -(-total // BLOCK)
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block")
+    data = distinct.mapInArrow(coded, "vector array<double>, copies array<struct<vec_id: bigint, row: bigint>>, row long, code long")
+    data = stored(data.select("*", block), "coded-vectors")
+    queries = kept.where(is_query).select("row", "vec_id", "vector").mapInArrow(coded, "row long, vec_id long, vector array<double>, code long")
+    queries = stored(queries, "queries")
+    asked = queries.select(F.col("row").alias("query_row"), F.col("code").alias("query_code"))
+    pairs = pairs_within(data.select("row", "code"), asked, radius, substrings(bits, radius, total))
+    wanted = pairs.groupBy("query_row", block).agg(F.collect_list("row").alias("among"))
+    requests = wanted.join(queries.withColumnRenamed("row", "query_row"), "query_row").withColumnRenamed("query_row", "row")
+    tasks = max(1, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    near = stored(_nearest(data, requests, tasks, k), "nearest")
+    enough = near.where(F.col("rank") == min(k, total - 1)).select(F.col("query_row").alias("row"))
+    short = stored(queries.join(enough, "row", "left_anti") if total > 1 else queries.limit(0), "short-queries")
+    # queries whose radius holds fewer than k rows meet every block
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    rest = _nearest(data, short.select(every, "row", "vec_id", "vector", F.lit(None).cast("array<long>").alias("among")), tasks, k)
+    near = near.join(short.select(F.col("row").alias("query_row")), "query_row", "left_anti").unionByName(rest, allowMissingColumns=True)
+    return near.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

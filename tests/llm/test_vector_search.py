@@ -1,9 +1,11 @@
 import math
+from collections import Counter
 
 import numpy as np
 
 from orderloom.llm import catalog
 from orderloom.llm import vector_search as v
+from tests.conftest import plan
 from tests.llm.conftest import SMALL
 
 
@@ -54,18 +56,73 @@ def test_small_tables(spark):
     assert sorted((r["rank"], r["vec_id"]) for r in v.search(three, "vec_id = 0").collect()) == [(1, 1), (2, 2)]
 
 
-def test_index_retrieves_every_code_in_the_radius():
+def test_pairs_are_all_codes_in_the_radius_once(spark, monkeypatch):
     r = np.random.default_rng(1)
-    rows = r.integers(0, 256, (700, 6), dtype=np.uint8)
-    for radius in (0, 1, 5, 9, 14, 20, 30, 48):
-        index = v.Index(rows, radius)
-        for query in r.integers(0, 256, (5, 6), dtype=np.uint8):
-            query = rows[int(query[0])] ^ (query & r.integers(0, 4, 6).astype(np.uint8))
-            wanted = [i for i, x in enumerate(rows) if sum(int(c).bit_count() for c in x ^ query) <= radius]
-            assert index.within(query).tolist() == wanted
+    codes = r.integers(0, 1 << 48, 400, dtype=np.uint64)
+    codes[100:200] = codes[0] ^ (np.uint64(1) << r.integers(0, 48, 100, dtype=np.uint64))  # one value in most positions
+    monkeypatch.setattr(v, "VALUE_ROWS", 20)
+    data = spark.createDataFrame([(i, int(c)) for i, c in enumerate(codes)], "row long, code long")
+    asked = [0, 1, 150, 399]
+    queries = spark.createDataFrame([(i, int(codes[i])) for i in asked], "query_row long, query_code long")
+    for radius in (0, 2, 5, 9, 14, 30):
+        found = [tuple(x) for x in v.pairs_within(data, queries, radius, v.substrings(48, radius, 400)).collect()]
+        wanted = {(q, i) for q in asked for i in range(400) if int(codes[q] ^ codes[i]).bit_count() <= radius}
+        assert len(found) == len(wanted) and set(found) == wanted
 
 
 def test_thresholds_cover_the_radius():
     for positions in range(1, 9):
         for radius in range(8 * positions):
             assert sum(t + 1 for t in v.thresholds(radius, positions)) > radius
+    for bits in (8, 16, 40, 64):
+        for radius in range(bits):
+            found = v.substrings(bits, radius, 1_000_000)
+            assert sum(t + 1 for _, _, t in found) > radius or any(t == w for _, w, t in found)
+            assert all(a + w <= b for (a, w, _), (b, _, _) in zip(found, found[1:], strict=False)) and found[-1][0] + found[-1][1] <= bits
+
+
+def test_width_grows_with_the_rows():
+    few, many = v.substrings(64, 10, 1_000), v.substrings(64, 10, 10**9)
+    assert max(w for _, w, _ in few) < max(w for _, w, _ in many) <= 16
+
+
+def test_tiny_and_huge_components_and_mixed_lengths(spark):
+    r = np.random.default_rng(4)
+    base = {n: r.normal(size=(40, n)) for n in (3, 16, 70)}
+    rows, exact = [], {}
+    for n, vectors in base.items():
+        for i, x in enumerate(vectors):
+            rows.append((1000 * n + i, [float(y) for y in x * (1.0, 1e-200, 1e200, 1e-300)[i % 4]]))
+    for n in base:
+        own = [(i, np.array(x)) for i, x in rows if len(x) == n]
+        whole = np.stack([np.ldexp(x, -np.frexp(np.abs(x).max())[1]) for _, x in own])
+        ids = np.array([i for i, _ in own])
+        for at, i in enumerate(ids.tolist()):
+            if i % 50 == 0:
+                exact[i] = brute(ids, whole, at, 39)
+    found = {}
+    for x in v.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 50 = 0").collect():
+        found.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    assert set(found) == set(exact)
+    for i, own in found.items():
+        assert [x[0] for x in sorted(own)] == [1, 2, 3, 4, 5]
+        true = dict(exact[i])
+        assert all(math.isclose(s, true[j], rel_tol=1e-9, abs_tol=1e-12) for _, j, s in own)
+
+
+def test_a_third_of_equal_vectors_and_one_id_twice(spark):
+    r = np.random.default_rng(9)
+    rows = [(k, r.normal(size=24).tolist()) for k in range(400)] + [(500 + k, [2.0, -1.0] * 12) for k in range(300)]
+    rows += [(500, [4.0, -2.0] * 12), (500, [2.0, -1.0] * 12)]
+    found = v.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id in (0, 500, 507)").collect()
+    own = {}
+    for x in found:
+        own.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], round(x["score"], 9)))
+    assert sorted(own[507]) == [(1, 500, 1.0), (2, 500, 1.0), (3, 500, 1.0), (4, 501, 1.0), (5, 502, 1.0)]
+    assert Counter(i for _, i, _ in own[500]) == Counter({500: 6, 501: 3, 502: 3, 503: 3}) and len(own[0]) == 5
+
+
+def test_no_exchange_holds_a_vector_per_query_block(spark):
+    """The data's vectors are dealt to their blocks, not to pairs of blocks of data and queries."""
+    tree = plan(v.search(spark.read.parquet(f"{SMALL}/embeddings.parquet"), "true"))
+    assert "CoGroups" not in tree and "CartesianProduct" not in tree and "NestedLoop" not in tree
