@@ -19,11 +19,16 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import packing, secret_scan, toxicity
 from orderloom.llm.catalog import TOXIC
-from orderloom.llm.common import new_path, ship, stored
+from orderloom.llm.common import joined_classes, new_path, ship, stored
 from orderloom.llm.jaccard_join import BROADCAST_IDS, jaccard_classes
 
-#: What stands for rows in the second stage; not a column of documents.
-_ROW = "__row"
+
+def _own_name(docs: DataFrame, wanted: str) -> str:
+    """A name that no column has."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted in taken:
+        wanted += "_"
+    return wanted
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,23 +40,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is linked by a similarity of 0.75 or more of five-word shingles."""
-    numbered = docs.withColumn(_ROW, F.monotonically_increasing_id())
-    classes = jaccard_classes(numbered, key=_ROW).where("n_shingles > 0").select(F.col("doc_id").alias(_ROW), "component_id")
-    members = classes.join(numbered.select(_ROW, "doc_id"), _ROW)
-    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", _ROW)
-    kept = members.groupBy("component_id").agg(F.min(order)[_ROW].alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rest = members.join(kept, "component_id").where(F.col(_ROW) != F.col("kept")).select(_ROW)
-    rest = stored(rest, "copies")
+    row = _own_name(docs, "row_number")
+    # numbers depend on how files are dealt to tasks: rows get them once, and all that follows reads these rows
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = jaccard_classes(numbered, key=row).where("n_shingles > 0").select(F.col("doc_id").alias("at"), "component_id")
+    members = stored(classes.join(numbered.select(F.col(row).alias("at"), "doc_id"), "at"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "at")
+    kept = members.groupBy("component_id").agg(F.min(order)["at"].alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a group may hold a third of all rows: large ones are broadcast, of which there can't be many
+    rest = joined_classes(members.select("at", "component_id"), stored(kept, "kept"), "component_id", "n").where("at <> kept")
+    rest = stored(rest.select(F.col("at").alias(row)), "copies")
     # counted: 16 MB of row numbers at most are broadcast, more are joined by a shuffle of the rows
     few = rest.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return numbered.join(F.broadcast(rest) if few else rest, _ROW, "left_anti").select(*docs.columns)
+    return numbered.join(F.broadcast(rest) if few else rest, row, "left_anti").select(*docs.columns)
 
 
 def replace_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced; ``n_chars`` counts the new text where it was replaced."""
-    clean = secret_scan.redacted(docs.withColumn(_ROW, F.col("text")), secret_scan.fit(docs))
+    before = _own_name(docs, "text_before")
+    clean = secret_scan.redacted(docs.withColumn(before, F.col("text")), secret_scan.fit(docs))
     if "n_chars" in docs.columns:
-        changed = ~F.col("text").eqNullSafe(F.col(_ROW))
+        changed = ~F.col("text").eqNullSafe(F.col(before))
         clean = clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return clean.select(*docs.columns)
 
