@@ -1,6 +1,10 @@
 import re
+import time
 
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from orderloom.llm import catalog
 from orderloom.llm import secret_scan as s
@@ -104,3 +108,54 @@ def test_dictionary_does_not_change_with_the_size(make_docs):
     assert usual(small, "apple", "banana", "melon") == [True, True, False]
     assert usual(large, "apple", "banana", "melon") == [True, True, False]
     assert not usual(large, "rareword0")[0]
+
+
+def plain_values(text):
+    """Whole values after key words, by a slow search at every place."""
+    named = re.compile(s._NAMED.pattern, re.IGNORECASE)
+    quoted = re.compile(r"([\"'`])((?:\\.|(?!\1)[^\\\n])+)\1|“([^”\n]+)”")
+    ends = {}
+    for m in named.finditer(text):
+        at = m.end()
+        if q := quoted.match(text, at):
+            a, b = q.span(2 if q[1] else 3)
+        else:
+            a = at + (text[at : at + 1] in tuple(s._QUOTES))
+            if text[at : at + 1] == "":
+                a = at
+            v = s._BARE.match(text, a)
+            if not v:
+                continue
+            b = v.end()
+            while b > a and (text[b - 1] in ".,;:\"'`“”" or (text[b - 1] in s._PAIRS and s._PAIRS[text[b - 1]] not in text[a:b])):
+                b -= 1
+        if a < b:
+            ends.setdefault(b, []).append((a, m[1]))
+    return {(a, text[a:b]) for b, found in ends.items() for a, _ in {found[0], found[-1]}}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["password", " = ", ": ", "token is ", "“", "”", '"', "'", "x9$", "é", " ", "\n", "abc", "secret=", "api_key: ", ")", "(", "."]), max_size=14).map("".join))
+def test_values_against_a_plain_search(text):
+    assert {(x.start, x.text) for x in s.assigned(text)} == plain_values(text)
+
+
+@pytest.mark.parametrize("piece", ["é abc12345678 ", "password = “ ", "password = “é", 'token: "', "secret=a1b2c3d4e5 ", "pass is ("])
+def test_long_texts_take_time_in_proportion(piece):
+    text = piece * (1_000_000 // len(piece))
+    data = np.frombuffer(text.encode(), np.uint8)
+    start = time.process_time()
+    found = s.candidates(text, data)
+    assert time.process_time() - start < 8  # some 2 s for a megabyte, mostly making the candidates
+    assert all(text[x.start : x.start + len(x.text)] == x.text for x in found[:: max(1, len(found) // 50)])
+
+
+def test_the_same_is_learnt_however_rows_are_dealt(spark, make_docs):
+    rows = corpus_rows() + [(1000 + k, f"ñandú and “curly” words {k} of prose") for k in range(50)]
+    docs = make_docs(*rows)
+    one, other = (s.fit(d) for d in (docs.coalesce(1), docs.repartition(7, "n_chars")))
+    assert (one.corpus.moves == other.corpus.moves).all() and (one.corpus.words == other.corpus.words).all()
+    assert one.corpus.texts == other.corpus.texts == len(rows)
+    assert all((a == b).all() for a, b in zip(one.forest.trees, other.forest.trees, strict=True))
+    found = [sorted(((r["doc_id"], r["start"], r["secret"], r["score"]) for r in s.findings(docs, m).collect()), key=str) for m in (one, other)]
+    assert found[0] == found[1]
