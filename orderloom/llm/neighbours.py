@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ def with_next(docs: DataFrame, work: Callable[[list, list[str], list[str]], pa.R
     The text after the last is the first. Rows that share an id follow each other in
     text order. The ids are cut into buckets of about equal size; each bucket also
     gets the first text of the next one, so no window over all rows is needed. Only
-    the buckets' first ids, a fixed number per shuffle partition, reach the driver.
+    the buckets' first ids, a fixed number per shuffle partition, reach the driver; a
+    row's bucket is found by bisection among them.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -32,13 +34,21 @@ def with_next(docs: DataFrame, work: Callable[[list, list[str], list[str]], pa.R
     if not firsts:
         return spark.createDataFrame([], schema)
 
-    cuts = F.array(*[F.lit(x) for x in firsts])
-    bucket = F.array_size(F.filter(cuts, lambda c: c <= F.col("key"))) - 1
-    own = rows.select(bucket.alias("bucket"), "key", F.lit(False).alias("tail"), "doc_id", "text")
-    before = F.array_position(cuts, F.col("key")).cast("int")  # from 1
-    head = rows.where(F.col("key").isin(firsts)).groupBy("key").agg(F.min("text").alias("text"))
+    cuts = np.array(firsts, np.int64)
+
+    @F.pandas_udf("int")
+    def place(key):
+        """Twice the number of the key's bucket, and one more if the key is the bucket's first."""
+        own = key.to_numpy()
+        at = np.searchsorted(cuts, own, "right") - 1
+        return type(key)((2 * at + (cuts[at] == own)).astype(np.int32))
+
+    placed = rows.withColumn("place", place("key"))
+    bucket = F.shiftright("place", 1)
+    own = placed.select(bucket.alias("bucket"), "key", F.lit(False).alias("tail"), "doc_id", "text")
+    head = placed.where(F.col("place") % 2 == 1).groupBy("key", "place").agg(F.min("text").alias("text"))
     head = head.select(
-        (F.when(before > 1, before - 2).otherwise(len(firsts) - 1)).alias("bucket"), "key", F.lit(True).alias("tail"), F.lit(None).cast("long").alias("doc_id"), "text"
+        F.when(bucket > 0, bucket - 1).otherwise(len(firsts) - 1).alias("bucket"), "key", F.lit(True).alias("tail"), F.lit(None).cast("long").alias("doc_id"), "text"
     )
     parts = max(1, n // BUCKETS_PER_PARTITION)
     dealt = own.unionByName(head).repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", "key", "text")
