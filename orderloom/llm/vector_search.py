@@ -3,12 +3,12 @@
 Unit vectors are rotated so that their signs lose least (iterative quantisation, fitted
 on a bounded sample) and the signs make a binary code of up to 64 bits. A code is cut
 into substrings, and each substring position has an index of its own: a table of
-(position, value, row). Two codes within Hamming distance r agree in one of m substrings
+(position, value, row), dealt by groups of neighbouring values. Two codes within Hamming distance r agree in one of m substrings
 up to t_j bits whenever the t_j + 1 sum to more than r (pigeonhole). So a query probes, per
-position, every value within t_j bits of its own, which is a join on (position, value),
-and gets every code within the radius; what is farther is dropped by its whole distance,
-a pair is kept at the first position that finds it, and the rest is ranked by the
-cosine of the original vectors. The width of the substrings is the one with the least
+position, every value within t_j bits of its own in the groups that hold them, and
+gets every code within the radius; what is farther is dropped by its whole distance, a
+pair is kept at the first position that finds it, and the rest is ranked by the cosine
+of the original vectors. The width of the substrings is the one with the least
 probes and retrieved rows for the number of rows there are.
 
 The radius is the ``reach`` quantile of the distances that true neighbours have in the
@@ -19,7 +19,7 @@ Equal vectors are indexed once, with their k + 1 smallest ids: no other copy can
 among a query's k nearest. Vectors of each length are a search of their own. The vectors
 move to their block once; a query's vector moves to the blocks that hold its
 candidates. A task holds one block's vectors and reads the queries one after the other.
-Index values that many rows share are dealt in parts.
+Groups of values that many rows share are dealt in parts.
 
 Vectors that are null, empty, zero, or that hold null or non-finite components take no
 part, nor do rows without id; very small and very large components are scaled by
@@ -43,11 +43,11 @@ from orderloom.llm.common import sampled, ship, stored
 
 #: Rows that the rotation is fitted on, at most; a hash of the row selects them.
 SAMPLE = 10_000
-#: Rows of a block of vectors on average, and of one index value that are joined together.
-BLOCK, VALUE_ROWS = 4_096, 50_000
+#: Rows of a block of vectors, and of a group of neighbouring index values, on average.
+BLOCK, GROUP_ROWS = 4_096, 200_000
 REACH = 0.97
-#: Substring widths that are considered, and probes per position at most.
-WIDTHS, MOST_PROBES = range(8, 17), 4_096
+#: Substring widths that are considered, probes per position at most, and retrieved rows that a probe costs as much as.
+WIDTHS, MOST_PROBES, PROBE_COST = range(8, 17), 4_096, 50
 
 
 def rotation(sample: np.ndarray, bits: int, rounds: int = 40, seed: int = 5) -> np.ndarray:
@@ -99,44 +99,73 @@ def substrings(bits: int, radius: int, rows: int) -> list[tuple[int, int, int]]:
 
     found = [cut(w) for w in WIDTHS]
     fit = [x for x in found if max(probes(w, t) for _, w, t in x) <= MOST_PROBES]
-    return min(fit or found[:1], key=lambda x: sum(probes(w, t) * (1 + rows / 2**w) for _, w, t in x))
+    return min(fit or found[:1], key=lambda x: sum(probes(w, t) * (PROBE_COST + rows / 2**w) for _, w, t in x))
 
 
-def _masks(width: int, t: int) -> list[int]:
-    return [sum(1 << b for b in bits) for n in range(t + 1) for bits in combinations(range(width), n)]
+def _masks(width: int, t: int) -> np.ndarray:
+    return np.array([sum(1 << b for b in bits) for n in range(t + 1) for bits in combinations(range(width), n)], np.uint64)
 
 
 def _value(code: str, first: int, width: int) -> Column:
     return F.shiftrightunsigned(F.col(code), first).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
 
 
-def pairs_within(data: DataFrame, queries: DataFrame, radius: int, positions: list[tuple[int, int, int]]) -> DataFrame:
-    """(query_row, row) of all rows (row, code) within the radius of a query (query_row, query_code), each once."""
-    values = [F.struct(F.lit(j).alias("position"), _value("code", f, w).alias("value")) for j, (f, w, _) in enumerate(positions)]
+def candidates(data: DataFrame, queries: DataFrame, radius: int, positions: list[tuple[int, int, int]], rows: int) -> DataFrame:
+    """(query_row, among array<long>): the rows of (row, code) within the radius of a query (query_row, query_code), each once.
+
+    Neighbouring values of a position share a group of about ``GROUP_ROWS`` rows. A query
+    goes to the groups that hold values it probes, and gets a list from each.
+    """
+    groups = max(1, rows // GROUP_ROWS)
+    shifts = [max(0, w - groups.bit_length() + 1) for _, w, _ in positions]
+    values = [F.struct(F.lit(j).alias("position"), _value("code", f, w).alias("value"), F.shiftright(_value("code", f, w), k).alias("group")) for j, ((f, w, _), k) in enumerate(zip(positions, shifts, strict=True))]
     index = data.select("row", "code", F.inline(F.array(*values)))
-    # values that many rows share are dealt in parts; there are as many values as the positions have, at most
-    large = index.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > VALUE_ROWS)
-    large = F.broadcast(large.select("position", "value", F.ceil(F.col("n") / VALUE_ROWS).cast("int").alias("parts")))
-    index = index.join(large, ["position", "value"], "left")
+    # groups that hold many more rows are dealt in parts; there are as many groups as the positions have values, at most
+    large = index.groupBy("position", "group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * GROUP_ROWS)
+    large = F.broadcast(large.select("position", "group", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("parts")))
     part = F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)).cast("int").alias("part")
-    index = index.select("row", "code", "position", "value", part)
-
-    def probes_of(j: int, f: int, w: int, t: int) -> Column:
-        masks, own = F.array(*[F.lit(m) for m in _masks(w, t)]), _value("query_code", f, w)
-        return F.transform(masks, lambda m: F.struct(F.lit(j).alias("position"), own.bitwiseXOR(m).alias("value")))
-
-    probed = [probes_of(j, *x) for j, x in enumerate(positions)]
-    probes = queries.select("query_row", "query_code", F.inline(F.concat(*probed))).join(large, ["position", "value"], "left")
-    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
-    probes = probes.select("query_row", "query_code", "position", "value", F.explode(parts).alias("part"))
-    met = index.join(probes, ["position", "value", "part"])
-    differ = F.col("code").bitwiseXOR(F.col("query_code"))
-    met = met.where(F.bit_count(differ) <= radius)
-    for j, (f, w, t) in enumerate(positions):
-        # the same pair may meet in several positions: the first one counts
-        there = F.bit_count(F.shiftrightunsigned(differ, f).bitwiseAND(F.lit((1 << w) - 1)))
-        met = met.where((F.col("position") <= j) | (there > t))
-    return met.select("query_row", "row")
+    index = index.join(large, ["position", "group"], "left").select("position", "group", part, "value", "row", "code")
+
+    def probed(j: int) -> Column:
+        (f, w, t), k = positions[j], shifts[j]
+        # values that differ above the shift are other groups: masks that differ there only
+        masks = sorted({int(m) >> k for m in _masks(w, t)})
+        own = F.shiftright(_value("query_code", f, w), k)
+        return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: F.struct(F.lit(j).alias("position"), own.bitwiseXOR(m).alias("group")))
+
+    asked = queries.select("query_row", "query_code", F.inline(F.concat(*map(probed, range(len(positions)))))).join(large, ["position", "group"], "left")
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("to")
+    # names of their own: both sides may come from one table
+    asked = asked.select(F.col("position").alias("at"), F.col("group").alias("of"), parts, "query_row", "query_code")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[np.ndarray] = []
+        if left.num_rows and right.num_rows:
+            j, group = left.column("position")[0].as_py(), left.column("group")[0].as_py()
+            (first, width, t), k = positions[j], shifts[j]
+            order = np.argsort(left.column("value").to_numpy(), kind="stable")
+            own = left.column("value").to_numpy()[order]
+            numbers, codes_ = left.column("row").to_numpy()[order], left.column("code").to_numpy().view(np.uint64)[order]
+            bounds = np.searchsorted(own, (group << k) + np.arange((1 << k) + 1))
+            masks = _masks(width, t)
+            for code in right.column("query_code").to_numpy().view(np.uint64):
+                probes = ((code >> np.uint64(first)) & np.uint64((1 << width) - 1)) ^ masks
+                probes = (probes[probes >> np.uint64(k) == group]).astype(np.int64) - (group << k)
+                size = bounds[probes + 1] - bounds[probes]
+                ends = np.cumsum(size)
+                at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[probes] - ends + size, size)
+                differ = codes_[at] ^ code
+                near = np.bitwise_count(differ) <= radius
+                for f, w, most in positions[:j]:
+                    # the same pair may meet in several positions: the first one counts
+                    near &= np.bitwise_count((differ >> np.uint64(f)) & np.uint64((1 << w) - 1)) > most
+                out.append(numbers[at[near]])
+        ends = pa.array(np.cumsum([0, *map(len, out)]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
+        return pa.table([right.column("query_row") if out else pa.array([], pa.int64()), lists], names=["query_row", "among"])
+
+    found = index.groupBy("position", "group", "part").cogroup(asked.groupBy("at", "of", "to")).applyInArrow(meet, "query_row long, among array<long>")
+    return found.where("size(among) > 0")
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -144,6 +173,32 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
+def _block(rows: np.ndarray, blocks: int) -> np.ndarray:
+    return (rows ^ (rows >> 33)) % blocks
+
+
+def _by_block(blocks: int):
+    """For mapInArrow: lists of rows cut into those of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            queries, numbers, lists = [], [], []
+            for query, among in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = among.values.to_numpy(zero_copy_only=False)
+                of = _block(rows, blocks)
+                order = np.argsort(of, kind="stable")
+                found, first = np.unique(of[order], return_index=True)
+                lists += np.split(rows[order], first[1:])
+                numbers.append(found)
+                queries += [query] * len(found)
+            if queries:
+                ends = pa.array(np.cumsum([0, *map(len, lists)]).astype(np.int32))
+                listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists)))
+                yield pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(np.concatenate(numbers).astype(np.int32)), listed], ["query_row", "block", "among"])
+
+    return run
+
+
 class Block:
     """Vectors of a block, with the ids and rows of each one's copies."""
 
@@ -254,14 +309,15 @@ def _search_length(kept: DataFrame, dims: int, total: int, is_query: str, k: int
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of.view(np.int64))], [*batch.schema.names, "code"])
 
     blocks = -(-total // BLOCK)
-    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block")
+    block = F.pmod(F.col("row").bitwiseXOR(F.shiftright("row", 33)), F.lit(blocks)).cast("int").alias("block")
     data = distinct.mapInArrow(coded, "vector array<double>, copies array<struct<vec_id: bigint, row: bigint>>, row long, code long")
     data = stored(data.select("*", block), "coded-vectors")
     queries = kept.where(is_query).select("row", "vec_id", "vector").mapInArrow(coded, "row long, vec_id long, vector array<double>, code long")
     queries = stored(queries, "queries")
     asked = queries.select(F.col("row").alias("query_row"), F.col("code").alias("query_code"))
-    pairs = pairs_within(data.select("row", "code"), asked, radius, substrings(bits, radius, total))
-    wanted = pairs.groupBy("query_row", block).agg(F.collect_list("row").alias("among"))
+    lists = candidates(data.select("row", "code"), asked, radius, substrings(bits, radius, total), total)
+    lists = lists.mapInArrow(_by_block(blocks), "query_row long, block int, among array<long>")
+    wanted = lists.groupBy("query_row", "block").agg(F.flatten(F.collect_list("among")).alias("among"))
     requests = wanted.join(queries.withColumnRenamed("row", "query_row"), "query_row").withColumnRenamed("query_row", "row")
     tasks = max(1, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     near = stored(_nearest(data, requests, tasks, k), "nearest")

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from orderloom.llm import catalog
 from orderloom.llm import vector_search as v
@@ -56,16 +57,18 @@ def test_small_tables(spark):
     assert sorted((r["rank"], r["vec_id"]) for r in v.search(three, "vec_id = 0").collect()) == [(1, 1), (2, 2)]
 
 
-def test_pairs_are_all_codes_in_the_radius_once(spark, monkeypatch):
+@pytest.mark.parametrize("group_rows", [20, 100, 100_000])
+def test_candidates_are_all_codes_in_the_radius_once(spark, monkeypatch, group_rows):
     r = np.random.default_rng(1)
     codes = r.integers(0, 1 << 48, 400, dtype=np.uint64)
-    codes[100:200] = codes[0] ^ (np.uint64(1) << r.integers(0, 48, 100, dtype=np.uint64))  # one value in most positions
-    monkeypatch.setattr(v, "VALUE_ROWS", 20)
+    codes[100:300] = codes[0] ^ (np.uint64(1) << r.integers(0, 48, 200, dtype=np.uint64))  # one value in most positions
+    monkeypatch.setattr(v, "GROUP_ROWS", group_rows)
     data = spark.createDataFrame([(i, int(c)) for i, c in enumerate(codes)], "row long, code long")
     asked = [0, 1, 150, 399]
     queries = spark.createDataFrame([(i, int(codes[i])) for i in asked], "query_row long, query_code long")
-    for radius in (0, 2, 5, 9, 14, 30):
-        found = [tuple(x) for x in v.pairs_within(data, queries, radius, v.substrings(48, radius, 400)).collect()]
+    for radius in (0, 5, 14, 30):
+        lists = v.candidates(data, queries, radius, v.substrings(48, radius, 400), 400).collect()
+        found = [(x["query_row"], i) for x in lists for i in x["among"]]
         wanted = {(q, i) for q in asked for i in range(400) if int(codes[q] ^ codes[i]).bit_count() <= radius}
         assert len(found) == len(wanted) and set(found) == wanted
 
@@ -125,4 +128,4 @@ def test_a_third_of_equal_vectors_and_one_id_twice(spark):
 def test_no_exchange_holds_a_vector_per_query_block(spark):
     """The data's vectors are dealt to their blocks, not to pairs of blocks of data and queries."""
     tree = plan(v.search(spark.read.parquet(f"{SMALL}/embeddings.parquet"), "true"))
-    assert "CoGroups" not in tree and "CartesianProduct" not in tree and "NestedLoop" not in tree
+    assert "CartesianProduct" not in tree and "NestedLoop" not in tree and tree.count("CoGroups") == 0
