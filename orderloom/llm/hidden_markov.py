@@ -1,21 +1,29 @@
 """Language-model scores from a hidden Markov model.
 
 Words are counted over all training texts. The most frequent ones are emitted as
-symbols of their own, every other word as the class of its last two bytes; given the
-class, a word has its smoothed share of the class's training tokens, an unseen word
-the share of one unseen type. So the alphabet of the Markov chain has a fixed size and
-the vocabulary is as large as the corpus.
-
-Baum-Welch runs over all training texts, cut into windows so that many are advanced at
-once; each task sums expected counts, Spark adds them up, and one row per state and
-symbol reaches the driver. A text's score is the exact log10 probability of its whole
-word sequence and one end mark: the scaled forward recursion over the symbols, plus
-the words' shares of their classes. Counts of rare words are joined by a shuffle,
-never broadcast.
+symbols of their own, every other word as the class of its last two bytes, so the
+alphabet with which the chain is trained has a fixed size. In the last round the
+expected counts of every other training word in every state are added up as well, as a
+table of words: in a state, a word then has the class's probability times its share of
+the class there; an unseen word has the share of one unseen type. Counts by state are
+drawn towards the usual shares of the states, the more the rarer the word is. So every training word has emissions of its own, and the
+vocabulary is as large as the corpus.
+
+Baum-Welch runs over all training texts, each as a whole: the forward recursion leaves
+its vector at the start of every window, and the windows are then done from the last to
+the first, each forward again from there and backward from the vector of the next one.
+So many texts are advanced at once, memory is bounded by a window, and no move is lost.
+Each task sums expected counts, Spark adds them up, and one row per symbol reaches the
+driver. A text's score is the exact log10 probability of its whole word sequence and one
+end mark, by the scaled forward recursion. Counts and emissions of words without a
+symbol are joined by a shuffle, never broadcast. Texts are hashed twice, for the counts
+and for the stored sequences of symbols that all rounds and the scores read.
 
 A null text is empty: its only token is the end. Repeated rows are scored each by
 itself. Rows without id are training rows. Without training tokens, every symbol is
-equally likely. Word identities are 64-bit hashes.
+equally likely. Words of equal frequency get symbols in the order of their hashes.
+Very long texts are scored and learnt from whole. Other columns are ignored, an empty
+table gives an empty one. Word identities are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,16 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import ship, slices, stored, texts_of_batch, word_spans
+from orderloom.llm.common import arrow_batches, ship, slices, stored, texts_of_batch, word_spans
 
 CLASSES = 512
-#: Most frequent words with a symbol of their own, and those whose counts are known to every task; fixed sizes.
-SYMBOLS, FREQUENT = 4_095, 1 << 18
-STATES, ROUNDS, WINDOW = 8, 4, 128
-#: Texts scored at a time, and tokens whose state probabilities are held at a time.
-ROWS, CHUNK = 4_096, 1 << 18
-#: Weight of the symbols' overall shares in every state's emissions.
-SMOOTHING = 20.0
+#: Most frequent words with a symbol of their own, known to every task: a fixed size. All other words are in tables.
+SYMBOLS = (1 << 16) - 1
+STATES, ROUNDS = 8, 4
+#: Texts that are advanced together, and steps whose state probabilities are held at a time.
+ROWS, WINDOW = 2_048, 64
+#: Bytes of a batch that a worker takes while it learns.
+BATCH_BYTES = 16 << 20
+#: Tokens that a word's states are drawn towards the average by; a word seen less often than that hardly tells states apart.
+SMOOTHING = 5.0
 _SLOTS = np.uint64((1 << 20) - 1)
 
 
@@ -106,21 +116,21 @@ def learn_vocabulary(training: DataFrame) -> tuple[Vocabulary, DataFrame]:
     """Counts of all words of ``training`` (text): what tasks know, and the stored table (word, n) of all of them."""
     counted = training.select("text").mapInArrow(_count, "word long, n long")
     counts = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    # counts in steps of a twelfth of an octave tell how far down FREQUENT words reach
+    # counts in steps of a twelfth of an octave tell how far down SYMBOLS words reach
     step = F.floor(12 * F.log2("n")).alias("step")
     steps = counts.groupBy(step).count().orderBy(F.desc("step")).toPandas()
-    enough = steps["step"][steps["count"].cumsum() <= FREQUENT]
-    top = counts.where(step >= (int(enough.min()) if len(enough) else 1 << 30)).toPandas()  # FREQUENT rows at most
+    enough = steps["step"][steps["count"].cumsum() <= SYMBOLS]
+    top = counts.where(step >= (int(enough.min()) if len(enough) else 1 << 30)).toPandas()  # SYMBOLS rows at most
     top = top.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     by_class = counts.groupBy(F.expr(f"word & {CLASSES - 1}").alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toPandas()
     n_texts = training.count()
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
     class_tokens[by_class["class"]], class_words[by_class["class"]] = by_class["n"], by_class["words"]
     ids = top["word"].to_numpy(np.int64).view(np.uint64)
-    symbol = np.where(np.arange(len(ids)) < SYMBOLS, np.arange(len(ids)), SYMBOLS + (ids & np.uint64(CLASSES - 1)).astype(np.int64))
-    own = ids[:SYMBOLS] & np.uint64(CLASSES - 1)
+    symbol = np.arange(len(ids))
+    own = ids & np.uint64(CLASSES - 1)
     tokens, distinct = int(class_tokens.sum()) + n_texts, int(class_words.sum()) + (n_texts > 0)
-    np.subtract.at(class_tokens, own.astype(np.int64), top["n"].to_numpy(float)[:SYMBOLS])
+    np.subtract.at(class_tokens, own.astype(np.int64), top["n"].to_numpy(float))
     np.subtract.at(class_words, own.astype(np.int64), 1)
     order = np.argsort(ids)
     vocabulary = Vocabulary(ids[order], top["n"].to_numpy(np.int64)[order], symbol[order], class_tokens, class_words, n_texts, tokens, distinct)
@@ -134,70 +144,117 @@ class Chain:
     emit: np.ndarray  # symbols x states
 
 
-def _sequences(vocabulary: Vocabulary, slots: np.ndarray, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of consecutive texts, each with its end, and the texts' offsets."""
-    places = vocabulary.places(words, slots)
-    n = len(bounds) - 1
-    out = np.full(len(words) + n, SYMBOLS + CLASSES, np.int32)
-    out[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(bounds))] = vocabulary.symbols(words, places)
-    return out, bounds + np.arange(n + 1)
+def _sequences(vocabulary):
+    """Per row (row, doc_id, held_out, text) its symbols with the end, and the words of those that are classes, in order."""
+    kinds = [pa.int64(), pa.int64(), pa.bool_()]
 
+    def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values))
 
-def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray, sums: list[np.ndarray]) -> None:
-    """Adds the expected counts of some windows to ``sums``: starts, moves, emissions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.value
+        slots = known.slots()
+        for batch in batches:
+            for first, words, bounds in _words(texts_of_batch(batch)):
+                n = len(bounds) - 1
+                places = known.places(words, slots)
+                symbols = np.full(len(words) + n, SYMBOLS + CLASSES, np.int32)
+                symbols[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(bounds))] = known.symbols(words, places)
+                rare = places < 0
+                per_text = np.diff(np.append(0, np.cumsum(rare))[bounds])
+                columns = [batch.column(k).slice(first, n).cast(t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, lists(symbols, np.diff(bounds) + 1), lists(words[rare].view(np.int64), per_text)], ["row", "doc_id", "held_out", "symbols", "rare"]
+                )
+
+    return run
+
+
+_SEQUENCE = "row long, doc_id long, held_out boolean, symbols array<int>, rare array<long>"
+
+
+def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray, sums: list[np.ndarray], posterior: np.ndarray | None = None, window: int = WINDOW) -> None:
+    """Adds the expected counts of some sequences to ``sums``: starts, moves, emissions.
+
+    ``posterior`` takes the state probabilities of every place of ``symbols``.
+    """
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = begins[order], lengths[order]
     steps, states = int(lengths[0]), len(chain.start)
     active = np.searchsorted(-lengths, -np.arange(steps), "left")
-    offsets = np.concatenate(([0], np.cumsum(active)))
-    forward = np.empty((offsets[-1], states))
-    seen = np.empty(offsets[-1], np.int32)
-    scale = np.empty(offsets[-1])
+    # forward once, leaving what is expected at the start of each window
+    marks, a = [], np.broadcast_to(chain.start, (len(lengths), states))
     for t in range(steps):
-        n, now = active[t], slice(offsets[t], offsets[t + 1])
-        seen[now] = symbols[begins[:n] + t]
-        a = (chain.start if t == 0 else forward[offsets[t - 1] : offsets[t - 1] + n] @ chain.move) * chain.emit[seen[now]]
-        total = a.sum(axis=1)
-        forward[now] = a / total[:, None]
-        scale[now] = total
-    back = np.ones((active[-1], states))
+        a = a[: active[t]]
+        if t % window == 0:
+            marks.append(a.copy())
+        a = a * chain.emit[symbols[begins[: active[t]] + t]]
+        a = (a / a.sum(axis=1)[:, None]) @ chain.move
     moves = np.zeros((states, states))
-    for t in range(steps - 1, 0, -1):
-        n, now = active[t], slice(offsets[t], offsets[t + 1])
-        ahead = chain.emit[seen[now]] * back / scale[now, None]
-        moves += forward[offsets[t - 1] : offsets[t - 1] + n].T @ ahead
-        forward[now] *= back
-        back = np.ones((active[t - 1], states))
-        back[:n] = ahead @ chain.move.T
-    forward[: offsets[1]] *= back
-    sums[0] += forward[: offsets[1]].sum(axis=0)
+    ahead = np.zeros((0, states))  # emission and future of the step after a window, by the state there
+    for w in range(len(marks) - 1, -1, -1):
+        first, last = w * window, min(steps, (w + 1) * window)
+        offsets = np.concatenate(([0], np.cumsum(active[first:last])))
+        forward, seen = np.empty((offsets[-1], states)), np.empty(offsets[-1], np.int64)
+        at, scale = np.empty(offsets[-1], np.int64), np.empty(offsets[-1])
+        a = marks.pop()
+        for k, t in enumerate(range(first, last)):
+            now = slice(offsets[k], offsets[k + 1])
+            at[now] = begins[: active[t]] + t
+            seen[now] = symbols[at[now]]
+            a = a[: active[t]] * chain.emit[seen[now]]
+            scale[now] = a.sum(axis=1)
+            forward[now] = a / scale[now, None]
+            a = forward[now] @ chain.move
+        for k in range(last - first - 1, -1, -1):
+            now = slice(offsets[k], offsets[k + 1])
+            moves += forward[offsets[k] : offsets[k] + len(ahead)].T @ ahead
+            back = np.ones((active[first + k], states))
+            back[: len(ahead)] = ahead @ chain.move.T
+            ahead = chain.emit[seen[now]] * back / scale[now, None]
+            forward[now] *= back
+        if first == 0:
+            sums[0] += forward[: offsets[1]].sum(axis=0)
+        if len(seen) > len(chain.emit) // 8:
+            for s in range(states):
+                sums[2][:, s] += np.bincount(seen, forward[:, s], len(chain.emit))
+        else:
+            np.add.at(sums[2], seen, forward)
+        if posterior is not None:
+            posterior[at] = forward
     sums[1] += moves * chain.move
-    for s in range(states):
-        sums[2][:, s] += np.bincount(seen, forward[:, s], len(chain.emit))
 
 
-def _expected_counts(vocabulary, chain):
-    """Per task, the expected counts as rows (row, state, n): symbols first, then starts, then moves."""
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all lists and where each begins and ends."""
+    offsets = lists.offsets.to_numpy()
+    return lists.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
+
+
+def _expected_counts(chain, size: int, words: bool):
+    """Per task, the expected counts by state as rows (kind, key, n0...): symbols, starts and moves of kind 0; other words of kind 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, now = vocabulary.value, chain.value
-        slots, states = known.slots(), len(now.start)
-        sums = [np.zeros(states), np.zeros((states, states)), np.zeros((known.size, states))]
-        for batch in batches:
-            for _, words, bounds in _words(texts_of_batch(batch)):
-                symbols, offsets = _sequences(known, slots, words, bounds)
-                lengths = np.diff(offsets)
-                pieces = -(-lengths // WINDOW)
-                of = np.repeat(np.arange(len(lengths)), pieces)
-                within = (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * WINDOW
-                begins, sizes = offsets[of] + within, np.minimum(lengths[of] - within, WINDOW)
-                per = max(1, CHUNK // WINDOW)
-                for at in range(0, len(begins), per):
-                    _expect(now, symbols, begins[at : at + per], sizes[at : at + per], sums)
+        now = chain.value
+        states = len(now.start)
+        sums = [np.zeros(states), np.zeros((states, states)), np.zeros((size, states))]
+
+        def counted(kind: int, keys: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), *(pa.array(table[:, s].astype(float)) for s in range(states))]
+            return pa.RecordBatch.from_arrays(columns, ["kind", "key", *(f"n{s}" for s in range(states))])
+
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+            symbols, offsets = _flat(batch.column("symbols"))
+            posterior = np.empty((len(symbols), states)) if words else None
+            _expect(now, symbols, offsets[:-1].astype(np.int64), np.diff(offsets), sums, posterior)
+            if words:
+                own, _ = _flat(batch.column("rare"))
+                found, of = np.unique(own, return_inverse=True)
+                at = np.flatnonzero((symbols >= SYMBOLS) & (symbols < SYMBOLS + CLASSES))
+                yield counted(1, found, np.stack([np.bincount(of, posterior[at, s], len(found)) for s in range(states)], 1))
         table = np.concatenate((sums[2], sums[0][None], sums[1]))
-        rows, state = np.nonzero(table)
-        if len(rows):
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(state, pa.int32()), pa.array(table[rows, state])], ["row", "state", "n"])
+        rows = np.flatnonzero(table.any(axis=1))
+        yield counted(0, rows, table[rows])
 
     return run
 
@@ -206,32 +263,65 @@ def _normal(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS, seed: int = 7) -> Chain:
-    """Baum-Welch over all rows of ``training`` (text)."""
+def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS, seed: int = 7) -> tuple[Chain, DataFrame, np.ndarray]:
+    """Baum-Welch over all rows of ``training`` (symbols, rare): the chain, the stored expected counts (word, n0...) of the
+    words without a symbol, and those of the classes (class x state)."""
     context, size = training.sparkSession.sparkContext, vocabulary.size
     share = np.full(size, 0.1)
-    own = vocabulary.symbol < SYMBOLS
-    share[vocabulary.symbol[own]] += vocabulary.counts[own]
+    share[vocabulary.symbol] += vocabulary.counts
     share[SYMBOLS : SYMBOLS + CLASSES] += vocabulary.class_tokens
     share[-1] += vocabulary.texts
     share = _normal(share)
     random = np.random.default_rng(seed)
     move = _normal(np.full((states, states), 0.1 / states) + 0.9 * np.eye(states))
     chain = Chain(np.full(states, 1 / states), move, _normal((share * np.exp(random.normal(0, 0.7, (states, size))))).T.copy())
-    known = context.broadcast(vocabulary)
-    for _ in range(rounds):
-        now = context.broadcast(chain)
-        found = training.select("text").mapInArrow(_expected_counts(known, now), "row int, state int, n double")
-        found = found.groupBy("row", "state").agg(F.sum("n").alias("n")).toPandas()  # at most (symbols + states + 1) x states rows
+    names = [f"n{s}" for s in range(states)]
+    schema = "kind int, key long, " + ", ".join(f"{n} double" for n in names)
+    for k in range(rounds):
+        now, last = context.broadcast(chain), k == rounds - 1
+        found = training.select("symbols", "rare") if last else training.select("symbols")
+        found = found.mapInArrow(_expected_counts(now, size, last), schema).groupBy("kind", "key").agg(*[F.sum(n).alias(n) for n in names])
+        if last:
+            found = stored(found, "expected-counts")
+        sums = found.where("kind = 0").toPandas()  # a row per symbol, state and for the starts
         table = np.zeros((size + 1 + states, states))
-        table[found["row"], found["state"]] = found["n"]
-        emit = table[:size].T + SMOOTHING * share
-        chain = Chain(_normal(table[size] + 1), _normal(table[size + 1 :] + 0.1), _normal(emit).T.copy())
-    return chain
+        table[sums["key"]] = sums[names].to_numpy()
+        usual = np.tile(_normal(table[:size].sum(axis=0) + 0.1), (size, 1))
+        emit = mass(table[:size], table[:size].sum(axis=1), usual)
+        chain = Chain(_normal(table[size] + 1), _normal(table[size + 1 :] + 0.1), emit / emit.sum(axis=0))
+    words = found.where("kind = 1").select(F.col("key").alias("word"), F.array(*names).alias("expected"))
+    return chain, words, _normal(table[SYMBOLS : SYMBOLS + CLASSES] + 0.1 * usual[0])
+
 
+def mass(expected: np.ndarray, n: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """Counts (word x state) that emissions are made of: a word's smoothed count, dealt to the states by its expected
+    counts and, the fewer it has, by the usual shares of the states."""
+    return (n + 0.1)[:, None] * (expected + SMOOTHING * usual) / (n + SMOOTHING)[:, None]
 
-def _forward(chain: Chain, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """log10 probability of each sequence, by the scaled forward recursion over its whole length."""
+
+def word_masses(counts: DataFrame, words: DataFrame, usual: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """The stored table (word, n, mass) of words without a symbol, and the sums of each class by state, unseen words included."""
+    states = usual.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, n = (batch.column(k).to_numpy() for k in (0, 1))
+            of = own & (CLASSES - 1)
+            found = mass(batch.column(2).flatten().to_numpy().reshape(-1, states), n.astype(float), usual[of])
+            ends = pa.array(np.arange(0, states * len(own) + 1, states, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(found.reshape(-1)))], ["word", "n", "mass"])
+
+    found = counts.join(words, "word").select("word", "n", "expected").mapInArrow(run, "word long, n long, mass array<double>")
+    found = stored(found, "word-masses")
+    sums = [F.sum(F.col("mass")[s]).alias(f"n{s}") for s in range(states)]
+    by_class = found.groupBy(F.expr(f"word & {CLASSES - 1}").alias("class")).agg(*sums).toPandas()  # a row per class
+    total = 0.1 * usual
+    total[by_class["class"]] += by_class[[f"n{s}" for s in range(states)]].to_numpy()
+    return found, total
+
+
+def _forward(chain: Chain, emit: np.ndarray, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """log10 probability of each sequence, by the scaled forward recursion over its whole length; ``emit`` by symbol."""
     lengths = np.diff(offsets)
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = offsets[:-1][order], lengths[order]
@@ -239,7 +329,7 @@ def _forward(chain: Chain, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarr
     out = np.zeros(len(order))
     a = None
     for t, n in enumerate(active.tolist()):
-        a = (chain.start if a is None else a[:n] @ chain.move) * chain.emit[symbols[begins[:n] + t]]
+        a = (chain.start if a is None else a[:n] @ chain.move) * emit[symbols[begins[:n] + t]]
         total = a.sum(axis=1)
         a /= total[:, None]
         out[:n] += np.log10(total)
@@ -248,53 +338,60 @@ def _forward(chain: Chain, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return result
 
 
-_ROWS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word long, times long"
+_ROWS = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(vocabulary, chain):
-    """Per text one row with what the task knows itself, and a row (word, times) for each other word."""
+def _score(vocabulary, chain, classes):
+    """Scores of rows (doc_id, held_out, symbols, rare, words, counts, masses): the last three list what is known of the rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = vocabulary.value, chain.value
-        slots = known.slots()
-        local = known.base(known.counts.astype(float)) if len(known.counts) else np.zeros(1)
-        shares = np.zeros(max(1, len(known.counts)))
-        later = np.flatnonzero(known.symbol >= SYMBOLS)
-        of_class = known.symbol[later] - SYMBOLS
-        shares[later] = np.log10((known.counts[later] + 0.1) / (known.class_tokens[of_class] + 0.1 * (known.class_words[of_class] + 1)))
-        end = float(known.base(np.array([float(known.texts)]))[0])
+        known, model, (usual, total) = vocabulary.value, chain.value, classes.value
+        states = len(model.start)
+        local = np.zeros(known.size)
+        local[known.symbol] = known.base(known.counts.astype(float))
+        local[-1] = known.base(np.array([float(known.texts)]))[0]
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            ids, held = batch.column(1).cast(pa.int64()), batch.column(2)
-            rows = batch.column(0).to_numpy()
-            parts, texts_at = [], []
-            for first, words, bounds in _words(texts_of_batch(batch)):
-                parts.append((words, np.diff(bounds)))
-                texts_at.append(first)
-            if not parts:
-                continue
-            words, n = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
-            bounds = np.concatenate(([0], np.cumsum(n)))
-            symbols, offsets = _sequences(known, slots, words, bounds)
-            score = _forward(model, symbols, offsets)
-            places = known.places(words, slots)
-            inside, of = places >= 0, np.repeat(np.arange(len(n)), n)
-            base = np.bincount(of[inside], local[places[inside]], len(n)) + end
-            score += np.bincount(of[inside], shares[places[inside]], len(n))
-            n_known = np.bincount(of[inside], minlength=len(n)) + (known.texts > 0)
-            none, empty = pa.nulls(len(n), pa.int64()), pa.array(np.zeros(len(n), np.int64))
-            names = [x.split()[0] for x in _ROWS.split(", ")]
-            # the word of a text's own row is one that no text has, and differs between rows
-            yield pa.RecordBatch.from_arrays([pa.array(rows), ids, held, pa.array(n + 1), pa.array(n_known), pa.array(base), pa.array(score), none, empty], names)
-            rest, whose = words[~inside], of[~inside]
-            order = np.lexsort((rest, whose))
-            rest, whose = rest[order], whose[order]
-            if len(rest):
-                new = np.flatnonzero(np.concatenate(([True], (rest[1:] != rest[:-1]) | (whose[1:] != whose[:-1]))))
-                times = np.diff(np.append(new, len(rest)))
-                k = len(new)
-                none, zero = pa.nulls(k, pa.int64()), pa.array(np.zeros(k))
-                count = pa.array(np.zeros(k, np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[whose[new]]), none, pa.nulls(k, pa.bool_()), count, count, zero, zero, pa.array(rest[new].view(np.int64)), pa.array(times)], names)
+            symbols, offsets = _flat(batch.column("symbols"))
+            rare, rare_at = _flat(batch.column("rare"))
+            words, words_at = _flat(batch.column("words"))
+            counts = _flat(batch.column("counts"))[0].astype(float)
+            masses = batch.column("masses").flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, states)
+            # each text's own words, in order within the text
+            n = len(offsets) - 1
+            text_of_rare, text_of_word = (np.repeat(np.arange(n), np.diff(x)) for x in (rare_at, words_at))
+            whole, place = np.unique(np.concatenate((rare, words)), return_inverse=True)
+            key = text_of_word * len(whole) + place[len(rare) :]
+            order = np.argsort(key)
+            wanted = text_of_rare * len(whole) + place[: len(rare)]
+            found = np.minimum(np.searchsorted(key[order], wanted), max(0, len(key) - 1))
+            hit = key[order][found] == wanted if len(key) else np.zeros(len(wanted), bool)
+            at = order[found[hit]] if len(key) else np.zeros(0, np.int64)
+            of = (rare & (CLASSES - 1)).astype(np.int64)
+            n_rare, own = np.zeros(len(rare)), 0.1 * usual[of]
+            n_rare[hit], own[hit] = counts[at], masses[at]
+            own *= model.emit[SYMBOLS + of] / total[of]
+            # rare words take the rows behind those of all symbols
+            tokens = symbols.astype(np.int64)
+            is_rare = (tokens >= SYMBOLS) & (tokens < SYMBOLS + CLASSES)
+            base = local[tokens]
+            base[is_rare] = known.base(n_rare)
+            seen = np.ones(len(tokens), np.int64)
+            seen[is_rare] = n_rare > 0
+            if not known.texts:
+                seen[tokens == SYMBOLS + CLASSES] = 0
+            tokens[is_rare] = known.size + np.arange(len(rare))
+            score = _forward(model, np.concatenate((model.emit, own)), tokens, offsets.astype(np.int64))
+            text_of = np.repeat(np.arange(n), np.diff(offsets))
+            columns = [
+                batch.column("doc_id"),
+                batch.column("held_out"),
+                pa.array(np.diff(offsets).astype(np.int64)),
+                pa.array(np.bincount(text_of, seen, n).astype(np.int64)),
+                pa.array(np.full(n, known.tokens, np.int64)),
+                pa.array(np.bincount(text_of, base, n)),
+                pa.array(score),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _ROWS.split(", ")])
 
     return run
 
@@ -308,31 +405,26 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     ship(spark)
     key = F.col("doc_id").cast("long")
     held = F.coalesce(F.crc32(key.cast("string")) % 10 == 0, F.lit(False)).alias("held_out")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), key.alias("doc_id"), held, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    training = rows.where("not held_out")
-    vocabulary, counts = learn_vocabulary(training)
-    chain = fit(training, vocabulary, states, rounds)
-    known, model = (spark.sparkContext.broadcast(x) for x in (vocabulary, chain))
-    found = rows.mapInArrow(_score(known, model), _ROWS)
-    # a text's own row gets a key that joins nothing and spreads evenly
-    found = found.withColumn("key", F.coalesce("word", F.expr("-1L - row"))).withColumn("rare", F.col("word").isNotNull())
-
-    classes = spark.createDataFrame([(k, float(t), float(w)) for k, (t, w) in enumerate(zip(vocabulary.class_tokens, vocabulary.class_words, strict=True))], "class int, class_n double, class_words double")
-    matched = found.join(counts.select(F.col("word").alias("key"), "n"), "key", "left").withColumn("n", F.when(F.col("rare"), F.coalesce("n", F.lit(0))))
-    matched = matched.join(F.broadcast(classes), F.expr(f"cast(word & {CLASSES - 1} as int)") == F.col("class"), "left")
-    whole = vocabulary.tokens + 0.1 * (vocabulary.distinct + 1)
-    plain = F.when(F.col("rare"), F.col("times") * F.log10((F.col("n") + 0.1) / F.lit(whole))).otherwise(F.col("base"))
-    share = F.when(F.col("rare"), F.col("times") * F.log10((F.col("n") + 0.1) / (F.col("class_n") + 0.1 * (F.col("class_words") + 1)))).otherwise(F.col("score"))
-    seen = F.when(F.col("rare"), F.when(F.col("n") > 0, F.col("times")).otherwise(F.lit(0))).otherwise(F.col("n_known"))
-    return (
-        matched.groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            F.sum("n_tokens").alias("own_tokens"),
-            F.sum(seen).alias("n_known"),
-            F.sum(plain).alias("base_score"),
-            F.sum(share).alias("score"),
-        )
-        .select("doc_id", "held_out", F.col("own_tokens").alias("n_tokens"), "n_known", F.lit(vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    rows = docs.select(key.alias("doc_id"), held, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    with arrow_batches(spark, BATCH_BYTES):
+        vocabulary, counts = learn_vocabulary(rows.where("not held_out"))
+        known = spark.sparkContext.broadcast(vocabulary)
+        numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+        sequences = stored(numbered.mapInArrow(_sequences(known), _SEQUENCE), "sequences")
+        chain, words, usual = fit(sequences.where("not held_out"), vocabulary, states, rounds)
+        facts, total = word_masses(counts, words, usual)
+    model, classes = spark.sparkContext.broadcast(chain), spark.sparkContext.broadcast((usual, total))
+    # what is known of a text's words without a symbol comes by a shuffle of these words
+    occurs = sequences.select("row", F.explode(F.array_distinct("rare")).alias("word"))
+    found = occurs.join(facts, "word").groupBy("row").agg(F.collect_list(F.struct("word", "n", "mass")).alias("found"))
+    empty = F.expr("array()")
+    joined = sequences.join(found, "row", "left").select(
+        "doc_id",
+        "held_out",
+        "symbols",
+        "rare",
+        F.coalesce("found.word", empty.cast("array<long>")).alias("words"),
+        F.coalesce("found.n", empty.cast("array<long>")).alias("counts"),
+        F.coalesce("found.mass", empty.cast("array<array<double>>")).alias("masses"),
     )
+    return joined.mapInArrow(_score(known, model, classes), _ROWS)

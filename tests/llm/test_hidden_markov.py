@@ -3,9 +3,12 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import catalog
 from orderloom.llm import hidden_markov as h
@@ -72,33 +75,72 @@ def paths(chain, symbols):
 def test_forward_is_the_sum_over_all_paths(chain):
     sequences = [[0], [1, 4, 2], [3, 3, 0, 1, 2], [2, 2]]
     flat, offsets = np.concatenate(sequences).astype(np.int32), np.cumsum([0, *map(len, sequences)])
-    for got, own in zip(h._forward(chain, flat, offsets), sequences, strict=True):
+    for got, own in zip(h._forward(chain, chain.emit, flat, offsets), sequences, strict=True):
         assert math.isclose(got, math.log10(sum(p for _, p in paths(chain, own))), rel_tol=1e-12)
 
 
-def test_expected_counts_are_those_of_all_paths(chain):
-    sequences = [[0], [1, 4, 2], [3, 3, 0, 1, 2], [2, 2]]
+@pytest.mark.parametrize("window", [1, 2, 3, 64])
+def test_expected_counts_are_those_of_all_paths(chain, window):
+    """Over texts longer than a window, starts only from the texts' own beginnings."""
+    sequences = [[0], [1, 4, 2], [3, 3, 0, 1, 2, 4, 0], [2, 2], [4, 1, 0, 0, 3, 2]]
     flat, offsets = np.concatenate(sequences).astype(np.int32), np.cumsum([0, *map(len, sequences)])
     sums = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))]
-    h._expect(chain, flat, offsets[:-1], np.diff(offsets), sums)
-    wanted = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))]
-    for own in sequences:
+    posterior = np.full((len(flat), 3), np.nan)
+    h._expect(chain, flat, offsets[:-1], np.diff(offsets), sums, posterior, window)
+    wanted, each = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))], np.zeros((len(flat), 3))
+    for begin, own in zip(offsets.tolist(), sequences, strict=False):
         whole = sum(p for _, p in paths(chain, own))
         for path, p in paths(chain, own):
             wanted[0][path[0]] += p / whole
             for a, b in zip(path, path[1:], strict=False):
                 wanted[1][a, b] += p / whole
-            for s, x in zip(path, own, strict=True):
+            for k, (s, x) in enumerate(zip(path, own, strict=True)):
                 wanted[2][x, s] += p / whole
-    for got, true in zip(sums, wanted, strict=True):
+                each[begin + k, s] += p / whole
+    for got, true in zip([*sums, posterior], [*wanted, each], strict=True):
         assert np.allclose(got, true)
 
 
+def test_every_training_word_has_emissions_and_they_sum_to_one(spark, documents, monkeypatch):
+    """Few symbols, so that most words are in the table; scores against a plain recursion."""
+    monkeypatch.setattr(h, "SYMBOLS", 40)
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("length(text) < 4000")
+    training = rows.select(F.lit(1).alias("row"), "doc_id", F.lit(False).alias("held_out"), "text")
+    vocabulary, counts = h.learn_vocabulary(rows)
+    known = spark.sparkContext.broadcast(vocabulary)
+    sequences = pa.Table.from_batches(h._sequences(known)(iter(training.toArrow().to_batches())))
+    # one round by hand, without Spark's workers, which have the module's own constants
+    size, states = vocabulary.size, 3
+    r = np.random.default_rng(1)
+    normal = h._normal
+    chain = h.Chain(normal(r.random(states)), normal(r.random((states, states))), normal(r.random((states, size))).T.copy())
+    batches = sequences.select(["symbols", "rare"]).to_batches()
+    found = pa.Table.from_batches(h._expected_counts(SimpleNamespace(value=chain), size, True)(iter(batches))).to_pandas()
+    sums = found.groupby(["kind", "key"]).sum()
+    names = ["n0", "n1", "n2"]
+    words = counts.toPandas().set_index("word")["n"]
+    rare = sums.loc[1]
+    assert set(rare.index) == set(words.index) - set(vocabulary.frequent.view(np.int64).tolist()) and len(rare) > 500
+    assert np.allclose(rare[names].sum(axis=1), words[rare.index])  # a word's expected counts are its tokens
+    usual = normal(r.random((h.CLASSES, states)))
+    of = np.array(rare.index) & (h.CLASSES - 1)
+    found = h.mass(rare[names].to_numpy(), words[rare.index].to_numpy().astype(float), usual[of])
+    # in a state that no word tells apart, shares are those of the counts; a frequent word goes by its own
+    assert np.allclose(found.sum(axis=1), words[rare.index] + 0.1)
+    rows = counts.join(spark.createDataFrame([(int(k), [float(y) for y in x]) for k, x in zip(rare.index, rare[names].to_numpy(), strict=True)], "word long, expected array<double>"), "word")
+    monkeypatch.undo()
+    stored, total = h.word_masses(counts, rows.select("word", "expected"), usual)
+    sums = 0.1 * usual
+    for x in stored.collect():
+        sums[x["word"] & (h.CLASSES - 1)] += x["mass"]
+    assert np.allclose(sums, total) and stored.count() == len(rare)
+
+
 def test_shares_of_a_class_sum_to_one(spark, documents):
     """Known words of each class and one unseen word share the class's probability."""
     vocabulary, words = h.learn_vocabulary(documents)
     words = words.toPandas()
-    own = set(vocabulary.frequent[vocabulary.symbol < h.SYMBOLS].view(np.int64).tolist())
+    own = set(vocabulary.frequent.view(np.int64).tolist())
     rest = words[~words["word"].isin(own)]
     of = rest["word"] & (h.CLASSES - 1)
     total = np.bincount(of, rest["n"] + 0.1, h.CLASSES) + 0.1
