@@ -9,7 +9,10 @@ its first byte, so neither starts over; reading the table from its end gives the
 
 Text is first cut by the splitting pattern, and each match is encoded by itself.
 Strings of special tokens are ordinary text. Null texts are empty, the empty text has
-no ids. Decoding joins the tokens' bytes, which gives the text back exactly.
+no ids. Decoding joins the tokens' bytes, which gives the text back exactly. Very long
+texts are encoded whole, in time proportional to their length. Repeated rows and ids are
+rows of their own, extra columns are ignored, an empty table gives an empty one; there are
+no ties, as every prefix has one last token.
 """
 
 from __future__ import annotations

@@ -72,7 +72,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",
-        (fold == 1).alias("held_out"),
+        F.coalesce(fold == 1, F.lit(False)).alias("held_out"),
         F.col("toxic_score").alias("score"),
         (F.col("toxic_score") >= TOXIC).cast("int").alias("predicted"),
     )

@@ -10,7 +10,8 @@ place). A segment is self-contained:
     the blocks' range-coded payloads
 
 Blocks are coded apart from each other, whether or not a document goes on in the next
-one, so each can be read and checked alone. A segment holds whole documents. All
+one, so each can be read and checked alone. A segment holds whole documents, so a very long
+one makes a long segment of many blocks. Extra columns are ignored. All
 numbers are little-endian. Null texts are empty and have the end id only; documents
 without id come first, those that share an id are in text order. An empty table makes
 an empty file table. A block whose ids miss their checksum is an error.

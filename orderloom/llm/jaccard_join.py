@@ -24,8 +24,10 @@ different components are compared with each other, except where their distances
 to the hub prove by the triangle inequality that they can't link. So copies cost a
 comparison each, not one per pair, and no link between components is lost.
 
-Empty texts and null texts have an empty set and link with nothing. Repeated rows and
-repeated ids are rows of their own. Extra columns are ignored.
+Empty texts and null texts have an empty set and link with nothing. Very long texts are
+read whole; a text is a slice of its own if it is longer than others together. Repeated rows and
+repeated ids are rows of their own. Ties between hubs go to the smaller set id, and every
+component takes its smallest id. Extra columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@ The result, counts of patterns, is a table of a few rows per length. Items are r
 within their length, hot lengths in several strands, and each finds its pattern, the
 sequence and its place in it by its rank: a join with that table, no search per item.
 
-Null texts are empty and have the end id only. Repeated rows are packed each. Every id
-is in exactly one piece. An empty table has no pieces.
+Null texts are empty and have the end id only. A very long text fills sequences by
+itself. Repeated rows are packed each. Items of equal length are interchangeable: ties
+are ranked by row. Every id is in exactly one piece. Extra columns are ignored; an empty
+table has no pieces.
 """
 
 from __future__ import annotations

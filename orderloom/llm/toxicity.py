@@ -13,8 +13,10 @@ where x' is the same labelled sentence with every identity term replaced by its
 counterpart of the same kind. A term that stands in many toxic texts, but isn't what
 makes them toxic, so loses its weight to the words beside it.
 
-At most ``TRAINING_ROWS`` labelled rows are used to fit, chosen by a hash of their ids;
-every text is scored whole. Null texts are empty; the score of a text without any known
+At most ``TRAINING_ROWS`` labelled rows are used to fit, chosen by a hash of their ids, and
+at most ``FEATURES`` features, those of the largest likelihood ratio (of equal ones the smaller
+hash); every text is scored whole, however long. Other columns pass through, one named
+``toxic_score`` is replaced; an empty table gives an empty one. Null texts are empty; the score of a text without any known
 feature is the share of toxic rows that the model expects among such texts. Without
 labels, or with one class only, the score is the smoothed share of toxic labels. Rows
 are scored one by one, so repeated rows have equal scores. An id labelled twice is
@@ -221,6 +223,25 @@ def _matrix(lists: list) -> tuple[np.ndarray, np.ndarray]:
     return of, np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(of) else np.zeros(0, np.int64)
 
 
+def gradient(
+    w: np.ndarray, b: float, toxic: np.ndarray, shown: tuple, own: tuple, swapped: tuple, ridge: float, fairness: float, counts: np.ndarray | None = None
+) -> np.ndarray:
+    """Gradient by the weights and the offset of mean log loss + ridge * |w|^2 + fairness * mean (z(x) - z(x'))^2.
+
+    ``shown``, ``own`` and ``swapped`` list (row, feature): of the features that the loss
+    sees, of all, and of those of the swapped sentences. Rows not in ``counts`` have no loss.
+    """
+    n, size = len(toxic), len(w)
+    (rk, ck), (ro, co), (rs, cs) = shown, own, swapped
+    z = np.bincount(rk, w[ck], n)
+    error = (1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - toxic) / n
+    if counts is not None:
+        error = np.where(counts, error, 0.0)
+    pull = 2 * fairness / n * (np.bincount(ro, w[co], n) - np.bincount(rs, w[cs], n))
+    g = np.bincount(ck, error[rk], size) + np.bincount(co, pull[ro], size) - np.bincount(cs, pull[rs], size) + 2 * ridge * w
+    return np.append(g, error.sum())
+
+
 def _descend(toxic: np.ndarray, own: list, swapped: list, size: int, ridge: float, fairness: float, steps: int, seed: int = 9) -> tuple[float, np.ndarray]:
     n = len(toxic)
     (ro, co), (rs, cs) = _matrix(own), _matrix(swapped)
@@ -231,13 +252,9 @@ def _descend(toxic: np.ndarray, own: list, swapped: list, size: int, ridge: floa
     for step in range(1, steps + 1):
         # some features are hidden at each step, so that none relies on the others
         seen = random.random(len(co)) < SHOWN
-        rk, ck = ro[seen], co[seen]
-        z = np.bincount(rk, w[ck], n)
-        blind = has & (toxic > 0) & (np.bincount(rk, minlength=n) == 0)
-        error = np.where(blind, 0.0, 1 / (1 + np.exp(-np.clip(z + b, -30, 30))) - toxic) / n
-        pull = 2 * fairness / n * (np.bincount(ro, w[co], n) - np.bincount(rs, w[cs], n))
-        g = np.bincount(ck, error[rk], size) + np.bincount(co, pull[ro], size) - np.bincount(cs, pull[rs], size) + 2 * ridge * w
-        g = np.append(g, error.sum())
+        shown = ro[seen], co[seen]
+        blind = has & (toxic > 0) & (np.bincount(shown[0], minlength=n) == 0)
+        g = gradient(w, b, toxic, shown, (ro, co), (rs, cs), ridge, fairness, ~blind)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]

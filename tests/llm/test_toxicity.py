@@ -108,3 +108,46 @@ def test_words_end_at_marks_of_any_script(make_docs, spark):
     model = t.fit(make_docs(*rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
     found = {r["doc_id"]: r["toxic_score"] for r in t.score(make_docs((1, "天地人山水火木金土傻瓜日月"), (2, "天地人山水火木金土日月")), model).collect()}
     assert found[2] < 0.3 and found[1] > 0.7
+
+
+def test_gradient_against_finite_differences():
+    r = np.random.default_rng(3)
+    n, size, ridge, fairness = 7, 5, 0.03, 0.7
+    toxic = r.integers(0, 2, n).astype(float)
+    lists = [(np.repeat(np.arange(n), 3), r.integers(0, size, 3 * n)) for _ in range(3)]
+    counts = r.random(n) < 0.8
+    w, b = r.normal(size=size), 0.3
+
+    def loss(w, b):
+        z, own, swapped = (np.bincount(x, w[y], n) for x, y in lists)
+        each = np.log1p(np.exp(z + b)) - toxic * (z + b)
+        return each[counts].sum() / n + ridge * (w @ w) + fairness * ((own - swapped) ** 2).mean()
+
+    found = t.gradient(w, b, toxic, *lists, ridge, fairness, counts)
+    for k in range(size + 1):
+        step = np.zeros(size + 1)
+        step[k] = 1e-6
+        wanted = (loss(w + step[:-1], b + step[-1]) - loss(w - step[:-1], b - step[-1])) / 2e-6
+        assert math.isclose(found[k], wanted, rel_tol=1e-5, abs_tol=1e-8)
+
+
+def test_scores_against_a_plain_sum(make_docs, spark):
+    """The model's score of each text, feature by feature."""
+    docs, labels = sentences(make_docs, spark, 300)
+    model = t.fit(docs, labels)
+    weight = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    for r in t.score(docs, model).collect():
+        data = r["text"].encode()
+        hashes = set()
+        for found in t.word_features(np.frombuffer(data, np.uint8), np.array([0, len(data)])):
+            hashes |= set(np.asarray(found).tolist())
+        z = model.offset + sum(weight.get(x, 0.0) for x in hashes)
+        assert math.isclose(r["toxic_score"], 1 / (1 + math.exp(-z)), rel_tol=1e-9)
+
+
+def test_rows_without_id_are_not_held_out(spark, tmp_path, make_docs):
+    docs, labels = sentences(make_docs, spark, 60)
+    docs.unionByName(make_docs((None, "no id here"))).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r["doc_id"]: r["held_out"] for r in catalog.QUERIES["op8_toxicity"](spark, str(tmp_path)).collect()}
+    assert len(found) == 61 and found[None] is False
