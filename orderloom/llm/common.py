@@ -35,9 +35,35 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
 
 
+#: Folders made since each of the :func:`scratch` blocks that are open began.
+_MADE: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm/{name}-{uuid4().hex}"
+    for made in _MADE:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession, *keep: str) -> Iterator[None]:
+    """Removes the intermediate folders that the block made when it ends, but for those in ``keep``.
+
+    What the block returns must have been written by then: operators return frames
+    that still read their intermediates.
+    """
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield
+    finally:
+        _MADE.remove(made)
+        for path in made:
+            if path not in keep:
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

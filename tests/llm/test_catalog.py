@@ -52,3 +52,35 @@ def test_sampled_is_bounded_and_repeatable(spark):
     one = {r["id"] for r in common.sampled(rows, "id", 300).collect()}
     assert len(one) == 300 and one == {r["id"] for r in common.sampled(rows.repartition(7), "id", 300).collect()}
     assert common.sampled(rows.limit(20), "id", 300).count() == 20
+
+
+def test_scratch_leaves_only_what_is_kept(spark, tmp_path):
+    def parts():
+        return {p.name for p in (Path(spark.conf.get("spark.checkpoint.dir")) / "llm").iterdir()}
+
+    common.stored(spark.range(3), "before")
+    before = parts()
+    with common.scratch(spark):
+        inner = common.stored(spark.range(5), "inner")
+        with common.scratch(spark):
+            common.stored(spark.range(2), "innermost")
+        assert inner.count() == 5
+        inner.write.parquet(str(tmp_path / "out"))
+    assert parts() == before and spark.read.parquet(str(tmp_path / "out")).count() == 5
+    kept = common.new_path(spark, "kept")
+    with pytest.raises(RuntimeError), common.scratch(spark, kept):
+        spark.range(1).write.parquet(kept)
+        common.stored(spark.range(2), "lost")
+        raise RuntimeError
+    assert len(parts() - before) == 1
+
+
+def test_the_pipeline_leaves_stages_only(spark):
+    import corpus_pipeline
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "llm"
+    before = {p.name for p in folder.iterdir()}
+    assert corpus_pipeline.run(spark, SMALL).count() > 0
+    left = {p.name.rsplit("-", 1)[0] for p in folder.iterdir()} if not before else {p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p.name not in before}
+    assert {"pipeline-toxicity", "pipeline-near_duplicates", "pipeline-secrets"} <= left
+    assert not left & {"sets", "gathered", "numbered", "members", "secret-labels"}
