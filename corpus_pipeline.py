@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import packing, secret_scan, toxicity
 from orderloom.llm.catalog import TOXIC
-from orderloom.llm.common import joined_classes, new_path, ship, stored
+from orderloom.llm.common import joined_classes, new_path, scratch, ship, stored
 from orderloom.llm.jaccard_join import BROADCAST_IDS, jaccard_classes
 
 
@@ -82,9 +82,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; a stage's intermediates go when its rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = new_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
