@@ -46,6 +46,9 @@ STATES, ROUNDS = 8, 4
 ROWS, WINDOW = 2_048, 64
 #: Bytes of a batch that a worker takes while it learns.
 BATCH_BYTES = 16 << 20
+#: Expected counts are added up in whole numbers of this part, so that sums don't depend on their order; tokens of words
+#: without a symbol that a task holds; steps in which a word's shares of the states are kept.
+UNIT, HELD, STEPS = 1 << 16, 1 << 20, 255
 #: Tokens that a word's states are drawn towards the average by; a word seen less often than that hardly tells states apart.
 SMOOTHING = 5.0
 _SLOTS = np.uint64((1 << 20) - 1)
@@ -232,29 +235,43 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _expected_counts(chain, size: int, words: bool):
-    """Per task, the expected counts by state as rows (kind, key, n0...): symbols, starts and moves of kind 0; other words of kind 1."""
+    """Per task, the expected counts by state as rows (kind, key, n, n0...) of whole numbers of 1 / UNIT: symbols, starts and
+    moves of kind 0; other words of kind 1, with their tokens n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = chain.value
         states = len(now.start)
         sums = [np.zeros(states), np.zeros((states, states)), np.zeros((size, states))]
+        rare: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
 
-        def counted(kind: int, keys: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
-            columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), *(pa.array(table[:, s].astype(float)) for s in range(states))]
-            return pa.RecordBatch.from_arrays(columns, ["kind", "key", *(f"n{s}" for s in range(states))])
+        def counted(kind: int, keys: np.ndarray, n: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+            whole = np.rint(table * UNIT).astype(np.int64)
+            columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(n.astype(np.int64)), *(pa.array(whole[:, s]) for s in range(states))]
+            return pa.RecordBatch.from_arrays(columns, ["kind", "key", "n", *(f"n{s}" for s in range(states))])
+
+        def merged() -> pa.RecordBatch:
+            found, of = np.unique(np.concatenate([x for x, _ in rare]), return_inverse=True)
+            each = np.concatenate([x for _, x in rare])
+            table = np.stack([np.bincount(of, each[:, s], len(found)) for s in range(states)], 1).astype(float)
+            rare.clear()
+            return counted(1, found, np.bincount(of, minlength=len(found)), table)
 
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             symbols, offsets = _flat(batch.column("symbols"))
-            posterior = np.empty((len(symbols), states)) if words else None
+            posterior = np.empty((len(symbols), states), np.float32) if words else None
             _expect(now, symbols, offsets[:-1].astype(np.int64), np.diff(offsets), sums, posterior)
             if words:
-                own, _ = _flat(batch.column("rare"))
-                found, of = np.unique(own, return_inverse=True)
-                at = np.flatnonzero((symbols >= SYMBOLS) & (symbols < SYMBOLS + CLASSES))
-                yield counted(1, found, np.stack([np.bincount(of, posterior[at, s], len(found)) for s in range(states)], 1))
+                rare.append((_flat(batch.column("rare"))[0], posterior[(symbols >= SYMBOLS) & (symbols < SYMBOLS + CLASSES)]))
+                held += len(rare[-1][0])
+                if held > HELD:
+                    held = 0
+                    yield merged()
+        if rare:
+            yield merged()
         table = np.concatenate((sums[2], sums[0][None], sums[1]))
         rows = np.flatnonzero(table.any(axis=1))
-        yield counted(0, rows, table[rows])
+        yield counted(0, rows, np.zeros(len(rows)), table[rows])
 
     return run
 
@@ -264,8 +281,8 @@ def _normal(x: np.ndarray) -> np.ndarray:
 
 
 def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS, seed: int = 7) -> tuple[Chain, DataFrame, np.ndarray]:
-    """Baum-Welch over all rows of ``training`` (symbols, rare): the chain, the stored expected counts (word, n0...) of the
-    words without a symbol, and those of the classes (class x state)."""
+    """Baum-Welch over all rows of ``training`` (symbols, rare): the chain, (word, n, shares) of the words without a symbol, the
+    shares of the states as bytes, and the usual shares of the states in each class."""
     context, size = training.sparkSession.sparkContext, vocabulary.size
     share = np.full(size, 0.1)
     share[vocabulary.symbol] += vocabulary.counts
@@ -276,48 +293,65 @@ def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, round
     move = _normal(np.full((states, states), 0.1 / states) + 0.9 * np.eye(states))
     chain = Chain(np.full(states, 1 / states), move, _normal((share * np.exp(random.normal(0, 0.7, (states, size))))).T.copy())
     names = [f"n{s}" for s in range(states)]
-    schema = "kind int, key long, " + ", ".join(f"{n} double" for n in names)
+    schema = "kind int, key long, n long, " + ", ".join(f"{n} long" for n in names)
     for k in range(rounds):
         now, last = context.broadcast(chain), k == rounds - 1
         found = training.select("symbols", "rare") if last else training.select("symbols")
-        found = found.mapInArrow(_expected_counts(now, size, last), schema).groupBy("kind", "key").agg(*[F.sum(n).alias(n) for n in names])
+        found = found.mapInArrow(_expected_counts(now, size, last), schema).groupBy("kind", "key").agg(*[F.sum(n).alias(n) for n in ("n", *names)])
         if last:
             found = stored(found, "expected-counts")
         sums = found.where("kind = 0").toPandas()  # a row per symbol, state and for the starts
         table = np.zeros((size + 1 + states, states))
-        table[sums["key"]] = sums[names].to_numpy()
+        table[sums["key"]] = sums[names].to_numpy() / UNIT
         usual = np.tile(_normal(table[:size].sum(axis=0) + 0.1), (size, 1))
         emit = mass(table[:size], table[:size].sum(axis=1), usual)
         chain = Chain(_normal(table[size] + 1), _normal(table[size + 1 :] + 0.1), emit / emit.sum(axis=0))
-    words = found.where("kind = 1").select(F.col("key").alias("word"), F.array(*names).alias("expected"))
+    words = found.where("kind = 1").mapInArrow(_shares(states), "word long, n long, shares binary")
     return chain, words, _normal(table[SYMBOLS : SYMBOLS + CLASSES] + 0.1 * usual[0])
 
 
+def _shares(states: int):
+    """For mapInArrow: expected counts as (word, n, shares), a byte for each state's share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = np.stack([batch.column(f"n{s}").to_numpy() for s in range(states)], 1).astype(float)
+            packed = np.rint(_normal(each + 1e-9) * STEPS).astype(np.uint8)
+            kept = [packed[i].tobytes() for i in range(len(packed))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), pa.array(kept, pa.binary())], ["word", "n", "shares"])
+
+    return run
+
+
 def mass(expected: np.ndarray, n: np.ndarray, usual: np.ndarray) -> np.ndarray:
     """Counts (word x state) that emissions are made of: a word's smoothed count, dealt to the states by its expected
     counts and, the fewer it has, by the usual shares of the states."""
     return (n + 0.1)[:, None] * (expected + SMOOTHING * usual) / (n + SMOOTHING)[:, None]
 
 
-def word_masses(counts: DataFrame, words: DataFrame, usual: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """The stored table (word, n, mass) of words without a symbol, and the sums of each class by state, unseen words included."""
+def word_mass(shares: np.ndarray, n: np.ndarray, words: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """The same for words without a symbol, from their shares as bytes (word x state)."""
+    of = (words & (CLASSES - 1)).astype(np.int64)
+    return mass(shares * (n / np.maximum(shares.sum(axis=1), 1))[:, None], n, usual[of])
+
+
+def class_sums(words: DataFrame, usual: np.ndarray) -> np.ndarray:
+    """Sums of the masses of each class by state, unseen words included."""
     states = usual.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((CLASSES, states))
         for batch in batches:
             own, n = (batch.column(k).to_numpy() for k in (0, 1))
-            of = own & (CLASSES - 1)
-            found = mass(batch.column(2).flatten().to_numpy().reshape(-1, states), n.astype(float), usual[of])
-            ends = pa.array(np.arange(0, states * len(own) + 1, states, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(found.reshape(-1)))], ["word", "n", "mass"])
+            shares = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, states)
+            np.add.at(sums, (own & (CLASSES - 1)).astype(np.int64), word_mass(shares.astype(float), n.astype(float), own, usual))
+        at = np.arange(sums.size)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums.reshape(-1))], ["at", "mass"])
 
-    found = counts.join(words, "word").select("word", "n", "expected").mapInArrow(run, "word long, n long, mass array<double>")
-    found = stored(found, "word-masses")
-    sums = [F.sum(F.col("mass")[s]).alias(f"n{s}") for s in range(states)]
-    by_class = found.groupBy(F.expr(f"word & {CLASSES - 1}").alias("class")).agg(*sums).toPandas()  # a row per class
-    total = 0.1 * usual
-    total[by_class["class"]] += by_class[[f"n{s}" for s in range(states)]].to_numpy()
-    return found, total
+    found = words.select("word", "n", "shares").mapInArrow(run, "at long, mass double").groupBy("at").agg(F.sum("mass").alias("mass")).toPandas()
+    total = np.zeros(CLASSES * states)
+    total[found["at"]] = found["mass"]
+    return total.reshape(CLASSES, states) + 0.1 * usual
 
 
 def _forward(chain: Chain, emit: np.ndarray, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -342,7 +376,7 @@ _ROWS = "doc_id long, held_out boolean, n_tokens long, n_known long, train_token
 
 
 def _score(vocabulary, chain, classes):
-    """Scores of rows (doc_id, held_out, symbols, rare, words, counts, masses): the last three list what is known of the rare words."""
+    """Scores of rows (doc_id, held_out, symbols, rare, words, counts, shares): the last three list what is known of the rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model, (usual, total) = vocabulary.value, chain.value, classes.value
@@ -355,7 +389,7 @@ def _score(vocabulary, chain, classes):
             rare, rare_at = _flat(batch.column("rare"))
             words, words_at = _flat(batch.column("words"))
             counts = _flat(batch.column("counts"))[0].astype(float)
-            masses = batch.column("masses").flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, states)
+            shares = np.frombuffer(b"".join(batch.column("shares").flatten().to_pylist()), np.uint8).reshape(-1, states).astype(float)
             # each text's own words, in order within the text
             n = len(offsets) - 1
             text_of_rare, text_of_word = (np.repeat(np.arange(n), np.diff(x)) for x in (rare_at, words_at))
@@ -368,7 +402,7 @@ def _score(vocabulary, chain, classes):
             at = order[found[hit]] if len(key) else np.zeros(0, np.int64)
             of = (rare & (CLASSES - 1)).astype(np.int64)
             n_rare, own = np.zeros(len(rare)), 0.1 * usual[of]
-            n_rare[hit], own[hit] = counts[at], masses[at]
+            n_rare[hit], own[hit] = counts[at], word_mass(shares, counts, words, usual)[at]
             own *= model.emit[SYMBOLS + of] / total[of]
             # rare words take the rows behind those of all symbols
             tokens = symbols.astype(np.int64)
@@ -407,16 +441,17 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     held = F.coalesce(F.crc32(key.cast("string")) % 10 == 0, F.lit(False)).alias("held_out")
     rows = docs.select(key.alias("doc_id"), held, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     with arrow_batches(spark, BATCH_BYTES):
-        vocabulary, counts = learn_vocabulary(rows.where("not held_out"))
+        vocabulary, _ = learn_vocabulary(rows.where("not held_out"))
         known = spark.sparkContext.broadcast(vocabulary)
         numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
         sequences = stored(numbered.mapInArrow(_sequences(known), _SEQUENCE), "sequences")
         chain, words, usual = fit(sequences.where("not held_out"), vocabulary, states, rounds)
-        facts, total = word_masses(counts, words, usual)
+        facts = stored(words, "word-shares")
+        total = class_sums(facts, usual)
     model, classes = spark.sparkContext.broadcast(chain), spark.sparkContext.broadcast((usual, total))
     # what is known of a text's words without a symbol comes by a shuffle of these words
     occurs = sequences.select("row", F.explode(F.array_distinct("rare")).alias("word"))
-    found = occurs.join(facts, "word").groupBy("row").agg(F.collect_list(F.struct("word", "n", "mass")).alias("found"))
+    found = occurs.join(facts, "word").groupBy("row").agg(F.collect_list(F.struct("word", "n", "shares")).alias("found"))
     empty = F.expr("array()")
     joined = sequences.join(found, "row", "left").select(
         "doc_id",
@@ -425,6 +460,6 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
         "rare",
         F.coalesce("found.word", empty.cast("array<long>")).alias("words"),
         F.coalesce("found.n", empty.cast("array<long>")).alias("counts"),
-        F.coalesce("found.mass", empty.cast("array<array<double>>")).alias("masses"),
+        F.coalesce("found.shares", empty.cast("array<binary>")).alias("shares"),
     )
     return joined.mapInArrow(_score(known, model, classes), _ROWS)
