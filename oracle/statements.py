@@ -309,10 +309,13 @@ def profiles() -> dict[str, str]:
     cancelled, shipped = "trim(\"Status\") = 'Cancelled'", "trim(\"Status\") LIKE 'Shipped%'"
     zero, no_amount = 'try_cast("Qty" AS int) = 0', blank("Amount")
     items = "len(string_split(\"promotion-ids\", ','))"
-    distributions = " UNION ALL ".join(
-        f"(SELECT {quote(c)} AS column_name, coalesce({ident(c)}, '<NULL>') AS value, count(*) AS count "
-        "FROM raw GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 15)"
-        for c in CATEGORICAL
+    distributions, of_many = (
+        " UNION ALL ".join(
+            f"(SELECT {quote(c)} AS column_name, coalesce({ident(c)}, '<NULL>') AS value, count(*) AS count "
+            "FROM raw GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 15)"
+            for c in columns
+        )
+        for columns in (CATEGORICAL, [*CATEGORICAL, "Order ID", "ASIN"])
     )
     cardinalities = ", ".join(
         f"count(DISTINCT {ident(c)}) AS {c.lower().replace(' ', '_').replace('-', '_')}_distinct" for c in CATEGORICAL
@@ -355,6 +358,7 @@ def profiles() -> dict[str, str]:
             avg({items}) FILTER (NOT ({blank("promotion-ids")})) AS avg_promo_count_when_present FROM raw""",
         "prof_non_empty": f"""SELECT count(*) FILTER (NOT ({blank("Unnamed: 22")})) AS unnamed_22_non_empty FROM raw""",
         "prof_value_distribution": distributions,
+        "prof_value_distribution_sketched": of_many,
         "prof_distinct_counts": f"SELECT {cardinalities} FROM raw",
     }
     wide = {
@@ -529,6 +533,7 @@ def check_tables() -> dict[str, str]:
         ),
     }
     found["chk_suite_scanned"] = found["chk_suite_summary"]
+    found["chk_unique_sketched"] = found["chk_unique"]
     return found
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.functions import keys, parse, text
-from orderloom.operators import checks
+from orderloom.operators import checks, repeats
 from orderloom.operators.dedup import clustering
 from orderloom.plans import dimensions, fact, profile, quality, reports, staging
 from orderloom.plans.benchmark import open_benchmark, scratch
@@ -402,6 +402,7 @@ _profile("prof_non_empty", lambda raw: profile.filled_rows(raw, "Unnamed: 22", "
 _profile("prof_missing_by_column", profile.missing_by_column)
 _profile("prof_bundle", profile.bundle)
 _profile("prof_value_distribution", profile.value_distribution)
+_profile("prof_value_distribution_sketched", profile.value_distribution_of_many)
 _profile("prof_distinct_counts", profile.category_cardinality)
 
 
@@ -490,6 +491,14 @@ def chk_unique(w: Warehouse) -> DataFrame:
     )
 
 
+@query
+def chk_unique_sketched(w: Warehouse) -> DataFrame:
+    """The same where keys that occur once are told by a sketch, and only the others are shuffled."""
+    t = _named_tables(w)
+    wanted = {**quality.UNIQUE, "raw": ["Order ID", "index"]}
+    return _status(*[checks.failures(f"unique.{name}.{c}", repeats.repeated_counts(t[name], [c], nulls=False)) for name, columns in wanted.items() for c in columns])
+
+
 @query
 def chk_accepted_values(w: Warehouse) -> DataFrame:
     t = _named_tables(w)

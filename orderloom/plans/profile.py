@@ -21,6 +21,7 @@ from orderloom.functions.text import (
 )
 from orderloom.operators.counting import counters, counters_long, distinct_counts, repeated_tuples, top_values, value_counts
 from orderloom.operators.dedup import HASH_ROWS, clustering, repeated_key_hashes, with_repeated_key
+from orderloom.operators.repeats import top_values_of_many
 from orderloom.operators.summaries import Summary, summarise
 from orderloom.plans.staging import line_key
 from orderloom.plans.vocabulary import CANCELLED
@@ -298,6 +299,11 @@ def value_distribution(raw: DataFrame, columns: Sequence[str] = CATEGORICAL, k:
     return found.orderBy("column_name", F.desc("count"), "value")
 
 
+def value_distribution_of_many(raw: DataFrame, columns: Sequence[str] = (*CATEGORICAL, "Order ID", "ASIN"), k: int = 15) -> DataFrame:
+    """The same for columns of very many values, of which those that occur once aren't shuffled."""
+    return top_values_of_many(raw, columns, k, NULL_LABEL).orderBy("column_name", F.desc("count"), "value")
+
+
 def category_cardinality(raw: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Distinct values per column."""
     label = lambda c: c.lower().replace(" ", "_").replace("-", "_") + "_distinct"
