@@ -322,9 +322,9 @@ def _hashed_counts(docs: DataFrame, length: int, filters: list, least: int) -> D
             for level in phrases(text, length):
                 if level.words.shape[1] == length and len(level.n):
                     found = phrase_hashes(level.words, hashes)
-                    yield _dealt({"hash": pa.array(found.view(np.int64)), "n": pa.array(level.n)}, found, n)
+                    yield _dealt({"hash": pa.array(found.view(np.int64)), "n": pa.array(level.n.astype(np.int32))}, found, n)
 
-    dealt = _rows(docs).mapInArrow(run, "bucket int, hash array<long>, n array<long>")
+    dealt = _rows(docs).mapInArrow(run, "bucket int, hash array<long>, n array<int>")
     return _summed(dealt, ["hash"], ["n"], least, "hash long, n long", n).select("hash")
 
 
@@ -358,10 +358,10 @@ def phrase_counts(docs: DataFrame, words: DataFrame, least: int, depth: int) ->
                 if len(level.n):
                     joined = pa.array([b" ".join(map(words.__getitem__, x)) for x in level.words.tolist()], pa.binary()).cast(pa.string())
                     rows = {"lang": pa.array([lang] * len(joined)), "phrase": joined, "length": pa.array(np.full(len(joined), level.words.shape[1], np.int32))}
-                    rows |= {"n": pa.array(level.n), "left": pa.array(level.left), "right": pa.array(level.right)}
+                    rows |= {name: pa.array(x.astype(np.int32)) for name, x in (("n", level.n), ("left", level.left), ("right", level.right))}
                     yield _dealt(rows, phrase_hashes(level.words, hashes), n)
 
-    lists = "bucket int, lang array<string>, phrase array<string>, length array<int>, n array<long>, left array<long>, right array<long>"
+    lists = "bucket int, lang array<string>, phrase array<string>, length array<int>, n array<int>, left array<int>, right array<int>"
     dealt = _rows(docs).mapInArrow(run, lists)
     schema = "lang string, phrase string, length int, n long, left long, right long"
     return _summed(dealt, ["lang", "phrase", "length"], ["n", "left", "right"], least, schema, n)
