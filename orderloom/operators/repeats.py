@@ -107,9 +107,9 @@ def marked(df: DataFrame, keys: Sequence[Column], slots: int | None = None) -> D
         bits[row["piece"]] = np.frombuffer(row["twice"], np.uint8)
     known = spark.sparkContext.broadcast(bits.reshape(-1))  # slots / 8 bytes
 
-    @F.pandas_udf("boolean")
-    def twice(hashes):
-        return type(hashes)(_has(known.value, hashes.to_numpy() & (slots - 1)))
+    @F.arrow_udf("boolean")
+    def twice(hashes: pa.Array) -> pa.Array:
+        return pa.array(_has(known.value, hashes.to_numpy() & (slots - 1)))
 
     return df.withColumn(AGAIN, twice(key))
 
