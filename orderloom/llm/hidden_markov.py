@@ -6,7 +6,8 @@ alphabet with which the chain is trained has a fixed size. In the last round the
 expected counts of every other training word in every state are added up as well, as a
 table of words: in a state, a word then has the class's probability times its share of
 the class there; an unseen word has the share of one unseen type. Counts by state are
-drawn towards the usual shares of the states, the more the rarer the word is. So every training word has emissions of its own, and the
+drawn towards the usual shares of the states, the more the rarer the word is; a word that
+occurs once tells no states apart and has the usual shares. So every training word has emissions of its own, and the
 vocabulary is as large as the corpus.
 
 Baum-Welch runs over all training texts, each as a whole: the forward recursion leaves
@@ -36,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.collocations import Filter
 from orderloom.llm.common import arrow_batches, ship, slices, stored, texts_of_batch, word_spans
 
 CLASSES = 512
@@ -43,15 +45,16 @@ CLASSES = 512
 SYMBOLS = (1 << 16) - 1
 STATES, ROUNDS = 8, 4
 #: Texts that are advanced together, and steps whose state probabilities are held at a time.
-ROWS, WINDOW = 2_048, 64
+ROWS, WINDOW = 4_096, 64
 #: Bytes of a batch that a worker takes while it learns.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 12 << 20
 #: Expected counts are added up in whole numbers of this part, so that sums don't depend on their order; tokens of words
 #: without a symbol that a task holds; steps in which a word's shares of the states are kept.
-UNIT, HELD, STEPS = 1 << 16, 1 << 20, 255
+UNIT, HELD, STEPS = 1 << 16, 1 << 18, 255
 #: Tokens that a word's states are drawn towards the average by; a word seen less often than that hardly tells states apart.
 SMOOTHING = 5.0
 _SLOTS = np.uint64((1 << 20) - 1)
+_SHIFT = np.uint64(9)  # the bits of a word's class
 
 
 def _words(array: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -87,6 +90,7 @@ class Vocabulary:
     texts: int
     tokens: int
     distinct: int
+    least: int = 1 << 30  # step of frequency from which words have symbols
 
     @property
     def size(self) -> int:
@@ -123,7 +127,8 @@ def learn_vocabulary(training: DataFrame) -> tuple[Vocabulary, DataFrame]:
     step = F.floor(12 * F.log2("n")).alias("step")
     steps = counts.groupBy(step).count().orderBy(F.desc("step")).toPandas()
     enough = steps["step"][steps["count"].cumsum() <= SYMBOLS]
-    top = counts.where(step >= (int(enough.min()) if len(enough) else 1 << 30)).toPandas()  # SYMBOLS rows at most
+    least = int(enough.min()) if len(enough) else 1 << 30
+    top = counts.where(step >= least).toPandas()  # SYMBOLS rows at most
     top = top.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     by_class = counts.groupBy(F.expr(f"word & {CLASSES - 1}").alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toPandas()
     n_texts = training.count()
@@ -136,10 +141,15 @@ def learn_vocabulary(training: DataFrame) -> tuple[Vocabulary, DataFrame]:
     np.subtract.at(class_tokens, own.astype(np.int64), top["n"].to_numpy(float))
     np.subtract.at(class_words, own.astype(np.int64), 1)
     order = np.argsort(ids)
-    vocabulary = Vocabulary(ids[order], top["n"].to_numpy(np.int64)[order], symbol[order], class_tokens, class_words, n_texts, tokens, distinct)
+    vocabulary = Vocabulary(ids[order], top["n"].to_numpy(np.int64)[order], symbol[order], class_tokens, class_words, n_texts, tokens, distinct, least)
     return vocabulary, counts
 
 
+def without_symbol(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The rows of (word, n) whose word has no symbol of its own."""
+    return counts.where(F.floor(12 * F.log2("n")) < vocabulary.least)
+
+
 @dataclass
 class Chain:
     start: np.ndarray  # states
@@ -176,10 +186,11 @@ def _sequences(vocabulary):
 _SEQUENCE = "row long, doc_id long, held_out boolean, symbols array<int>, rare array<long>"
 
 
-def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray, sums: list[np.ndarray], posterior: np.ndarray | None = None, window: int = WINDOW) -> None:
+def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray, sums: list[np.ndarray], posterior: tuple[np.ndarray, np.ndarray] | None = None, window: int = WINDOW) -> None:
     """Adds the expected counts of some sequences to ``sums``: starts, moves, emissions.
 
-    ``posterior`` takes the state probabilities of every place of ``symbols``.
+    ``posterior`` is (row or -1 of every place of ``symbols``, table), whose rows take the
+    state probabilities of their places.
     """
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = begins[order], lengths[order]
@@ -224,7 +235,8 @@ def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.n
         else:
             np.add.at(sums[2], seen, forward)
         if posterior is not None:
-            posterior[at] = forward
+            row = posterior[0][at]
+            posterior[1][row[row >= 0]] = forward[row >= 0]
     sums[1] += moves * chain.move
 
 
@@ -234,9 +246,9 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
 
 
-def _expected_counts(chain, size: int, words: bool):
+def _expected_counts(chain, size: int, words=None):
     """Per task, the expected counts by state as rows (kind, key, n, n0...) of whole numbers of 1 / UNIT: symbols, starts and
-    moves of kind 0; other words of kind 1, with their tokens n."""
+    moves of kind 0; other words that the filter ``words`` has of kind 1, with their tokens n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = chain.value
@@ -259,11 +271,17 @@ def _expected_counts(chain, size: int, words: bool):
 
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             symbols, offsets = _flat(batch.column("symbols"))
-            posterior = np.empty((len(symbols), states), np.float32) if words else None
+            posterior = None
+            if words is not None:
+                own = _flat(batch.column("rare"))[0]
+                kept = words.value.has(own.view(np.uint64) >> _SHIFT)
+                places = np.full(len(symbols), -1, np.int32)
+                places[np.flatnonzero((symbols >= SYMBOLS) & (symbols < SYMBOLS + CLASSES))[kept]] = np.arange(kept.sum())
+                posterior = places, np.empty((int(kept.sum()), states), np.float32)
             _expect(now, symbols, offsets[:-1].astype(np.int64), np.diff(offsets), sums, posterior)
-            if words:
-                rare.append((_flat(batch.column("rare"))[0], posterior[(symbols >= SYMBOLS) & (symbols < SYMBOLS + CLASSES)]))
-                held += len(rare[-1][0])
+            if posterior is not None:
+                rare.append((own[kept], posterior[1]))
+                held += len(posterior[1])
                 if held > HELD:
                     held = 0
                     yield merged()
@@ -280,9 +298,9 @@ def _normal(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS, seed: int = 7) -> tuple[Chain, DataFrame, np.ndarray]:
-    """Baum-Welch over all rows of ``training`` (symbols, rare): the chain, (word, n, shares) of the words without a symbol, the
-    shares of the states as bytes, and the usual shares of the states in each class."""
+def fit(training: DataFrame, vocabulary: Vocabulary, counts: DataFrame, states: int = STATES, rounds: int = ROUNDS, seed: int = 7) -> tuple[Chain, DataFrame, np.ndarray]:
+    """Baum-Welch over all rows of ``training`` (symbols, rare): the chain, (word, shares) of the words of ``counts`` that occur
+    twice and have no symbol, the shares of the states as bytes, and the usual shares of the states in each class."""
     context, size = training.sparkSession.sparkContext, vocabulary.size
     share = np.full(size, 0.1)
     share[vocabulary.symbol] += vocabulary.counts
@@ -293,11 +311,13 @@ def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, round
     move = _normal(np.full((states, states), 0.1 / states) + 0.9 * np.eye(states))
     chain = Chain(np.full(states, 1 / states), move, _normal((share * np.exp(random.normal(0, 0.7, (states, size))))).T.copy())
     names = [f"n{s}" for s in range(states)]
+    twice = without_symbol(counts, vocabulary).where("n > 1").select(F.shiftrightunsigned("word", int(_SHIFT)).alias("hash"))
+    twice = context.broadcast(Filter.of(twice))
     schema = "kind int, key long, n long, " + ", ".join(f"{n} long" for n in names)
     for k in range(rounds):
         now, last = context.broadcast(chain), k == rounds - 1
         found = training.select("symbols", "rare") if last else training.select("symbols")
-        found = found.mapInArrow(_expected_counts(now, size, last), schema).groupBy("kind", "key").agg(*[F.sum(n).alias(n) for n in ("n", *names)])
+        found = found.mapInArrow(_expected_counts(now, size, twice if last else None), schema).groupBy("kind", "key").agg(*[F.sum(n).alias(n) for n in ("n", *names)])
         if last:
             found = stored(found, "expected-counts")
         sums = found.where("kind = 0").toPandas()  # a row per symbol, state and for the starts
@@ -306,7 +326,7 @@ def fit(training: DataFrame, vocabulary: Vocabulary, states: int = STATES, round
         usual = np.tile(_normal(table[:size].sum(axis=0) + 0.1), (size, 1))
         emit = mass(table[:size], table[:size].sum(axis=1), usual)
         chain = Chain(_normal(table[size] + 1), _normal(table[size + 1 :] + 0.1), emit / emit.sum(axis=0))
-    words = found.where("kind = 1").mapInArrow(_shares(states), "word long, n long, shares binary")
+    words = found.where("kind = 1").mapInArrow(_shares(states), "word long, n long, shares binary").select("word", "shares")
     return chain, words, _normal(table[SYMBOLS : SYMBOLS + CLASSES] + 0.1 * usual[0])
 
 
@@ -331,8 +351,10 @@ def mass(expected: np.ndarray, n: np.ndarray, usual: np.ndarray) -> np.ndarray:
 
 def word_mass(shares: np.ndarray, n: np.ndarray, words: np.ndarray, usual: np.ndarray) -> np.ndarray:
     """The same for words without a symbol, from their shares as bytes (word x state)."""
-    of = (words & (CLASSES - 1)).astype(np.int64)
-    return mass(shares * (n / np.maximum(shares.sum(axis=1), 1))[:, None], n, usual[of])
+    own = usual[(words & (CLASSES - 1)).astype(np.int64)]
+    total = shares.sum(axis=1)
+    known = np.where(total[:, None] > 0, shares / np.maximum(total, 1)[:, None], own)
+    return mass(known * n[:, None], n, own)
 
 
 def class_sums(words: DataFrame, usual: np.ndarray) -> np.ndarray:
@@ -441,12 +463,14 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> DataF
     held = F.coalesce(F.crc32(key.cast("string")) % 10 == 0, F.lit(False)).alias("held_out")
     rows = docs.select(key.alias("doc_id"), held, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     with arrow_batches(spark, BATCH_BYTES):
-        vocabulary, _ = learn_vocabulary(rows.where("not held_out"))
+        vocabulary, counts = learn_vocabulary(rows.where("not held_out"))
         known = spark.sparkContext.broadcast(vocabulary)
         numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
         sequences = stored(numbered.mapInArrow(_sequences(known), _SEQUENCE), "sequences")
-        chain, words, usual = fit(sequences.where("not held_out"), vocabulary, states, rounds)
-        facts = stored(words, "word-shares")
+        chain, words, usual = fit(sequences.where("not held_out"), vocabulary, counts, states, rounds)
+        none = F.lit(bytes(states))
+        facts = without_symbol(counts, vocabulary).join(words, "word", "left").select("word", "n", F.coalesce("shares", none).alias("shares"))
+        facts = stored(facts, "word-shares")
         total = class_sums(facts, usual)
     model, classes = spark.sparkContext.broadcast(chain), spark.sparkContext.broadcast((usual, total))
     # what is known of a text's words without a symbol comes by a shuffle of these words

@@ -86,7 +86,7 @@ def test_expected_counts_are_those_of_all_paths(chain, window):
     flat, offsets = np.concatenate(sequences).astype(np.int32), np.cumsum([0, *map(len, sequences)])
     sums = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))]
     posterior = np.full((len(flat), 3), np.nan)
-    h._expect(chain, flat, offsets[:-1], np.diff(offsets), sums, posterior, window)
+    h._expect(chain, flat, offsets[:-1], np.diff(offsets), sums, (np.arange(len(flat)), posterior), window)
     wanted, each = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))], np.zeros((len(flat), 3))
     for begin, own in zip(offsets.tolist(), sequences, strict=False):
         whole = sum(p for _, p in paths(chain, own))
@@ -115,7 +115,7 @@ def test_every_training_word_has_emissions_and_they_sum_to_one(spark, documents,
     normal = h._normal
     chain = h.Chain(normal(r.random(states)), normal(r.random((states, states))), normal(r.random((states, size))).T.copy())
     batches = sequences.select(["symbols", "rare"]).to_batches()
-    found = pa.Table.from_batches(h._expected_counts(SimpleNamespace(value=chain), size, True)(iter(batches))).to_pandas()
+    found = pa.Table.from_batches(h._expected_counts(SimpleNamespace(value=chain), size, SimpleNamespace(value=SimpleNamespace(has=lambda x: np.ones(len(x), bool))))(iter(batches))).to_pandas()
     sums = found.groupby(["kind", "key"]).sum()
     names = ["n0", "n1", "n2"]
     words = counts.toPandas().set_index("word")["n"]
@@ -136,6 +136,17 @@ def test_every_training_word_has_emissions_and_they_sum_to_one(spark, documents,
     sums = 0.1 * usual
     np.add.at(sums, own & (h.CLASSES - 1), found)
     assert np.allclose(sums, h.class_sums(table, usual))  # so shares within a class, an unseen word's included, sum to one
+    once = h.word_mass(np.zeros((2, states)), np.array([1.0, 1.0]), np.array([5, 9]), usual)
+    assert np.allclose(once, 1.1 * usual[[5, 9]])  # nothing known: the class's usual shares
+
+
+def test_words_with_and_without_symbols_are_all_words(spark, documents, monkeypatch):
+    for most in (h.SYMBOLS, 40, 0):
+        monkeypatch.setattr(h, "SYMBOLS", most)
+        vocabulary, counts = h.learn_vocabulary(documents)
+        rare = {r["word"] for r in h.without_symbol(counts, vocabulary).collect()}
+        own = set(vocabulary.frequent.view(np.int64).tolist())
+        assert len(own) <= most and rare.isdisjoint(own) and len(rare) + len(own) == counts.count()
 
 
 def test_shares_of_a_class_sum_to_one(spark, documents):
