@@ -298,7 +298,8 @@ def _summed(dealt: DataFrame, keys: list[str], sums: list[str], least: int, sche
         held = distinct = 0
         for batch in batches:
             flat = {x: batch.column(batch.schema.get_field_index(x)) for x in (*keys, *sums)}
-            parts.append(pa.table({x: y.flatten() if isinstance(y, pa.ListArray) else y for x, y in flat.items()}))
+            flat = {x: y.flatten() for x, y in flat.items()}
+            parts.append(pa.table({x: y.cast(pa.int64()) if x in sums else y for x, y in flat.items()}))  # sums are long
             held += parts[-1].num_rows
             if held > distinct + MERGED_ROWS:
                 parts = [merged(parts)]

@@ -52,6 +52,7 @@ def test_query(spark):
 def test_other_bounds(spark, monkeypatch, least, top, depth):
     monkeypatch.setattr(collocations, "FILTER_BITS", 1 << 17)  # so small that filters let much through
     monkeypatch.setattr(collocations, "BROADCAST_LANGS", 2)
+    monkeypatch.setattr(collocations, "MERGED_ROWS", 100 * depth)  # tasks add up again and again
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("lang", "text")
     assert found(docs.repartition(7), least, top=top, depth=depth) == brute(docs.collect(), least, top, depth)
 
