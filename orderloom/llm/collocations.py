@@ -82,11 +82,11 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray,
     """(language, word ids, words) of shards of a task's rows (lang, text)."""
     open_: defaultdict[str, Shard] = defaultdict(Shard)
     for batch in batches:
-        langs = batch.column(0).to_pylist()
-        texts = batch.column(1).cast(pa.binary())
-        for lang in dict.fromkeys(langs):
-            rows = [texts[i].as_py() for i, x in enumerate(langs) if x == lang]
-            data = _SEPARATOR.join(rows).translate(_TABLE)
+        rows: defaultdict[str, list[bytes]] = defaultdict(list)
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            rows[lang].append(text)
+        for lang, texts in rows.items():
+            data = _SEPARATOR.join(texts).translate(_TABLE)
             for part, closed in _parts(data):
                 open_[lang].add(part)
                 if closed and open_[lang].size >= SHARD_WORDS:
