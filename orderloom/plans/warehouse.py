@@ -66,6 +66,7 @@ class Warehouse:
         self.base = base.rstrip("/")
         self.rows_written: dict[str, int] = {}
         self._opened = False
+        self._read: dict[str, tuple[str, DataFrame]] = {}  # by table, the version that was read last
         self._raw_rows = raw
         self._region_rows = regions or (lambda: dimensions.state_regions(spark))
         self._calendar = calendar
@@ -102,7 +103,10 @@ class Warehouse:
         if not self._opened and name not in self.rows_written:
             measures = quality.row_conditions(name)
             self.rows_written[name] = tables.overwrite(build(), path, partition_by, cluster_by, self._buckets, measures, order_by)
-        return tables.read(self.spark, path, schema)
+        version = tables.current(self.spark, path)
+        if self._read.get(name, (None,))[0] != version or version is None:
+            self._read[name] = version, tables.read(self.spark, path, schema)
+        return self._read[name][1]
 
     def measured(self) -> dict[str, dict[str, int]]:
         """By table, what was counted while it was written: failures of the checks on single rows, and its rows."""

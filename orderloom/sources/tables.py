@@ -176,7 +176,8 @@ def overwrite(
     ``partition_by``, Spark first rebalances the rows by that column: small
     partitions are merged and a hot value is split over several files. With
     ``cluster_by``, rows of equal values of that column are in the same bucket, and
-    joins, groups and windows on it need no exchange. With ``order_by``, files and
+    joins, groups and windows on it need no exchange; the session catalog holds a table of a
+    name of its own for a moment, both to write and to read it. With ``order_by``, files and
     their row groups follow that order, so that a filter on it skips most of them;
     Spark samples the rows first to find even ranges.
     """
