@@ -46,6 +46,8 @@ SYMBOLS = (1 << 16) - 1
 STATES, ROUNDS = 8, 4
 #: Texts that are advanced together, and steps whose state probabilities are held at a time.
 ROWS, WINDOW = 4_096, 64
+#: Places of texts that are advanced together, for which no windows are needed (some 100 MB).
+PLACES = 2_000_000
 #: Bytes of a batch that a worker takes while it learns.
 BATCH_BYTES = 12 << 20
 #: Expected counts are added up in whole numbers of this part, so that sums don't depend on their order; tokens of words
@@ -186,46 +188,52 @@ def _sequences(vocabulary):
 _SEQUENCE = "row long, doc_id long, held_out boolean, symbols array<int>, rare array<long>"
 
 
-def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray, sums: list[np.ndarray], posterior: tuple[np.ndarray, np.ndarray] | None = None, window: int = WINDOW) -> None:
+def _expect(chain: Chain, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray, sums: list[np.ndarray], posterior: tuple[np.ndarray, np.ndarray] | None = None, window: int = WINDOW, held: int = PLACES) -> None:
     """Adds the expected counts of some sequences to ``sums``: starts, moves, emissions.
 
     ``posterior`` is (row or -1 of every place of ``symbols``, table), whose rows take the
-    state probabilities of their places.
+    state probabilities of their places. Up to ``held`` places are one window, which
+    saves a second way forward. Probabilities within a text are 32-bit numbers, sums are not.
     """
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = begins[order], lengths[order]
     steps, states = int(lengths[0]), len(chain.start)
     active = np.searchsorted(-lengths, -np.arange(steps), "left")
-    # forward once, leaving what is expected at the start of each window
-    marks, a = [], np.broadcast_to(chain.start, (len(lengths), states))
-    for t in range(steps):
-        a = a[: active[t]]
-        if t % window == 0:
-            marks.append(a.copy())
-        a = a * chain.emit[symbols[begins[: active[t]] + t]]
-        a = (a / a.sum(axis=1)[:, None]) @ chain.move
+    start, move, emit = (x.astype(np.float32) for x in (chain.start, chain.move, chain.emit))
+    a = np.broadcast_to(start, (len(lengths), states))
+    if lengths.sum() <= held:
+        window, marks = steps, [a]
+    else:
+        # forward once, leaving what is expected at the start of each window
+        marks = []
+        for t in range(steps):
+            a = a[: active[t]]
+            if t % window == 0:
+                marks.append(a.copy())
+            a = a * emit[symbols[begins[: active[t]] + t]]
+            a = (a / a.sum(axis=1)[:, None]) @ move
     moves = np.zeros((states, states))
-    ahead = np.zeros((0, states))  # emission and future of the step after a window, by the state there
+    ahead = np.zeros((0, states), np.float32)  # emission and future of the step after a window, by the state there
     for w in range(len(marks) - 1, -1, -1):
         first, last = w * window, min(steps, (w + 1) * window)
         offsets = np.concatenate(([0], np.cumsum(active[first:last])))
-        forward, seen = np.empty((offsets[-1], states)), np.empty(offsets[-1], np.int64)
-        at, scale = np.empty(offsets[-1], np.int64), np.empty(offsets[-1])
+        forward, seen = np.empty((offsets[-1], states), np.float32), np.empty(offsets[-1], np.int32)
+        at, scale = np.empty(offsets[-1], np.int32), np.empty(offsets[-1], np.float32)
         a = marks.pop()
         for k, t in enumerate(range(first, last)):
             now = slice(offsets[k], offsets[k + 1])
             at[now] = begins[: active[t]] + t
             seen[now] = symbols[at[now]]
-            a = a[: active[t]] * chain.emit[seen[now]]
+            a = a[: active[t]] * emit[seen[now]]
             scale[now] = a.sum(axis=1)
             forward[now] = a / scale[now, None]
-            a = forward[now] @ chain.move
+            a = forward[now] @ move
         for k in range(last - first - 1, -1, -1):
             now = slice(offsets[k], offsets[k + 1])
             moves += forward[offsets[k] : offsets[k] + len(ahead)].T @ ahead
-            back = np.ones((active[first + k], states))
-            back[: len(ahead)] = ahead @ chain.move.T
-            ahead = chain.emit[seen[now]] * back / scale[now, None]
+            back = np.ones((active[first + k], states), np.float32)
+            back[: len(ahead)] = ahead @ move.T
+            ahead = emit[seen[now]] * (back / scale[now, None])
             forward[now] *= back
         if first == 0:
             sums[0] += forward[: offsets[1]].sum(axis=0)

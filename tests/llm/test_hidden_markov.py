@@ -79,14 +79,14 @@ def test_forward_is_the_sum_over_all_paths(chain):
         assert math.isclose(got, math.log10(sum(p for _, p in paths(chain, own))), rel_tol=1e-12)
 
 
-@pytest.mark.parametrize("window", [1, 2, 3, 64])
-def test_expected_counts_are_those_of_all_paths(chain, window):
+@pytest.mark.parametrize(("window", "held"), [(1, 0), (2, 0), (3, 0), (64, 0), (2, 100)])
+def test_expected_counts_are_those_of_all_paths(chain, window, held):
     """Over texts longer than a window, starts only from the texts' own beginnings."""
     sequences = [[0], [1, 4, 2], [3, 3, 0, 1, 2, 4, 0], [2, 2], [4, 1, 0, 0, 3, 2]]
     flat, offsets = np.concatenate(sequences).astype(np.int32), np.cumsum([0, *map(len, sequences)])
     sums = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))]
     posterior = np.full((len(flat), 3), np.nan)
-    h._expect(chain, flat, offsets[:-1], np.diff(offsets), sums, (np.arange(len(flat)), posterior), window)
+    h._expect(chain, flat, offsets[:-1], np.diff(offsets), sums, (np.arange(len(flat)), posterior), window, held)
     wanted, each = [np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))], np.zeros((len(flat), 3))
     for begin, own in zip(offsets.tolist(), sequences, strict=False):
         whole = sum(p for _, p in paths(chain, own))
