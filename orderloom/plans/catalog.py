@@ -16,7 +16,7 @@ from orderloom.plans.benchmark import open_benchmark, scratch
 from orderloom.plans.vocabulary import UNKNOWN_PLACE
 from orderloom.plans.warehouse import SALE_MONTH, Warehouse
 from orderloom.sources import csvfiles, tables
-from orderloom.sources.order_lines import COUNTRY, FULFILMENT, benchmark_regions, raw_order_lines
+from orderloom.sources.order_lines import COUNTRY, FULFILMENT, benchmark_regions, clustered_order_lines
 
 CITY = "NATION_3"
 FULFILMENTS = list(FULFILMENT.values())
@@ -291,7 +291,7 @@ def stg_orders_many_repeats(w: Warehouse) -> DataFrame:
 
 def stg_orders_from_source(spark: SparkSession, folder: str) -> DataFrame:
     """Staging straight from the source tables, nothing stored in between."""
-    return staging.staged_lines(raw_order_lines(spark, folder))
+    return staging.staged_lines(clustered_order_lines(spark, folder))
 
 
 QUERIES["stg_orders_from_source"] = stg_orders_from_source
