@@ -121,7 +121,7 @@ def mart_materialize_roundtrip(w: Warehouse) -> DataFrame:
     """The fact stored by month and read back."""
     path = scratch(w, "fact-by-month")
     month = (F.col("date_key") / 100).cast("int")
-    tables.overwrite(w.fact().withColumn(SALE_MONTH, month), path, partition_by=SALE_MONTH)
+    tables.overwrite(fact.packed(w.fact()).withColumn(SALE_MONTH, month), path, partition_by=SALE_MONTH, finish=fact.unpacked)
     per_month = w.spark.read.parquet(tables.current(w.spark, path)).groupBy(F.col(SALE_MONTH).cast("int").alias(SALE_MONTH))
     return per_month.agg(
         _rows().alias("order_lines"), F.sum("revenue_amount").cast("decimal(38,2)").alias("total_revenue")
@@ -373,7 +373,7 @@ def rpt_city_style_revenue(w: Warehouse) -> DataFrame:
 def rpt_city_style_revenue_by_place(w: Warehouse) -> DataFrame:
     """The same on a fact stored in the order of places, of which the row groups of the city are read."""
     path = scratch(w, "fact-by-place")
-    tables.overwrite(w.fact(), path, order_by=fact.PLACE_ORDER, rows_per_group=20_000)
+    tables.overwrite(fact.packed(w.fact()), path, order_by=fact.PLACE_ORDER, rows_per_group=20_000, finish=fact.unpacked)
     star = w.star()._replace(fact=tables.read(w.spark, path, w.fact().schema), by_place=True)
     return reports.style_revenue(star, CITY)
 
