@@ -1,15 +1,17 @@
 """Values that occur more than once, found by a counting sketch before anything is shuffled.
 
-Every row's key hash has a slot in a bitmap of fixed size. A task keeps two bits per slot,
-"hit" and "hit twice"; sketches are merged by "or", where a slot that two of them hit
-is hit twice. A key alone in its slot occurs once, so only rows of slots that were hit
+Every row's key hash has a slot among many, which fall into pieces. A task hands on the slots
+that it hit, as their distances, two bytes or so each, and those that it hit twice. A piece is merged by one task in
+a sketch of two bits per slot, "hit" and "hit twice", where a slot that was handed on twice is hit
+twice. A key alone in its slot occurs once, so only rows of slots that were hit
 twice can be repeats, and only these go on to an exact count. On a table of unique keys
-that is a few per cent of the rows, in place of a hash of every row; a slot shared by
+that is a few per cent of the rows at most, in place of a hash of every row; a slot shared by
 different keys costs a row more, never a result.
 
-The sketch has ``slots`` bits twice: 16 MB each at most for its merged form, which is
-what tasks are sent. With more keys than slots it lets most rows through, and the count
-is the plain one. Rows go through Python in Arrow batches of one number each, twice.
+Slots are so many that different keys share few of them, whatever the rows; what is sent to tasks are the
+slots that were hit twice, 32 MB at most. A piece that has more than its share of these, as where most
+keys repeat, lets all its rows through, and their count is the plain one. Rows go through Python in Arrow batches of
+one number each, twice.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from orderloom.functions.text import column
 from orderloom.operators.counting import tuple_hashes
 from orderloom.session import ship
 
-#: Slots at most, and slots for each row below that; slots of a piece that is merged by itself.
-MOST_SLOTS, SLOTS_PER_ROW, PIECE = 1 << 27, 32, 1 << 19
+#: Slots at most, slots for each row below that, and slots of a piece, which one task merges at a time.
+MOST_SLOTS, SLOTS_PER_ROW, PIECE = 1 << 42, 32, 1 << 26
+#: Slots hit twice that are sent to tasks at most, eight bytes each; hashes that a task holds before it hands them on.
+MOST_TWICE, HELD = 4 << 20, 4 << 20
 
 
 def _set(bits: np.ndarray, slots: np.ndarray) -> None:
@@ -57,34 +61,73 @@ class Sketch:
         self.hit |= hit
 
 
-def _sketched(slots: int):
+def _distances(slots: np.ndarray) -> bytes:
+    """Ascending slots of a piece as their distances, the lowest bytes of all first, so that the empty high ones compress."""
+    return np.diff(slots, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _slots(distances: bytes) -> np.ndarray:
+    return np.frombuffer(distances, np.uint8).reshape(4, -1).T.copy().view("<u4").reshape(-1).cumsum(dtype=np.int64)
+
+
+def _handed_on(slots: int, width: int, hashes: list[np.ndarray]) -> pa.RecordBatch:
+    """(piece, hit, again): by piece, the slots of some hashes and those that several of them have."""
+    hit, times = np.unique(np.concatenate(hashes) & (slots - 1), return_counts=True)
+    pieces, starts = np.unique(hit // width, return_index=True)
+    ends = np.append(starts[1:], len(hit))
+    own = [(hit[a:b] - piece * width, times[a:b] > 1) for piece, a, b in zip(pieces.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+    columns = [pa.array(pieces, pa.int32()), pa.array([_distances(x) for x, _ in own], pa.binary()), pa.array([_distances(x[y]) for x, y in own], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["piece", "hit", "again"])
+
+
+def _sketched(slots: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketch(slots)
+        held: list[np.ndarray] = []
         for batch in batches:
-            sketch.add(batch.column(0).to_numpy())
-        width = min(slots, PIECE) >> 3
-        hit, twice = sketch.hit.reshape(-1, width), sketch.twice.reshape(-1, width)
-        for piece in np.flatnonzero(hit.any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([hit[piece].tobytes()]), pa.array([twice[piece].tobytes()])], ["piece", "hit", "twice"])
+            held.append(batch.column(0).to_numpy())
+            if sum(map(len, held)) >= HELD:
+                yield _handed_on(slots, width, held)
+                held = []
+        if held:
+            yield _handed_on(slots, width, held)
 
     return run
 
 
-def _merged(slots: int):
+def _set_bits(bits: np.ndarray) -> np.ndarray:
+    """The slots whose bits are set, ascending."""
+    at = np.flatnonzero(bits)
+    where, which = np.nonzero(np.unpackbits(bits[at, None], axis=1, bitorder="little"))
+    return at[where] * 8 + which
+
+
+def _merged(width: int, most: int):
+    """Pieces that arrive in order: the slots of each that were hit twice, or NULL if these are more than ``most``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Sketch] = {}
+        now, sketch = None, None
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if sketch is not None:
+                found = _set_bits(sketch.twice)
+                columns = [pa.array([now], pa.int32()), pa.array([_distances(found) if len(found) <= most else None], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["piece", "twice"])
+
         for batch in batches:
-            for piece, hit, twice in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                found.setdefault(piece, Sketch(min(slots, PIECE))).merge(np.frombuffer(hit, np.uint8), np.frombuffer(twice, np.uint8))
-        for piece, sketch in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([sketch.twice.tobytes()])], ["piece", "twice"])
+            for piece, hit, again in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if piece != now:
+                    yield from finished()
+                    now, sketch = piece, Sketch(width)
+                sketch.add(_slots(hit))
+                _set(sketch.twice, _slots(again))
+        yield from finished()
 
     return run
 
 
 def slots_for(rows: int) -> int:
-    """A power of two of slots, so that few of so many different keys share one."""
-    wanted = min(MOST_SLOTS, max(1, rows) * SLOTS_PER_ROW)
+    """A power of two of slots, so that few of so many different keys share one, and a quarter of ``MOST_TWICE`` slots are shared at most."""
+    wanted = min(MOST_SLOTS, max(max(1, rows) * SLOTS_PER_ROW, 2 * rows * rows // MOST_TWICE))
     return max(8, 1 << (wanted - 1).bit_length())
 
 
@@ -99,17 +142,26 @@ def marked(df: DataFrame, keys: Sequence[Column], slots: int | None = None) -> D
     spark = df.sparkSession
     ship(spark)
     slots = slots_for(df.count()) if slots is None else slots
-    key = F.xxhash64(*keys)
-    pieces = df.select(key.alias("key")).mapInArrow(_sketched(slots), "piece int, hit binary, twice binary")
-    pieces = pieces.repartition("piece").mapInArrow(_merged(slots), "piece int, twice binary")
-    bits = np.zeros((max(1, slots // PIECE), min(slots, PIECE) >> 3), np.uint8)
-    for row in pieces.toLocalIterator():
-        bits[row["piece"]] = np.frombuffer(row["twice"], np.uint8)
-    known = spark.sparkContext.broadcast(bits.reshape(-1))  # slots / 8 bytes
+    key, width = F.xxhash64(*keys), min(slots, PIECE)
+    number = slots // width
+    pieces = df.select(key.alias("key")).mapInArrow(_sketched(slots, width), "piece int, hit binary, again binary")
+    pieces = pieces.repartition("piece").sortWithinPartitions("piece")
+    # twice the share of a piece at most, so a bounded size
+    merged = pieces.mapInArrow(_merged(width, 2 * MOST_TWICE // number), "piece int, twice binary").collect()
+    merged.sort(key=lambda row: row["piece"])
+    whole = np.zeros(number, bool)
+    whole[[row["piece"] for row in merged if row["twice"] is None]] = True
+    found = [row["piece"] * width + _slots(row["twice"]) for row in merged if row["twice"]]
+    known = spark.sparkContext.broadcast((whole, np.concatenate([np.zeros(0, np.int64), *found])))
 
     @F.arrow_udf("boolean")
     def twice(hashes: pa.Array) -> pa.Array:
-        return pa.array(_has(known.value, hashes.to_numpy() & (slots - 1)))
+        whole, found = known.value
+        own = hashes.to_numpy() & (slots - 1)
+        again = whole[own // width]
+        if len(found):
+            again |= found[np.minimum(np.searchsorted(found, own), len(found) - 1)] == own
+        return pa.array(again)
 
     return df.withColumn(AGAIN, twice(key))
 

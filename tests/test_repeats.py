@@ -71,3 +71,24 @@ def test_top_values_of_columns_of_many_values(spark):
         wanted = Counter(map(tuple, counting.top_values(rows, columns, k).collect()))
         assert Counter(map(tuple, repeats.top_values_of_many(rows, columns, k).collect())) == wanted
     assert repeats.top_values_of_many(rows.limit(0), columns, 3).count() == 0
+
+
+def test_what_is_handed_on_grows_with_the_rows(spark, monkeypatch):
+    """Not with tasks and slots, and pieces that hold too many repeats let all their rows through."""
+    slots = repeats.slots_for(400_000_000)
+    assert slots >= 32 * 400_000_000  # few keys share a slot beyond 134 million rows, too
+    hashes = np.random.default_rng(5).integers(-(1 << 62), 1 << 62, 50_000)
+    width = min(slots, repeats.PIECE)
+    batch = repeats._handed_on(slots, width, [hashes, hashes[:10]])
+    assert batch.nbytes < 8 * 50_000
+    hit = [p * width + repeats._slots(x) for p, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+    again = [p * width + repeats._slots(x) for p, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+    assert np.concatenate(hit).tolist() == sorted(set((hashes & (slots - 1)).tolist()))
+    assert set((hashes[:10] & (slots - 1)).tolist()) <= set(np.concatenate(again).tolist())
+
+    rows = spark.range(0, 6000, 1, 5).selectExpr("id % 4000 AS k")
+    for piece, most in ((64, 1 << 20), (64, 8), (1 << 12, 1 << 20)):
+        monkeypatch.setattr(repeats, "PIECE", piece)
+        monkeypatch.setattr(repeats, "MOST_TWICE", most)
+        found = Counter(r["row_count"] for r in repeats.repeated_counts(rows, ["k"]).collect())
+        assert found == Counter(r["row_count"] for r in checks.repeats(rows, ["k"], nulls=True).collect()) == Counter({2: 2000})
