@@ -76,8 +76,11 @@ def keep_first(
 
     if repeated is None or repeated.limit(broadcast_rows + 1).count() > broadcast_rows:
         return first(df)
-    candidates = with_repeated_key(df, keys, repeated, True, broadcast_rows)
-    return with_repeated_key(df, keys, repeated, False, broadcast_rows).unionByName(first(candidates))
+    found = first(with_repeated_key(df, keys, repeated, True, broadcast_rows))
+    if clustering(df):
+        # few rows: a file per bucket of them would weigh more in the splits of later readers than all other rows
+        found = found.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    return with_repeated_key(df, keys, repeated, False, broadcast_rows).unionByName(found)
 
 
 def collapse_max(df: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:
