@@ -146,9 +146,9 @@ def marked(df: DataFrame, keys: Sequence[Column], slots: int | None = None) -> D
     number = slots // width
     pieces = df.select(key.alias("key")).mapInArrow(_sketched(slots, width), "piece int, hit binary, again binary")
     pieces = pieces.repartition("piece").sortWithinPartitions("piece")
-    # twice the share of a piece at most, so a bounded size
-    merged = pieces.mapInArrow(_merged(width, 2 * MOST_TWICE // number), "piece int, twice binary").collect()
-    merged.sort(key=lambda row: row["piece"])
+    # twice the share of a piece at most, so a bounded size; one partition, as each is a job of its own here
+    merged = pieces.mapInArrow(_merged(width, 2 * MOST_TWICE // number), "piece int, twice binary").repartition(1)
+    merged = sorted(merged.toLocalIterator(), key=lambda row: row["piece"])
     whole = np.zeros(number, bool)
     whole[[row["piece"] for row in merged if row["twice"] is None]] = True
     found = [row["piece"] * width + _slots(row["twice"]) for row in merged if row["twice"]]
