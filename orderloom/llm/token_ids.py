@@ -8,12 +8,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from orderloom.llm.common import texts_of_batch
 from orderloom.llm.pieces import Pieces
 
-#: Id that ends each document, and rows that a worker encodes at a time.
-END, ROWS = 0, 256
+#: Id that ends each document, and bytes of text that a worker encodes at a time.
+END, RUN_BYTES = 0, 2 << 20
+#: What the byte-level pattern splits from the letters before it, unless a special token holds it.
+MARKS = ".,;:!?"
 
 
 class ByteTokens:
@@ -25,6 +28,8 @@ class ByteTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
+        special = "".join(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = "" if set(MARKS) & set(special) else MARKS
         self._starts = np.array([self.tokenizer.id_to_token(i)[:1] in ("Ġ", "Ċ") for i in range(self.tokenizer.get_vocab_size())])
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -50,7 +55,7 @@ def _tokens(path: str) -> ByteTokens:
 def encoder(path: str) -> Pieces:
     """Encodes texts as the library's plain call does; what it remembers goes with it."""
     tokens = _tokens(path)
-    return Pieces(tokens.pieces, tokens.whole)
+    return Pieces(tokens.pieces, tokens.whole, tokens.marks)
 
 
 def token_ids(texts: list[str], encode: Pieces) -> list[bytes]:
@@ -60,9 +65,14 @@ def token_ids(texts: list[str], encode: Pieces) -> list[bytes]:
 
 
 def runs(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batches of a task in runs of a few rows, each with its texts' ids."""
+    """The batches of a task in runs of a few megabytes, each with its texts' ids."""
     encode = encoder(path)
     for whole in batches:
-        for at in range(0, whole.num_rows, ROWS):
-            batch = whole.slice(at, ROWS)
-            yield batch, token_ids(texts_of_batch(batch).to_pylist(), encode)
+        column = texts_of_batch(whole)
+        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < whole.num_rows:
+            earlier = int(ends[at - 1]) if at else 0
+            n = max(1, int(np.searchsorted(ends, earlier + RUN_BYTES, "right")) - at)
+            yield whole.slice(at, n), token_ids(column.slice(at, n).to_pylist(), encode)
+            at += n

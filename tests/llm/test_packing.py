@@ -4,6 +4,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from orderloom.llm import catalog, packing, token_ids
@@ -66,6 +67,34 @@ def test_what_is_remembered_goes_with_the_task():
     assert first._known and not second._known
 
 
+ODD = ["", " ", "a ", " a", "\n", "\n\na b", "a b  c", "a\nb c\n", "x\tb c", "a b\t c", "a\u3000b, c.", "\r\na b\r\n c", "×. ÷, a×. b", "a\0b. c\0, d.", "\0", "a \0. b"]
+MARKED = ["word, word. word!? word", "don't, can't. we'll", "é à. e\u0301. a.\u0301 b", "a.b.c;d?e:f 1.5, x1.", "日本語。日本語. 日本", "a.\tb.\nc", "x" * 60 + ", " + "x" * 60, "<|endoftext|>. a<|endoftext|>, b"]
+
+
+def test_cut_texts_have_the_library_s_ids():
+    """Whatever was remembered before, in any company, and with the end id."""
+    texts = ODD + MARKED + SPECIAL + ["".join(x) for x in product(["a", "É", ".", ",", " ", "\n", "'s"], repeat=4)]
+    expected = [x.tobytes() for x in ids_of(texts)]
+    encode = token_ids.encoder(PATH)
+    for size in (1, 100, len(texts)):
+        assert [x for at in range(0, len(texts), size) for x in token_ids.token_ids(texts[at : at + size], encode)] == expected
+
+
+def test_marks_make_no_pieces_of_their_own():
+    """A word is encoded and remembered once, whatever marks it has; long pieces aren't remembered."""
+    encode = token_ids.encoder(PATH)
+    token_ids.token_ids(["a word word, word. word! word " + "x" * 60], encode)
+    assert sorted(encode._known) == ["\0!", "\0,", "\0.", "word"]
+
+
+def test_runs_are_bounded_by_their_bytes():
+    texts = ["a" * (token_ids.RUN_BYTES * 2 // 5)] * 4 + ["b" * (token_ids.RUN_BYTES * 2), "", "c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["doc_id", "text"])
+    found = list(token_ids.runs(iter([batch]), PATH))
+    assert [x.num_rows for x, _ in found] == [2, 2, 1, 2]
+    assert [i for _, ids in found[-1:] for i in ids] == [x.tobytes() for x in ids_of(["", "c"])]
+
+
 def test_knapsack_is_the_best_pattern_there_is():
     """Prices of patterns against every pattern of small instances."""
     random = np.random.default_rng(4)
