@@ -58,15 +58,20 @@ def encoder(path: str) -> Pieces:
     return Pieces(tokens.pieces, tokens.whole, tokens.marks)
 
 
+@lru_cache(maxsize=1)
+def _kept_encoder(path: str) -> Pieces:
+    return encoder(path)
+
+
 def token_ids(texts: list[str], encode: Pieces) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers, the end id appended."""
     end = np.array([END], "<u4").tobytes()
     return [x + end for x in encode(texts)]
 
 
-def runs(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batches of a task in runs of a few megabytes, each with its texts' ids."""
-    encode = encoder(path)
+def runs(batches: Iterator[pa.RecordBatch], path: str, kept: bool = False) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batches of a task in runs of a few megabytes, each with its texts' ids; ``kept`` lets the worker remember pieces from task to task."""
+    encode = _kept_encoder(path) if kept else encoder(path)
     for whole in batches:
         column = texts_of_batch(whole)
         ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -61,6 +62,54 @@ def test_repetition_costs_little():
     assert len(c.encode_blocks([own])[0]) < 0.2 * 4 * len(own)
 
 
+@pytest.fixture(scope="module")
+def skewed():
+    """Ids of frequencies as in texts, dealt at random over all numbers."""
+    r = np.random.default_rng(1)
+    return r.permutation(c.MOST_IDS)[(r.pareto(1.0, 3_000_000) * 20).astype(np.int64) % 50_000].astype("<u4")
+
+
+def test_ids_cost_little_more_than_their_frequencies_say(skewed):
+    some = skewed[:1_000_000]
+    counts = np.bincount(some)
+    least = -np.sum(counts[counts > 0] * np.log2(counts[counts > 0] / len(some))) / 8
+    segment = id_files.pack_segment([1], [some.tobytes()])
+    assert len(segment) < 1.05 * least
+    assert (id_files.unpack_segments([segment])[0][0][1] == some).all()
+
+
+def test_coding_takes_little_time_an_id(skewed):
+    def took(job):
+        start = time.thread_time()
+        job()
+        return time.thread_time() - start
+
+    own = skewed.tobytes()
+
+    def job():
+        assert id_files.unpack_segments([id_files.pack_segment([1], [own])])[0][0][1].tobytes() == own
+
+    # in additions of Python, as machines differ
+    yardstick = min(took(lambda: sum(range(len(skewed)))) for _ in range(5))
+    assert took(job) < 40 * yardstick
+
+
+def test_carries_pass_through_words():
+    r = np.random.default_rng(2)
+    writer = c._Writer(np.array([40]))
+    # the last word is raised over words that are all ones
+    writer.words[:5] = [7, (1 << 32) - 1, (1 << 32) - 1, 1 << 32, 5]
+    writer.place[:] = 5
+    assert np.frombuffer(writer.finish()[0], "<u4").tolist() == [8, 0, 0, 0, 5, 0, 0]
+    # likely and unlikely ids in turn: ranges at either end
+    shares = np.zeros(300, np.int64)
+    shares[:] = 1
+    shares[299] += (1 << 20) - 300
+    blocks = [np.where(r.random(n) < 0.02, r.integers(0, 300, n), 299).astype(np.int32) for n in (1, 2047, 2048, 5000) * 8]
+    for own, found in zip(blocks, c.decode_blocks(c.encode_blocks(blocks, shares), [len(x) for x in blocks], shares), strict=True):
+        assert (found == own).all()
+
+
 def test_damage_is_found():
     ids = np.arange(3000, dtype="<u4").tobytes()
     segment = bytearray(id_files.pack_segment([7], [ids]))
