@@ -39,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import sampled, ship, stored
+from orderloom.llm.common import arrow_batches, sampled, ship, stored
 
 #: Rows that the rotation is fitted on, at most; a hash of the row selects them.
 SAMPLE = 10_000
 #: Rows of a block of vectors, and of a group of neighbouring index values, on average.
 BLOCK, GROUP_ROWS = 4_096, 200_000
+#: Found rows that a task holds before it hands on the queries' lists of them; bytes of the batches that tasks read.
+HANDED_ROWS, BATCH_BYTES = 1 << 20, 16 << 20
 REACH = 0.97
 #: Substring widths that are considered, probes per position at most, and retrieved rows that a probe costs as much as.
 WIDTHS, MOST_PROBES, PROBE_COST = range(8, 17), 4_096, 50
@@ -114,7 +116,8 @@ def candidates(data: DataFrame, queries: DataFrame, radius: int, positions: list
     """(query_row, among array<long>): the rows of (row, code) within the radius of a query (query_row, query_code), each once.
 
     Neighbouring values of a position share a group of about ``GROUP_ROWS`` rows. A query
-    goes to the groups that hold values it probes, and gets a list from each.
+    goes to the groups that hold values it probes, and gets a list from each. A task holds
+    the rows of one group, and lists of bounded size together, however many queries there are.
     """
     groups = max(1, rows // GROUP_ROWS)
     shifts = [max(0, w - groups.bit_length() + 1) for _, w, _ in positions]
@@ -138,34 +141,77 @@ def candidates(data: DataFrame, queries: DataFrame, radius: int, positions: list
     # names of their own: both sides may come from one table
     asked = asked.select(F.col("position").alias("at"), F.col("group").alias("of"), parts, "query_row", "query_code")
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[np.ndarray] = []
-        if left.num_rows and right.num_rows:
-            j, group = left.column("position")[0].as_py(), left.column("group")[0].as_py()
-            (first, width, t), k = positions[j], shifts[j]
-            order = np.argsort(left.column("value").to_numpy(), kind="stable")
-            own = left.column("value").to_numpy()[order]
-            numbers, codes_ = left.column("row").to_numpy()[order], left.column("code").to_numpy().view(np.uint64)[order]
-            bounds = np.searchsorted(own, (group << k) + np.arange((1 << k) + 1))
-            masks = _masks(width, t)
-            for code in right.column("query_code").to_numpy().view(np.uint64):
-                probes = ((code >> np.uint64(first)) & np.uint64((1 << width) - 1)) ^ masks
-                probes = (probes[probes >> np.uint64(k) == group]).astype(np.int64) - (group << k)
-                size = bounds[probes + 1] - bounds[probes]
-                ends = np.cumsum(size)
-                at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[probes] - ends + size, size)
-                differ = codes_[at] ^ code
-                near = np.bitwise_count(differ) <= radius
-                for f, w, most in positions[:j]:
-                    # the same pair may meet in several positions: the first one counts
-                    near &= np.bitwise_count((differ >> np.uint64(f)) & np.uint64((1 << w) - 1)) > most
-                out.append(numbers[at[near]])
-        ends = pa.array(np.cumsum([0, *map(len, out)]).astype(np.int32))
-        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *out])))
-        return pa.table([right.column("query_row") if out else pa.array([], pa.int64()), lists], names=["query_row", "among"])
-
-    found = index.groupBy("position", "group", "part").cogroup(asked.groupBy("at", "of", "to")).applyInArrow(meet, "query_row long, among array<long>")
-    return found.where("size(among) > 0")
+    # the rows of a group come before its queries, so a task holds one group's rows and a batch of queries
+    own = index.select("position", "group", "part", F.lit(False).alias("asked"), "value", "row", "code")
+    theirs = asked.select(F.col("at").alias("position"), F.col("of").alias("group"), F.col("to").alias("part"), F.lit(True).alias("asked"), F.lit(0).alias("value"), F.col("query_row").alias("row"), F.col("query_code").alias("code"))
+    tasks = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = own.unionByName(theirs).repartition(tasks, "position", "group", "part").sortWithinPartitions("position", "group", "part", "asked")
+    return dealt.mapInArrow(_met(positions, shifts, radius), "query_row long, among array<long>")
+
+
+class Group:
+    """Rows of neighbouring values at one position, in the order of the values."""
+
+    def __init__(self, rows: pa.Table, position: tuple[int, int, int], shift: int) -> None:
+        self.first, self.width, t = position
+        self.shift, self.masks = shift, _masks(self.width, t)
+        values = rows.column("value").to_numpy()
+        order = np.argsort(values, kind="stable")
+        self.group = int(values[0]) >> shift
+        self.rows, self.codes = rows.column("row").to_numpy()[order], rows.column("code").to_numpy().view(np.uint64)[order]
+        self.bounds = np.searchsorted(values[order], (self.group << shift) + np.arange((1 << shift) + 1))
+
+    def near(self, code: np.uint64, radius: int, before: list[tuple[int, int, int]]) -> np.ndarray:
+        """Rows within the radius of a code that a probe finds here, but for those that a position before this one finds."""
+        probes = ((code >> np.uint64(self.first)) & np.uint64((1 << self.width) - 1)) ^ self.masks
+        probes = (probes[probes >> np.uint64(self.shift) == self.group]).astype(np.int64) - (self.group << self.shift)
+        size = self.bounds[probes + 1] - self.bounds[probes]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.bounds[probes] - ends + size, size)
+        differ = self.codes[at] ^ code
+        near = np.bitwise_count(differ) <= radius
+        for f, w, most in before:
+            # the same pair may meet in several positions: the first one counts
+            near &= np.bitwise_count((differ >> np.uint64(f)) & np.uint64((1 << w) - 1)) > most
+        return self.rows[at[near]]
+
+
+def _met(positions: list[tuple[int, int, int]], shifts: list[int], radius: int):
+    """For mapInArrow over a group's rows and then the queries that go there, group after group: (query_row, among), ``HANDED_ROWS`` or so at a time."""
+
+    def lists(queries: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+        ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+        among = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
+        return pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), among], ["query_row", "among"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, parts, held = None, [], None
+        queries, found, handed = [], [], 0
+        for batch in batches:
+            keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)])
+            bounds = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *bounds.tolist()], [*bounds.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if tuple(keys[:3, a].tolist()) != place:
+                    place, parts, held = tuple(keys[:3, a].tolist()), [], None
+                rows, position = batch.slice(a, b - a), place[0]
+                if not keys[3, a]:
+                    parts.append(rows)
+                elif parts:
+                    held = held or Group(pa.Table.from_batches(parts), positions[position], shifts[position])
+                    for query, code in zip(rows.column("row").to_pylist(), rows.column("code").to_numpy().view(np.uint64), strict=True):
+                        near = held.near(code, radius, positions[:position])
+                        if len(near):
+                            queries.append(query)
+                            found.append(near)
+                            handed += len(near)
+                        if handed >= HANDED_ROWS:
+                            yield lists(queries, found)
+                            queries, found, handed = [], [], 0
+        yield lists(queries, found)
+
+    return run
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -320,7 +366,8 @@ def _search_length(kept: DataFrame, dims: int, total: int, is_query: str, k: int
     wanted = lists.groupBy("query_row", "block").agg(F.flatten(F.collect_list("among")).alias("among"))
     requests = wanted.join(queries.withColumnRenamed("row", "query_row"), "query_row").withColumnRenamed("query_row", "row")
     tasks = max(1, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    near = stored(_nearest(data, requests, tasks, k), "nearest")
+    with arrow_batches(spark, BATCH_BYTES):
+        near = stored(_nearest(data, requests, tasks, k), "nearest")
     enough = near.where(F.col("rank") == min(k, total - 1)).select(F.col("query_row").alias("row"))
     short = stored(queries.join(enough, "row", "left_anti") if total > 1 else queries.limit(0), "short-queries")
     # queries whose radius holds fewer than k rows meet every block

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderloom.llm import catalog
@@ -129,3 +130,23 @@ def test_no_exchange_holds_a_vector_per_query_block(spark):
     """The data's vectors are dealt to their blocks, not to pairs of blocks of data and queries."""
     tree = plan(v.search(spark.read.parquet(f"{SMALL}/embeddings.parquet"), "true"))
     assert "CartesianProduct" not in tree and "NestedLoop" not in tree and tree.count("CoGroups") == 0
+
+
+def test_lists_of_a_group_are_handed_on_in_bounded_batches(spark, monkeypatch):
+    """A task holds one group's rows and a batch of lists, not the lists of all queries that meet the group."""
+    monkeypatch.setattr(v, "HANDED_ROWS", 1000)
+    codes, names = np.arange(512, dtype=np.int64), ["position", "group", "part", "asked", "value", "row", "code"]
+
+    def batch(asked: bool, group: int) -> pa.RecordBatch:
+        same = [np.full(256, x) for x in (0, group, 0)]
+        own = codes[256 * group :][:256]
+        return pa.RecordBatch.from_arrays([*map(pa.array, same), pa.array([asked] * 256), *map(pa.array, (own if not asked else own * 0, own + 7000, own))], names)
+
+    run = v._met([(0, 9, 9)], [8], 2)
+    out = list(run(iter([batch(False, 0), batch(True, 0), batch(False, 1), batch(True, 1)])))
+    sizes = [sum(map(len, x.column("among").to_pylist())) for x in out]
+    assert len(out) > 10 and max(sizes) <= 1000 + 256
+    found = {(q, i) for x in out for q, among in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True) for i in among}
+    assert found == {(7000 + a, 7000 + b) for a in range(512) for b in range(512) if a >> 8 == b >> 8 and (a ^ b).bit_count() <= 2}
+    data = spark.createDataFrame([(i, i) for i in range(9)], "row long, code long")
+    assert "CoGroups" not in plan(v.candidates(data, data.toDF("query_row", "query_code"), 2, [(0, 9, 2)], 9))
