@@ -12,7 +12,7 @@ Scripts, styles, comments in the markup and form controls never make a block. Su
 element ends with its own end tag; if that doesn't come before an enclosing element's,
 it was never closed and ends with the next block that starts, so what follows is read.
 Scripts and styles alone run to their end tag or the page's end, as in HTML.
-Character references are decoded, white space in a block becomes one space, blocks are
+A marked section of an unknown name ends with the next bracket. Character references are decoded, white space in a block becomes one space, blocks are
 joined by a line break. A markup that breaks off is read up to there. Null and empty
 pages have the empty text, an empty table gives an empty one. Pages are handled one by
 one, so repeated rows agree; each task holds one page's blocks at a time, and the cut of a
@@ -104,6 +104,9 @@ class _Reader(HTMLParser):
         return self._whole(super().parse_pi(i), i)
 
     def parse_html_declaration(self, i: int) -> int:
+        if self.rawdata.startswith("<![", i) and not _SECTION.match(self.rawdata, i):
+            # of a name that no section has, which the library refuses: a comment up to its bracket, as in HTML
+            return self._whole(self.parse_bogus_comment(i), i)
         return self._whole(super().parse_html_declaration(i), i)
 
     def parse_comment(self, i: int, report: int = 1) -> int:
@@ -156,7 +159,7 @@ class _Reader(HTMLParser):
         self._events.append((0, data, []))
 
     def read(self, html: str) -> list[Block]:
-        self.feed(html)
+        self.feed(_LONG_NUMBER.sub(_shorter, html))
         self.close()
         self._leave(0, False)
         i, silent = 0, 0  # silent: event at which an element that was never closed ends at the latest
@@ -236,6 +239,17 @@ _BROKEN_OFF = re.compile(r"<[/!?a-zA-Z][^<>]*$")
 _COMMENT = re.compile(r"<!--(?:-?>|.*?--!?\s*>)", re.DOTALL)
 
 
+#: Marked sections that the library reads, or that the page's end cuts off.
+_SECTION = re.compile(r"<!\[(?:(?:temp|cdata|ignore|include|rcdata|if|else|endif)(?![\w.-])|[a-z][\w.-]*\s*\Z|\Z)", re.IGNORECASE | re.ASCII)
+#: Numbers of characters that are longer than Python reads; none of over seven digits is one.
+_LONG_NUMBER = re.compile(r"&#([0-9]{1000,})")
+
+
+def _shorter(found: re.Match) -> str:
+    digits = found[1].lstrip("0") or "0"
+    return f"&#{digits if len(digits) < 8 else 9_999_999}"
+
+
 def blocks(html: str) -> list[Block]:
     """Text blocks of a page in order."""
     return _Reader().read(html)

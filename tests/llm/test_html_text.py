@@ -149,3 +149,11 @@ def test_training_takes_a_bounded_part_of_each_page(spark):
     counts = [len(r["features"]) for r in frame.select("html").mapInArrow(h._training_rows, "content double, features array<double>").collect()]
     assert len(counts) <= 2 * h.TRAINING_BLOCKS + 3
     assert (h.fit(frame) == h.fit(frame.repartition(5))).all()
+
+
+def test_unknown_sections_and_very_long_numbers_are_read():
+    for section in ("<![foo[x]>", "<![ x]>", "<![>", "<![1]>", "<![ändif]>"):
+        assert [x.text for x in h.blocks(f"<p>before {section}after</p><p>next</p>")] == ["before after", "next"], section
+    assert [x.text for x in h.blocks("<p>a<![CDATA[b]]>c<![if !IE]>d<![endif]>e</p>")] == ["acde"]
+    assert [x.text for x in h.blocks("<p>a</p><![fo")] == [x.text for x in h.blocks("<p>a</p><![foo[ b")] == ["a"]
+    assert [x.text for x in h.blocks(f"<p>a&#{'9' * 5000};b &#{'0' * 5000}65; &#65;</p>")] == ["a\ufffdb A A"]
