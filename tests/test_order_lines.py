@@ -1,7 +1,10 @@
 """Lines move before they are rendered as text."""
 
+import glob
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedup import KEY_HASH, key_hash
@@ -73,3 +76,49 @@ def test_keys_move_as_bytes_in_the_same_order(spark):
     assert {narrow.schema[c].dataType.simpleString() for c in ("sales_key", "geography_key")} == {"binary"}
     assert fact.unpacked(narrow).exceptAll(rows).count() == 0 and fact.unpacked(narrow).schema.simpleString() == rows.schema.simpleString()
     assert fact.unpacked(narrow.orderBy(*fact.PLACE_ORDER)).collect() == rows.orderBy(*fact.PLACE_ORDER).collect()
+
+
+def shuffle_files(spark):
+    return [f for top in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for f in glob.glob(f"{top}/**/shuffle_*", recursive=True)]
+
+
+def test_shuffles_of_a_write_go_when_it_ends(spark, tmp_path):
+    def new():
+        for _ in range(50):  # executors remove them shortly after
+            found = set(shuffle_files(spark)) - before
+            if not found:
+                break
+            time.sleep(0.2)
+        return found
+
+    before = set(shuffle_files(spark))
+    rows = spark.range(20_000).selectExpr("id % 97 AS k", "id").repartition(5, "k")
+    for name, how in (("plain", {}), ("clustered", {"cluster_by": "k", "buckets": 3}), ("ordered", {"order_by": ["id"]}), ("steps", {"cluster_by": "k", "buckets": 3, "in_steps": True})):
+        assert tables.overwrite(rows, str(tmp_path / name), **how) == 20_000
+        assert not new(), name
+        assert len([f for f in (tmp_path / name).iterdir() if f.is_dir()]) == 1  # rows that were laid aside are gone
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_failed_write_in_steps_leaves_nothing(spark, tmp_path):
+    rows = spark.range(9).withColumn("x", F.when(F.col("id") == 7, F.raise_error(F.lit("seven")).cast("int")))
+    for fails in (rows, spark.range(9).withColumn("x", F.lit(1))):
+        with pytest.raises(Exception, match="seven|eight"):
+            tables.overwrite(fails, str(tmp_path / "t"), in_steps=True, finish=lambda df: df.withColumn("x", F.raise_error(F.lit("eight")).cast("int")))
+    assert not [f for f in tmp_path.glob("t/*") if f.is_dir() and list(f.glob("part-*"))]
+
+
+def moved_columns(df):
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan(df))
+
+
+def test_lines_move_without_what_one_number_tells(spark, monkeypatch):
+    monkeypatch.setattr(order_lines, "SPREAD_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3k")
+    try:
+        moved = moved_columns(order_lines.clustered_order_lines(spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [x for x in moved if "l_orderkey" in x]
+    assert len(lines) == 3 and not any(c in x for x in lines for c in ("l_linestatus", "l_returnflag", "o_custkey", "o_orderpriority"))
+    assert "l_extendedprice" not in lines[-1] and "price" in lines[-1]
