@@ -77,9 +77,11 @@ def fact_by_lookup(
         {f"at_{c}": or_default(c, UNKNOWN_PLACE) for c in PLACE}
     )
     keys = places.select("geography_key", *[F.col(c).alias(f"at_{c}") for c in PLACE])
-    return _fact(
-        found.join(products.select("sku", "product_key"), "sku").join(keys, [f"at_{c}" for c in PLACE])
-    )
+    # places are far fewer than products: once their key is known the address needn't move
+    placed = found.join(keys, [f"at_{c}" for c in PLACE])
+    placed = placed.withColumns({c: F.unhex(c) for c in ("geography_key", "status_key")})
+    keyed = placed.join(products.select("sku", "product_key"), "sku")
+    return _fact(keyed.withColumns({c: F.lower(F.hex(c)) for c in ("geography_key", "status_key")}))
 
 
 def _absent() -> Column:

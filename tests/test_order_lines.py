@@ -122,3 +122,16 @@ def test_lines_move_without_what_one_number_tells(spark, monkeypatch):
     lines = [x for x in moved if "l_orderkey" in x]
     assert len(lines) == 3 and not any(c in x for x in lines for c in ("l_linestatus", "l_returnflag", "o_custkey", "o_orderpriority"))
     assert "l_extendedprice" not in lines[-1] and "price" in lines[-1]
+
+
+
+def test_lines_meet_products_without_their_address(spark):
+    w = open_benchmark(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_lookup = fact.fact_by_lookup(w.staging(), w.dates(), w.products(), w.places(), w.statuses())
+        to_products = [x for x in moved_columns(by_lookup) if "order_id" in x][-1]
+        assert "ship_city" not in to_products and "at_" not in to_products
+        assert by_lookup.exceptAll(w.fact()).count() == w.fact().exceptAll(by_lookup).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
