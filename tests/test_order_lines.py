@@ -135,3 +135,9 @@ def test_lines_meet_products_without_their_address(spark):
         assert by_lookup.exceptAll(w.fact()).count() == w.fact().exceptAll(by_lookup).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_facts_move_without_keys_that_they_tell(spark):
+    rows = fact.packed(open_benchmark(spark, SMALL).fact()).repartitionByRange(3, *fact.PLACE_ORDER)
+    (moved,) = moved_columns(fact.unpacked(rows))
+    assert "geography_key" in moved and "sales_key" not in moved and "product_key" not in moved
