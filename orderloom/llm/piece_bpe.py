@@ -277,7 +277,8 @@ class PieceVocabulary:
         out = []
         for x, a, b in zip(ids, cuts, cuts[1:], strict=False):
             try:
-                text = data[a:b].decode()
+                # a piece without text parts the byte pieces before it from those after it
+                text = self._repaired(x) if (self.lengths[x[1:-1]] == 0).any() else data[a:b].decode()
             except UnicodeDecodeError:
                 text = self._repaired(x)
             heard = x[~self.silent[x]][:1]

@@ -67,6 +67,11 @@ def test_decodes_any_ids(library, ids):
     assert piece_bpe.vocabulary(PATH).decode([np.array(ids, np.uint32)]) == [library.decode(ids)]
 
 
+def test_control_pieces_part_byte_pieces(library):
+    for ids in ([197, 1, 131], [1, 197, 131, 2], [197, 2, 1, 131, 300]):
+        assert piece_bpe.vocabulary(PATH).decode([np.array(ids, np.uint32)]) == [library.decode(ids)]
+
+
 def test_unbroken_and_very_long_texts(library, monkeypatch):
     of = piece_bpe.vocabulary(PATH)
     rng = np.random.default_rng(5)
